@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.functions import text as T
-from feedkit.operators import asof, changes, latest, periods as P, rules
-from feedkit.sources.testdata import AS_OF, PERIOD_FLOOR, Testdata, fmt_day, term_of
+from feedkit.operators import asof, changes, latest, periods as P, render, rules, shape
+from feedkit.sources.testdata import AS_OF, PERIOD_FLOOR, Testdata, fmt_day, fmt_ts, term_of
 
 MONEY = "decimal(18,2)"
 
@@ -185,3 +185,368 @@ def _excluded(td: Testdata) -> DataFrame:
 
 def q_exclude_same_year(spark: SparkSession, sf: str) -> DataFrame:
     return _excluded(Testdata(spark, sf)).select("o_orderkey", "o_custkey", "period_code", "period_year")
+
+
+# -- O16-O27: cohorts, enrichment, seasons, pivots, floors ------------------------------------
+
+def _cohorts(td: Testdata) -> DataFrame:
+    c1 = _not_sent(td).select(F.col("o_custkey").alias("custkey"), F.col("period_code").alias("pulled_term"))
+    c2 = _changed(td).select(F.col("ctl_custkey").alias("custkey"), term_of("last_sent").alias("pulled_term"))
+    c3 = _excluded(td).filter(F.col("o_orderstatus") == "O") \
+        .select(F.col("o_custkey").alias("custkey"), F.col("period_code").alias("pulled_term"))
+    reg = td.order_lines().filter(F.col("l_linestatus") == "O").withColumn("t", term_of("o_orderdate"))
+    c4 = reg.filter(F.col("t") >= "199820").groupBy("custkey").agg(F.min("t").alias("pulled_term"))
+    return shape.union_cohorts({1: c1, 2: c2, 3: c3, 4: c4}, tag="grp_num")
+
+
+def q_cohort_union(spark: SparkSession, sf: str) -> DataFrame:
+    return _cohorts(Testdata(spark, sf))
+
+
+def _enroll_terms(td: Testdata) -> DataFrame:
+    o = td.orders.withColumn("t", term_of("o_orderdate"))
+    t1 = (o.filter((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+          .groupBy("o_custkey").agg(F.max("t").alias("term1")))
+    t2 = o.groupBy("o_custkey").agg(F.max_by("t", "o_orderkey").alias("term2"))
+    c = td.customer.select("c_custkey")
+    c = c.join(t1, F.col("c_custkey") == t1["o_custkey"], "left").drop("o_custkey")
+    c = c.join(t2, F.col("c_custkey") == t2["o_custkey"], "left").drop("o_custkey")
+    return c.withColumn("enroll_term", shape.first_available(F.col("term1"), F.col("term2")))
+
+
+def q_first_available(spark: SparkSession, sf: str) -> DataFrame:
+    return _enroll_terms(Testdata(spark, sf))
+
+
+def q_enrich(spark: SparkSession, sf: str) -> DataFrame:
+    td = Testdata(spark, sf)
+    base = _cohorts(td)
+    geo = td.customer.join(td.nation, F.col("c_nationkey") == F.col("n_nationkey")) \
+        .join(td.region, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "n_name", "r_name")
+    last = latest.latest_per_key(td.orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]) \
+        .select(F.col("o_custkey").alias("__lk"), F.col("o_orderkey").alias("latest_orderkey"))
+    flags = rules.code_flags(_line_codes(td), "custkey", "code", LINE_FLAGS,
+                             where=T.still_active("l_shipdate", F.lit(AS_OF))) \
+        .select(F.col("custkey").alias("__fk"), "flag_returned")
+    enr = _enroll_terms(td).select(F.col("c_custkey").alias("__ek"), "enroll_term")
+    e = (base.join(geo, F.col("custkey") == F.col("c_custkey"), "left").drop("c_custkey")
+         .join(last, F.col("custkey") == F.col("__lk"), "left").drop("__lk")
+         .join(flags, F.col("custkey") == F.col("__fk"), "left").drop("__fk")
+         .join(enr, F.col("custkey") == F.col("__ek"), "left").drop("__ek")
+         .withColumn("flag_returned", F.coalesce("flag_returned", F.lit("0"))))
+    # Second-stage lookup on the derived enrollment term.
+    adv = latest.latest_per_key(td.orders.withColumn("t", term_of("o_orderdate")), ["o_custkey", "t"],
+                                [F.desc("o_orderdate"), F.desc("o_orderkey")]) \
+        .select(F.col("o_custkey").alias("__ak"), F.col("t").alias("__at"),
+                F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("adviser"))
+    e = e.join(adv, (F.col("custkey") == F.col("__ak")) & (F.col("enroll_term") == F.col("__at")), "left")
+    return e.drop("__ak", "__at")
+
+
+PDATE = "MM/dd/yyyy hh:mm:ss a"
+
+
+def _season_winners(td: Testdata) -> DataFrame:
+    a = td.orders.select(F.col("o_custkey").alias("pidm"), term_of("o_orderdate").alias("term"),
+                         F.col("o_orderstatus").alias("camp"),
+                         F.date_format("o_orderdate", PDATE).alias("pdate"), "o_orderkey")
+    a = a.withColumn("suffix", T.season_suffix("term"))
+    b = td.order_lines().select(F.col("custkey").alias("pidm"), term_of("l_shipdate").alias("term"),
+                                F.when(F.col("l_returnflag") == "N", F.lit("M"))
+                                .otherwise(F.col("l_returnflag")).alias("camp"))
+    b = b.withColumn("suffix", T.season_suffix("term")).withColumn("pdate", F.lit(None).cast("string"))
+    cols = ["pidm", "suffix", "term", "camp", "pdate"]
+    top_a = latest.latest_per_key(a, ["pidm", "suffix"],
+                                  [F.desc("term"), F.asc("pdate"), F.asc("o_orderkey")]).select(*cols)
+    top_b = latest.latest_per_key(b, ["pidm", "suffix"], [F.desc("term"), F.asc("camp")]).select(*cols)
+    return shape.season_winner([top_a, top_b], "pidm", "suffix", "term", [[F.lit(1)], [F.lit(1)]])
+
+
+def q_season_winner(spark: SparkSession, sf: str) -> DataFrame:
+    return _season_winners(Testdata(spark, sf))
+
+
+def _overridden(td: Testdata) -> DataFrame:
+    returned = td.lineitem.filter(F.col("l_returnflag") == "R").select("l_orderkey")
+    ov = td.orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")) \
+        .join(returned, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    ov = ov.select(F.col("o_custkey").alias("ov_pidm"), term_of("o_orderdate").alias("ov_term"),
+                   F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("A"))
+                   .when(F.col("o_orderpriority") == "2-HIGH", F.lit("M")).otherwise(F.lit("X")).alias("rs_camp"))
+    w = _season_winners(td).drop("src")
+    return shape.apply_override(w, ov, [("pidm", "ov_pidm"), ("term", "ov_term")], "camp", "rs_camp",
+                                ["P", "R"], "M")
+
+
+def q_override(spark: SparkSession, sf: str) -> DataFrame:
+    return _overridden(Testdata(spark, sf))
+
+
+SEASONS = {"10": "t10_", "20": "t20_", "30": "t30_", "40": "t40_"}
+
+
+def q_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    return shape.pivot_first(_overridden(Testdata(spark, sf)), "pidm", "suffix", SEASONS,
+                             {"term": "term", "camp": "camp", "pdate": "pdate"})
+
+
+def q_floor_period(spark: SparkSession, sf: str) -> DataFrame:
+    td = Testdata(spark, sf)
+    li = td.lineitem.select("l_orderkey", "l_linenumber",
+                            F.nullif(term_of("l_shipdate"), F.lit("199930")).alias("pulled_term"))
+    return P.floor_period(li, "pulled_term", "199820", td.periods(), "tmpPulledTerm", "tmpTermACYR")
+
+
+# -- O28-O33: text columns, lists, preferred ------------------------------------------------
+
+def _phone_parts(o: DataFrame) -> DataFrame:
+    area = (F.when(F.col("o_totalprice") < 50000, F.lit(None))
+            .when(F.col("o_totalprice") < 100000, F.lit("0"))
+            .when(F.col("o_totalprice") < 300000, F.substring(F.lpad(F.col("o_custkey").cast("string"), 4, "0"), 2, 3))
+            .otherwise(F.col("o_custkey").cast("string")))
+    number = (F.when(F.col("o_orderstatus") == "O", F.lpad(F.col("o_orderkey").cast("string"), 7, "0"))
+              .when(F.col("o_totalprice") < 20000, F.lit("0"))
+              .otherwise(F.col("o_orderkey").cast("string")))
+    return o.withColumn("area", area).withColumn("number", number)
+
+
+def q_phone(spark: SparkSession, sf: str) -> DataFrame:
+    o = _phone_parts(Testdata(spark, sf).orders)
+    return o.select("o_orderkey", T.format_phone("area", "number", 12).alias("phone12"),
+                    T.format_phone("area", "number", 25).alias("phone25"))
+
+
+def _lines23(o: DataFrame) -> DataFrame:
+    l2 = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(None))
+          .when(F.col("o_orderpriority") == "2-HIGH", F.lit("0"))
+          .otherwise(F.concat(F.lit("Suite "), F.col("o_orderpriority"))))
+    l3 = (F.when(F.col("o_totalprice") < 100000, F.lit(None))
+          .when(F.col("o_totalprice") < 200000, F.lit("0"))
+          .otherwise(F.concat(F.lit("Floor "), F.col("o_custkey").cast("string"))))
+    return o.withColumn("line2", l2).withColumn("line3", l3)
+
+
+def q_join_lines(spark: SparkSession, sf: str) -> DataFrame:
+    o = _lines23(Testdata(spark, sf).orders)
+    return o.select("o_orderkey", T.join_lines("line2", "line3", "append", 80).alias("append_line"),
+                    T.join_lines("line2", "line3", "guarded", 80).alias("guarded_line"))
+
+
+def _names(c: DataFrame) -> DataFrame:
+    pref = (F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None))
+            .when(F.col("c_mktsegment") == "FURNITURE", F.lit("0"))
+            .otherwise(F.substring("c_name", 10, 9)))
+    first = (F.when(F.col("c_nationkey") < 8, F.lit(None))
+             .when(F.col("c_nationkey") < 12, F.lit("0"))
+             .otherwise(F.concat(F.lit("First"), F.col("c_nationkey").cast("string"))))
+    return c.withColumn("pref", pref).withColumn("first", first)
+
+
+def q_display_name(spark: SparkSession, sf: str) -> DataFrame:
+    c = _names(Testdata(spark, sf).customer)
+    return c.select("c_custkey", T.display_name("pref", "first").alias("name_first"),
+                    T.display_name("pref", "first", fallback=None).alias("name_preferred"))
+
+
+def _levels(td: Testdata) -> DataFrame:
+    c = td.customer.join(td.nation, F.col("c_nationkey") == F.col("n_nationkey")) \
+        .join(td.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    level = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Graduate"))
+             .when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None)).otherwise(F.lit("Undergraduate")))
+    cls = (F.when(F.col("r_regionkey") == 0, F.lit("Freshmen"))
+           .when(F.col("r_regionkey") == 1, F.lit(None)).otherwise(F.col("r_name")))
+    return c.withColumn("level", level).withColumn("cls", cls)
+
+
+def q_patron_class(spark: SparkSession, sf: str) -> DataFrame:
+    c = _levels(Testdata(spark, sf))
+    return c.select("c_custkey", T.patron_class("level", "cls").alias("patron"))
+
+
+def q_ordered_list(spark: SparkSession, sf: str) -> DataFrame:
+    li = Testdata(spark, sf).lineitem.withColumn("s", F.nullif("l_returnflag", F.lit("N")))
+    val = F.concat(F.coalesce("s", F.lit("")), F.coalesce("l_linestatus", F.lit("")))
+    return shape.ordered_list(li, ["l_orderkey"], val, ["s", "l_linestatus"], ";", out="items")
+
+
+def q_preferred(spark: SparkSession, sf: str) -> DataFrame:
+    ev = Testdata(spark, sf).events
+    top = latest.preferred(ev, "user_id", "event_type", ["purchase", "signup"],
+                           tie_break=[F.desc("ts"), F.desc("event_id")], where=F.col("value") > 5)
+    return top.select("user_id", "event_type", "event_id", F.lower("props").alias("contact"))
+
+
+# -- O34-O39: rendering, header, injected rows, control ---------------------------------------
+
+def q_render_delimited(spark: SparkSession, sf: str) -> DataFrame:
+    td = Testdata(spark, sf)
+    n = td.nation.join(td.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    n = n.withColumn("r", F.nullif("r_name", F.lit("ASIA"))).withColumn("empty", F.lit(None).cast("string"))
+    return n.select("n_nationkey", render.render_delimited(["n_nationkey", "n_name", "r", "n_regionkey", "empty"])
+                    .alias("line"))
+
+
+def _quoted_fields(c: DataFrame) -> DataFrame:
+    cid = F.when(F.col("c_nationkey") == 7, F.lit(None)) \
+        .otherwise(F.concat(F.lit("C"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")))
+    name = F.concat("c_name", F.when(F.col("c_nationkey") == 3, F.lit('"')).otherwise(F.lit("")))
+    return c.select("c_custkey", cid.alias("cid"), name.alias("nm"),
+                    F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("seg"), F.lit("ACTIVE").alias("st"))
+
+
+def q_render_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    c = _quoted_fields(Testdata(spark, sf).customer)
+    return c.select("c_custkey", render.render_quoted(["cid", "nm", "seg", "st"], raw=["cid"]).alias("line"))
+
+
+REGION_HEADER = ["__BEGIN_CONFIG__,,", "TYPE,GROUP,", "GROUP-IDENTIFIER,NAME,ORGANIZATION"]
+
+
+def q_with_header(spark: SparkSession, sf: str) -> DataFrame:
+    td = Testdata(spark, sf)
+    g = td.nation.join(td.region, F.col("n_regionkey") == F.col("r_regionkey")) \
+        .select(F.concat("r_name", F.lit("-"), F.col("n_regionkey").cast("string")).alias("GROUP_IDENTIFIER"),
+                F.col("r_name").alias("NAME"), F.lit("Regions").alias("ORGANIZATION")).distinct()
+    d = render.data_rows(g, ["GROUP_IDENTIFIER", "NAME", "ORGANIZATION"],
+                         render.render_quoted(["GROUP_IDENTIFIER", "NAME", "ORGANIZATION"]))
+    return render.with_header(d, REGION_HEADER, distinct=True)
+
+
+# Injected configuration row of the twin (synthetic values).
+TEST_ROWS = [(-1, "Test Person")]
+
+
+def q_with_rows(spark: SparkSession, sf: str) -> DataFrame:
+    c = Testdata(spark, sf).customer.select("c_custkey", "c_name")
+    return shape.with_rows(c, TEST_ROWS)
+
+
+def _control_target(td: Testdata) -> DataFrame:
+    o = td.orders.filter(F.col("o_orderstatus") == "F").withColumn("t", term_of("o_orderdate"))
+    return o.groupBy("o_custkey").agg(
+        F.min("t").alias("wsrsrez_init_term"), F.max(F.year("o_orderdate").cast("string")).alias("wsrsrez_last_acyr"),
+        F.max("t").alias("wsrsrez_last_term"), F.max("o_orderdate").alias("wsrsrez_last_sent"),
+        F.lit("A").alias("wsrsrez_status_ind"), F.max("o_orderdate").alias("wsrsrez_activity_date")) \
+        .select(F.col("o_custkey").cast("decimal(38,10)").alias("wsrsrez_pidm"), "wsrsrez_init_term",
+                "wsrsrez_last_acyr", "wsrsrez_last_term", "wsrsrez_last_sent", "wsrsrez_status_ind",
+                "wsrsrez_activity_date")
+
+
+def _feed_rows(td: Testdata) -> DataFrame:
+    fl = P.floor_period(_cohorts(td), "pulled_term", "199820", td.periods(), "tmpPulledTerm", "tmpTermACYR")
+    return fl.select(F.col("custkey").alias("tmpPidm"), "tmpTermACYR", "tmpPulledTerm",
+                     F.lit(0).alias("IS_HEADER"))
+
+
+def q_upsert_control(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.operators import control
+    from feedkit.sources.testdata import NOW
+    td = Testdata(spark, sf)
+    now = F.lit(NOW.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    src = control.control_source(_feed_rows(td), now)
+    new = control.upsert_control(_control_target(td), src, now)
+    return new.select(F.col("wsrsrez_pidm").cast("bigint").alias("pidm"),
+                      F.col("wsrsrez_init_term").alias("init_term"), F.col("wsrsrez_last_acyr").alias("last_acyr"),
+                      F.col("wsrsrez_last_term").alias("last_term"),
+                      fmt_ts("wsrsrez_last_sent").alias("last_sent"), F.col("wsrsrez_status_ind").alias("status_ind"),
+                      fmt_ts("wsrsrez_activity_date").alias("activity_date"))
+
+
+def q_hour_gate(spark: SparkSession, sf: str) -> DataFrame:
+    ev = Testdata(spark, sf).events
+    local = F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("ts"))
+    return ev.filter(T.hour_gate("ts", "America/New_York", 2)) \
+        .select("event_id", "user_id", fmt_ts(local).alias("local_ts"))
+
+
+# -- O43, O45-O48: filters and per-person builders ---------------------------------------------
+
+def q_active(spark: SparkSession, sf: str) -> DataFrame:
+    td = Testdata(spark, sf)
+    o = td.orders.withColumn("end_date", F.when(F.col("o_orderstatus") == "O", F.lit(None))
+                             .otherwise(F.to_date("o_orderdate")))
+    o = o.filter(T.open_on("end_date", F.lit(AS_OF)))
+    c = td.customer.withColumn("change_ind", F.when(F.col("c_acctbal") < 0, F.lit("Y")))
+    c = c.filter(T.is_current("change_ind")).select("c_custkey")
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_custkey")
+
+
+def q_gpa_like(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import people
+    li = Testdata(spark, sf).order_lines()
+    src = li.select(F.col("custkey").alias("shrlgpa_pidm"), F.col("l_returnflag").alias("shrlgpa_levl_code"),
+                    F.when(F.col("l_linestatus") == "F", F.lit("O")).otherwise(F.lit("I")).alias("shrlgpa_gpa_type_ind"),
+                    (F.abs("l_tax") * 50).alias("shrlgpa_gpa"),
+                    F.nullif("l_quantity", F.lit(1.0)).alias("shrlgpa_hours_earned"))
+    return people.gpa_credits(src)
+
+
+def _tele(o: DataFrame) -> DataFrame:
+    o = _phone_parts(o)
+    code = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("MA"))
+            .when(F.col("o_orderpriority") == "2-HIGH", F.lit("MOB"))
+            .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("PR")).otherwise(F.lit("XX")))
+    return o.select(F.col("o_custkey").alias("sprtele_pidm"), code.alias("sprtele_tele_code"),
+                    F.col("area").alias("sprtele_phone_area"), F.col("number").alias("sprtele_phone_number"),
+                    F.when(F.col("o_orderstatus") == "P", F.lit("I")).alias("sprtele_status_ind"),
+                    F.when(F.col("o_orderstatus") == "F", F.lit("Y")).alias("sprtele_primary_ind"),
+                    F.col("o_orderkey").alias("sprtele_seqno"), F.col("o_orderdate").alias("sprtele_activity_date"))
+
+
+def q_phone_best(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import people
+    return people.phones(_tele(Testdata(spark, sf).orders))
+
+
+def _addr(td: Testdata) -> DataFrame:
+    o = _lines23(td.orders).join(td.customer.select("c_custkey", "c_nationkey"),
+                                 F.col("o_custkey") == F.col("c_custkey"))
+    atyp = (F.when(F.col("o_orderstatus") == "F", F.lit("MA"))
+            .when(F.col("o_orderstatus") == "O", F.lit("PR")).otherwise(F.lit("BI")))
+    return o.select(
+        F.col("o_custkey").alias("spraddr_pidm"), atyp.alias("spraddr_atyp_code"),
+        F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("spraddr_street_line1"),
+        F.col("line2").alias("spraddr_street_line2"), F.col("line3").alias("spraddr_street_line3"),
+        F.repeat("o_orderpriority", 6).alias("spraddr_city"), F.col("o_orderstatus").alias("spraddr_stat_code"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("spraddr_zip"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None))
+        .otherwise(F.col("c_nationkey").cast("string")).alias("spraddr_natn_code"),
+        F.when(F.col("o_totalprice") > 450000, F.lit("I")).alias("spraddr_status_ind"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None))
+        .otherwise(F.to_date("o_orderdate")).alias("spraddr_to_date"),
+        F.col("o_orderdate").alias("spraddr_activity_date"))
+
+
+def _crosswalk(td: Testdata) -> DataFrame:
+    iso = (F.when(F.col("n_regionkey") == 0, F.lit("0")).when(F.col("n_regionkey") == 1, F.lit(None))
+           .otherwise(F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))))
+    return td.nation.select(F.col("n_nationkey").cast("string").alias("scadem_banner_code"), iso.alias("sf_iso"))
+
+
+def q_address_best(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import people
+    td = Testdata(spark, sf)
+    return people.addresses(_addr(td), _crosswalk(td), F.lit(AS_OF))
+
+
+def _emrg(td: Testdata) -> DataFrame:
+    o = _lines23(_phone_parts(td.orders))
+    return o.select(
+        F.col("o_custkey").alias("spremrg_pidm"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.lit("Kin")).alias("spremrg_first_name"),
+        F.concat(F.lit("Contact"), F.col("o_orderkey").cast("string")).alias("spremrg_last_name"),
+        F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("spremrg_street_line1"),
+        F.col("line2").alias("spremrg_street_line2"), F.col("line3").alias("spremrg_street_line3"),
+        F.col("o_orderpriority").alias("spremrg_city"), F.col("o_orderstatus").alias("spremrg_stat_code"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("spremrg_zip"),
+        F.col("area").alias("spremrg_phone_area"), F.col("number").alias("spremrg_phone_number"),
+        F.col("o_orderstatus").alias("spremrg_relt_code"), F.col("o_orderdate").alias("spremrg_activity_date"))
+
+
+def q_contact_best(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import people
+    td = Testdata(spark, sf)
+    relt = td.orders.filter(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderstatus").alias("stvrelt_code"),
+        F.concat(F.lit("Relation "), F.col("o_orderstatus")).alias("stvrelt_desc")).distinct()
+    return people.emergency_contact(_emrg(td), relt)
