@@ -41,10 +41,11 @@ class RunContext:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; tests set one when unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+
+    Tests set one when it is unset; jobs never fall back to a machine-local folder.
+    """
+    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
     return d
@@ -52,10 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never localCheckpoint): survives executor loss."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(checkpoint_dir(spark))
+        sc.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

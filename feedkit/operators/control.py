@@ -101,7 +101,7 @@ class ControlTable:
 
     def commit(self, df: DataFrame, tag: str | None = None) -> str:
         """Write ``df`` as a new snapshot, then switch the pointer to it."""
-        tag = tag or f"v{dt.datetime.utcnow():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        tag = tag or f"v{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         df.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields]) \
             .write.mode("errorifexists").parquet(f"{self.root}/snapshots/{tag}")
         self.spark.createDataFrame([(tag,)], "v string").coalesce(1) \

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from feedkit.operators.latest import latest_per_key
 
@@ -30,15 +29,17 @@ def first_available(*cols: Column) -> Column:
 
 
 def season_winner(sources: Sequence[DataFrame], key: str, group: str, term: str,
-                  within: Sequence[Sequence[Column]], src_col: str = "src") -> DataFrame:
+                  within: Sequence[Sequence[Column]] | None = None, src_col: str = "src") -> DataFrame:
     """Top row per (key, group) in each source, then across sources by term desc, source asc.
 
-    ``within[i]`` orders rows inside source ``i``. All sources must share columns
-    (key, group, term and payload); the source index is added as ``src_col``.
+    ``within[i]`` orders rows inside source ``i``; with ``within=None`` the
+    sources are already one row per (key, group). All sources share columns;
+    the 1-based source index is added as ``src_col``.
     """
     tops = []
-    for i, (df, order) in enumerate(zip(sources, within), start=1):
-        tops.append(latest_per_key(df, [key, group], list(order)).withColumn(src_col, F.lit(i)))
+    for i, df in enumerate(sources, start=1):
+        top = df if within is None else latest_per_key(df, [key, group], list(within[i - 1]))
+        tops.append(top.withColumn(src_col, F.lit(i)))
     u = tops[0]
     for t in tops[1:]:
         u = u.unionByName(t)
@@ -88,8 +89,14 @@ def ordered_list(df: DataFrame, keys: Sequence[str], value: Column, order: Seque
 
 
 def with_rows(df: DataFrame, rows: Sequence[Sequence[object]], distinct: bool = True) -> DataFrame:
-    """Append fixed configuration rows (same column order as ``df``), UNION-distinct by default."""
+    """Append fixed configuration rows (same column order as ``df``), UNION-distinct by default.
+
+    Values are cast to the columns' types, so plain Python ints fit decimal keys.
+    """
     spark: SparkSession = df.sparkSession
-    extra = spark.createDataFrame([tuple(r) for r in rows], schema=StructType(df.schema.fields))
-    out = df.unionByName(extra)
+    fields = df.schema.fields
+    out = df
+    for r in rows:
+        one = spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields)])
+        out = out.unionByName(one)
     return out.distinct() if distinct else out

@@ -259,7 +259,7 @@ def _season_winners(td: Testdata) -> DataFrame:
     top_a = latest.latest_per_key(a, ["pidm", "suffix"],
                                   [F.desc("term"), F.asc("pdate"), F.asc("o_orderkey")]).select(*cols)
     top_b = latest.latest_per_key(b, ["pidm", "suffix"], [F.desc("term"), F.asc("camp")]).select(*cols)
-    return shape.season_winner([top_a, top_b], "pidm", "suffix", "term", [[F.lit(1)], [F.lit(1)]])
+    return shape.season_winner([top_a, top_b], "pidm", "suffix", "term")
 
 
 def q_season_winner(spark: SparkSession, sf: str) -> DataFrame:
