@@ -550,3 +550,43 @@ def q_contact_best(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderstatus").alias("stvrelt_code"),
         F.concat(F.lit("Relation "), F.col("o_orderstatus")).alias("stvrelt_desc")).distinct()
     return people.emergency_contact(_emrg(td), relt)
+
+
+# -- F1-F4: whole-feed twins --------------------------------------------------------------------
+
+def _feed_ctx():
+    from feedkit.context import RunContext
+    from feedkit.sources.testdata import NOW
+    return RunContext.at(AS_OF, NOW)
+
+
+def q_feed_groups(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import course_feeds
+    from feedkit.sources.testdata import course_sources
+    return course_feeds.group_feed(course_sources(Testdata(spark, sf)), _feed_ctx())
+
+
+def q_feed_sections(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import course_feeds
+    from feedkit.sources.testdata import course_sources
+    return course_feeds.section_feed(course_sources(Testdata(spark, sf)), _feed_ctx())
+
+
+# Injected member of the twin (configuration, synthetic values).
+TWIN_MEMBER = (7, "TESTMEMBER")
+
+
+def q_feed_members(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import course_feeds
+    from feedkit.sources.testdata import course_sources
+    inj = course_feeds.InjectedMember(*TWIN_MEMBER)
+    return course_feeds.section_member_feed(course_sources(Testdata(spark, sf)), _feed_ctx(), inj)
+
+
+TWIN_PERSON = [(-1, "T0000001", "GRAD2", "Test", "A", "Person", "ACTIVE", "test@example.org", "Testing", "")]
+
+
+def q_feed_persons(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import person_feed
+    from feedkit.sources.testdata import course_sources
+    return person_feed.person_feed(course_sources(Testdata(spark, sf)), _feed_ctx(), TWIN_PERSON)

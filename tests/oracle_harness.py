@@ -83,7 +83,8 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
     spark = (SparkSession.builder.master("local[8]").appName("oracle-check")
-             .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
