@@ -57,17 +57,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Checked size bound: reads at most ``max_rows + 1`` rows to decide."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast-hint ``df`` only when its row count is proven below ``max_rows``.
-
-    Beyond the bound the plain DataFrame is returned and Spark chooses a
-    shuffle join (AQE may still switch to broadcast at run time from real sizes).
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -48,12 +48,15 @@ def _sweep(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by:
     if bucket is not None:
         r = r.withColumn("__b", bucket(F.col("__k")))
         lft = lft.withColumn("__b", bucket(F.col("__k")))
-        # Last right row per (key, bucket): a partial+final aggregate. The struct
-        # max picks the greatest __eff (first struct field, unique per key).
+        # Last right row per (key, bucket): a struct max (first field __eff is
+        # unique per key) over the right side only. The left side contributes
+        # just its distinct (key, bucket) pairs, a partial+final hash aggregate.
         summary = r.groupBy(*byc, "__b").agg(F.max("__pay").alias("__pay"))
         wanted = lft.select(*byc, "__b").distinct()
         seq = (wanted.withColumn("__f", F.lit(0))
                .unionByName(summary.withColumn("__f", F.lit(1)), allowMissingColumns=True))
+        # Carry-in of a wanted bucket = last right row of all strictly earlier buckets
+        # (at equal bucket the wanted row sorts first, so its own bucket is excluded).
         wc = (Window.partitionBy(*byc).orderBy("__b", "__f")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         carry = (seq.withColumn("__c", F.last("__pay", ignorenulls=True).over(wc))

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.context import small
 from feedkit.operators.latest import latest_per_key
 
 
@@ -24,7 +23,7 @@ def rules_with_attributes(rules: DataFrame, attrs: DataFrame, rule_key: str, att
 
 def band_match(left: DataFrame, rules: DataFrame, by: Sequence[tuple[str, str]], value: str,
                lo: str, hi: str, prefer: Sequence[tuple[str, str]], out: Mapping[str, str],
-               max_rule_rows: int = 100_000) -> DataFrame:
+               ) -> DataFrame:
     """Attach the best rule whose band ``[lo, hi]`` contains ``value`` (left outer).
 
     ``by`` pairs left/rule equality keys; ``prefer`` lists ``(rule column,
@@ -32,7 +31,9 @@ def band_match(left: DataFrame, rules: DataFrame, by: Sequence[tuple[str, str]],
     output names. The match is computed once per *distinct* (by, value) of the
     left side and joined back on those columns, so no row id is needed, the rule
     join sees each value once, and a hot key costs nothing extra. A NULL value
-    never matches. The rule table is broadcast only below ``max_rule_rows``.
+    never matches. The rule side is joined on its equality keys with the band
+    as a residual; AQE broadcasts it at run time when its measured size is
+    under the broadcast threshold and keeps a shuffle join otherwise.
     """
     lkeys = [lk for lk, _ in by]
     dom = left.select(*lkeys, value).distinct().filter(F.col(value).isNotNull())
@@ -43,7 +44,7 @@ def band_match(left: DataFrame, rules: DataFrame, by: Sequence[tuple[str, str]],
     cond = F.col(value).between(F.col("__lo"), F.col("__hi"))
     for i, lk in enumerate(lkeys):
         cond = cond & (F.col(lk) == F.col(f"__rk{i}"))
-    cand = dom.join(small(rr, max_rule_rows), cond, "inner")
+    cand = dom.join(rr, cond, "inner")
     order = [F.col(f"__o_{c}").desc_nulls_last() if d.lower() == "desc"
              else F.col(f"__o_{c}").asc_nulls_first() for c, d in prefer]
     best = latest_per_key(cand, [*lkeys, value], order)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.context import RunContext, small
+from feedkit.context import RunContext
 from feedkit.functions.text import is_current
 from feedkit.operators.periods import collect_one, current_period, next_period
 from feedkit.operators.render import data_rows, render_quoted, with_header
@@ -59,7 +59,7 @@ def _sections(src: Sources, term: str | None) -> DataFrame:
     s = src["saturn_ssbsect"].filter(_code_eq("ssbsect_term_code", term))
     # Inner join to the term row(s); the result is made distinct, so a semi join
     # plus the code literal gives the same rows without fan-out.
-    return s.join(small(terms.distinct()), F.col("ssbsect_term_code") == F.col("stvterm_code"), "inner")
+    return s.join(F.broadcast(terms.distinct()), F.col("ssbsect_term_code") == F.col("stvterm_code"), "inner")
 
 
 def _dash(*cols: str):
@@ -116,8 +116,8 @@ def section_members(src: Sources, term: str | None, next_code: str | None,
         .select("sfrstcr_pidm", "sfrstcr_term_code", "sfrstcr_crn")
     j = sect.join(reg, (F.col("ssbsect_term_code") == F.col("sfrstcr_term_code"))
                   & (F.col("ssbsect_crn") == F.col("sfrstcr_crn")))
-    # The two term relations hold the row(s) of one code each: a checked broadcast.
-    j = j.join(small(a), F.col("ssbsect_term_code") == F.col("a_code")).crossJoin(small(z))
+    # The two term relations hold the row(s) of one period code each (calendar-sized).
+    j = j.join(F.broadcast(a), F.col("ssbsect_term_code") == F.col("a_code")).crossJoin(F.broadcast(z))
     section = F.concat(F.coalesce(F.col("ssbsect_crn"), F.lit("")), F.lit("."), F.coalesce(F.col("a_code"), F.lit("")))
     start = F.date_format("a_start", "MM/dd/yyyy")
     end = F.date_format(F.date_add("z_start", -1), "MM/dd/yyyy")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.context import RunContext, small
+from feedkit.context import RunContext
 from feedkit.functions.text import display_name, is_current, season_suffix
 from feedkit.operators.asof import asof_cumulative, asof_join
 from feedkit.operators.changes import changed_since, exclude_same_year, not_sent
@@ -131,7 +131,7 @@ def _term_years(src: Sources) -> DataFrame:
 def _deposit_years(src: Sources) -> DataFrame:
     """(person, year) of every housing deposit, for the same-year exclusions."""
     d = src["taismgr_tbrdepo"].filter(F.col("tbrdepo_detail_code_deposit").isin(list(HOUSING_DEPOSITS)))
-    return (d.join(small(_term_years(src)), F.col("tbrdepo_term_code") == F.col("ty_code"))
+    return (d.join(F.broadcast(_term_years(src)), F.col("tbrdepo_term_code") == F.col("ty_code"))
             .select(F.col("tbrdepo_pidm").alias("x_pidm"), F.col("ty_year").alias("x_year")).distinct())
 
 
@@ -150,7 +150,7 @@ def cohort_new_deposits(src: Sources, control: DataFrame, term_in: str | None) -
     g = at_max(_student_records(src), ["g_pidm"], "g_eff")
     base = d.join(g, F.col("pidm") == F.col("g_pidm"))
     yrs = _term_years(src).groupBy("ty_code").agg(F.min("ty_year").alias("d_year"))
-    base = base.join(small(yrs), F.col("dterm") == F.col("ty_code"), "left")
+    base = base.join(F.broadcast(yrs), F.col("dterm") == F.col("ty_code"), "left")
     ctl = _keyed_control(control).filter(F.col("wsrsrez_status_ind") == "A")
     base = not_sent(base, ctl, ("pidm", "c_key"), cond=F.col("wsrsrez_last_acyr") >= F.col("d_year"))
     return base.select(F.lit(1).alias("grp_num"), "pidm", F.col("dterm").alias("pulled_term"),
@@ -210,13 +210,13 @@ def cohort_campus(src: Sources, control: DataFrame, term_in: str | None) -> Data
     dep = src["taismgr_tbrdepo"].filter(F.col("tbrdepo_detail_code_deposit").isin(list(CAMPUS_DEPOSITS))
                                         & _ge("tbrdepo_term_code", term_in))
     d = dep.groupBy(F.col("tbrdepo_pidm").alias("pidm")).agg(F.max("tbrdepo_term_code").alias("dterm"))
-    d = d.join(small(_term_years(src)), F.col("dterm") == F.col("ty_code")).drop("ty_code")
+    d = d.join(F.broadcast(_term_years(src)), F.col("dterm") == F.col("ty_code")).drop("ty_code")
     recs = _student_records(src).filter(F.col("g_camp") == ALT_CAMPUS)
     g = asof_join(d, recs, ["pidm"], ["g_pidm"], "dterm", "g_eff",
                   payload=["levl", "styp", "majr"], ties="all", how="inner")
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
     years = src["saturn_stvterm"].select(F.col("stvterm_acyr_code").alias("any_year")).distinct()
-    ctl = _keyed_control(control).join(small(years), F.col("wsrsrez_last_acyr") == F.col("any_year"), "left_semi")
+    ctl = _keyed_control(control).join(F.broadcast(years), F.col("wsrsrez_last_acyr") == F.col("any_year"), "left_semi")
     g = not_sent(g, ctl, ("pidm", "c_key"))
     return g.select(F.lit(3).alias("grp_num"), "pidm", F.col("dterm").alias("pulled_term"),
                     F.col("dterm").alias("asof_term"), "levl", "styp", "majr")
@@ -227,7 +227,7 @@ def cohort_registered(src: Sources, control: DataFrame, term_in: str | None) ->
     r = src["saturn_sfrstcr"].filter(F.col("sfrstcr_rsts_code").isin(list(REG_STATUSES))
                                      & _ge("sfrstcr_term_code", term_in))
     r = r.select(F.col("sfrstcr_pidm").alias("pidm"), F.col("sfrstcr_term_code").alias("rterm")).distinct()
-    r = r.join(small(_term_years(src)), F.col("rterm") == F.col("ty_code")).drop("ty_code")
+    r = r.join(F.broadcast(_term_years(src)), F.col("rterm") == F.col("ty_code")).drop("ty_code")
     g = asof_join(r, _student_records(src), ["pidm"], ["g_pidm"], "rterm", "g_eff",
                   payload=["levl", "styp", "majr"], ties="all", how="inner")
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
@@ -244,9 +244,9 @@ def classify(thin: DataFrame, src: Sources) -> DataFrame:
     lv = src["saturn_stvlevl"].select(F.col("stvlevl_code").alias("__lv"), F.col("stvlevl_desc").alias("lvl_desc"))
     st = src["saturn_stvstyp"].select(F.col("stvstyp_code").alias("styp_code"), F.col("stvstyp_desc").alias("styp_desc"))
     mj = src["saturn_stvmajr"].select(F.col("stvmajr_code").alias("__mj"), F.col("stvmajr_desc").alias("majr_desc"))
-    t = (thin.join(small(lv), F.col("levl") == F.col("__lv")).drop("__lv")
-         .join(small(st), F.col("styp") == F.col("styp_code"))
-         .join(small(mj), F.col("majr") == F.col("__mj")).drop("__mj"))
+    t = (thin.join(lv, F.col("levl") == F.col("__lv")).drop("__lv")
+         .join(st, F.col("styp") == F.col("styp_code"))
+         .join(mj, F.col("majr") == F.col("__mj")).drop("__mj"))
     # Class: computed once per distinct (person, level, as-of term).
     keys = t.select("pidm", "levl", "asof_term").distinct()
     facts = src["saturn_shrtgpa"].filter(F.col("shrtgpa_gpa_type_ind").isin(list(CUM_GPA_TYPES)))
@@ -260,7 +260,7 @@ def classify(thin: DataFrame, src: Sources) -> DataFrame:
                      "sgrclsr_to_hours", prefer=[("no_atts_flag", "desc"), ("sgrclsr_clas_code", "asc")],
                      out={"sgrclsr_clas_code": "clas_code"})
     cl = src["saturn_stvclas"].select(F.col("stvclas_code").alias("__cl"), F.col("stvclas_desc").alias("class_desc"))
-    cls = cls.join(small(cl), F.substring("clas_code", 1, 2) == F.col("__cl"), "left") \
+    cls = cls.join(cl, F.substring("clas_code", 1, 2) == F.col("__cl"), "left") \
         .select(F.col("pidm").alias("__k_pidm"), F.col("levl").alias("__k_levl"),
                 F.col("asof_term").alias("__k_term"), "class_desc")
     t = t.join(cls, (F.col("pidm") == F.col("__k_pidm")) & (F.col("levl") == F.col("__k_levl"))
@@ -321,11 +321,11 @@ def enrichment(src: Sources, ctx: RunContext, term_in: str | None) -> list[tuple
     out: list[tuple[DataFrame, str]] = []
     xw = src["scadsf_wxwalknation"]
     gbi = _latest_one(src["general_gobintl"], "gobintl_pidm", "gobintl_activity_date", ["gobintl_natn_code_legal"])
-    gbi = gbi.join(small(xw), F.col("gobintl_natn_code_legal") == F.col("scadem_banner_code"), "left").select(
+    gbi = gbi.join(xw, F.col("gobintl_natn_code_legal") == F.col("scadem_banner_code"), "left").select(
         "gobintl_pidm", F.col("sf_iso").alias("citizenship"))
     out.append((gbi, "gobintl_pidm"))
     gv = _latest_one(src["general_gorvisa"], "gorvisa_pidm", "gorvisa_activity_date", ["gorvisa_vtyp_code"])
-    gv = gv.join(small(src["saturn_stvvtyp"]), F.col("gorvisa_vtyp_code") == F.col("stvvtyp_code"), "left").select(
+    gv = gv.join(src["saturn_stvvtyp"], F.col("gorvisa_vtyp_code") == F.col("stvvtyp_code"), "left").select(
         "gorvisa_pidm", F.col("stvvtyp_desc").alias("visa"))
     out.append((gv, "gorvisa_pidm"))
     ap = src["saturn_saradap"]
@@ -349,7 +349,7 @@ def enrichment(src: Sources, ctx: RunContext, term_in: str | None) -> list[tuple
     sport = src["saturn_sgrsprt"].filter((F.col("sgrsprt_term_code") == (F.lit(term_in) if term_in else _null_str()))
                                          & (F.col("sgrsprt_spst_code") == SPORT_ACTIVE)
                                          & (F.col("sgrsprt_elig_code") == SPORT_ACTIVE))
-    sport = sport.join(small(src["saturn_stvactc"]), F.col("stvactc_code") == F.col("sgrsprt_actc_code"))
+    sport = sport.join(src["saturn_stvactc"], F.col("stvactc_code") == F.col("sgrsprt_actc_code"))
     out.append((_latest_one(sport, "sgrsprt_pidm", "sgrsprt_activity_date", ["stvactc_desc"]), "sgrsprt_pidm"))
     ferpa = src["grailssf_ferpa"].select(F.col("student_pidm").alias("fp_pidm")).distinct() \
         .withColumn("ferpa", F.lit("1"))
@@ -415,7 +415,7 @@ def overrides(src: Sources) -> DataFrame:
     o = src["scadsf_sf_opportunity"].filter((F.col("student_type__c") == OVERRIDE_STUDENT_TYPE)
                                             & (F.col("isdeleted") != "Y"))
     j = c.join(o, F.col("contact__c") == F.col("id")).join(
-        small(src["saturn_stvcamp"]), F.col("location__c") == F.col("stvcamp_desc"))
+        src["saturn_stvcamp"], F.col("location__c") == F.col("stvcamp_desc"))
     j = j.withColumn("ov_term", F.substring("entering_term__c", 1, 6))
     ok = src["saturn_saradap"].filter(F.col("saradap_styp_code") == OVERRIDE_APPL_TYPE).join(
         src["saturn_sarappd"].filter(F.col("sarappd_apdc_code").isin(list(OVERRIDE_DECISIONS))),

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.context import small
 from feedkit.functions.text import format_phone, join_lines, missing, open_on
 from feedkit.operators.latest import latest_per_key
 
@@ -51,13 +50,12 @@ def addresses(spraddr: DataFrame, crosswalk: DataFrame, as_of: Column,
               types: Sequence[str] = ADDRESS_TYPES, tie_break: Sequence[Column] | None = None) -> DataFrame:
     """Latest active address per (person, type), nation mapped to ISO ('US' default).
 
-    The crosswalk is joined without de-duplication, as in the reference; its
-    size is checked before it is broadcast.
+    The crosswalk is joined without de-duplication, as in the reference.
     """
     a = spraddr.filter(F.col("spraddr_atyp_code").isin(list(types)) & F.col("spraddr_status_ind").isNull()
                        & open_on("spraddr_to_date", as_of))
     xw = crosswalk.select(F.col("scadem_banner_code").alias("__xw_code"), F.col("sf_iso").alias("__xw_iso"))
-    a = a.join(small(xw), F.col("__xw_code") == F.col("spraddr_natn_code"), "left")
+    a = a.join(xw, F.col("__xw_code") == F.col("spraddr_natn_code"), "left")
     out = a.select(
         "spraddr_pidm", "spraddr_atyp_code", "spraddr_activity_date",
         F.col("spraddr_street_line1").alias("street_line1"),
@@ -76,7 +74,7 @@ def emergency_contact(spremrg: DataFrame, relt: DataFrame,
                       tie_break: Sequence[Column] | None = None) -> DataFrame:
     """Latest emergency contact per person with formatted name, lines, phone (25) and relation."""
     r = relt.select(F.col("stvrelt_code").alias("__r_code"), F.col("stvrelt_desc").alias("relt_desc"))
-    e = spremrg.join(small(r), F.col("__r_code") == F.col("spremrg_relt_code"), "left")
+    e = spremrg.join(r, F.col("__r_code") == F.col("spremrg_relt_code"), "left")
     out = e.select(
         "spremrg_pidm", "spremrg_activity_date",
         F.substring(F.concat_ws(" ", "spremrg_first_name", "spremrg_last_name"), 1, 80).alias("contact_name"),

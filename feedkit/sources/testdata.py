@@ -69,14 +69,21 @@ class Testdata:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        # One DataFrame per table and query: the file listing happens once and
+        # repeated uses share one relation, so Spark can reuse their exchanges.
         if name in TABLES:
-            return load(self.spark, self.sf_dir, name)
+            if name not in self._frames:
+                self._frames[name] = load(self.spark, self.sf_dir, name)
+            return self._frames[name]
         raise AttributeError(name)
 
     def periods(self) -> DataFrame:
-        return periods(self.orders)
+        if "__periods" not in self._frames:
+            self._frames["__periods"] = periods(self.orders)
+        return self._frames["__periods"]
 
     def order_lines(self) -> DataFrame:
         """Lineitems with their order's customer (the activity analog)."""
