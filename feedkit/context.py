@@ -43,11 +43,16 @@ class RunContext:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Tests set one when it is unset; jobs never fall back to a machine-local folder.
+    Only a local-mode session without one (tests, single-node checks) gets a
+    scratch folder; on a cluster an unset folder is an error, never a
+    machine-local fallback.
     """
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+        import tempfile
+        d = tempfile.mkdtemp(prefix="feedkit-checkpoints-")
     return d
 
 

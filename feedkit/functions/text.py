@@ -1,6 +1,8 @@
-"""Column-level helpers (all built from ``pyspark.sql.functions``; no UDFs).
+"""Column-level helpers, built from Spark SQL built-ins (no UDFs).
 
-Each returns a :class:`Column`, so it stays inside whole-stage codegen.
+Each helper takes column *names* and returns one :class:`Column` made from a
+single SQL expression (``F.expr``): the whole expression tree crosses to the
+JVM in one call, and it stays inside whole-stage codegen like any built-in.
 """
 
 from __future__ import annotations
@@ -8,74 +10,73 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
 
+def q(name: str) -> str:
+    """Quote a column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
 
-def _c(x: ColumnOrName) -> Column:
-    return F.col(x) if isinstance(x, str) else x
 
+def s(text: str) -> str:
+    """Quote text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def missing(x: ColumnOrName) -> Column:
-    """True when a text value is NULL or the string '0' (both mean 'no value')."""
-    return F.coalesce(_c(x).cast("string"), F.lit("0")) == "0"
+
+def missing_sql(x: str) -> str:
+    return f"(coalesce(cast({x} as string), '0') = '0')"
 
 
-def _phone_area(area: Column) -> Column:
-    s = area.cast("string")
-    return (F.when(missing(s), F.lit(""))
-            .when(F.length(s) == 3, F.concat(s, F.lit("-")))
-            .otherwise(s))
+def missing(name: str) -> Column:
+    """True when a text value is NULL or the string '0' (both mean 'no value')."""
+    return F.expr(missing_sql(q(name)))
 
 
-def _phone_number(number: Column) -> Column:
-    s = number.cast("string")
-    return (F.when(missing(s), F.lit(""))
-            .when(F.length(s) == 7,
-                  F.concat(F.substring(s, 1, 3), F.lit("-"), F.substring(s, 4, 4)))
-            .otherwise(s))
+def _phone_sql(area: str, number: str, max_len: int) -> str:
+    a, n = f"cast({q(area)} as string)", f"cast({q(number)} as string)"
+    area_part = (f"CASE WHEN {missing_sql(a)} THEN '' WHEN length({a}) = 3 THEN concat({a}, '-') ELSE {a} END")
+    number_part = (f"CASE WHEN {missing_sql(n)} THEN '' WHEN length({n}) = 7 "
+                   f"THEN concat(substring({n}, 1, 3), '-', substring({n}, 4, 4)) ELSE {n} END")
+    return f"substring(concat({area_part}, {number_part}), 1, {int(max_len)})"
 
 
-def format_phone(area: ColumnOrName, number: ColumnOrName, max_len: int) -> Column:
+def format_phone(area: str, number: str, max_len: int) -> Column:
     """``AAA-`` + ``NNN-NNNN``; other lengths pass through; NULL/'0' parts drop out.
 
     The joined text is cut to ``max_len`` characters.
     """
-    return F.substring(F.concat(_phone_area(_c(area)), _phone_number(_c(number))), 1, max_len)
+    return F.expr(_phone_sql(area, number, max_len))
 
 
-def join_lines(line2: ColumnOrName, line3: ColumnOrName, variant: str = "append",
-               max_len: int = 80) -> Column:
+def join_lines(line2: str, line3: str, variant: str = "append", max_len: int = 80) -> Column:
     """Join two address lines; the two variants differ on a missing first line.
 
     ``append``: ``line2`` (NULL→'') followed by ``' ' + line3`` when line 3 is
     present, so a missing line 2 with a line 3 gives ``' L3'``.
     ``guarded``: '' when line 2 is missing, else ``concat_ws(' ', line2, line3)``.
     """
-    l2, l3 = _c(line2), _c(line3)
+    l2, l3 = q(line2), q(line3)
     if variant == "append":
-        tail = F.when(missing(l3), F.lit("")).otherwise(F.concat(F.lit(" "), F.coalesce(l3, F.lit(""))))
-        joined = F.concat(F.coalesce(l2, F.lit("")), tail)
+        joined = (f"concat(coalesce({l2}, ''), CASE WHEN {missing_sql(l3)} THEN '' "
+                  f"ELSE concat(' ', coalesce({l3}, '')) END)")
     elif variant == "guarded":
-        joined = F.when(missing(l2), F.lit("")).otherwise(F.concat_ws(" ", l2, l3))
+        joined = f"CASE WHEN {missing_sql(l2)} THEN '' ELSE concat_ws(' ', {l2}, {l3}) END"
     else:
         raise ValueError(f"unknown variant {variant!r}")
-    return F.substring(joined, 1, max_len)
+    return F.expr(f"substring({joined}, 1, {int(max_len)})")
 
 
-def display_name(preferred: ColumnOrName, first: ColumnOrName,
-                 fallback: str | None = "NoName") -> Column:
+def display_name(preferred: str, first: str, fallback: str | None = "NoName") -> Column:
     """Preferred name, else first name, else ``fallback`` ('0' counts as missing).
 
     With ``fallback=None`` the first name is returned as is (even NULL or '0').
     """
-    p, f = _c(preferred), _c(first)
+    p, f = q(preferred), q(first)
     if fallback is None:
-        return F.when(missing(p), f).otherwise(p)
-    return F.when(missing(p), F.when(missing(f), F.lit(fallback)).otherwise(f)).otherwise(p)
+        return F.expr(f"CASE WHEN {missing_sql(p)} THEN {f} ELSE {p} END")
+    return F.expr(f"CASE WHEN {missing_sql(p)} THEN CASE WHEN {missing_sql(f)} THEN {s(fallback)} ELSE {f} END "
+                  f"ELSE {p} END")
 
 
-def patron_class(level: ColumnOrName, classification: ColumnOrName,
-                 graduate: str = "graduate", graduate_code: str = "GRAD2",
+def patron_class(level: str, classification: str, graduate: str = "graduate", graduate_code: str = "GRAD2",
                  renames: dict[str, str] | None = None) -> Column:
     """Upper-cased ``level-class`` code; graduates get a fixed code.
 
@@ -84,42 +85,41 @@ def patron_class(level: ColumnOrName, classification: ColumnOrName,
     """
     # Fixed values that must equal the reference's: the class rename table.
     renames = {"freshmen": "FRESHMAN"} if renames is None else renames
-    lv, cl = _c(level), F.lower(_c(classification))
-    mapped = cl
-    for src, dst in reversed(list(renames.items())):
-        mapped = F.when(cl == src, F.lit(dst)).otherwise(mapped)
-    other = F.concat(F.lower(F.coalesce(lv, F.lit(""))), F.lit("-"),
-                     F.coalesce(F.replace(mapped, F.lit(" "), F.lit("-")), F.lit("")))
-    return F.upper(F.when(F.lower(lv) == graduate, F.lit(graduate_code)).otherwise(other))
+    lv, cl = q(level), f"lower({q(classification)})"
+    mapped = "CASE " + " ".join(f"WHEN {cl} = {s(k)} THEN {s(v)}" for k, v in renames.items()) + f" ELSE {cl} END" \
+        if renames else cl
+    other = f"concat(lower(coalesce({lv}, '')), '-', coalesce(replace({mapped}, ' ', '-'), ''))"
+    return F.expr(f"upper(CASE WHEN lower({lv}) = {s(graduate)} THEN {s(graduate_code)} ELSE {other} END)")
 
 
-def hour_gate(now_utc: ColumnOrName, tz: str = "America/New_York", modulus: int = 2) -> Column:
+def hour_gate(now_utc: str | Column, tz: str = "America/New_York", modulus: int = 2) -> Column:
     """True when the local hour of the UTC instant in ``tz`` is a multiple of ``modulus``."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(now_utc).cast("timestamp_ntz"))
+    c = F.col(now_utc) if isinstance(now_utc, str) else now_utc
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), c.cast("timestamp_ntz"))
     return (F.hour(local) % modulus) == 0
 
 
-def is_current(change_ind: ColumnOrName) -> Column:
+def is_current(change_ind: str) -> Column:
     """Current identity/name row: change indicator is NULL."""
-    return _c(change_ind).isNull()
+    return F.col(change_ind).isNull()
 
 
-def open_on(end_date: ColumnOrName, as_of: Column) -> Column:
+def open_on(end_date: str, as_of: Column) -> Column:
     """Open-ended or not yet ended on ``as_of``."""
-    e = _c(end_date)
+    e = F.col(end_date)
     return e.isNull() | (as_of <= e)
 
 
-def still_active(to_date: ColumnOrName, as_of: Column) -> Column:
+def still_active(to_date: str, as_of: Column) -> Column:
     """Strictly after ``as_of`` (a NULL end is not active)."""
-    return _c(to_date) > as_of
+    return F.col(to_date) > as_of
 
 
-def season_suffix(term: ColumnOrName) -> Column:
+def season_suffix(term: str) -> Column:
     """Last two characters of a 6-character term code (10/20/30/40 seasons)."""
-    return F.substring(_c(term), -2, 2)
+    return F.expr(f"substring({q(term)}, -2, 2)")
 
 
-def quoted_field_safe(x: ColumnOrName) -> Column:
+def quoted_field_safe(name: str) -> Column:
     """Strip double quotes from a field before it goes into a quoted line."""
-    return F.replace(_c(x), F.lit('"'), F.lit(""))
+    return F.expr(f"replace({q(name)}, '\"', '')")

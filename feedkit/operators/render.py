@@ -8,25 +8,41 @@ with IS_HEADER 0. Column order inside a line is given by the caller.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from feedkit.functions.text import q
+from feedkit.functions.text import s as sq
+
 DATA_ORDER = 999
 TAIL = ("REPORT_ORDER", "IS_HEADER", "REPORT_TEXT")
 
 
+@dataclass(frozen=True)
+class Lit:
+    """A literal text field inside a rendered line."""
+
+    text: str
+
+
 def _c(x: str | Column) -> Column:
     return F.col(f"`{x}`") if isinstance(x, str) else x
 
 
-def render_delimited(cols: Sequence[str | Column], sep: str = "|") -> Column:
-    """Fields cast to string, NULL as '', joined by ``sep``."""
-    return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols])
+def _field(x: str | Lit) -> str:
+    return sq(x.text) if isinstance(x, Lit) else f"cast({q(x)} as string)"
+
+
+def render_delimited(cols: Sequence[str | Lit], sep: str = "|") -> Column:
+    """Fields cast to string, NULL as '', joined by ``sep`` (one SQL expression)."""
+    parts = ", ".join(f"coalesce({_field(c)}, '')" for c in cols)
+    return F.expr(f"concat_ws({sq(sep)}, {parts})")
 
 
-def render_quoted(cols: Sequence[str | Column], raw: Sequence[str] = ()) -> Column:
+def render_quoted(cols: Sequence[str | Lit], raw: Sequence[str] = ()) -> Column:
     """``"a","b",...`` with every ``""`` pair deleted afterwards.
 
     Fields are NULL→'' except the names in ``raw``, whose NULL makes the whole
@@ -34,14 +50,12 @@ def render_quoted(cols: Sequence[str | Column], raw: Sequence[str] = ()) -> Colu
     an empty field into nothing and removes a pair formed by a field that
     starts or ends with a double quote.
     """
-    parts: list[Column] = [F.lit('"')]
-    for i, c in enumerate(cols):
-        if i:
-            parts.append(F.lit('","'))
-        col = _c(c).cast("string")
-        parts.append(col if (isinstance(c, str) and c in raw) else F.coalesce(col, F.lit("")))
-    parts.append(F.lit('"'))
-    return F.replace(F.concat(*parts), F.lit('""'), F.lit(""))
+    parts = []
+    for c in cols:
+        f = _field(c)
+        parts.append(f if (isinstance(c, str) and c in raw) else f"coalesce({f}, '')")
+    body = ", '\",\"', ".join(parts)
+    return F.expr(f"replace(concat('\"', {body}, '\"'), '\"\"', '')")
 
 
 def data_rows(df: DataFrame, lead: Sequence[str], text: Column) -> DataFrame:

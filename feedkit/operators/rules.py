@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedkit.functions.text import q
+from feedkit.functions.text import s as sq
 from feedkit.operators.latest import latest_per_key
 
 
@@ -60,7 +62,8 @@ def code_flags(df: DataFrame, key: str, code_col: str, flags: Mapping[str, Seque
                where: Column | None = None, yes: str = "1", no: str = "0") -> DataFrame:
     """Per key, ``yes`` if any row's code is in each flag's set, else ``no`` (one pass)."""
     src = df if where is None else df.filter(where)
-    aggs = [F.max(F.when(F.col(code_col).isin(list(codes)), F.lit(yes)).otherwise(F.lit(no))).alias(name)
+    aggs = [F.expr(f"max(CASE WHEN {q(code_col)} IN ({', '.join(sq(c) for c in codes)}) THEN {sq(yes)} "
+                   f"ELSE {sq(no)} END)").alias(name)
             for name, codes in flags.items()]
     return src.groupBy(key).agg(*aggs)
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedkit.functions.text import q
+from feedkit.functions.text import s as sq
 from feedkit.operators.latest import latest_per_key
 
 
@@ -71,7 +73,7 @@ def pivot_first(df: DataFrame, key: str, on: str, values: Mapping[str, str],
     ``values`` maps pivot values to column prefixes, ``measures`` maps measure
     columns to suffixes; output columns are ``prefix + suffix``.
     """
-    aggs = [F.max(F.when(F.col(on) == v, F.col(m))).alias(f"{p}{s}")
+    aggs = [F.expr(f"max(CASE WHEN {q(on)} = {sq(v)} THEN {q(m)} END)").alias(f"{p}{s}")
             for v, p in values.items() for m, s in measures.items()]
     return df.groupBy(key).agg(*aggs)
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from feedkit.context import RunContext
 from feedkit.functions.text import display_name, is_current, season_suffix
+from feedkit.functions.text import s as sq
 from feedkit.operators.asof import asof_cumulative, asof_join
 from feedkit.operators.changes import changed_since, exclude_same_year, not_sent
 from feedkit.operators.control import control_key
@@ -106,8 +107,8 @@ def _rename(col: Column, mapping: dict[str, str]) -> Column:
     return out
 
 
-def _params(src: Sources, ctx: RunContext) -> tuple[str | None, str | None]:
-    p = collect_one(run_params(term_periods(src["saturn_stvterm"]), ctx.as_of_col(), floor=PERIOD_FLOOR))
+def _params(src: Sources, ctx: RunContext, floor: str = PERIOD_FLOOR) -> tuple[str | None, str | None]:
+    p = collect_one(run_params(term_periods(src["saturn_stvterm"]), ctx.as_of_col(), floor=floor))
     return p["period_code"], p["period_year"]
 
 
@@ -429,9 +430,9 @@ def overrides(src: Sources) -> DataFrame:
 
 # -- the feed ---------------------------------------------------------------------------------
 
-def query_rows(src: Sources, control: DataFrame, ctx: RunContext) -> DataFrame:
+def query_rows(src: Sources, control: DataFrame, ctx: RunContext, floor: str = PERIOD_FLOOR) -> DataFrame:
     """One row per output line with the 72 fields plus the four control columns."""
-    term_in, year = _params(src, ctx)
+    term_in, year = _params(src, ctx, floor)
     e = base_students(src, control, term_in, year)
     for df, key in enrichment(src, ctx, term_in):
         e = e.join(df, F.col("pidm") == F.col(key), "left").drop(key)
@@ -443,35 +444,39 @@ def query_rows(src: Sources, control: DataFrame, ctx: RunContext) -> DataFrame:
     e = e.join(tp, F.col("pidm") == F.col("__tp_pidm"), "left").drop("__tp_pidm")
     e = floor_period(e, "pulled_term", F.lit(term_in) if term_in else _null_str(),
                      term_periods(src["saturn_stvterm"]), "tmpPulledTerm", "tmpTermACYR")
-    z = F.lit("0")
+    fields = ", ".join(f"{sq(n)}, {v}" for n, v in zip(FIELDS, _values_sql()))
+    return (e.select(F.col("pidm").alias("tmpPidm"), "tmpTermACYR", "tmpPulledTerm", "grp_num",
+                     F.expr(f"named_struct({fields})").alias("__f"))
+            .select("tmpPidm", "tmpTermACYR", "tmpPulledTerm", "grp_num", "__f.*"))
+
+
+def _values_sql() -> list[str]:
+    """SQL of the 72 output fields over the enriched row, in FIELDS order."""
+    null, zero = "CAST(NULL AS STRING)", "'0'"
+    country = sq(DEFAULT_COUNTRY)
+    seasons = [f"{p}{m}" for p in SEASONS.values() for m in ("term", "camp", "pdate")]
     values = [
-        F.col("entry_id1"), _null_str(), F.col("name_title"), F.col("name_last"), F.col("name_first"), _null_str(),
-        F.col("name_preferred"), F.col("gender"), F.col("dob"), z,
-        F.coalesce(F.col("citizenship"), F.lit(DEFAULT_COUNTRY)), _null_str(),
-        F.col("privacy"), _null_str(), F.col("goremal_email_address"),
-        F.col("ma_street_line1"), F.col("ma_street_line2"), F.col("ma_city"), F.col("ma_stat_code"),
-        F.col("ma_zip"), F.col("ma_iso"), F.col("ma_phone"), F.col("mob_phone"), _null_str(),
-        F.col("pr_street_line1"), F.col("pr_street_line2"), F.col("pr_city"), F.col("pr_stat_code"),
-        F.col("pr_zip"), F.col("pr_iso"), F.col("pr_phone"), _null_str(),
-        F.col("emgr_contact_name"), F.col("emgr_street_line1"), F.col("emgr_street_line2"), F.col("emgr_city"),
-        F.col("emgr_stat_code"), F.col("emgr_zip"), F.col("emgr_phone"), F.col("emgr_relt_desc"),
-        F.col("class_desc"), F.col("lvl_desc"), F.col("enrollment_status"), F.col("enroll_term"),
-        F.coalesce("academic_hold", z), F.coalesce("incident_hold", z), F.coalesce("account_hold", z),
-        F.when(F.col("stvactc_desc").isNotNull(), F.lit("1")).otherwise(z), F.col("stvactc_desc"),
-        F.col("majr_desc"), z, F.coalesce(F.col("tmpCredit"), F.lit(0)), z, F.coalesce(F.col("tmpGPA"), F.lit(0)),
-        _null_str(), _null_str(), F.col("adviser"),
-        F.coalesce(F.col("visa"), F.lit(DEFAULT_COUNTRY)), F.col("housing_exempt"),
-        F.coalesce("ferpa", z),
-        *[F.col(f"{p}{m}") for p in SEASONS.values() for m in ("term", "camp", "pdate")],
+        "entry_id1", null, "name_title", "name_last", "name_first", null, "name_preferred", "gender", "dob", zero,
+        f"coalesce(citizenship, {country})", null, "privacy", null, "goremal_email_address",
+        "ma_street_line1", "ma_street_line2", "ma_city", "ma_stat_code", "ma_zip", "ma_iso", "ma_phone", "mob_phone",
+        null, "pr_street_line1", "pr_street_line2", "pr_city", "pr_stat_code", "pr_zip", "pr_iso", "pr_phone", null,
+        "emgr_contact_name", "emgr_street_line1", "emgr_street_line2", "emgr_city", "emgr_stat_code", "emgr_zip",
+        "emgr_phone", "emgr_relt_desc", "class_desc", "lvl_desc", "enrollment_status", "enroll_term",
+        f"coalesce(academic_hold, {zero})", f"coalesce(incident_hold, {zero})", f"coalesce(account_hold, {zero})",
+        f"CASE WHEN stvactc_desc IS NOT NULL THEN '1' ELSE {zero} END", "stvactc_desc", "majr_desc", zero,
+        "coalesce(tmpCredit, 0)", zero, "coalesce(tmpGPA, 0)", null, null, "adviser", f"coalesce(visa, {country})",
+        "housing_exempt", f"coalesce(ferpa, {zero})", *seasons,
     ]
     assert len(values) == len(FIELDS)
-    return e.select(F.col("pidm").alias("tmpPidm"), "tmpTermACYR", "tmpPulledTerm", "grp_num",
-                    *[v.alias(n) for v, n in zip(values, FIELDS)])
+    return values
+
 
+def housing_feed(src: Sources, control: DataFrame, ctx: RunContext, floor: str = PERIOD_FLOOR) -> DataFrame:
+    """data lines (pipe-delimited 72 fields) UNION ALL the header line.
 
-def housing_feed(src: Sources, control: DataFrame, ctx: RunContext) -> DataFrame:
-    """data lines (pipe-delimited 72 fields) UNION ALL the header line."""
-    q = query_rows(src, control, ctx)
+    ``floor``: periods at or below it are never current (the reference's value by default).
+    """
+    q = query_rows(src, control, ctx, floor)
     data = q.select("tmpPidm", "tmpTermACYR", "tmpPulledTerm", "grp_num", F.lit(DATA_ORDER).alias("REPORT_ORDER"),
                     F.lit(0).alias("IS_HEADER"), render_delimited(FIELDS, "|").alias("REPORT_TEXT"))
     hdr = header_frame(q.sparkSession, ["|".join(FIELDS)])

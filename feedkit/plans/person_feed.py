@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from feedkit.context import RunContext
 from feedkit.functions.text import patron_class, quoted_field_safe
 from feedkit.operators.latest import preferred
-from feedkit.operators.render import data_rows, render_quoted, with_header
+from feedkit.operators.render import Lit, data_rows, render_quoted, with_header
 from feedkit.operators.shape import ordered_list, with_rows
 from feedkit.plans.course_feeds import _code_eq, started_term
 from feedkit.sources.catalog import Sources
@@ -81,6 +81,6 @@ def person_feed(src: Sources, ctx: RunContext, extra_rows: Sequence[Sequence[obj
     rows = person_rows(src, started_term(src, ctx))
     if extra_rows:
         rows = with_rows(rows, extra_rows, distinct=True)
-    text = render_quoted(["ID", "PATRON", "FIRST_NAME", "MIDDLE_INITIAL", "LAST_NAME", F.lit(STATUS),
+    text = render_quoted(["ID", "PATRON", "FIRST_NAME", "MIDDLE_INITIAL", "LAST_NAME", Lit(STATUS),
                           "SCAD_EMAIL", "MAJR_DESC1", "COURSES"], raw=["ID", "SCAD_EMAIL"])
     return with_header(data_rows(rows, LEAD, text), PERSON_HEADER, distinct=True)
