@@ -421,8 +421,10 @@ def q_with_rows(spark: SparkSession, sf: str) -> DataFrame:
     return shape.with_rows(c, TEST_ROWS)
 
 
-def _control_target(td: Testdata) -> DataFrame:
-    o = td.orders.filter(F.col("o_orderstatus") == "F").withColumn("t", term_of("o_orderdate"))
+def _control_target(td: Testdata, orders: DataFrame | None = None) -> DataFrame:
+    """Control analog: people with filled orders were sent (at their last filled order)."""
+    o = (td.orders if orders is None else orders).filter(F.col("o_orderstatus") == "F") \
+        .withColumn("t", term_of("o_orderdate"))
     return o.groupBy("o_custkey").agg(
         F.min("t").alias("wsrsrez_init_term"), F.max(F.year("o_orderdate").cast("string")).alias("wsrsrez_last_acyr"),
         F.max("t").alias("wsrsrez_last_term"), F.max("o_orderdate").alias("wsrsrez_last_sent"),
@@ -627,12 +629,12 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
         F.when(F.max("o_orderstatus") == "P", F.lit("F")).when(F.max("o_orderstatus") == "O", F.lit("C"))
         .otherwise(F.lit("P")).alias("sgbstdn_styp_code"),
         F.min("o_orderpriority").alias("sgbstdn_majr_code_1"),
-        F.when(F.count(F.lit(1)) >= 3, F.lit("L")).when(F.max("o_orderstatus") == "O", F.lit("O"))
+        F.when(F.count(F.lit(1)) >= 2, F.lit("L")).when(F.max("o_orderstatus") == "O", F.lit("O"))
         .when(F.min("o_orderstatus") == "F", F.lit("R")).otherwise(F.lit("M")).alias("sgbstdn_camp_code"),
         F.max("o_orderdate").alias("sgbstdn_activity_date"))
-    dep_code = (F.when(F.col("l_returnflag") == "R", F.lit("DHOU"))
-                .when(F.col("l_returnflag") == "A",
-                      F.when(F.col("l_linestatus") == "O", F.lit("DLAC")).otherwise(F.lit("DRES")))
+    dep_code = (F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45), F.lit("DHOU"))
+                .when((F.col("l_returnflag") == "N") & (F.col("l_quantity") >= 48), F.lit("DRES"))
+                .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), F.lit("DLAC"))
                 .otherwise(F.lit("XXXX")))
     tbrdepo = lo.select(F.col("custkey").alias("tbrdepo_pidm"), term_of("l_shipdate").alias("tbrdepo_term_code"),
                         dep_code.alias("tbrdepo_detail_code_deposit"), F.col("l_shipdate").alias("tbrdepo_entry_date"),
@@ -754,4 +756,5 @@ def q_feed_housing(spark: SparkSession, sf: str) -> DataFrame:
     from feedkit.plans import housing
     td = Testdata(spark, sf)
     src = {k: cut_lineage(v) for k, v in _housing_sources(td).items()}
-    return housing.housing_feed(src, cut_lineage(_control_target(td)), _feed_ctx(), floor=PERIOD_FLOOR)
+    sent = _control_target(td, td.orders.filter(F.col("o_orderpriority") == "1-URGENT"))
+    return housing.housing_feed(src, cut_lineage(sent), _feed_ctx(), floor=PERIOD_FLOOR)
