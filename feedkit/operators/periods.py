@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PERIOD_COLS = ("code", "year", "start_date", "end_date")
@@ -57,15 +57,18 @@ def next_period(periods: DataFrame, as_of: Any, suffix: str | None = "0",
 
 
 def run_params(periods: DataFrame, as_of: Any, floor: str | None = None) -> DataFrame:
-    """One row: current period (earliest open), its year and the next year code."""
+    """One row: current period (earliest open), its year and the next year code.
+
+    The next year is ``lead(year)`` over the distinct calendar years; both lookups
+    are equi-joins to calendar-sized tables (broadcast), so no nested loop is needed.
+    """
     cur = current_period(periods, as_of, "earliest_open", floor=floor, out="period_code")
-    years = periods.select("code", "year")
-    with_year = (cur.join(F.broadcast(years), F.col("period_code") == F.col("code"), "left")
-                 .groupBy("period_code").agg(F.min("year").alias("period_year")))
-    nxt = (with_year.join(F.broadcast(periods.select(F.col("year").alias("y"))),
-                          F.col("y") > F.col("period_year"), "left")
-           .groupBy("period_code", "period_year").agg(F.min("y").alias("next_year")))
-    return nxt
+    years = year_of(periods).select(F.col("code").alias("__code"), F.col("year").alias("period_year"))
+    nxt = (periods.select(F.col("year").alias("__year")).distinct()
+           .withColumn("next_year", F.lead("__year").over(Window.orderBy("__year"))))
+    out = cur.join(F.broadcast(years), F.col("period_code") == F.col("__code"), "left")
+    out = out.join(F.broadcast(nxt), F.col("period_year") == F.col("__year"), "left")
+    return out.select("period_code", "period_year", "next_year")
 
 
 def collect_one(df: DataFrame) -> dict[str, Any]:

@@ -49,9 +49,13 @@ def next_term(src: Sources, ctx: RunContext) -> str | None:
     return collect_one(next_period(p, ctx.as_of_col(), suffix="0"))["period_code"]
 
 
+def _code_lit(code: str | None):
+    return F.lit(code) if code is not None else F.lit(None).cast("string")
+
+
 def _code_eq(col: str, code: str | None):
     # A missing period compares with NULL, which keeps no rows (as `= NULL` does).
-    return F.col(col) == (F.lit(code) if code is not None else F.lit(None).cast("string"))
+    return F.col(col) == _code_lit(code)
 
 
 def _sections(src: Sources, term: str | None) -> DataFrame:
@@ -101,24 +105,38 @@ class InjectedMember:
     member_id: str
 
 
+def term_starts(src: Sources, code: str | None) -> list:
+    """Start date(s) of one period code: a parameter fetched from the calendar table.
+
+    A code table has one row per code; duplicates are kept distinct so a
+    duplicated code fans out exactly as a join to it would.
+    """
+    if code is None:
+        return []
+    rows = (src["saturn_stvterm"].filter(_code_eq("stvterm_code", code))
+            .select("stvterm_start_date").distinct().limit(1000).collect())
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
+def _dates(values: list):
+    return F.array(*[F.lit(v) for v in values]).cast("array<date>") if values else F.array().cast("array<date>")
+
+
 def section_members(src: Sources, term: str | None, next_code: str | None,
                     injected: InjectedMember | None = None) -> DataFrame:
     """Distinct (section, member, start, end) of the current term.
 
     End date = next term's start - 1 day; with no next term there are no rows.
+    Both start dates are period parameters, attached as literals (no join).
     """
-    terms = src["saturn_stvterm"]
-    a = terms.filter(_code_eq("stvterm_code", term)).select(F.col("stvterm_code").alias("a_code"),
-                                                            F.col("stvterm_start_date").alias("a_start"))
-    z = terms.filter(_code_eq("stvterm_code", next_code)).select(F.col("stvterm_start_date").alias("z_start"))
     sect = src["saturn_ssbsect"].filter(_code_eq("ssbsect_term_code", term)).select("ssbsect_term_code", "ssbsect_crn")
     reg = src["saturn_sfrstcr"].filter(_code_eq("sfrstcr_term_code", term)) \
         .select("sfrstcr_pidm", "sfrstcr_term_code", "sfrstcr_crn")
     j = sect.join(reg, (F.col("ssbsect_term_code") == F.col("sfrstcr_term_code"))
                   & (F.col("ssbsect_crn") == F.col("sfrstcr_crn")))
-    # The two term relations hold the row(s) of one period code each (calendar-sized).
-    j = j.join(F.broadcast(a), F.col("ssbsect_term_code") == F.col("a_code")).crossJoin(F.broadcast(z))
-    section = F.concat(F.coalesce(F.col("ssbsect_crn"), F.lit("")), F.lit("."), F.coalesce(F.col("a_code"), F.lit("")))
+    j = (j.withColumn("a_start", F.explode(_dates(term_starts(src, term))))
+         .withColumn("z_start", F.explode(_dates(term_starts(src, next_code)))))
+    section = F.concat(F.coalesce(F.col("ssbsect_crn"), F.lit("")), F.lit("."), F.coalesce(F.col("ssbsect_term_code"), F.lit("")))
     start = F.date_format("a_start", "MM/dd/yyyy")
     end = F.date_format(F.date_add("z_start", -1), "MM/dd/yyyy")
     people = src["saturn_spriden"].filter(is_current("spriden_change_ind")).select("spriden_pidm", "spriden_id")
