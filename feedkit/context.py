@@ -62,3 +62,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like a reliable checkpoint but computes the input only once,
+    and later reads get column pruning and filter pushdown from the file scan.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{uuid.uuid4().hex}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
