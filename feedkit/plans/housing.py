@@ -112,6 +112,11 @@ def _params(src: Sources, ctx: RunContext, floor: str = PERIOD_FLOOR) -> tuple[s
     return p["period_code"], p["period_year"]
 
 
+def term_year_bucket(c: Column) -> Column:
+    """Monotone bucket of a term code (its year prefix) for skew-safe as-of sweeps."""
+    return F.substring(c, 1, 4)
+
+
 def _ge(col: str, term: str | None) -> Column:
     return F.col(col) >= (F.lit(term) if term is not None else _null_str())
 
@@ -214,7 +219,7 @@ def cohort_campus(src: Sources, control: DataFrame, term_in: str | None) -> Data
     d = d.join(F.broadcast(_term_years(src)), F.col("dterm") == F.col("ty_code")).drop("ty_code")
     recs = _student_records(src).filter(F.col("g_camp") == ALT_CAMPUS)
     g = asof_join(d, recs, ["pidm"], ["g_pidm"], "dterm", "g_eff",
-                  payload=["levl", "styp", "majr"], ties="all", how="inner")
+                  payload=["levl", "styp", "majr"], ties="all", how="inner", bucket=term_year_bucket)
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
     years = src["saturn_stvterm"].select(F.col("stvterm_acyr_code").alias("any_year")).distinct()
     ctl = _keyed_control(control).join(F.broadcast(years), F.col("wsrsrez_last_acyr") == F.col("any_year"), "left_semi")
@@ -230,7 +235,7 @@ def cohort_registered(src: Sources, control: DataFrame, term_in: str | None) ->
     r = r.select(F.col("sfrstcr_pidm").alias("pidm"), F.col("sfrstcr_term_code").alias("rterm")).distinct()
     r = r.join(F.broadcast(_term_years(src)), F.col("rterm") == F.col("ty_code")).drop("ty_code")
     g = asof_join(r, _student_records(src), ["pidm"], ["g_pidm"], "rterm", "g_eff",
-                  payload=["levl", "styp", "majr"], ties="all", how="inner")
+                  payload=["levl", "styp", "majr"], ties="all", how="inner", bucket=term_year_bucket)
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
     g = not_sent(g, _keyed_control(control), ("pidm", "c_key"),
                  cond=F.col("wsrsrez_last_acyr") >= F.col("ty_year"))
@@ -252,7 +257,7 @@ def classify(thin: DataFrame, src: Sources) -> DataFrame:
     keys = t.select("pidm", "levl", "asof_term").distinct()
     facts = src["saturn_shrtgpa"].filter(F.col("shrtgpa_gpa_type_ind").isin(list(CUM_GPA_TYPES)))
     cum = asof_cumulative(keys, facts, ["pidm", "levl"], ["shrtgpa_pidm", "shrtgpa_levl_code"], "asof_term",
-                          "shrtgpa_term_code", "shrtgpa_hours_earned", "cum_hrs", default=0)
+                          "shrtgpa_term_code", "shrtgpa_hours_earned", "cum_hrs", default=0, bucket=term_year_bucket)
     rules = rules_with_attributes(src["saturn_sgrclsr"], src["saturn_sgrcatt"], "sgrclsr_seq_no", "sgrcatt_seq_no",
                                   "sgrcatt_atts_code",
                                   ["sgrclsr_seq_no", "sgrclsr_clas_code", "sgrclsr_levl_code", "sgrclsr_from_hours",
@@ -392,7 +397,7 @@ def season_terms(src: Sources) -> DataFrame:
         F.date_format("tbrdepo_entry_date", PDATE_FORMAT).alias("pdate"))
     keys = dep.select("pidm", "term").distinct()
     camp = asof_join(keys, recs, ["pidm"], ["g_pidm"], "term", "g_eff", payload=["g_camp"],
-                     tie_break=[F.col("g_camp").asc_nulls_first()])
+                     tie_break=[F.col("g_camp").asc_nulls_first()], bucket=term_year_bucket)
     camp = camp.select(F.col("pidm").alias("__c_pidm"), F.col("term").alias("__c_term"),
                        _rename(F.col("g_camp"), CAMP_RENAMES).alias("camp"))
     a = dep.join(camp, (F.col("pidm") == F.col("__c_pidm")) & (F.col("term") == F.col("__c_term")), "left") \
