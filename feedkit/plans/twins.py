@@ -596,155 +596,155 @@ def q_feed_persons(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- F5: housing feed twin ----------------------------------------------------------------------
 
-def _day_ts(base: str, days) -> "Column":
-    return F.date_add(F.lit(base).cast("date"), days).cast("timestamp_ntz")
-
-
 def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
-    """Testdata mapped onto the housing feed's 34 source tables (all derived from the tables)."""
-    from feedkit.sources.testdata import course_sources
-    c, o, n, r = td.customer, td.orders, td.nation, td.region
+    """Testdata mapped onto the housing feed's 34 source tables (all derived from the tables).
+
+    Each table is one SQL query over the testdata frames; the phone, address and
+    contact mappings are shared with their own twins.
+    """
+    from feedkit.sources.testdata import course_sources, person_id_sql, term_sql
+    sql = td.spark.sql
+    f = {"c": td.customer, "o": td.orders, "n": td.nation, "r": td.region, "lines": td.order_lines()}
     base = course_sources(td)
-    lo = td.order_lines()
-    cts = _day_ts("1996-01-01", F.floor("c_acctbal").cast("int"))
-    first = (F.when(F.col("c_nationkey") < 3, F.lit(None)).when(F.col("c_nationkey") < 5, F.lit("0"))
-             .otherwise(F.concat(F.lit("F"), F.col("c_nationkey").cast("string"))))
-    spriden = c.select(F.col("c_custkey").alias("spriden_pidm"),
-                       F.concat(F.lit("C"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("spriden_id"),
-                       F.col("c_name").alias("spriden_last_name"), first.alias("spriden_first_name"),
-                       F.lit(None).cast("string").alias("spriden_change_ind"), cts.alias("spriden_activity_date"))
-    spriden = spriden.unionByName(base["saturn_spriden"].filter(F.col("spriden_change_ind").isNotNull())
-                                  .withColumn("spriden_activity_date", F.lit(None).cast("timestamp_ntz")))
-    birth = F.date_format(F.date_add(F.lit("1980-01-01").cast("date"), F.col("c_custkey").cast("int")), "dd-MMM-yyyy")
-    spbpers = c.select(
-        F.col("c_custkey").alias("spbpers_pidm"),
-        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Dr")).alias("spbpers_name_prefix"),
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None)).when(F.col("c_mktsegment") == "FURNITURE", F.lit("0"))
-        .otherwise(F.concat(F.lit("P"), F.col("c_nationkey").cast("string"))).alias("spbpers_pref_first_name"),
-        F.when(F.col("c_nationkey") < 12, F.lit("F")).otherwise(F.lit("M")).alias("spbpers_sex"),
-        F.when(F.col("c_nationkey") == 7, F.lit("bad")).otherwise(birth).alias("spbpers_birth_date"),
-        F.when(F.col("c_acctbal") > 9000, F.lit("Y")).alias("spbpers_confid_ind"), cts.alias("spbpers_activity_date"))
-    g = o.groupBy(F.col("o_custkey").alias("sgbstdn_pidm"), term_of("o_orderdate").alias("sgbstdn_term_code_eff")).agg(
-        F.when(F.min("o_orderpriority") == "1-URGENT", F.lit("GR")).otherwise(F.lit("UG")).alias("sgbstdn_levl_code"),
-        F.when(F.max("o_orderstatus") == "P", F.lit("F")).when(F.max("o_orderstatus") == "O", F.lit("C"))
-        .otherwise(F.lit("P")).alias("sgbstdn_styp_code"),
-        F.min("o_orderpriority").alias("sgbstdn_majr_code_1"),
-        F.when(F.count(F.lit(1)) >= 2, F.lit("L")).when(F.max("o_orderstatus") == "O", F.lit("O"))
-        .when(F.min("o_orderstatus") == "F", F.lit("R")).otherwise(F.lit("M")).alias("sgbstdn_camp_code"),
-        F.max("o_orderdate").alias("sgbstdn_activity_date"))
-    dep_code = (F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45), F.lit("DHOU"))
-                .when((F.col("l_returnflag") == "N") & (F.col("l_quantity") >= 48), F.lit("DRES"))
-                .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), F.lit("DLAC"))
-                .otherwise(F.lit("XXXX")))
-    tbrdepo = lo.select(F.col("custkey").alias("tbrdepo_pidm"), term_of("l_shipdate").alias("tbrdepo_term_code"),
-                        dep_code.alias("tbrdepo_detail_code_deposit"), F.col("l_shipdate").alias("tbrdepo_entry_date"),
-                        F.col("l_shipdate").alias("tbrdepo_activity_date"))
-    sfrstcr = o.select(F.col("o_custkey").alias("sfrstcr_pidm"), term_of("o_orderdate").alias("sfrstcr_term_code"),
-                       F.col("o_orderkey").cast("string").alias("sfrstcr_crn"),
-                       F.when(F.col("o_orderstatus") == "O", F.lit("RE")).when(F.col("o_orderstatus") == "P", F.lit("AU"))
-                       .otherwise(F.lit("DD")).alias("sfrstcr_rsts_code"))
-    ug = c.select(F.col("c_custkey").alias("shrlgpa_pidm"), F.lit("UG").alias("shrlgpa_levl_code"),
-                  F.lit("O").alias("shrlgpa_gpa_type_ind"), (F.col("c_nationkey").cast("double") / 8).alias("shrlgpa_gpa"),
-                  F.when(F.col("c_mktsegment") == "FURNITURE", F.lit(None))
-                  .otherwise(F.col("c_custkey").cast("double") / 4).alias("shrlgpa_hours_earned"))
-    gr = c.filter(F.col("c_mktsegment") == "BUILDING").select(
-        F.col("c_custkey").alias("shrlgpa_pidm"), F.lit("GR").alias("shrlgpa_levl_code"), F.lit("O").alias("shrlgpa_gpa_type_ind"),
-        F.lit(3.5).alias("shrlgpa_gpa"), F.lit(12.0).alias("shrlgpa_hours_earned"))
-    shrtgpa = lo.select(F.col("custkey").alias("shrtgpa_pidm"), F.lit("UG").alias("shrtgpa_levl_code"),
-                        term_of("o_orderdate").alias("shrtgpa_term_code"),
-                        F.when(F.col("l_linestatus") == "F", F.lit("I")).otherwise(F.lit("T")).alias("shrtgpa_gpa_type_ind"),
-                        F.when(F.col("l_returnflag") == "N", F.lit(None)).otherwise(F.col("l_quantity")).alias("shrtgpa_hours_earned"))
-    band_lo = (F.col("r_regionkey") * 100).cast("double")
-    reg_rules = r.select(F.col("r_regionkey").alias("sgrclsr_seq_no"), F.upper(F.substring("r_name", 1, 2)).alias("sgrclsr_clas_code"),
-                         F.lit("UG").alias("sgrclsr_levl_code"), band_lo.alias("sgrclsr_from_hours"),
-                         (band_lo + 99.99).alias("sgrclsr_to_hours"))
-    nat_lo = (F.col("n_regionkey") * 100).cast("double")
-    nat_rules = n.filter(F.col("n_nationkey") < 5).select(
-        (F.col("n_nationkey") + 10).alias("sgrclsr_seq_no"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("sgrclsr_clas_code"),
-        F.lit("UG").alias("sgrclsr_levl_code"), nat_lo.alias("sgrclsr_from_hours"), (nat_lo + 99.99).alias("sgrclsr_to_hours"))
-    gr_rule = r.filter(F.col("r_regionkey") == 0).select(
-        F.lit(99).alias("sgrclsr_seq_no"), F.lit("GR").alias("sgrclsr_clas_code"), F.lit("GR").alias("sgrclsr_levl_code"),
-        F.lit(0.0).alias("sgrclsr_from_hours"), F.lit(1e9).alias("sgrclsr_to_hours"))
-    sgrclsr = reg_rules.unionByName(nat_rules).unionByName(gr_rule)
-    sgrcatt = n.filter(F.col("n_nationkey").isin(0, 2, 4)).select(
-        (F.col("n_nationkey") + 10).alias("sgrcatt_seq_no"), F.concat(F.lit("A"), F.col("n_nationkey").cast("string")).alias("sgrcatt_atts_code"))
-    stvclas = (r.select(F.upper(F.substring("r_name", 1, 2)).alias("stvclas_code"), F.col("r_name").alias("stvclas_desc"))
-               .unionByName(n.filter(F.col("n_nationkey") < 5).select(
-                   F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("stvclas_code"), F.col("n_name").alias("stvclas_desc")))
-               .unionByName(r.filter(F.col("r_regionkey") == 0).select(F.lit("GR").alias("stvclas_code"),
-                                                                       F.lit("Graduate").alias("stvclas_desc"))))
-    hold = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("RH")).when(F.col("o_orderpriority") == "2-HIGH", F.lit("DI"))
-            .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("LF")).otherwise(F.lit("ZZ")))
-    sprhold = o.select(F.col("o_custkey").alias("sprhold_pidm"), hold.alias("sprhold_hldd_code"),
-                       F.date_add(F.to_date("o_orderdate"), 400).alias("sprhold_to_date"),
-                       F.when(F.col("o_orderstatus") == "F", F.lit("Y")).when(F.col("o_orderstatus") == "O", F.lit(None))
-                       .otherwise(F.lit("N")).alias("sprhold_release_ind"), F.col("o_orderdate").alias("sprhold_activity_date"))
-    addr = _addr(td).withColumn("spraddr_status_ind", F.col("spraddr_status_ind"))
-    emrg = _emrg(td)
-    relt = o.filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderstatus").alias("stvrelt_code"), F.concat(F.lit("Relation "), F.col("o_orderstatus")).alias("stvrelt_desc")).distinct()
-    gobintl = c.filter(F.col("c_mktsegment") != "MACHINERY").select(
-        F.col("c_custkey").alias("gobintl_pidm"), F.col("c_nationkey").cast("string").alias("gobintl_natn_code_legal"),
-        cts.alias("gobintl_activity_date"))
-    gorvisa = c.filter(F.col("c_mktsegment").isin("MACHINERY", "AUTOMOBILE")).select(
-        F.col("c_custkey").alias("gorvisa_pidm"), F.substring("c_mktsegment", 1, 2).alias("gorvisa_vtyp_code"),
-        cts.alias("gorvisa_activity_date"))
-    saradap = o.select(F.col("o_custkey").alias("saradap_pidm"), term_of("o_orderdate").alias("saradap_term_code_entry"),
-                       F.col("o_orderkey").alias("saradap_appl_no"),
-                       F.when(F.col("o_orderstatus") == "F", F.lit("D")).when(F.col("o_orderstatus") == "O", F.lit("W"))
-                       .otherwise(F.lit("1")).alias("saradap_apst_code"),
-                       F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("R")).otherwise(F.lit("N")).alias("saradap_styp_code"),
-                       F.col("o_orderdate").alias("saradap_activity_date"))
-    sarappd = o.select(F.col("o_custkey").alias("sarappd_pidm"), term_of("o_orderdate").alias("sarappd_term_code_entry"),
-                       F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("RS"))
-                       .when(F.col("o_orderpriority").isin("2-HIGH", "3-MEDIUM"), F.lit("CP")).otherwise(F.lit("XX"))
-                       .alias("sarappd_apdc_code"))
-    saraatt = lo.filter((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")).select(
-        F.col("custkey").alias("saraatt_pidm"), term_of("l_shipdate").alias("saraatt_term_code"),
-        F.lit("HOUS").alias("saraatt_atts_code"), F.col("l_shipdate").alias("saraatt_activity_date"))
-    sorainf = o.select(F.col("o_custkey").alias("sorainf_pidm"), term_of("o_orderdate").alias("sorainf_term_code"),
-                       F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("ADMCOUN"))
-                       .otherwise(F.lit("OTHER")).alias("sorainf_radm_code"),
-                       (F.col("o_custkey") + 1).alias("sorainf_arol_pidm"), F.col("o_orderdate").alias("sorainf_activity_date"))
-    sgrsprt = o.select(F.col("o_custkey").alias("sgrsprt_pidm"), term_of("o_orderdate").alias("sgrsprt_term_code"),
-                       F.substring("o_orderpriority", 1, 1).alias("sgrsprt_actc_code"), F.lit("AC").alias("sgrsprt_spst_code"),
-                       F.when(F.col("o_orderstatus") == "F", F.lit("AC")).otherwise(F.lit("NO")).alias("sgrsprt_elig_code"),
-                       F.col("o_orderdate").alias("sgrsprt_activity_date"))
-    stvactc = o.filter(F.col("o_orderpriority") < "4").select(
-        F.substring("o_orderpriority", 1, 1).alias("stvactc_code"),
-        F.concat(F.lit("Team "), F.substring("o_orderpriority", 1, 1)).alias("stvactc_desc")).distinct()
-    levels = g.select(F.col("sgbstdn_levl_code").alias("stvlevl_code")).distinct().withColumn(
-        "stvlevl_desc", F.when(F.col("stvlevl_code") == "UG", F.lit("Undergraduate")).otherwise(F.lit("Graduate")))
-    styp = g.select(F.col("sgbstdn_styp_code").alias("stvstyp_code")).distinct().withColumn(
-        "stvstyp_desc", F.concat(F.lit("Type "), F.col("stvstyp_code")))
-    majr = o.select(F.col("o_orderpriority").alias("stvmajr_code")).distinct().withColumn(
-        "stvmajr_desc", F.concat(F.lit("Major "), F.substring("stvmajr_code", 3, 20)))
-    vtyp = c.filter(F.col("c_mktsegment") == "MACHINERY").select(
-        F.lit("MA").alias("stvvtyp_code"), F.lit("Visa MA").alias("stvvtyp_desc")).distinct()
-    location = (F.when(F.col("o_orderstatus") == "F", F.lit("Rising Star Atlanta"))
-                .when(F.col("o_orderstatus") == "O", F.lit("Rising Star Main")).otherwise(F.lit("Main")))
-    camp_code = (F.when(F.col("o_orderstatus") == "F", F.lit("RSA")).when(F.col("o_orderstatus") == "O", F.lit("RSM"))
-                 .otherwise(F.lit("M")))
-    stvcamp = o.select(camp_code.alias("stvcamp_code"), location.alias("stvcamp_desc")).distinct()
-    contact = c.select(F.concat(F.lit("K"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_custkey").alias("pidm"))
-    opp = o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(
-        F.concat(F.lit("K"), F.col("o_custkey").cast("string")).alias("contact__c"),
-        F.concat(term_of("o_orderdate"), F.lit(" Term")).alias("entering_term__c"), location.alias("location__c"),
-        F.lit("Rising Star").alias("student_type__c"),
-        F.when(F.col("o_totalprice") > 400000, F.lit("Y")).when(F.col("o_totalprice") > 300000, F.lit(None))
-        .otherwise(F.lit("N")).alias("isdeleted"))
-    ferpa = c.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("student_pidm"))
+    cts = "cast(date_add(DATE'1996-01-01', cast(floor(c_acctbal) AS int)) AS timestamp_ntz)"
+    t_o, t_s = term_sql("o_orderdate"), term_sql("l_shipdate")
+    spriden = sql(f"""
+        SELECT c_custkey AS spriden_pidm, {person_id_sql('c_custkey')} AS spriden_id, c_name AS spriden_last_name,
+               CASE WHEN c_nationkey < 3 THEN NULL WHEN c_nationkey < 5 THEN '0' ELSE concat('F', cast(c_nationkey AS string))
+               END AS spriden_first_name, cast(NULL AS string) AS spriden_change_ind, {cts} AS spriden_activity_date
+        FROM {{c}}
+        UNION ALL
+        SELECT c_custkey, {person_id_sql('c_custkey', 'X')}, c_name, 'Old', 'N', cast(NULL AS timestamp_ntz)
+        FROM {{c}} WHERE c_acctbal < 0""", **f)
+    spbpers = sql(f"""
+        SELECT c_custkey AS spbpers_pidm, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Dr' END AS spbpers_name_prefix,
+               CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN '0'
+                    ELSE concat('P', cast(c_nationkey AS string)) END AS spbpers_pref_first_name,
+               CASE WHEN c_nationkey < 12 THEN 'F' ELSE 'M' END AS spbpers_sex,
+               CASE WHEN c_nationkey = 7 THEN 'bad'
+                    ELSE date_format(date_add(DATE'1980-01-01', cast(c_custkey AS int)), 'dd-MMM-yyyy') END AS spbpers_birth_date,
+               CASE WHEN c_acctbal > 9000 THEN 'Y' END AS spbpers_confid_ind, {cts} AS spbpers_activity_date
+        FROM {{c}}""", **f)
+    g = sql(f"""
+        SELECT o_custkey AS sgbstdn_pidm, {t_o} AS sgbstdn_term_code_eff,
+               CASE WHEN min(o_orderpriority) = '1-URGENT' THEN 'GR' ELSE 'UG' END AS sgbstdn_levl_code,
+               CASE WHEN max(o_orderstatus) = 'P' THEN 'F' WHEN max(o_orderstatus) = 'O' THEN 'C' ELSE 'P' END
+                 AS sgbstdn_styp_code,
+               min(o_orderpriority) AS sgbstdn_majr_code_1,
+               CASE WHEN count(1) >= 2 THEN 'L' WHEN max(o_orderstatus) = 'O' THEN 'O'
+                    WHEN min(o_orderstatus) = 'F' THEN 'R' ELSE 'M' END AS sgbstdn_camp_code,
+               max(o_orderdate) AS sgbstdn_activity_date
+        FROM {{o}} GROUP BY o_custkey, {t_o}""", **f)
+    tbrdepo = sql(f"""
+        SELECT custkey AS tbrdepo_pidm, {t_s} AS tbrdepo_term_code,
+               CASE WHEN l_returnflag = 'R' AND l_quantity >= 45 THEN 'DHOU'
+                    WHEN l_returnflag = 'N' AND l_quantity >= 48 THEN 'DRES'
+                    WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'DLAC' ELSE 'XXXX' END AS tbrdepo_detail_code_deposit,
+               l_shipdate AS tbrdepo_entry_date, l_shipdate AS tbrdepo_activity_date
+        FROM {{lines}}""", **f)
+    sfrstcr = sql(f"""
+        SELECT o_custkey AS sfrstcr_pidm, {t_o} AS sfrstcr_term_code, cast(o_orderkey AS string) AS sfrstcr_crn,
+               CASE WHEN o_orderstatus = 'O' THEN 'RE' WHEN o_orderstatus = 'P' THEN 'AU' ELSE 'DD' END AS sfrstcr_rsts_code
+        FROM {{o}}""", **f)
+    shrlgpa = sql("""
+        SELECT c_custkey AS shrlgpa_pidm, 'UG' AS shrlgpa_levl_code, 'O' AS shrlgpa_gpa_type_ind,
+               cast(c_nationkey AS double) / 8 AS shrlgpa_gpa,
+               CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE cast(c_custkey AS double) / 4 END AS shrlgpa_hours_earned
+        FROM {c}
+        UNION ALL
+        SELECT c_custkey, 'GR', 'O', 3.5D, 12.0D FROM {c} WHERE c_mktsegment = 'BUILDING'""", **f)
+    shrtgpa = sql(f"""
+        SELECT custkey AS shrtgpa_pidm, 'UG' AS shrtgpa_levl_code, {t_o} AS shrtgpa_term_code,
+               CASE WHEN l_linestatus = 'F' THEN 'I' ELSE 'T' END AS shrtgpa_gpa_type_ind,
+               CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_quantity END AS shrtgpa_hours_earned
+        FROM {{lines}}""", **f)
+    sgrclsr = sql("""
+        SELECT r_regionkey AS sgrclsr_seq_no, upper(substring(r_name, 1, 2)) AS sgrclsr_clas_code, 'UG' AS sgrclsr_levl_code,
+               cast(r_regionkey * 100 AS double) AS sgrclsr_from_hours, cast(r_regionkey * 100 AS double) + 99.99D AS sgrclsr_to_hours
+        FROM {r}
+        UNION ALL
+        SELECT n_nationkey + 10, concat('N', cast(n_nationkey AS string)), 'UG', cast(n_regionkey * 100 AS double),
+               cast(n_regionkey * 100 AS double) + 99.99D FROM {n} WHERE n_nationkey < 5
+        UNION ALL
+        SELECT 99, 'GR', 'GR', 0.0D, 1e9D FROM {r} WHERE r_regionkey = 0""", **f)
+    sgrcatt = sql("""SELECT n_nationkey + 10 AS sgrcatt_seq_no, concat('A', cast(n_nationkey AS string)) AS sgrcatt_atts_code
+                     FROM {n} WHERE n_nationkey IN (0, 2, 4)""", **f)
+    stvclas = sql("""
+        SELECT upper(substring(r_name, 1, 2)) AS stvclas_code, r_name AS stvclas_desc FROM {r}
+        UNION ALL SELECT concat('N', cast(n_nationkey AS string)), n_name FROM {n} WHERE n_nationkey < 5
+        UNION ALL SELECT 'GR', 'Graduate' FROM {r} WHERE r_regionkey = 0""", **f)
+    sprhold = sql("""
+        SELECT o_custkey AS sprhold_pidm,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'RH' WHEN '2-HIGH' THEN 'DI' WHEN '3-MEDIUM' THEN 'LF' ELSE 'ZZ' END
+                 AS sprhold_hldd_code,
+               date_add(to_date(o_orderdate), 400) AS sprhold_to_date,
+               CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN NULL ELSE 'N' END AS sprhold_release_ind,
+               o_orderdate AS sprhold_activity_date
+        FROM {o}""", **f)
+    relt = sql("""SELECT DISTINCT o_orderstatus AS stvrelt_code, concat('Relation ', o_orderstatus) AS stvrelt_desc
+                  FROM {o} WHERE o_orderstatus <> 'P'""", **f)
+    gobintl = sql(f"""SELECT c_custkey AS gobintl_pidm, cast(c_nationkey AS string) AS gobintl_natn_code_legal,
+                             {cts} AS gobintl_activity_date FROM {{c}} WHERE c_mktsegment <> 'MACHINERY'""", **f)
+    gorvisa = sql(f"""SELECT c_custkey AS gorvisa_pidm, substring(c_mktsegment, 1, 2) AS gorvisa_vtyp_code,
+                             {cts} AS gorvisa_activity_date FROM {{c}} WHERE c_mktsegment IN ('MACHINERY', 'AUTOMOBILE')""", **f)
+    saradap = sql(f"""
+        SELECT o_custkey AS saradap_pidm, {t_o} AS saradap_term_code_entry, o_orderkey AS saradap_appl_no,
+               CASE o_orderstatus WHEN 'F' THEN 'D' WHEN 'O' THEN 'W' ELSE '1' END AS saradap_apst_code,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN 'R' ELSE 'N' END AS saradap_styp_code,
+               o_orderdate AS saradap_activity_date
+        FROM {{o}}""", **f)
+    sarappd = sql(f"""
+        SELECT o_custkey AS sarappd_pidm, {t_o} AS sarappd_term_code_entry,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN 'RS' WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 'CP'
+                    ELSE 'XX' END AS sarappd_apdc_code
+        FROM {{o}}""", **f)
+    saraatt = sql(f"""SELECT custkey AS saraatt_pidm, {t_s} AS saraatt_term_code, 'HOUS' AS saraatt_atts_code,
+                             l_shipdate AS saraatt_activity_date
+                      FROM {{lines}} WHERE l_linestatus = 'O' AND l_returnflag = 'N'""", **f)
+    sorainf = sql(f"""
+        SELECT o_custkey AS sorainf_pidm, {t_o} AS sorainf_term_code,
+               CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'ADMCOUN' ELSE 'OTHER' END AS sorainf_radm_code,
+               o_custkey + 1 AS sorainf_arol_pidm, o_orderdate AS sorainf_activity_date
+        FROM {{o}}""", **f)
+    sgrsprt = sql(f"""
+        SELECT o_custkey AS sgrsprt_pidm, {t_o} AS sgrsprt_term_code, substring(o_orderpriority, 1, 1) AS sgrsprt_actc_code,
+               'AC' AS sgrsprt_spst_code, CASE WHEN o_orderstatus = 'F' THEN 'AC' ELSE 'NO' END AS sgrsprt_elig_code,
+               o_orderdate AS sgrsprt_activity_date
+        FROM {{o}}""", **f)
+    stvactc = sql("""SELECT DISTINCT substring(o_orderpriority, 1, 1) AS stvactc_code,
+                            concat('Team ', substring(o_orderpriority, 1, 1)) AS stvactc_desc
+                     FROM {o} WHERE o_orderpriority < '4'""", **f)
+    levels = sql("""SELECT DISTINCT sgbstdn_levl_code AS stvlevl_code,
+                           CASE WHEN sgbstdn_levl_code = 'UG' THEN 'Undergraduate' ELSE 'Graduate' END AS stvlevl_desc
+                    FROM {g}""", g=g)
+    styp = sql("""SELECT DISTINCT sgbstdn_styp_code AS stvstyp_code, concat('Type ', sgbstdn_styp_code) AS stvstyp_desc
+                  FROM {g}""", g=g)
+    majr = sql("""SELECT DISTINCT o_orderpriority AS stvmajr_code, concat('Major ', substring(o_orderpriority, 3, 20))
+                    AS stvmajr_desc FROM {o}""", **f)
+    vtyp = sql("""SELECT DISTINCT 'MA' AS stvvtyp_code, 'Visa MA' AS stvvtyp_desc FROM {c}
+                  WHERE c_mktsegment = 'MACHINERY'""", **f)
+    location = ("CASE WHEN o_orderstatus = 'F' THEN 'Rising Star Atlanta' WHEN o_orderstatus = 'O' THEN 'Rising Star Main' "
+                "ELSE 'Main' END")
+    stvcamp = sql(f"""SELECT DISTINCT CASE WHEN o_orderstatus = 'F' THEN 'RSA' WHEN o_orderstatus = 'O' THEN 'RSM' ELSE 'M' END
+                        AS stvcamp_code, {location} AS stvcamp_desc FROM {{o}}""", **f)
+    contact = sql("SELECT concat('K', cast(c_custkey AS string)) AS id, c_custkey AS pidm FROM {c}", **f)
+    opp = sql(f"""
+        SELECT concat('K', cast(o_custkey AS string)) AS contact__c, concat({t_o}, ' Term') AS entering_term__c,
+               {location} AS location__c, 'Rising Star' AS student_type__c,
+               CASE WHEN o_totalprice > 400000 THEN 'Y' WHEN o_totalprice > 300000 THEN NULL ELSE 'N' END AS isdeleted
+        FROM {{o}} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""", **f)
+    ferpa = sql("SELECT c_custkey AS student_pidm FROM {c} WHERE c_acctbal < 0", **f)
     return {
         "saturn_stvterm": base["saturn_stvterm"], "saturn_spriden": spriden, "saturn_spbpers": spbpers,
-        "saturn_sgbstdn": g, "taismgr_tbrdepo": tbrdepo, "saturn_sfrstcr": sfrstcr,
-        "saturn_shrlgpa": ug.unionByName(gr), "saturn_shrtgpa": shrtgpa, "saturn_sgrclsr": sgrclsr,
-        "saturn_sgrcatt": sgrcatt, "saturn_sprhold": sprhold, "saturn_sprtele": _tele(o), "saturn_spraddr": addr,
-        "saturn_spremrg": emrg, "general_goremal": base["general_goremal"], "general_gobintl": gobintl,
-        "general_gorvisa": gorvisa, "saturn_saradap": saradap, "saturn_sarappd": sarappd, "saturn_saraatt": saraatt,
-        "saturn_sorainf": sorainf, "saturn_sgrsprt": sgrsprt, "saturn_stvlevl": levels, "saturn_stvstyp": styp,
-        "saturn_stvmajr": majr, "saturn_stvclas": stvclas, "saturn_stvvtyp": vtyp, "saturn_stvactc": stvactc,
-        "saturn_stvrelt": relt, "saturn_stvcamp": stvcamp, "scadsf_wxwalknation": _crosswalk(td),
-        "scadsf_sf_contact": contact, "scadsf_sf_opportunity": opp, "grailssf_ferpa": ferpa,
+        "saturn_sgbstdn": g, "taismgr_tbrdepo": tbrdepo, "saturn_sfrstcr": sfrstcr, "saturn_shrlgpa": shrlgpa,
+        "saturn_shrtgpa": shrtgpa, "saturn_sgrclsr": sgrclsr, "saturn_sgrcatt": sgrcatt, "saturn_sprhold": sprhold,
+        "saturn_sprtele": _tele(td.orders), "saturn_spraddr": _addr(td), "saturn_spremrg": _emrg(td),
+        "general_goremal": base["general_goremal"], "general_gobintl": gobintl, "general_gorvisa": gorvisa,
+        "saturn_saradap": saradap, "saturn_sarappd": sarappd, "saturn_saraatt": saraatt, "saturn_sorainf": sorainf,
+        "saturn_sgrsprt": sgrsprt, "saturn_stvlevl": levels, "saturn_stvstyp": styp, "saturn_stvmajr": majr,
+        "saturn_stvclas": stvclas, "saturn_stvvtyp": vtyp, "saturn_stvactc": stvactc, "saturn_stvrelt": relt,
+        "saturn_stvcamp": stvcamp, "scadsf_wxwalknation": _crosswalk(td), "scadsf_sf_contact": contact,
+        "scadsf_sf_opportunity": opp, "grailssf_ferpa": ferpa,
     }
 
 

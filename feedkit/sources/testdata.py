@@ -91,8 +91,13 @@ class Testdata:
         return self.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner").drop("o_orderkey")
 
 
-def _person_id(key: Column) -> Column:
-    return F.concat(F.lit("C"), F.lpad(key.cast("string"), 8, "0"))
+def term_sql(x: str) -> str:
+    """SQL of :func:`term_of`: quarter period code of a date/timestamp."""
+    return f"concat(cast(year({x}) AS string), cast(quarter({x}) AS string), '0')"
+
+
+def person_id_sql(x: str, prefix: str = "C") -> str:
+    return f"concat('{prefix}', lpad(cast({x} AS string), 8, '0'))"
 
 
 def course_sources(td: Testdata) -> dict[str, DataFrame]:
@@ -101,67 +106,53 @@ def course_sources(td: Testdata) -> dict[str, DataFrame]:
     Sections are parts ordered in a quarter, registrations are lineitems,
     persons are customers, e-mails come from events. NULLs are induced
     where the feeds have NULL rules (subject, transfer flag, add date).
+    Each table is one SQL query over the testdata frames.
     """
-    o = td.orders
-    lo = td.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    lop = lo.join(td.part, F.col("l_partkey") == F.col("p_partkey"))
-    subject = F.nullif(F.col("p_brand"), F.lit("Brand#1"))
-    ssbsect = lop.select(term_of("o_orderdate").alias("ssbsect_term_code"),
-                         F.col("l_partkey").cast("string").alias("ssbsect_crn"), subject.alias("ssbsect_subj_code"),
-                         F.col("p_size").cast("string").alias("ssbsect_crse_numb"),
-                         F.substring("p_type", 1, 3).alias("ssbsect_seq_numb")).distinct()
-    rsts = (F.when(F.col("l_returnflag") == "R", F.lit("DD")).when(F.col("l_returnflag") == "A", F.lit("RW"))
-            .otherwise(F.lit("RE")))
-    sfrstcr = lo.select(F.col("o_custkey").alias("sfrstcr_pidm"), term_of("o_orderdate").alias("sfrstcr_term_code"),
-                        F.col("l_partkey").cast("string").alias("sfrstcr_crn"), rsts.alias("sfrstcr_rsts_code"))
-    c = td.customer
-    current = c.select(F.col("c_custkey").alias("spriden_pidm"), _person_id(F.col("c_custkey")).alias("spriden_id"),
-                       F.col("c_name").alias("spriden_last_name"),
-                       F.concat(F.lit("F"), F.col("c_nationkey").cast("string")).alias("spriden_first_name"),
-                       F.lit(None).cast("string").alias("spriden_change_ind"))
-    old = c.filter(F.col("c_acctbal") < 0).select(
-        F.col("c_custkey").alias("spriden_pidm"),
-        F.concat(F.lit("X"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("spriden_id"),
-        F.col("c_name").alias("spriden_last_name"), F.lit("Old").alias("spriden_first_name"),
-        F.lit("N").alias("spriden_change_ind"))
-    spriden = current.unionByName(old)
-    geo = c.join(td.nation, F.col("c_nationkey") == F.col("n_nationkey")) \
-        .join(td.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    level = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Graduate"))
-             .when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None)).otherwise(F.lit("Undergraduate")))
-    cls = (F.when(F.col("r_regionkey") == 0, F.lit("Freshmen"))
-           .when(F.col("r_regionkey") == 1, F.lit(None)).otherwise(F.col("r_name")))
-    major = F.concat("c_mktsegment", F.when(F.col("c_nationkey") == 3, F.lit('"')).otherwise(F.lit("")))
-    person = geo.select("c_custkey", level.alias("student_level_desc"), cls.alias("student_classification_desc"),
-                        major.alias("major_desc"))
-    periods_ = o.groupBy(F.col("o_custkey"), term_of("o_orderdate").alias("academic_period")).agg(
-        F.max(F.when(F.col("o_orderstatus") == "O", F.lit("Y")).otherwise(F.lit("N"))).alias("registered_ind"))
-    study = periods_.join(person, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_custkey").alias("person_uid"), _person_id(F.col("o_custkey")).alias("id"), "academic_period",
-        "student_level_desc", "student_classification_desc", "major_desc",
-        F.lit("Y").alias("primary_program_ind"), "registered_ind")
-    transfer = (F.when(F.col("l_returnflag") == "R", F.lit("Y")).when(F.col("l_returnflag") == "A", F.lit(None))
-                .otherwise(F.lit("N")))
-    course = lop.select(F.col("o_custkey").alias("person_uid"), term_of("o_orderdate").alias("academic_period"),
-                        subject.alias("subject"), F.col("p_size").cast("string").alias("course_number"),
-                        transfer.alias("transfer_course_ind"),
-                        F.when(F.col("l_linestatus") == "O", F.to_date("l_shipdate")).alias("section_add_date"))
-    detail = c.select(F.col("c_custkey").alias("person_uid"),
-                      F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None))
-                      .otherwise(F.concat(F.lit("P"), F.col("c_nationkey").cast("string"))).alias("preferred_first_name"),
-                      F.concat(F.lit('F"'), F.col("c_custkey").cast("string")).alias("first_name"),
-                      F.substring("c_mktsegment", 1, 1).alias("middle_initial"), F.col("c_name").alias("last_name"))
-    ev = td.events
-    code = (F.when(F.col("event_type") == "purchase", F.lit("SCAD"))
-            .when(F.col("event_type") == "signup", F.lit("STEM")).otherwise(F.lit("OTHR")))
-    goremal = ev.select(F.col("user_id").alias("goremal_pidm"), code.alias("goremal_emal_code"),
-                        F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit("."), F.col("event_type"),
-                                 F.lit("@Example.ORG")).alias("goremal_email_address"),
-                        F.when(F.col("value") > 5, F.lit("A")).otherwise(F.lit("I")).alias("goremal_status_ind"),
-                        F.col("ts").alias("goremal_activity_date"))
-    stvterm = td.periods().select(F.col("code").alias("stvterm_code"), F.col("year").alias("stvterm_acyr_code"),
-                                  F.col("start_date").alias("stvterm_start_date"),
-                                  F.col("end_date").alias("stvterm_end_date"))
+    sql = td.spark.sql
+    f = {"l": td.lineitem, "o": td.orders, "p": td.part, "c": td.customer, "n": td.nation, "r": td.region,
+         "e": td.events}
+    lop = "{l} JOIN {o} ON l_orderkey = o_orderkey JOIN {p} ON l_partkey = p_partkey"
+    ssbsect = sql(f"""SELECT DISTINCT {term_sql('o_orderdate')} AS ssbsect_term_code, cast(l_partkey AS string) AS ssbsect_crn,
+                         nullif(p_brand, 'Brand#1') AS ssbsect_subj_code, cast(p_size AS string) AS ssbsect_crse_numb,
+                         substring(p_type, 1, 3) AS ssbsect_seq_numb FROM {lop}""", **f)
+    sfrstcr = sql(f"""SELECT o_custkey AS sfrstcr_pidm, {term_sql('o_orderdate')} AS sfrstcr_term_code,
+                         cast(l_partkey AS string) AS sfrstcr_crn,
+                         CASE l_returnflag WHEN 'R' THEN 'DD' WHEN 'A' THEN 'RW' ELSE 'RE' END AS sfrstcr_rsts_code
+                  FROM {{l}} JOIN {{o}} ON l_orderkey = o_orderkey""", **f)
+    spriden = sql(f"""SELECT c_custkey AS spriden_pidm, {person_id_sql('c_custkey')} AS spriden_id, c_name AS spriden_last_name,
+                         concat('F', cast(c_nationkey AS string)) AS spriden_first_name,
+                         cast(NULL AS string) AS spriden_change_ind FROM {{c}}
+                  UNION ALL
+                  SELECT c_custkey, {person_id_sql('c_custkey', 'X')}, c_name, 'Old', 'N' FROM {{c}} WHERE c_acctbal < 0""", **f)
+    study = sql(f"""
+        SELECT o_custkey AS person_uid, {person_id_sql('o_custkey')} AS id, academic_period,
+               CASE c_mktsegment WHEN 'BUILDING' THEN 'Graduate' WHEN 'AUTOMOBILE' THEN NULL ELSE 'Undergraduate' END
+                 AS student_level_desc,
+               CASE r_regionkey WHEN 0 THEN 'Freshmen' WHEN 1 THEN NULL ELSE r_name END AS student_classification_desc,
+               concat(c_mktsegment, CASE WHEN c_nationkey = 3 THEN '"' ELSE '' END) AS major_desc,
+               'Y' AS primary_program_ind, registered_ind
+        FROM (SELECT o_custkey, {term_sql('o_orderdate')} AS academic_period,
+                     max(CASE WHEN o_orderstatus = 'O' THEN 'Y' ELSE 'N' END) AS registered_ind
+              FROM {{o}} GROUP BY o_custkey, {term_sql('o_orderdate')})
+        JOIN {{c}} ON o_custkey = c_custkey JOIN {{n}} ON c_nationkey = n_nationkey JOIN {{r}} ON n_regionkey = r_regionkey""",
+                **f)
+    course = sql(f"""SELECT o_custkey AS person_uid, {term_sql('o_orderdate')} AS academic_period,
+                        nullif(p_brand, 'Brand#1') AS subject, cast(p_size AS string) AS course_number,
+                        CASE l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN NULL ELSE 'N' END AS transfer_course_ind,
+                        CASE WHEN l_linestatus = 'O' THEN to_date(l_shipdate) END AS section_add_date FROM {lop}""", **f)
+    detail = sql("""SELECT c_custkey AS person_uid,
+                           CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE concat('P', cast(c_nationkey AS string)) END
+                             AS preferred_first_name,
+                           concat('F"', cast(c_custkey AS string)) AS first_name,
+                           substring(c_mktsegment, 1, 1) AS middle_initial, c_name AS last_name FROM {c}""", **f)
+    goremal = sql("""SELECT user_id AS goremal_pidm,
+                            CASE event_type WHEN 'purchase' THEN 'SCAD' WHEN 'signup' THEN 'STEM' ELSE 'OTHR' END
+                              AS goremal_emal_code,
+                            concat('U', cast(user_id AS string), '.', event_type, '@Example.ORG') AS goremal_email_address,
+                            CASE WHEN value > 5 THEN 'A' ELSE 'I' END AS goremal_status_ind, ts AS goremal_activity_date
+                     FROM {e}""", **f)
+    stvterm = td.periods().selectExpr("code AS stvterm_code", "year AS stvterm_acyr_code",
+                                      "start_date AS stvterm_start_date", "end_date AS stvterm_end_date")
     return {"saturn_stvterm": stvterm, "saturn_ssbsect": ssbsect, "saturn_sfrstcr": sfrstcr,
             "saturn_spriden": spriden, "odsmgr_academic_study": study, "odsmgr_student_course": course,
             "odsmgr_person_detail": detail, "general_goremal": goremal}

@@ -85,7 +85,7 @@ def main(argv: list[str]) -> int:
     spark = (SparkSession.builder.master("local[8]").appName("oracle-check")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "8")
-             .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate())
+             .config("spark.sql.session.timeZone", os.environ.get("HARNESS_TZ", "UTC")).config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
