@@ -93,7 +93,6 @@ FIELDS = [
     "EntryCustomField.SummerHousingPaymentDate",
 ]
 
-THIN = ["grp_num", "pidm", "pulled_term", "asof_term", "levl", "styp", "majr"]
 
 
 def _null_str() -> Column:
