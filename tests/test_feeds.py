@@ -186,3 +186,12 @@ def test_control_upsert_odd_hour_changes_nothing(spark, src, tmp_path):
     feed, _ = run_cycle(spark, src, ctl, odd, feed_path=str(tmp_path / "feed"))
     assert feed.filter("IS_HEADER = 0").count() == 5
     assert ctl.read().count() == 0
+
+
+def test_send_cycle_without_publish_path_checkpoints(spark, src, tmp_path):
+    """Without a publish path the feed is reliably checkpointed before the upsert reads it."""
+    ctl = ControlTable(spark, str(tmp_path / "control"))
+    feed, tag = run_cycle(spark, src, ctl, CTX)
+    assert "ExistingRDD" in feed._jdf.queryExecution().executedPlan().toString()
+    assert ctl.current_version() == tag
+    assert {int(r[0]) for r in ctl.read().select("wsrsrez_pidm").collect()} == {2001, 2002, 2003, 2004, 2005}
