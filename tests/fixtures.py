@@ -93,10 +93,6 @@ NOW = TS(2024, 9, 15, 14, 0, 0)  # 10:00 in New York: an even hour
 A = TS(2024, 1, 10, 9, 0, 0)  # an old activity time, before any control row
 
 
-def rows(pidm: int) -> P:
-    return P(pidm)
-
-
 DATA: dict[str, list[tuple]] = {
     "saturn_stvterm": [
         ("202330", "2324", D(2024, 3, 20), D(2024, 6, 1)),
@@ -189,14 +185,14 @@ DATA: dict[str, list[tuple]] = {
         (P(2004), "PR", "4045", "0", None, None, 1, A),
     ],
     "saturn_spraddr": [
-        (P(2001), "MA", "1 Main St", None, "Unit 5", "Savannah", "GA", "31401-12345", "IT", None, None, A),
-        (P(2001), "MA", "2 Old St", "Apt 1", None, "Savannah", "GA", "31401", None, None, D(2024, 1, 1),
+        (P(2001), "MA", "1 Main St", None, "Unit 5", "Springfield", "GA", "31401-12345", "IT", None, None, A),
+        (P(2001), "MA", "2 Old St", "Apt 1", None, "Springfield", "GA", "31401", None, None, D(2024, 1, 1),
          TS(2024, 3, 1)),
         (P(2001), "PR", "9 Home Rd", "Floor 2", "0", "C" * 70, "NY", "10001", "0", None, None, A),
         (P(2004), "PR", "4 Elm", None, None, "Atlanta", "GA", "30301", "XX", "I", None, A),
     ],
     "saturn_spremrg": [
-        (P(2001), "Pat", None, "1 Main St", None, "Unit 5", "Savannah", "GA", "31401", "912", "5551234", "P", A),
+        (P(2001), "Pat", None, "1 Main St", None, "Unit 5", "Springfield", "GA", "31401", "912", "5551234", "P", A),
         (P(2001), "Old", "Contact", None, None, None, None, None, None, None, None, "P", TS(2023, 1, 1)),
     ],
     "general_goremal": [
