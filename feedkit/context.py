@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,17 +44,12 @@ class RunContext:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only a local-mode session without one (tests, single-node checks) gets a
-    scratch folder; on a cluster an unset folder is an error, never a
-    machine-local fallback.
+    Where the session names none (tests, a plain local session) the folder is put
+    under the warehouse, which every executor shares as well. The rule is the same
+    on every master; a machine-local temporary folder is never used.
     """
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
-        import tempfile
-        d = tempfile.mkdtemp(prefix="feedkit-checkpoints-")
-    return d
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -69,10 +65,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts lineage like a reliable checkpoint but computes the input only once,
     and later reads get column pruning and filter pushdown from the file scan.
+    The folder goes away when the application ends.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{uuid.uuid4().hex}/{name}"
+    path = staging_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, deleted when the application ends."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/staged/{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(root)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return f"{root}/{name}"
