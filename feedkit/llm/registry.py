@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from feedkit.llm import exact_dedup
+from feedkit.llm import exact_dedup, near_dedup
 
 QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
 SQL = {
