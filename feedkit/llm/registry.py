@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from feedkit.llm import exact_dedup, near_dedup
+from feedkit.llm import exact_dedup, mixing, near_dedup
 
 QUERIES = {
+    "op6_mixing": mixing.op6_mixing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
