@@ -70,8 +70,12 @@ def _folder(block: int, id_type: pa.DataType):
     return fold
 
 
-def named(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` with its ``keys`` replaced by one integer ``name``: sorted, equal keys numbered alike."""
+def named(df: DataFrame, keys: list[str], spread: list | None = None) -> DataFrame:
+    """``df`` with its ``keys`` replaced by one integer ``name``: sorted, equal keys numbered alike.
+
+    ``spread``: shorter values of the keys to sort by first, for Spark samples these on the driver.
+    """
+    spread = spread or keys
     kept = [f for f in df.schema.fields if f.name not in keys]
     columns = [f.name for f in kept]
     out = T.StructType([*kept, T.StructField("name", T.LongType())])
@@ -87,7 +91,7 @@ def named(df: DataFrame, keys: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(names, pa.int64())],
                                              names=[*columns, "name"])
 
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(number, out)
+    return df.repartitionByRange(*spread).sortWithinPartitions(*dict.fromkeys([*spread, *keys])).mapInArrow(number, out)
 
 
 def block_identities(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -101,7 +105,7 @@ def block_identities(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, Da
                            T.StructField("n", T.IntegerType()), T.StructField("blocks", T.ArrayType(T.StringType()))])
     folded = stage(rows.mapInArrow(_folder(block, to_arrow_type(id_type)), schema), "folded")
     blocks = folded.where("blocks IS NOT NULL").select("rep", "n", F.posexplode("blocks").alias("pos", "block"))
-    level = stage(named(blocks, ["block"]), "level")
+    level = stage(named(blocks, ["block"], [F.substring("block", 1, 16), F.xxhash64("block")]), "level")
     longest = folded.agg(F.max("n")).first()[0] or 1
     done, width = level.where("n = 1"), 1
     while width < longest:  # one pass per doubling of the longest text

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from feedkit.llm import exact_dedup, host_rules, mixing, near_dedup
+from feedkit.llm import bpe, exact_dedup, host_rules, mixing, near_dedup
 
 QUERIES = {
     "op2_host_rules": host_rules.op2_host_rules,
+    "op5_bpe": bpe.op5_bpe,
     "op6_mixing": mixing.op6_mixing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_near_dedup": near_dedup.op10_near_dedup,
