@@ -91,7 +91,7 @@ def named(df: DataFrame, keys: list[str], spread: list | None = None) -> DataFra
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(names, pa.int64())],
                                              names=[*columns, "name"])
 
-    return df.repartitionByRange(*spread).sortWithinPartitions(*dict.fromkeys([*spread, *keys])).mapInArrow(number, out)
+    return df.repartitionByRange(*spread).sortWithinPartitions(*spread, *keys).mapInArrow(number, out)
 
 
 def block_identities(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
