@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from feedkit.llm import bpe, exact_dedup, host_rules, mixing, near_dedup
+from feedkit.llm import bpe, exact_dedup, host_rules, mixing, near_dedup, secrets
 
 QUERIES = {
+    "op1_secrets": secrets.op1_secrets,
     "op2_host_rules": host_rules.op2_host_rules,
     "op5_bpe": bpe.op5_bpe,
     "op6_mixing": mixing.op6_mixing,
