@@ -39,7 +39,7 @@ ASSIGN_LENGTH = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
 PLACEHOLDER = re.compile(r"example|sample|dummy|placeholder|changeme|change_me|your[_-]?|xxxx|test|redacted|0123456789|abcdef", re.IGNORECASE)
 MIN_ENTROPY = 3.0
 MAX_OWNERS = 2
