@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from feedkit.llm import bpe, exact_dedup, host_rules, mixing, near_dedup, secrets, warc
+from feedkit.llm import bpe, chat, exact_dedup, host_rules, mixing, near_dedup, secrets, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op2_host_rules": host_rules.op2_host_rules,
     "op3_warc": warc.op3_warc,
+    "op4_chat": chat.op4_chat,
     "op5_bpe": bpe.op5_bpe,
     "op6_mixing": mixing.op6_mixing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
@@ -17,5 +18,6 @@ QUERIES = {
 SQL = {
     "op2_host_rules": host_rules.SQL,
     "op3_warc": warc.SQL,
+    "op4_chat": chat.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
