@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, table
+from feedkit.llm.common import column, in_arrow, table
 
 LONG = 64
 #: Characters of text in a slice, ids decoded at once, and pieces remembered by a worker.
@@ -230,14 +230,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
     """``(id, ids)`` per row of ``docs``. ``ranks_path`` must name a file every executor can read."""
     rows = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(_encoder(*_defaults(ranks_path, pattern)), schema)
+    return in_arrow(rows, _encoder(*_defaults(ranks_path, pattern)), schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``(id, ids)`` with the ids' bytes beside them as ``decoded``; null ids decode to nothing."""
     rows = encoded.select("id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return rows.mapInArrow(_decoder(*_defaults(ranks_path, pattern)), schema)
+    return in_arrow(rows, _decoder(*_defaults(ranks_path, pattern)), schema)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
@@ -249,7 +249,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
                            *[T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids])
     chosen = _defaults(ranks_path, pattern)
-    return rows.mapInArrow(_digester(_encoder(*chosen), _decoder(*chosen), with_ids), schema).withColumnRenamed("id", id_col)
+    return in_arrow(rows, _digester(_encoder(*chosen), _decoder(*chosen), with_ids), schema).withColumnRenamed("id", id_col)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,21 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow``, after making this package importable for the Python workers of every executor."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_feedkit_sent", False):
+        with tempfile.TemporaryDirectory() as folder:  # on the driver, until Spark has it for its executors
+            kept = f"{folder}/code/feedkit"
+            shutil.copytree(Path(__file__).parents[1], kept, ignore=shutil.ignore_patterns("__pycache__"))
+            with tempfile.NamedTemporaryFile(prefix="feedkit-", suffix=".zip", delete=False) as archive:
+                pass
+            shutil.make_archive(archive.name.removesuffix(".zip"), "zip", f"{folder}/code")
+        context.addPyFile(archive.name)
+        context._feedkit_sent = True
+    return df.mapInArrow(function, schema)
+
+
 def numbered(docs: DataFrame, name: str = "rows") -> DataFrame:
     """``docs`` as ``(rid, row)``: a stored row number beside the whole row as one struct.
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, first_id, numbered, stage, table, without
+from feedkit.llm.common import column, first_id, in_arrow, numbered, stage, table, without
 
 BLOCK = 2048
 #: Characters of distinct texts a split keeps to fold its own copies; beyond it folding starts afresh.
@@ -91,7 +91,7 @@ def named(df: DataFrame, keys: list[str], spread: list | None = None) -> DataFra
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(names, pa.int64())],
                                              names=[*columns, "name"])
 
-    return df.repartitionByRange(*spread).sortWithinPartitions(*spread, *keys).mapInArrow(number, out)
+    return in_arrow(df.repartitionByRange(*spread).sortWithinPartitions(*spread, *keys), number, out)
 
 
 def block_identities(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -103,7 +103,7 @@ def block_identities(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, Da
     schema = T.StructType([T.StructField("rid", T.LongType()), T.StructField("id", id_type),
                            T.StructField("sha", T.StringType()), T.StructField("rep", T.LongType()),
                            T.StructField("n", T.IntegerType()), T.StructField("blocks", T.ArrayType(T.StringType()))])
-    folded = stage(rows.mapInArrow(_folder(block, to_arrow_type(id_type)), schema), "folded")
+    folded = stage(in_arrow(rows, _folder(block, to_arrow_type(id_type)), schema), "folded")
     blocks = folded.where("blocks IS NOT NULL").select("rep", "n", F.posexplode("blocks").alias("pos", "block"))
     level = stage(named(blocks, ["block"], [F.substring("block", 1, 16), F.xxhash64("block")]), "level")
     longest = folded.agg(F.max("n")).first()[0] or 1

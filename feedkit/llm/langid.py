@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, stage, table
+from feedkit.llm.common import column, in_arrow, stage, table
 
 ROWS, ROW_CHARS, SEGMENT, SLICE_CHARS, FOLDS = 40, 1000, 512, 2_000_000, 5
 UNKNOWN = "und"
@@ -210,7 +210,7 @@ def predict(docs: DataFrame, references: dict[str, str], id_col: str = "doc_id",
     rows = docs.select(column(id_col).alias("id"), _held_out(docs, id_col).alias("held_out"), column(text_col).alias("text"))
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("held_out", T.BooleanType()),
                            T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_predictor(references), schema).withColumnRenamed("id", id_col)
+    return in_arrow(rows, _predictor(references), schema).withColumnRenamed("id", id_col)
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

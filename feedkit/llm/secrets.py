@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, stage, table
+from feedkit.llm.common import column, in_arrow, stage, table
 
 # Fixed values of the contract: the kinds in their order, their patterns and least lengths.
 KINDS = ["assign", "access", "hex", "owned"]
@@ -102,7 +102,7 @@ def scanned(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_co
     schema = T.StructType.fromDDL("rid long, owner string, repo string, base_sha256 string, "
                                   "spans array<struct<kind:int,start:int,end:int,hash:binary,live:boolean>>")
     schema = T.StructType([schema["rid"], rows.schema["id"], *list(schema)[1:]])
-    return stage(rows.mapInArrow(_scanner(to_arrow_type(rows.schema["id"].dataType)), schema), "scanned")
+    return stage(in_arrow(rows, _scanner(to_arrow_type(rows.schema["id"].dataType)), schema), "scanned")
 
 
 def ownership(scans: DataFrame) -> DataFrame:

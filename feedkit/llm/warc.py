@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, stage, staging_path, table
+from feedkit.llm.common import column, in_arrow, stage, staging_path, table
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 8_000_000
@@ -199,7 +199,7 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     folder = staging_path(spark, "warc")
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
-    return folder, stage(rows.mapInArrow(_writer(folder), "name string, records long, bytes long"), "archives")
+    return folder, stage(in_arrow(rows, _writer(folder), "name string, records long, bytes long"), "archives")
 
 
 _TYPES = {"offset": T.LongType(), "end": T.LongType(), "payload_bytes": T.LongType(), "payload": T.BinaryType()}
@@ -250,7 +250,7 @@ def read_warc(spark: SparkSession, folder: str, archives: DataFrame | None = Non
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path", "content")
     if archives is not None:
         files = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(archives.select("name"), "name", "left_semi")
-    return files.select("path", "content").mapInArrow(_reader(payloads), _READ)
+    return in_arrow(files.select("path", "content"), _reader(payloads), _READ)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
