@@ -50,9 +50,23 @@ def numbered(docs: DataFrame, name: str = "rows") -> DataFrame:
     return stage(docs.select(F.monotonically_increasing_id().alias("rid"), row), name)
 
 
+#: Rows of a few numbers each that may be broadcast: about 20 MB on each executor.
+BROADCAST_ROWS = 500_000
+
+
+def match(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows.join(few)``, where ``few`` holds keys and a few numbers and ``rows`` may hold texts.
+
+    ``few`` is written and counted first: up to ``BROADCAST_ROWS`` it goes to every executor and the
+    texts stay where they are; beyond, both sides are shuffled and Spark splits skewed partitions.
+    """
+    few = stage(few, "few")
+    return rows.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, keys, how)
+
+
 def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``numbered`` whose ``rid`` is not in ``dropped``, unpacked again."""
-    return rows.join(dropped.select("rid"), "rid", "left_anti").select("row.*")
+    return match(rows, dropped.select("rid"), ["rid"], "left_anti").select("row.*")
 
 
 def first_id(id_col: str = "id", rid: str = "rid") -> Column:

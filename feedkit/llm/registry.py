@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedkit.llm import bpe, chat, exact_dedup, host_rules, langid, mixing, near_dedup, secrets, warc
+from feedkit.llm import bpe, chat, exact_dedup, host_rules, langid, line_templates, mixing, near_dedup, secrets, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_chat": chat.op4_chat,
     "op5_bpe": bpe.op5_bpe,
     "op6_mixing": mixing.op6_mixing,
+    "op7_line_templates": line_templates.op7_line_templates,
     "op8_langid": langid.op8_langid,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_near_dedup": near_dedup.op10_near_dedup,
