@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass, field
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +38,14 @@ class RunContext:
         return F.lit(self.as_of)
 
     def now_col(self) -> Column:
-        """The run instant as a session-independent ``timestamp_ntz`` literal (UTC)."""
-        return F.lit(self.now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+        """The run instant as a TIMESTAMP literal, the same in every session zone."""
+        micros = (self.now.replace(tzinfo=dt.timezone.utc) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+        return F.timestamp_micros(F.lit(micros))
+
+    def gate_open(self, modulus: int = 2) -> bool:
+        """Whether the run's hour in ``tz`` is a multiple of ``modulus``."""
+        local = self.now.replace(tzinfo=dt.timezone.utc).astimezone(ZoneInfo(self.tz))
+        return local.hour % modulus == 0
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -55,8 +55,7 @@ def join_lines(line2: str, line3: str, variant: str = "append", max_len: int = 8
     """
     l2, l3 = q(line2), q(line3)
     if variant == "append":
-        joined = (f"concat(coalesce({l2}, ''), CASE WHEN {missing_sql(l3)} THEN '' "
-                  f"ELSE concat(' ', coalesce({l3}, '')) END)")
+        joined = f"concat_ws('', {l2}, ' ' || nullif({l3}, '0'))"
     elif variant == "guarded":
         joined = f"CASE WHEN {missing_sql(l2)} THEN '' ELSE concat_ws(' ', {l2}, {l3}) END"
     else:
@@ -85,11 +84,17 @@ def patron_class(level: str, classification: str, graduate: str = "graduate", gr
     """
     # Fixed values that must equal the reference's: the class rename table.
     renames = {"freshmen": "FRESHMAN"} if renames is None else renames
-    lv, cl = q(level), f"lower({q(classification)})"
-    mapped = "CASE " + " ".join(f"WHEN {cl} = {s(k)} THEN {s(v)}" for k, v in renames.items()) + f" ELSE {cl} END" \
-        if renames else cl
-    other = f"concat(lower(coalesce({lv}, '')), '-', coalesce(replace({mapped}, ' ', '-'), ''))"
-    return F.expr(f"upper(CASE WHEN lower({lv}) = {s(graduate)} THEN {s(graduate_code)} ELSE {other} END)")
+    lv, cl = q(level), q(classification)
+    names = ", ".join(f"{s(k)}, {s(v)}" for k, v in renames.items())
+    named = f"coalesce(element_at(map({names}), lower({cl})), {cl})" if renames else cl
+    return F.expr(f"upper(if(lower({lv}) = {s(graduate)}, {s(graduate_code)}, "
+                  f"concat_ws('', {lv}, '-', replace({named}, ' ', '-'))))")
+
+
+def utc_wall(instant: Column) -> Column:
+    """The UTC wall-clock time of a TIMESTAMP, whatever the session's zone."""
+    seconds = (F.unix_micros(instant.cast("timestamp")) / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def hour_gate(now_utc: str | Column, tz: str = "America/New_York", modulus: int = 2) -> Column:

@@ -2,22 +2,18 @@
 
 The control table is upserted without MERGE: the new state is computed as a
 full outer join of the current snapshot with the run's source rows and
-written as a *new* snapshot; a one-line pointer then switches readers to it.
-A path being read is never overwritten, and a failed run leaves the previous
-snapshot current.
+written as a *new* numbered version. The current version is the highest one
+Spark finished writing, so there is no pointer that could be lost, a path being
+read is never overwritten, and a failed run leaves the previous version current.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampType
 
-from feedkit.functions.text import hour_gate
+from feedkit.functions.text import hour_gate, utc_wall
 
 # Fixed values that must equal the reference's: control table column names and types.
 CONTROL_SCHEMA = StructType([
@@ -25,9 +21,9 @@ CONTROL_SCHEMA = StructType([
     StructField("wsrsrez_init_term", StringType(), True),
     StructField("wsrsrez_last_acyr", StringType(), True),
     StructField("wsrsrez_last_term", StringType(), True),
-    StructField("wsrsrez_last_sent", TimestampNTZType(), True),
+    StructField("wsrsrez_last_sent", TimestampType(), True),
     StructField("wsrsrez_status_ind", StringType(), True),
-    StructField("wsrsrez_activity_date", TimestampNTZType(), True),
+    StructField("wsrsrez_activity_date", TimestampType(), True),
 ])
 KEY_TYPE = DecimalType(8, 0)
 
@@ -41,7 +37,7 @@ def control_key(col: str | Column = "wsrsrez_pidm") -> Column:
 def control_source(feed: DataFrame, now: Column, tz: str = "America/New_York", modulus: int = 2,
                    key: str = "tmpPidm", year: str = "tmpTermACYR", term: str = "tmpPulledTerm") -> DataFrame:
     """Per person: MAX(year), MAX(term) of the feed's data rows, only in gated hours."""
-    rows = feed.filter((F.col("IS_HEADER") == 0) & hour_gate(now, tz, modulus))
+    rows = feed.filter((F.col("IS_HEADER") == 0) & hour_gate(utc_wall(now), tz, modulus))
     return rows.groupBy(key).agg(F.max(year).alias(year), F.max(term).alias(term))
 
 
@@ -57,53 +53,71 @@ def upsert_control(target: DataFrame, source: DataFrame, now: Column,
     j = t.join(s, F.col("__tk") == F.col("__sk"), "full_outer")
     hit = F.col("__s").isNotNull()
     has_t = F.col("__t").isNotNull()
-    now_ntz = now.cast("timestamp_ntz")
+    sent_at = now.cast("timestamp")
     out = j.select(
         F.when(has_t, F.col("wsrsrez_pidm")).otherwise(F.col("__sk").cast(DecimalType(38, 10))).alias("wsrsrez_pidm"),
         F.when(has_t, F.col("wsrsrez_init_term")).otherwise(F.col("__st")).alias("wsrsrez_init_term"),
         F.when(hit, F.col("__sy")).otherwise(F.col("wsrsrez_last_acyr")).alias("wsrsrez_last_acyr"),
         F.when(hit, F.col("__st")).otherwise(F.col("wsrsrez_last_term")).alias("wsrsrez_last_term"),
-        F.when(hit, now_ntz).otherwise(F.col("wsrsrez_last_sent")).alias("wsrsrez_last_sent"),
+        F.when(hit, sent_at).otherwise(F.col("wsrsrez_last_sent")).alias("wsrsrez_last_sent"),
         F.when(hit, F.lit("A")).otherwise(F.col("wsrsrez_status_ind")).alias("wsrsrez_status_ind"),
-        F.when(hit, now_ntz).otherwise(F.col("wsrsrez_activity_date")).alias("wsrsrez_activity_date"),
+        F.when(hit, sent_at).otherwise(F.col("wsrsrez_activity_date")).alias("wsrsrez_activity_date"),
     )
     return out
 
 
 class ControlTable:
-    """Snapshot-versioned control table under ``root`` (a shared, durable folder)."""
+    """Versions ``v<number>`` of the control table under ``root`` (a shared, durable folder)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.root = root.rstrip("/")
-
-    @property
-    def _pointer(self) -> str:
-        return f"{self.root}/_CURRENT"
-
-    def current_version(self) -> str | None:
-        try:
-            row = self.spark.read.text(self._pointer).first()
-        except AnalysisException:
-            return None
-        return row[0] if row else None
+        self.root = f"{root.rstrip('/')}/versions"
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self) -> tuple[list[int], list[int]]:
+        """Numbers of the finished versions and of all that were begun."""
+        if not self._fs.exists(self._path(self.root)):
+            return [], []
+        begun = sorted(int(f.getPath().getName()[1:]) for f in self._fs.listStatus(self._path(self.root)))
+        return [v for v in begun if self._fs.exists(self._path(f"{self._at(v)}/_SUCCESS"))], begun
+
+    def _at(self, number: int) -> str:
+        return f"{self.root}/v{number}"
+
+    def current_version(self) -> int | None:
+        """The highest finished version; None only where nothing was ever begun."""
+        finished, begun = self._versions()
+        if begun and not finished:
+            raise RuntimeError(f"{self.root} holds versions, but none was finished")
+        return finished[-1] if finished else None
 
     def ensure(self) -> None:
         """Create an empty table if none exists (CREATE TABLE IF NOT EXISTS)."""
         if self.current_version() is None:
-            self.commit(self.spark.createDataFrame([], CONTROL_SCHEMA), tag="v0")
+            self.commit(self.spark.createDataFrame([], CONTROL_SCHEMA))
 
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
+    def read(self, version: int | None = None) -> DataFrame:
+        version = self.current_version() if version is None else version
+        if version is None:
             return self.spark.createDataFrame([], CONTROL_SCHEMA)
-        return self.spark.read.schema(CONTROL_SCHEMA).parquet(f"{self.root}/snapshots/{v}")
-
-    def commit(self, df: DataFrame, tag: str | None = None) -> str:
-        """Write ``df`` as a new snapshot, then switch the pointer to it."""
-        tag = tag or f"v{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        return self.spark.read.schema(CONTROL_SCHEMA).parquet(self._at(version))
+
+    def commit(self, df: DataFrame, after: int | None = None) -> int:
+        """Write ``df`` as the next version and return its number.
+
+        ``after`` is the version ``df`` was computed from: if another run has committed or begun one
+        since, this one fails instead of losing that run's rows.
+        """
+        finished, begun = self._versions()
+        if after is not None and finished[-1:] != [after]:
+            raise RuntimeError(f"version {after} is no longer current: {finished[-1:]}")
+        number = begun[-1] + 1 if begun else 0
         df.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields]) \
-            .write.mode("errorifexists").parquet(f"{self.root}/snapshots/{tag}")
-        self.spark.createDataFrame([(tag,)], "v string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer)
-        return tag
+            .write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(self._at(number))
+        return number
+
+    def prune(self, keep: int = 10) -> None:
+        """Remove all but the newest ``keep`` finished versions (at least the current one)."""
+        for number in self._versions()[0][:-max(1, keep)]:
+            self._fs.delete(self._path(self._at(number)), True)

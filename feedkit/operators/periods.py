@@ -66,8 +66,8 @@ def run_params(periods: DataFrame, as_of: Any, floor: str | None = None) -> Data
     years = year_of(periods).select(F.col("code").alias("__code"), F.col("year").alias("period_year"))
     nxt = (periods.select(F.col("year").alias("__year")).distinct()
            .withColumn("next_year", F.lead("__year").over(Window.orderBy("__year"))))
-    out = cur.join(F.broadcast(years), F.col("period_code") == F.col("__code"), "left")
-    out = out.join(F.broadcast(nxt), F.col("period_year") == F.col("__year"), "left")
+    out = cur.join(years, F.col("period_code") == F.col("__code"), "left")
+    out = out.join(nxt, F.col("period_year") == F.col("__year"), "left")
     return out.select("period_code", "period_year", "next_year")
 
 
@@ -98,6 +98,6 @@ def floor_period(df: DataFrame, col: str, current: Any, periods: DataFrame,
     floored = F.when(F.col(col) < cur, cur).otherwise(F.col(col))
     lk = year_of(periods).select(F.col("code").alias("__fp_code"), F.col("year").alias("__fp_year"))
     out = df.withColumn(out_term, floored)
-    out = out.join(F.broadcast(lk), F.col(out_term) == F.col("__fp_code"), "left")
+    out = out.join(lk, F.col(out_term) == F.col("__fp_code"), "left")
     return (out.withColumn(out_year, F.coalesce(F.col("__fp_year"), F.lit(default_year)))
             .drop("__fp_code", "__fp_year"))

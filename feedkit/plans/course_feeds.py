@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.context import RunContext
@@ -63,7 +63,7 @@ def _sections(src: Sources, term: str | None) -> DataFrame:
     s = src["saturn_ssbsect"].filter(_code_eq("ssbsect_term_code", term))
     # Inner join to the term row(s); the result is made distinct, so a semi join
     # plus the code literal gives the same rows without fan-out.
-    return s.join(F.broadcast(terms.distinct()), F.col("ssbsect_term_code") == F.col("stvterm_code"), "inner")
+    return s.join(terms.distinct(), F.col("ssbsect_term_code") == F.col("stvterm_code"), "inner")
 
 
 def _dash(*cols: str):
@@ -105,21 +105,14 @@ class InjectedMember:
     member_id: str
 
 
-def term_starts(src: Sources, code: str | None) -> list:
-    """Start date(s) of one period code: a parameter fetched from the calendar table.
+def term_starts(src: Sources, code: str | None) -> Column:
+    """The start dates of one period code as an array, a scalar subquery over the calendar table.
 
-    A code table has one row per code; duplicates are kept distinct so a
-    duplicated code fans out exactly as a join to it would.
+    A code table has one row per code. Where a code repeats, every distinct start date fans out as a
+    join to it would, a missing date included.
     """
-    if code is None:
-        return []
-    rows = (src["saturn_stvterm"].filter(_code_eq("stvterm_code", code))
-            .select("stvterm_start_date").distinct().limit(1000).collect())
-    return sorted(r[0] for r in rows if r[0] is not None)
-
-
-def _dates(values: list):
-    return F.array(*[F.lit(v) for v in values]).cast("array<date>") if values else F.array().cast("array<date>")
+    rows = src["saturn_stvterm"].filter(_code_eq("stvterm_code", code))
+    return rows.agg(F.collect_set(F.struct(F.col("stvterm_start_date").cast("date").alias("start")))).scalar()
 
 
 def section_members(src: Sources, term: str | None, next_code: str | None,
@@ -127,15 +120,16 @@ def section_members(src: Sources, term: str | None, next_code: str | None,
     """Distinct (section, member, start, end) of the current term.
 
     End date = next term's start - 1 day; with no next term there are no rows.
-    Both start dates are period parameters, attached as literals (no join).
+    Both start dates are period parameters, attached by scalar subqueries.
     """
     sect = src["saturn_ssbsect"].filter(_code_eq("ssbsect_term_code", term)).select("ssbsect_term_code", "ssbsect_crn")
     reg = src["saturn_sfrstcr"].filter(_code_eq("sfrstcr_term_code", term)) \
         .select("sfrstcr_pidm", "sfrstcr_term_code", "sfrstcr_crn")
     j = sect.join(reg, (F.col("ssbsect_term_code") == F.col("sfrstcr_term_code"))
                   & (F.col("ssbsect_crn") == F.col("sfrstcr_crn")))
-    j = (j.withColumn("a_start", F.explode(_dates(term_starts(src, term))))
-         .withColumn("z_start", F.explode(_dates(term_starts(src, next_code)))))
+    j = j.withColumn("a_starts", term_starts(src, term)).withColumn("z_starts", term_starts(src, next_code))
+    j = j.withColumn("a", F.explode("a_starts")).withColumn("z", F.explode("z_starts"))
+    j = j.withColumn("a_start", F.col("a.start")).withColumn("z_start", F.col("z.start"))
     section = F.concat(F.coalesce(F.col("ssbsect_crn"), F.lit("")), F.lit("."), F.coalesce(F.col("ssbsect_term_code"), F.lit("")))
     start = F.date_format("a_start", "MM/dd/yyyy")
     end = F.date_format(F.date_add("z_start", -1), "MM/dd/yyyy")

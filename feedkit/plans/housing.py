@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.context import RunContext
+from feedkit.context import RunContext, stage
 from feedkit.functions.text import display_name, is_current, season_suffix
 from feedkit.functions.text import s as sq
 from feedkit.operators.asof import asof_cumulative, asof_join
@@ -136,7 +136,7 @@ def _term_years(src: Sources) -> DataFrame:
 def _deposit_years(src: Sources) -> DataFrame:
     """(person, year) of every housing deposit, for the same-year exclusions."""
     d = src["taismgr_tbrdepo"].filter(F.col("tbrdepo_detail_code_deposit").isin(list(HOUSING_DEPOSITS)))
-    return (d.join(F.broadcast(_term_years(src)), F.col("tbrdepo_term_code") == F.col("ty_code"))
+    return (d.join(_term_years(src), F.col("tbrdepo_term_code") == F.col("ty_code"))
             .select(F.col("tbrdepo_pidm").alias("x_pidm"), F.col("ty_year").alias("x_year")).distinct())
 
 
@@ -144,6 +144,24 @@ def _keyed_control(control: DataFrame) -> DataFrame:
     return control.withColumn("c_key", control_key())
 
 
+#: Tables that hold facts of a person, with their person columns.
+PERSON_KEYS = {
+    "general_gobintl": "gobintl_pidm", "general_gorvisa": "gorvisa_pidm", "general_goremal": "goremal_pidm",
+    "saturn_saradap": "saradap_pidm", "saturn_sarappd": "sarappd_pidm", "saturn_saraatt": "saraatt_pidm",
+    "saturn_sprhold": "sprhold_pidm", "saturn_sgrsprt": "sgrsprt_pidm", "saturn_spremrg": "spremrg_pidm",
+    "saturn_spraddr": "spraddr_pidm", "saturn_sprtele": "sprtele_pidm", "saturn_sorainf": "sorainf_pidm",
+    "saturn_sgbstdn": "sgbstdn_pidm", "saturn_shrtgpa": "shrtgpa_pidm", "saturn_shrlgpa": "shrlgpa_pidm",
+    "taismgr_tbrdepo": "tbrdepo_pidm", "grailssf_ferpa": "student_pidm",
+}
+
+
+def of_people(src: Sources, rows: DataFrame) -> dict[str, DataFrame]:
+    """The sources with every person's table cut to the people of ``rows`` before any aggregate or window."""
+    people = stage(rows.select(F.col("pidm").alias("__who")).distinct(), "people")
+    return {name: df.join(people, F.col(PERSON_KEYS[name]) == F.col("__who"), "left_semi") if name in PERSON_KEYS else df
+            for name, df in src.items()}
+
+
 # -- cohorts (thin rows) ----------------------------------------------------------------------
 
 def cohort_new_deposits(src: Sources, control: DataFrame, term_in: str | None) -> DataFrame:
@@ -155,7 +173,7 @@ def cohort_new_deposits(src: Sources, control: DataFrame, term_in: str | None) -
     g = at_max(_student_records(src), ["g_pidm"], "g_eff")
     base = d.join(g, F.col("pidm") == F.col("g_pidm"))
     yrs = _term_years(src).groupBy("ty_code").agg(F.min("ty_year").alias("d_year"))
-    base = base.join(F.broadcast(yrs), F.col("dterm") == F.col("ty_code"), "left")
+    base = base.join(yrs, F.col("dterm") == F.col("ty_code"), "left")
     ctl = _keyed_control(control).filter(F.col("wsrsrez_status_ind") == "A")
     base = not_sent(base, ctl, ("pidm", "c_key"), cond=F.col("wsrsrez_last_acyr") >= F.col("d_year"))
     return base.select(F.lit(1).alias("grp_num"), "pidm", F.col("dterm").alias("pulled_term"),
@@ -215,13 +233,13 @@ def cohort_campus(src: Sources, control: DataFrame, term_in: str | None) -> Data
     dep = src["taismgr_tbrdepo"].filter(F.col("tbrdepo_detail_code_deposit").isin(list(CAMPUS_DEPOSITS))
                                         & _ge("tbrdepo_term_code", term_in))
     d = dep.groupBy(F.col("tbrdepo_pidm").alias("pidm")).agg(F.max("tbrdepo_term_code").alias("dterm"))
-    d = d.join(F.broadcast(_term_years(src)), F.col("dterm") == F.col("ty_code")).drop("ty_code")
+    d = d.join(_term_years(src), F.col("dterm") == F.col("ty_code")).drop("ty_code")
     recs = _student_records(src).filter(F.col("g_camp") == ALT_CAMPUS)
     g = asof_join(d, recs, ["pidm"], ["g_pidm"], "dterm", "g_eff",
                   payload=["levl", "styp", "majr"], ties="all", how="inner", bucket=term_year_bucket)
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
     years = src["saturn_stvterm"].select(F.col("stvterm_acyr_code").alias("any_year")).distinct()
-    ctl = _keyed_control(control).join(F.broadcast(years), F.col("wsrsrez_last_acyr") == F.col("any_year"), "left_semi")
+    ctl = _keyed_control(control).join(years, F.col("wsrsrez_last_acyr") == F.col("any_year"), "left_semi")
     g = not_sent(g, ctl, ("pidm", "c_key"))
     return g.select(F.lit(3).alias("grp_num"), "pidm", F.col("dterm").alias("pulled_term"),
                     F.col("dterm").alias("asof_term"), "levl", "styp", "majr")
@@ -232,7 +250,7 @@ def cohort_registered(src: Sources, control: DataFrame, term_in: str | None) ->
     r = src["saturn_sfrstcr"].filter(F.col("sfrstcr_rsts_code").isin(list(REG_STATUSES))
                                      & _ge("sfrstcr_term_code", term_in))
     r = r.select(F.col("sfrstcr_pidm").alias("pidm"), F.col("sfrstcr_term_code").alias("rterm")).distinct()
-    r = r.join(F.broadcast(_term_years(src)), F.col("rterm") == F.col("ty_code")).drop("ty_code")
+    r = r.join(_term_years(src), F.col("rterm") == F.col("ty_code")).drop("ty_code")
     g = asof_join(r, _student_records(src), ["pidm"], ["g_pidm"], "rterm", "g_eff",
                   payload=["levl", "styp", "majr"], ties="all", how="inner", bucket=term_year_bucket)
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
@@ -289,7 +307,8 @@ def base_students(src: Sources, control: DataFrame, term_in: str | None, year: s
                             2: cohort_changed(src, control, term_in, year).drop("grp_num"),
                             3: cohort_campus(src, control, term_in).drop("grp_num"),
                             4: cohort_registered(src, control, term_in).drop("grp_num")})
-    c = classify(thin13, src)
+    thin13 = stage(thin13, "cohorts")
+    c = stage(classify(thin13, of_people(src, thin13)), "classified")
     first3 = c.filter(F.col("grp_num") != 4).select(*COHORT_COLS)
     reg = (c.filter(F.col("grp_num") == 4)
            .groupBy("grp_num", "pidm", "levl", "lvl_desc", "styp_code", "styp_desc", "enrollment_status", "majr_desc",
@@ -437,7 +456,8 @@ def overrides(src: Sources) -> DataFrame:
 def query_rows(src: Sources, control: DataFrame, ctx: RunContext, floor: str = PERIOD_FLOOR) -> DataFrame:
     """One row per output line with the 72 fields plus the four control columns."""
     term_in, year = _params(src, ctx, floor)
-    e = base_students(src, control, term_in, year)
+    e = stage(base_students(src, control, term_in, year), "base")
+    src = of_people(src, e)
     for df, key in enrichment(src, ctx, term_in):
         e = e.join(df, F.col("pidm") == F.col(key), "left").drop(key)
     e = e.withColumn("enroll_term", F.coalesce("term1", "term2"))

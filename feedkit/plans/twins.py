@@ -88,8 +88,9 @@ def _band_rules(td: Testdata) -> DataFrame:
                  F.col("n_regionkey").alias("levl"), (F.col("s_acctbal") - 2000.0).alias("lo"),
                  (F.col("s_acctbal") + 2000.0).alias("hi"))
     lp = td.lineitem.join(td.part, F.col("l_partkey") == F.col("p_partkey"))
-    attrs = (lp.filter((F.col("l_quantity") >= 50) & (F.col("l_discount") >= 0.1))
-             .select(F.col("l_suppkey").alias("seq"), F.col("p_brand").alias("att")).distinct())
+    # Every line is read; only lines of large discounted quantities carry an attribute code.
+    code = F.when((F.col("l_quantity") >= 50) & (F.col("l_discount") >= 0.1), F.col("p_brand"))
+    attrs = lp.select(F.col("l_suppkey").alias("seq"), code.alias("att")).distinct()
     return rules.rules_with_attributes(r, attrs, "seq", "seq", "att", ["seq", "clas_code", "levl", "lo", "hi"])
 
 
@@ -159,7 +160,7 @@ def _open_orders(td: Testdata, current: str = "199820") -> DataFrame:
     o = td.orders.select("o_orderkey", "o_custkey", "o_orderstatus", term_of("o_orderdate").alias("period_code"))
     o = o.filter(F.col("period_code") >= current)
     yr = P.year_of(td.periods()).select(F.col("code").alias("__c"), F.col("year").alias("period_year"))
-    return o.join(F.broadcast(yr), F.col("period_code") == F.col("__c")).drop("__c")
+    return o.join(yr, F.col("period_code") == F.col("__c")).drop("__c")
 
 
 def _not_sent(td: Testdata) -> DataFrame:
@@ -175,7 +176,7 @@ def q_not_sent(spark: SparkSession, sf: str) -> DataFrame:
 def _returns_by_year(td: Testdata) -> DataFrame:
     yr = P.year_of(td.periods()).select(F.col("code").alias("__c"), F.col("year").alias("ret_year"))
     r = td.order_lines().filter(F.col("l_returnflag") == "R").select("custkey", term_of("l_shipdate").alias("t"))
-    return r.join(F.broadcast(yr), F.col("t") == F.col("__c")).select("custkey", "ret_year")
+    return r.join(yr, F.col("t") == F.col("__c")).select("custkey", "ret_year")
 
 
 def _excluded(td: Testdata) -> DataFrame:

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedkit.context import stage
+
 Sources = Mapping[str, DataFrame]
 
 
@@ -43,9 +45,24 @@ def read_sources(spark: SparkSession, ns: Namespace, names: Iterable[str]) -> di
     return {n: read_source(spark, ns, n) for n in names}
 
 
-def publish(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Full refresh of a feed's stored result (never the path it reads from)."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def publish(df: DataFrame, target: str, fmt: str = "parquet") -> None:
+    """Full refresh of a feed's stored result, a folder (with a slash) or a catalog table.
+
+    The rows are computed and written in full before anything is replaced, so a failed computation
+    leaves the earlier result: a table is overwritten from the written rows, a folder is removed and
+    the new one renamed to it.
+    """
+    spark = df.sparkSession
+    if "/" not in target:
+        stage(df, "publish").write.mode("overwrite").format(fmt).saveAsTable(target)
+        return
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fresh, live = path(f"{target.rstrip('/')}._new"), path(target.rstrip("/"))
+    fs = live.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").format(fmt).save(fresh.toString())
+    fs.delete(live, True)
+    if not fs.rename(fresh, live):
+        raise RuntimeError(f"{fresh} could not be renamed to {live}")
 
 
 def export_text(feed: DataFrame, path: str) -> None:

@@ -11,28 +11,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedkit.context import RunContext, cut_lineage
+from feedkit.context import RunContext, stage
 from feedkit.operators.control import ControlTable, control_source, upsert_control
 from feedkit.plans.housing import housing_feed
 from feedkit.sources.catalog import Sources, publish
 
 
 def run_cycle(spark: SparkSession, src: Sources, control: ControlTable, ctx: RunContext,
-              feed_path: str | None = None) -> tuple[DataFrame, str]:
-    """One hourly run. Returns the feed as materialized and the committed control version.
+              feed_path: str | None = None) -> tuple[DataFrame, int]:
+    """One hourly run. Returns the feed as materialized and the current control version.
 
-    The feed is written (or reliably checkpointed) before the control upsert
-    reads it back, so the upsert sees exactly the published lines and the
-    feed's lineage is cut before the control snapshot changes.
+    The feed is written once (published, or staged) before the control upsert
+    reads it back, so the upsert sees exactly the published lines. In hours the
+    gate leaves out nothing is committed.
     """
     control.ensure()
-    ctl = control.read()
+    before = control.current_version()
+    ctl = control.read(before)
     feed = housing_feed(src, ctl, ctx)
     if feed_path:
         publish(feed, feed_path)
         feed = spark.read.parquet(feed_path)
     else:
-        feed = cut_lineage(feed)
+        feed = stage(feed, "feed")
+    if not ctx.gate_open():
+        return feed, before
     new = upsert_control(ctl, control_source(feed, ctx.now_col(), ctx.tz), ctx.now_col())
-    tag = control.commit(new)
-    return feed, tag
+    return feed, control.commit(new, after=before)
