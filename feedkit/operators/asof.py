@@ -44,7 +44,11 @@ def _sweep(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by:
                       F.col(left_on).alias("__k"),
                       F.struct(*[F.col(f"`{c}`") for c in lcols]).alias("__l"),
                       F.lit(1).alias("__side"))
-    part = list(byc)
+    part = [*byc, "__s"]
+    # Left rows with a missing key match nothing; they are spread instead of meeting in one group.
+    missing = F.greatest(*[F.col(c).isNull() for c in (*byc, "__k")])
+    lft = lft.withColumn("__s", F.when(missing, F.pmod(F.xxhash64("__l"), F.lit(64))).otherwise(F.lit(0).cast("long")))
+    r = r.withColumn("__s", F.lit(0).cast("long"))
     if bucket is not None:
         r = r.withColumn("__b", bucket(F.col("__k")))
         lft = lft.withColumn("__b", bucket(F.col("__k")))
@@ -52,7 +56,7 @@ def _sweep(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by:
         # unique per key) over the right side only. The left side contributes
         # just its distinct (key, bucket) pairs, a partial+final hash aggregate.
         summary = r.groupBy(*byc, "__b").agg(F.max("__pay").alias("__pay"))
-        wanted = lft.select(*byc, "__b").distinct()
+        wanted = lft.filter(~missing).select(*byc, "__b").distinct()
         seq = (wanted.withColumn("__f", F.lit(0))
                .unionByName(summary.withColumn("__f", F.lit(1)), allowMissingColumns=True))
         # Carry-in of a wanted bucket = last right row of all strictly earlier buckets
@@ -62,7 +66,7 @@ def _sweep(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by:
         carry = (seq.withColumn("__c", F.last("__pay", ignorenulls=True).over(wc))
                  .filter((F.col("__f") == 0) & F.col("__c").isNotNull())
                  .select(*byc, "__b", F.col("__c.__eff").alias("__k"),
-                         F.col("__c").alias("__pay"), F.lit(0).alias("__side")))
+                         F.col("__c").alias("__pay"), F.lit(0).alias("__side"), F.lit(0).cast("long").alias("__s")))
         r = r.unionByName(carry)
         part.append("__b")
     both = r.unionByName(lft, allowMissingColumns=True)
@@ -117,17 +121,31 @@ def asof_join(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_b
 
 
 def running_totals(facts: DataFrame, by: Sequence[str], on: str, value: str | Column,
-                   out: str) -> DataFrame:
+                   out: str, bucket: Bucket | None = None) -> DataFrame:
     """Per (by, on): the sum of ``value`` over all rows with the same ``by`` and key ``<= on``.
 
     Facts are pre-aggregated per (by, on) first (partial aggregation), so the
-    running-sum window only sees one row per distinct key value.
+    running-sum window only sees one row per distinct key value. With ``bucket``
+    that window is cut at the buckets' edges and the totals of earlier buckets,
+    one row per (by, bucket), are added, so a key with a long history is spread.
     """
     v = F.col(value) if isinstance(value, str) else value
     agg = (facts.filter(F.col(on).isNotNull())
            .groupBy(*by, on).agg(F.sum(v).alias("__v")))
-    w = Window.partitionBy(*by).orderBy(on).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return agg.withColumn(out, F.sum("__v").over(w)).drop("__v")
+    if bucket is None:
+        w = Window.partitionBy(*by).orderBy(on).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return agg.withColumn(out, F.sum("__v").over(w)).drop("__v")
+    agg = agg.withColumn("__b", bucket(F.col(on)))
+    w = Window.partitionBy(*by, "__b").orderBy(on).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*[f"__t{i}" for i in range(len(by))]).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (agg.groupBy(*[F.col(c).alias(f"__t{i}") for i, c in enumerate(by)], F.col("__b").alias("__tb"))
+              .agg(F.sum("__v").alias("__tv")).withColumn("__before", F.sum("__tv").over(earlier)))
+    same = F.col("__b").eqNullSafe(F.col("__tb"))
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"__t{i}"))
+    inside = agg.withColumn("__in", F.sum("__v").over(w))
+    total = F.when(F.col("__in").isNull(), F.col("__before")).otherwise(F.col("__in") + F.coalesce("__before", F.lit(0)))
+    return inside.join(totals, same).select(*[F.col(c) for c in (*by, on)], total.alias(out))
 
 
 def asof_cumulative(left: DataFrame, facts: DataFrame, left_by: Sequence[str], fact_by: Sequence[str],
@@ -138,7 +156,7 @@ def asof_cumulative(left: DataFrame, facts: DataFrame, left_by: Sequence[str], f
     Equals ``SUM(value) WHERE by = left.by AND fact_on <= left_on``; ``default``
     replaces the NULL of "no fact yet" (or all-NULL values).
     """
-    run = running_totals(facts, fact_by, fact_on, value, out)
+    run = running_totals(facts, fact_by, fact_on, value, out, bucket)
     res = asof_join(left, run, left_by, fact_by, left_on, fact_on, [out], ties="unique",
                     bucket=bucket)
     if default is not None:

@@ -82,7 +82,7 @@ def group_feed(src: Sources, ctx: RunContext) -> DataFrame:
                                     _dash("ssbsect_subj_code", "ssbsect_crse_numb").alias("NAME"),
                                     F.lit(ORGANIZATION).alias("ORGANIZATION")).distinct()
     cols = ["GROUP_IDENTIFIER", "NAME", "ORGANIZATION"]
-    return with_header(data_rows(g, cols, render_quoted(cols)), GROUP_HEADER, distinct=True)
+    return with_header(data_rows(g, cols, render_quoted(cols)), GROUP_HEADER)  # rows are distinct already
 
 
 def section_feed(src: Sources, ctx: RunContext) -> DataFrame:
@@ -94,7 +94,7 @@ def section_feed(src: Sources, ctx: RunContext) -> DataFrame:
                                     _dash("ssbsect_subj_code", "ssbsect_crse_numb", "ssbsect_seq_numb").alias("NAME"),
                                     _dash("ssbsect_subj_code", "ssbsect_crse_numb").alias("GROUP")).distinct()
     cols = ["SECTION_IDENTIFIER", "NAME", "GROUP"]
-    return with_header(data_rows(s, cols, render_quoted(cols)), SECTION_HEADER, distinct=True)
+    return with_header(data_rows(s, cols, render_quoted(cols)), SECTION_HEADER)  # rows are distinct already
 
 
 @dataclass(frozen=True)

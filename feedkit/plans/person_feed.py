@@ -79,8 +79,8 @@ def person_feed(src: Sources, ctx: RunContext, extra_rows: Sequence[Sequence[obj
     values in tests). A NULL ID makes the whole line NULL, as in the reference.
     """
     rows = person_rows(src, started_term(src, ctx))
-    if extra_rows:
-        rows = with_rows(rows, extra_rows, distinct=True)
+    # One distinct, before the lines are rendered: names that differ in quotes alone merge here.
+    rows = with_rows(rows, extra_rows, distinct=True) if extra_rows else rows.distinct()
     text = render_quoted(["ID", "PATRON", "FIRST_NAME", "MIDDLE_INITIAL", "LAST_NAME", Lit(STATUS),
                           "SCAD_EMAIL", "MAJR_DESC1", "COURSES"], raw=["ID", "SCAD_EMAIL"])
-    return with_header(data_rows(rows, LEAD, text), PERSON_HEADER, distinct=True)
+    return with_header(data_rows(rows, LEAD, text), PERSON_HEADER)

@@ -755,14 +755,50 @@ _STAGED = {"saturn_stvterm", "saturn_spriden", "saturn_sgbstdn", "taismgr_tbrdep
            "saturn_spraddr", "saturn_saraatt"}
 
 
-def q_feed_housing(spark: SparkSession, sf: str) -> DataFrame:
-    """F5 twin. Adapted source tables derived through joins/aggregates are staged once
-    as parquet in the shared checkpoint folder, so the feed reads them as file scans
-    (as it reads catalog tables in production) instead of re-deriving each adapter
-    subtree at every use."""
+def _housing_inputs(spark: SparkSession, sf: str):
+    """The adapted sources and control table of the housing feed. Those derived through joins or
+    aggregates are written once, so that they read as file scans, as catalog tables would."""
     from feedkit.context import stage
-    from feedkit.plans import housing
     td = Testdata(spark, sf)
     src = {k: stage(v, k) if k in _STAGED else v for k, v in _housing_sources(td).items()}
-    sent = _control_target(td, td.orders.filter(F.col("o_orderpriority") == "1-URGENT"))
-    return housing.housing_feed(src, stage(sent, "control"), _feed_ctx(), floor=PERIOD_FLOOR)
+    return src, stage(_control_target(td, td.orders.filter(F.col("o_orderpriority") == "1-URGENT")), "control")
+
+
+def _thin(cohort: DataFrame) -> DataFrame:
+    return cohort.select("pidm", "pulled_term", "asof_term", "levl", "styp", "majr").distinct()
+
+
+def q_cohort_deposits(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import housing
+    src, sent = _housing_inputs(spark, sf)
+    return _thin(housing.cohort_new_deposits(src, sent, housing._params(src, _feed_ctx(), PERIOD_FLOOR)[0]))
+
+
+def q_cohort_changed(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import housing
+    src, sent = _housing_inputs(spark, sf)
+    return _thin(housing.cohort_changed(src, sent, *housing._params(src, _feed_ctx(), PERIOD_FLOOR)))
+
+
+def q_cohort_campus(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import housing
+    src, sent = _housing_inputs(spark, sf)
+    return _thin(housing.cohort_campus(src, sent, housing._params(src, _feed_ctx(), PERIOD_FLOOR)[0]))
+
+
+def q_cohort_registered(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import housing
+    src, sent = _housing_inputs(spark, sf)
+    return _thin(housing.cohort_registered(src, sent, housing._params(src, _feed_ctx(), PERIOD_FLOOR)[0]))
+
+
+def q_advisors(spark: SparkSession, sf: str) -> DataFrame:
+    from feedkit.plans import housing
+    return housing.advisors(_housing_inputs(spark, sf)[0])
+
+
+def q_feed_housing(spark: SparkSession, sf: str) -> DataFrame:
+    """F5 twin: every line of the housing feed over the adapted sources."""
+    from feedkit.plans import housing
+    src, sent = _housing_inputs(spark, sf)
+    return housing.housing_feed(src, sent, _feed_ctx(), floor=PERIOD_FLOOR)

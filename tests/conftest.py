@@ -17,6 +17,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):

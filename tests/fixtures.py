@@ -196,8 +196,8 @@ DATA: dict[str, list[tuple]] = {
         (P(2001), "Old", "Contact", None, None, None, None, None, None, None, None, "P", TS(2023, 1, 1)),
     ],
     "general_goremal": [
-        (P(1001), "STEM", "Ann@Stem.EDU", "A", A), (P(1001), "SCAD", "ann@SCAD.edu", "A", A),
-        (P(1002), "SCAD", "x@scad.edu", "I", A), (P(1002), "STEM", "Bo@STEM.edu", "A", A),
+        (P(1001), "STEM", "Ann@Stem.EDU", "A", A), (P(1001), "SCAD", "ann@Mail.Example.org", "A", A),
+        (P(1002), "SCAD", "x@mail.example.org", "I", A), (P(1002), "STEM", "Bo@STEM.Example.org", "A", A),
         (P(2001), "STEM", "cy@stem.example", "A", A),
         (P(2002), "STEM", "dunn@stem.example", "A", TS(2024, 9, 10)),
     ],

@@ -73,8 +73,8 @@ def test_person_feed(src):
     out = pf.person_feed(src, CTX, EXTRA)
     assert header(out) == pf.PERSON_HEADER
     assert lines(out) == [
-        '"A1001","GRAD2","Anna","B","Smith","ACTIVE","ann@scad.edu","Animation","300;ART101;ART101;BIO210"',
-        '"A1002","UNDERGRADUATE-FRESHMAN","Bo",,"Lee","ACTIVE","bo@stem.edu","Film,"ART101"',
+        '"A1001","GRAD2","Anna","B","Smith","ACTIVE","ann@mail.example.org","Animation","300;ART101;ART101;BIO210"',
+        '"A1002","UNDERGRADUATE-FRESHMAN","Bo",,"Lee","ACTIVE","bo@stem.example.org","Film,"ART101"',
         '"T0000001","GRAD2","Test","A","Person","ACTIVE","test@example.org","Testing",',
     ]
     # A NULL id makes the whole line NULL (T20); registered-only, current-term-only persons.
@@ -185,13 +185,47 @@ def test_control_upsert_odd_hour_changes_nothing(spark, src, tmp_path):
     odd = RunContext.at(fx.AS_OF, dt.datetime(2024, 9, 15, 15, 0, 0))  # 11:00 New York
     feed, _ = run_cycle(spark, src, ctl, odd, feed_path=str(tmp_path / "feed"))
     assert feed.filter("IS_HEADER = 0").count() == 5
-    assert ctl.read().count() == 0
+    assert ctl.read().count() == 0 and ctl.current_version() == 0  # nothing is committed
 
 
-def test_send_cycle_without_publish_path_checkpoints(spark, src, tmp_path):
-    """Without a publish path the feed is reliably checkpointed before the upsert reads it."""
+def test_send_cycle_without_publish_path_stages(spark, src, tmp_path):
+    """Without a publish path the feed is written once before the upsert reads it."""
     ctl = ControlTable(spark, str(tmp_path / "control"))
     feed, tag = run_cycle(spark, src, ctl, CTX)
-    assert "ExistingRDD" in feed._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in feed._jdf.queryExecution().executedPlan().toString()
     assert ctl.current_version() == tag
     assert {int(r[0]) for r in ctl.read().select("wsrsrez_pidm").collect()} == {2001, 2002, 2003, 2004, 2005}
+
+
+def test_send_cycle_in_another_zone_with_timestamp_sources(spark, tmp_path):
+    """Control times are instants: a change after the last send counts in every session zone."""
+    upd = dict(fx.DATA)
+    upd["general_goremal"] = fx.DATA["general_goremal"] + [(fx.P(2004), "STEM", "finn@stem.example", "A", dt.datetime(2024, 9, 15, 15, 0))]
+
+    def instants(data):
+        src = fx.make_sources(spark, data)  # UTC wall clock, made TIMESTAMP while the session is in UTC
+        return {n: df.select(*[F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes])
+                for n, df in src.items()}
+
+    for name, data in (("first", fx.DATA), ("second", upd)):
+        for table, df in instants(data).items():
+            df.write.parquet(str(tmp_path / name / f"{table}.parquet"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        read = lambda name: {t: spark.read.parquet(str(tmp_path / name / f"{t}.parquet")) for t in fx.SCHEMAS}
+        ctl = ControlTable(spark, str(tmp_path / "control"))
+        run_cycle(spark, read("first"), ctl, CTX)                                   # sent at 14:00 UTC
+        later = RunContext.at(fx.AS_OF, dt.datetime(2024, 9, 15, 16, 0))
+        feed, _ = run_cycle(spark, read("second"), ctl, later)                      # changed at 15:00 UTC
+        assert [int(r[0]) for r in feed.filter("IS_HEADER = 0").select("tmpPidm").collect()] == [2004]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_repeated_and_missing_term_starts_fan_out(spark):
+    terms = fx.DATA["saturn_stvterm"]
+    again = [t for t in terms if t[0] == "202340"]
+    src = fx.make_sources(spark, {"saturn_stvterm": terms + [(*r[:2], None, *r[3:]) for r in again] + again})
+    plain = cf.section_members(fx.make_sources(spark), "202340", "202410").collect()
+    both = cf.section_members(src, "202340", "202410").collect()
+    assert len(both) == 2 * len(plain) and {r["start_date_col"] for r in both} == {plain[0]["start_date_col"], None}

@@ -73,9 +73,9 @@ def test_latest_per_key_tie_break_and_at_max_keeps_ties(spark):
 
 
 def test_preferred_code_order(spark):
-    df = spark.createDataFrame([(1, "STEM", "b"), (1, "SCAD", "a"), (2, "STEM", "c"), (3, "OTHR", "d")],
+    df = spark.createDataFrame([(1, "BB", "b"), (1, "AA", "a"), (2, "BB", "c"), (3, "CC", "d")],
                                "k int, code string, v string")
-    assert rows(latest.preferred(df, "k", "code", ["SCAD", "STEM"])) == [(1, "SCAD", "a"), (2, "STEM", "c")]
+    assert rows(latest.preferred(df, "k", "code", ["AA", "BB"])) == [(1, "AA", "a"), (2, "BB", "c")]
 
 
 # -- as-of ------------------------------------------------------------------------------------
@@ -312,16 +312,34 @@ def test_upsert_control(spark):
     assert out[(2, "202310", "202310")]["wsrsrez_status_ind"] == "I"
 
 
-def test_control_table_snapshots(spark, tmp_path):
+def test_control_table_versions(spark, tmp_path):
     tbl = control.ControlTable(spark, str(tmp_path / "ctl"))
     assert tbl.current_version() is None and tbl.read().count() == 0
     tbl.ensure()
-    assert tbl.current_version() == "v0"
+    assert tbl.current_version() == 0
     row = [(Decimal(7), "202410", "2425", "202410", dt.datetime(2024, 1, 1), "A", dt.datetime(2024, 1, 1))]
-    v = tbl.commit(spark.createDataFrame(row, control.CONTROL_SCHEMA))
-    assert tbl.current_version() == v and tbl.read().count() == 1
+    one = spark.createDataFrame(row, control.CONTROL_SCHEMA)
+    assert tbl.commit(one, after=0) == 1 and tbl.read().count() == 1
     tbl.ensure()
-    assert tbl.current_version() == v
+    assert tbl.current_version() == 1
+    with pytest.raises(RuntimeError):  # computed from a version that is no longer current
+        tbl.commit(one, after=0)
+    assert tbl.commit(one.union(one), after=1) == 2
+    tbl.prune(keep=1)
+    assert tbl.current_version() == 2 and tbl.read().count() == 2
+
+
+def test_control_table_after_a_crash(spark, tmp_path):
+    tbl = control.ControlTable(spark, str(tmp_path / "ctl"))
+    tbl.ensure()
+    row = [(Decimal(7), "202410", "2425", "202410", dt.datetime(2024, 1, 1), "A", dt.datetime(2024, 1, 1))]
+    tbl.commit(spark.createDataFrame(row, control.CONTROL_SCHEMA))
+    (tmp_path / "ctl" / "versions" / "v2").mkdir()  # a run that died while writing
+    assert tbl.current_version() == 1 and tbl.read().count() == 1
+    for v in (0, 1):
+        (tmp_path / "ctl" / "versions" / f"v{v}" / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError):  # never reads as empty once versions exist
+        tbl.read()
 
 
 def test_export_text_orders_header_first(spark, tmp_path):

@@ -65,5 +65,11 @@ def test_feeds_have_no_nested_loops_or_cartesian_products(spark, parquet_src, bu
 
 
 def test_housing_deposit_filter_reaches_the_scan(parquet_src, spark):
-    p = plan(hz.housing_feed(parquet_src, spark.createDataFrame([], CONTROL_SCHEMA), CTX))
+    p = plan(hz.cohort_new_deposits(parquet_src, spark.createDataFrame([], CONTROL_SCHEMA), "202410"))
     assert "GreaterThanOrEqual(tbrdepo_term_code,202410)" in p
+
+
+def test_housing_feed_scans_each_source_a_handful_of_times(parquet_src, spark):
+    """The cohorts are written once; what follows reads them and each source's rows of their people."""
+    p = plan(hz.housing_feed(parquet_src, spark.createDataFrame([], CONTROL_SCHEMA), CTX))
+    assert p.count("FileScan parquet") < 100

@@ -32,6 +32,15 @@ def test_publish_full_refresh(spark, tmp_path):
     assert [r[0] for r in spark.read.parquet(path).collect()] == [3]
 
 
+def test_publish_to_a_catalog_table(spark):
+    name = "feedkit_published"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    publish(spark.createDataFrame([(1,), (2,)], "v int"), name)
+    publish(spark.table(name).selectExpr("v + 10 AS v"), name)  # reads what it replaces
+    assert sorted(r[0] for r in spark.table(name).collect()) == [11, 12]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_stage_writes_once_and_reads_back(spark):
     df = spark.range(5).selectExpr("id", "id * 2 AS twice")
     staged = stage(df, "probe")
