@@ -2,6 +2,9 @@
 import re
 from collections import Counter
 
+import pytest
+from oracle_harness import compare, duck
+
 import corpus_pipeline
 from feedkit.llm import registry
 from feedkit.llm.common import stage
@@ -29,3 +32,10 @@ def test_stages(spark):
 def test_registry():
     assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 11)}
     assert set(registry.SQL) <= set(registry.QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(registry.SQL))
+def test_query_matches_its_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.001"
+    found = compare(spark, duck(sf_dir), sf_dir, name, registry.QUERIES[name], registry.SQL[name])
+    assert found["status"] == "ok", found
