@@ -50,18 +50,20 @@ def numbered(docs: DataFrame, name: str = "rows") -> DataFrame:
     return stage(docs.select(F.monotonically_increasing_id().alias("rid"), row), name)
 
 
-#: Rows of a few numbers each that may be broadcast: about 20 MB on each executor.
-BROADCAST_ROWS = 500_000
+#: Numbers that may be broadcast in one table: about 30 MB on each executor.
+BROADCAST_NUMBERS = 2_000_000
 
 
-def match(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """``rows.join(few)``, where ``few`` holds keys and a few numbers and ``rows`` may hold texts.
+def match(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", lists: Column | None = None) -> DataFrame:
+    """``rows.join(few)``, where ``few`` holds keys and numbers and ``rows`` may hold texts.
 
-    ``few`` is written and counted first: up to ``BROADCAST_ROWS`` it goes to every executor and the
-    texts stay where they are; beyond, both sides are shuffled and Spark splits skewed partitions.
+    ``few`` is written and its numbers counted first (``lists``: how many a row holds in arrays). Up to
+    ``BROADCAST_NUMBERS`` it goes to every executor and the texts stay where they are; beyond, both
+    sides are shuffled and Spark splits skewed partitions.
     """
     few = stage(few, "few")
-    return rows.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, keys, how)
+    numbers = few.agg(F.sum((F.lit(0) if lists is None else lists) + len(few.columns))).first()[0] or 0
+    return rows.join(F.broadcast(few) if numbers <= BROADCAST_NUMBERS else few, keys, how)
 
 
 def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:

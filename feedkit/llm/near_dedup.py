@@ -7,10 +7,12 @@ choice of ``ERRORS`` places left out brings each such pair together in a bucket.
 48 values and radius 23 a pair at similarity 0.8 lies outside with probability below 1e-5.
 
 Links are confirmed on the full shingle sets. Not all pairs of a bucket are looked at: texts with
-one set are one node (folded per input split before the shuffle); each node is first checked
-against the best of its buckets' smallest nodes; then only pairs of one bucket that are still in
-different components are checked, from the members outside the bucket's largest component. So
-every link that could join two components is tried, and groups of copies cost a row per member.
+one set are one node (folded per input split before the shuffle), and each node is first checked
+against the nearest and the most central of its buckets' hubs. Nodes whose buckets then still hold several components are
+compared by an exact positional prefix filter over their rare shingles, or over what they change in
+the hub they share, which leaves out the pairs that cannot be similar enough before they are made;
+the rest of different components are confirmed like the others. So every link that could join two components is tried, and families
+of edited copies cost about a row per member instead of one per pair.
 
 Shingles are compared as 64-bit hashes (two different shingles of one pair agree with a chance
 around 1e-12).
@@ -33,11 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, first_id, numbered, stage, table, without
+from feedkit.llm.common import column, first_id, in_arrow, match, numbered, stage, table, without
 from feedkit.llm.graph import components
 
 CHUNKS, WIDTH, ERRORS = 12, 4, 1
 RADIUS = CHUNKS * (ERRORS + 1) - 1
+#: Chunks that must be close for a pair not yet in one component; a pair at similarity 0.8 has fewer
+#: with a chance around 1e-5, at 0.85 around 1e-6.
+SHARED = 4
 _RANDOM = np.random.default_rng(20240607)
 _MULTIPLY = _RANDOM.integers(0, 2**63, CHUNKS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RANDOM.integers(0, 2**63, CHUNKS * WIDTH, dtype=np.uint64)
@@ -129,17 +134,45 @@ def _sets(size: int):
     def make(batches):
         hashes, seen = _WordHashes(), set()
         for batch in batches:
-            nodes, sets = [], []
+            nodes, counts, sets = [], [], []
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
                 if node not in seen:
                     seen.add(node)
-                    nodes.append(node)
-                    sets.append(shingle_hashes(text.as_py(), size, hashes).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
+                    shingles = shingle_hashes(text.as_py(), size, hashes)
+                    nodes.append(node), counts.append(len(shingles)), sets.append(shingles.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(sets, pa.binary())],
+                                             names=["node", "n", "set"])
 
     return make
 
 
+_ELEMENTS = "node long, n long, comp long, lead long, size long, group long, element long"
+
+
+def _spread(batch: pa.RecordBatch, sets: list[np.ndarray], groups: np.ndarray):
+    """A row per element of each row's set, in pieces."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    flat = np.concatenate([*sets, np.empty(0, np.int64)])
+    columns = [*(batch.column(c).to_numpy() for c in ("node", "n", "comp", "lead")), sizes, groups]
+    for i in range(0, len(flat), 500_000):
+        at = owner[i:i + 500_000]
+        yield pa.RecordBatch.from_arrays([*(pa.array(c[at]) for c in columns), pa.array(flat[i:i + 500_000])],
+                                         names=["node", "n", "comp", "lead", "size", "group", "element"])
+
+
+def _elements(batches):
+    for batch in batches:
+        yield from _spread(batch, [np.frombuffer(v.as_py(), np.int64) for v in batch.column("set")], np.zeros(len(batch), np.int64))
+
+
+def _differences(batches):
+    for batch in batches:
+        pairs = zip(batch.column("set"), batch.column("lead_set"), strict=True)
+        sets = [np.setxor1d(*(np.frombuffer(v.as_py(), np.int64) for v in pair), assume_unique=True) for pair in pairs]
+        yield from _spread(batch, sets, batch.column("lead").to_numpy())
+
+
 def _confirm(percent: int):
     def confirm(batches):
         for batch in batches:
@@ -165,7 +198,7 @@ class _Join:
                                T.StructField("k", T.LongType()), T.StructField("rep", T.LongType()),
                                T.StructField("n", T.LongType()), T.StructField("shingles", T.BinaryType()),
                                T.StructField("sig", T.BinaryType())])
-        self.signed = stage(self.texts.mapInArrow(_signer(size, to_arrow_schema(schema)), schema), "signed")
+        self.signed = stage(in_arrow(self.texts, _signer(size, to_arrow_schema(schema)), schema), "signed")
         reps = self.signed.where("shingles IS NOT NULL").select("rep", "k", "n", "shingles", "sig")
         self.nodes = stage(reps.groupBy("shingles").agg(F.min(F.struct("rep", "k", "n", "sig")).alias("x"))
                            .select("shingles", F.col("x.rep").alias("node"), "x.k", "x.n", "x.sig"), "nodes")
@@ -176,41 +209,53 @@ class _Join:
         return f"100 * least({n}, {m}) >= {self.percent} * greatest({n}, {m})"
 
     def buckets(self) -> DataFrame:
-        keys = self.nodes.select("node", "n", "sig").mapInArrow(_index, "key long, node long, n long")
-        hubs = (keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("members"))
-                .where("members > 1").select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")))
-        return stage(keys.join(hubs, "key"), "buckets")
+        """``(key, node, n, hub, hub_n, score)`` of every bucket with more than one member. The hub is the member
+        whose own buckets are the most crowded: in a family of edited copies, the text they come from."""
+        keys = in_arrow(self.nodes.select("node", "n", "sig"), _index, "key long, node long, n long")
+        sizes = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+        crowded = stage(keys.join(sizes, "key"), "crowded")
+        score = crowded.groupBy("node").agg(F.sum("members").alias("score"))
+        hubs = crowded.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("hub"))
+        return stage(crowded.join(hubs, "key").select("key", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), "hub.score"), "buckets")
 
     def close(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` whose signatures are within the radius, with their distance."""
         signs = self.nodes.select("node", "sig")
-        return (pairs.join(signs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
-                .join(signs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-                .mapInArrow(_distances, "a long, b long, distance int"))
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough. Only the texts of these pairs are read again."""
-        needed = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-                       .join(self.nodes.select("node", "k"), "node"), "needed")
-        sets = stage(self.texts.select("k", "text").join(needed, "k").select("node", "text")
-                     .mapInArrow(_sets(self.size), "node long, set binary").dropDuplicates(["node"]), "sets")
+        both = (pairs.join(signs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+                .join(signs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"))
+        return in_arrow(both, _distances, "a long, b long, distance int")
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """The shingle sets of some nodes, read again from one text each."""
+        needed = nodes.select("node").distinct().join(self.nodes.select("node", "k"), "node")
+        texts = match(self.texts.select("k", "text"), needed, ["k"]).select("node", "text")
+        return stage(in_arrow(texts, _sets(self.size), "node long, n long, set binary").dropDuplicates(["node"]), "sets")
+
+    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs whose full sets are similar enough."""
+        sets = sets.select("node", "set")
         both = (pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"))
-        return stage(both.mapInArrow(_confirm(self.percent), "a long, b long"), "links")
+        return stage(in_arrow(both, _confirm(self.percent), "a long, b long"), "links")
 
     def components(self) -> DataFrame:
         """``(node, comp)`` for each node that is linked with another."""
         buckets = self.buckets()
-        star = buckets.where("node <> hub AND " + self.alike("n", "hub_n")).select(
-            F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        best = stage(self.close(star).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("x"))
-                     .select("a", F.col("x.b").alias("b")), "best")
-        first = stage(components(self.links(best)), "first")
-        rest = stage(self.close(self.across(buckets, first)), "across")
-        if rest.isEmpty():
+        star = stage(buckets.where("node <> hub AND " + self.alike("n", "hub_n")).groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
+                     .agg(F.max("score").alias("score")), "star")
+        near = self.close(star.select("a", "b")).join(star, ["a", "b"]).groupBy("a").agg(
+            F.min(F.struct("distance", "b")).alias("x"), F.max(F.struct("score", "b")).alias("y"))
+        near = stage(near.select("a", "x.b", F.col("y.b").alias("lead")), "near")
+        best = near.select("a", "b").union(near.select("a", "lead")).distinct()
+        ends = best.select(F.col("a").alias("node")).union(best.select("b"))
+        first = stage(components(self.links(best, self.sets(ends))), "first")
+        open_nodes = self.open_nodes(buckets, first)
+        if open_nodes.isEmpty():
             return first
+        leads = near.select(F.col("a").alias("node"), "lead").join(open_nodes, "node")
+        sets = self.sets(open_nodes.union(leads.select("lead")))
+        more = self.links(self.close(self.sharing(sets.join(open_nodes, "node"), sets, first, leads)), sets)
         names = first.select(F.col("node").alias("x"), F.col("comp"))
-        more = self.links(rest)
         for end in ("a", "b"):  # links between the components found so far
             more = more.join(names.withColumnRenamed("x", end), end, "left").withColumn(
                 end, F.coalesce("comp", end)).drop("comp")
@@ -219,17 +264,52 @@ class _Join:
         alone = joined.join(first.select("comp").distinct(), "comp", "left_anti")
         return merged.unionByName(alone.select(F.col("comp").alias("node"), F.col("into").alias("comp")))
 
-    def across(self, buckets: DataFrame, known: DataFrame) -> DataFrame:
-        """The pairs of a bucket's members that are not yet in one component."""
-        members = buckets.join(known, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
-        largest = (members.groupBy("key", "comp").agg(F.count("*").alias("members"))
-                   .groupBy("key").agg(F.max(F.struct("members", "comp")).alias("top"), F.count("*").alias("comps"))
-                   .where("comps > 1").select("key", F.col("top.comp").alias("top")))
-        mixed = stage(members.join(largest, "key"), "mixed")
-        x, y = mixed.where("comp <> top").alias("x"), mixed.alias("y")
-        return (x.join(y, F.expr("x.key = y.key AND x.comp <> y.comp AND (y.comp = y.top OR x.node < y.node) AND "
-                                 + self.alike("x.n", "y.n")))
-                .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
+    def open_nodes(self, buckets: DataFrame, known: DataFrame) -> DataFrame:
+        """The nodes that share buckets of enough chunks with nodes of another component."""
+        members = stage(buckets.join(known, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "members")
+        while True:
+            mixed = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+            left = members.join(mixed.select("key"), "key")
+            chunk = F.expr(f"(key >> {16 * (WIDTH - ERRORS)}) div {len(_KEPT)}")
+            enough = left.groupBy("node").agg(F.countDistinct(chunk).alias("chunks")).where(f"chunks >= {SHARED}").select("node")
+            before, members = members, stage(left.join(enough, "node"), "members")
+            if members.count() > 0.9 * before.count():  # stopping early leaves more to compare, never less
+                return members.select("node").distinct()
+
+    def sharing(self, rows: DataFrame, sets: DataFrame, known: DataFrame, leads: DataFrame) -> DataFrame:
+        """The pairs of different components among ``rows`` that can still be similar enough.
+
+        Positional prefix filter: with elements in order of rarity, two sets that overlap enough have a
+        common element early in both, with enough elements after it. Between nodes of different leads
+        the elements are the shingles. Nodes of one lead (a hub both were checked against) are mostly
+        alike, so there the elements are those by which a node differs from the lead: two sets differ
+        by no more than the similarity allows only if their differences share enough elements, and
+        at least one where a node is not itself linked with the lead.
+        """
+        named = (rows.join(known, "node", "left").join(leads, "node", "left")
+                 .select("node", "n", F.coalesce("comp", "node").alias("comp"), F.coalesce("lead", "node").alias("lead"), "set"))
+        named = stage(named, "named")
+        p = self.percent
+        pair = f"x.element = y.element AND x.node < y.node AND x.comp <> y.comp AND {self.alike('x.n', 'y.n')}"
+        whole = self.prefixes(in_arrow(named, _elements, _ELEMENTS), f"n - CAST(ceil({p} * n / 100) AS BIGINT) + 1")
+        across = whole.alias("x").join(whole.alias("y"), F.expr(
+            f"{pair} AND x.lead <> y.lead AND {100 + p} * least(x.rest, y.rest) >= {p} * (x.n + y.n)"))
+        led = named.where("lead <> node").join(sets.select(F.col("node").alias("lead"), F.col("set").alias("lead_set")), "lead")
+        differing = self.prefixes(in_arrow(led, _differences, _ELEMENTS), f"CAST(floor({100 - p} * n / {p}) AS BIGINT) + 1")
+        within = differing.alias("x").join(differing.alias("y"), F.expr(
+            f"{pair} AND x.lead = y.lead AND {100 + p} * (x.size + y.size - 2 * least(x.rest, y.rest)) <= {100 - p} * (x.n + y.n)"))
+        return across.select("x.node", "y.node").union(within.select("x.node", "y.node")).toDF("b", "a").select("a", "b").distinct()
+
+    def prefixes(self, each: DataFrame, length: str) -> DataFrame:
+        """The first elements of each node's set in order of rarity, as far as ``length`` and without those
+        no other node has (they come first and take up places); ``rest`` counts from the element on."""
+        common = each.groupBy("group", "element").agg(F.count("*").alias("sets")).where("sets > 1")
+        held = each.join(stage(common, "common"), ["group", "element"]).groupBy("node", "n", "comp", "lead", "size").agg(
+            F.array_sort(F.collect_list(F.struct("sets", "element"))).alias("shared"))
+        held = held.withColumn("left", F.expr(length) - F.col("size") + F.size("shared")).where("left > 0")
+        return stage(held.select("node", "n", "comp", "lead", "size", F.size("shared").alias("all"),
+                                 F.posexplode(F.slice("shared", F.lit(1), F.col("left").cast("int"))).alias("at", "s"))
+                     .select("node", "n", "comp", "lead", "size", F.col("s.element").alias("element"), (F.col("all") - F.col("at")).alias("rest")), "prefix")
 
 
 def near_groups(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
