@@ -69,17 +69,13 @@ def _parser(id_type: pa.DataType):
 
 
 def _cells(batches):
-    """For each form wanted of a text: a number for each of its tokens at its place in the leaf."""
+    """For each line: a number for each of its tokens at its place in the leaf."""
     for batch in batches:
-        leaves, forms, docs, cells = [], [], [], []
-        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
-            parts = (text or "").split("\n")
-            for w in wanted:
-                start = f"{w['leaf']} ".encode()
-                leaves.append(w["leaf"]), forms.append(w["form"]), docs.append(w["docs"])
-                cells.append([_hash(start + str(at).encode() + b" " + t) for at, t in enumerate(masked(parts[w["pos"]]))])
-        yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), pa.array(forms, pa.int64()), pa.array(docs, pa.int64()),
-                                          pa.array(cells, pa.list_(pa.int64()))], names=["leaf", "form", "docs", "cells"])
+        leaves = batch.column("leaf").to_pylist()
+        cells = [[_hash(f"{leaf} {at} ".encode() + token) for at, token in enumerate(masked(line))]
+                 for leaf, line in zip(leaves, batch.column("line").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("leaf", "form", "docs")), pa.array(cells, pa.list_(pa.int64()))],
+                                         names=["leaf", "form", "docs", "cells"])
 
 
 def _cleaner(batches):
@@ -121,10 +117,9 @@ class LineTemplates:
 
     def templates(self, forms: DataFrame) -> DataFrame:
         """``(leaf, form, template)`` of forms in leaves with several, where enough of the line is fixed."""
-        wanted = forms.groupBy("k").agg(F.collect_list(F.struct("pos", "leaf", "form", "docs")).alias("wanted"))
-        wanted = stage(wanted, "wanted")
-        texts = match(self.texts.select("k", "text"), wanted.select("k"), ["k"], "left_semi")
-        cells = in_arrow(texts.join(wanted, "k").select("text", "wanted"), _cells, "leaf long, form long, docs long, cells array<long>")
+        texts = match(self.texts.select("k", "text"), forms.select("k", "pos", "leaf", "form", "docs"), ["k"])
+        lines = texts.select("leaf", "form", "docs", F.get(F.split("text", "\n"), F.col("pos")).alias("line"))
+        cells = in_arrow(lines, _cells, "leaf long, form long, docs long, cells array<long>")
         cells = stage(cells.dropDuplicates(["leaf", "form"]), "cells")
         each = cells.select("leaf", "form", "docs", F.posexplode("cells").alias("at", "cell"))
         fixed = each.groupBy("cell").agg(F.sum("docs").alias("docs")).where(f"docs >= {MIN_DOCS}").select("cell")
@@ -141,8 +136,8 @@ class LineTemplates:
 
     def cleaned(self, dropped: DataFrame) -> DataFrame:
         """``(k, clean)`` of the texts that lose lines."""
-        texts = match(self.texts.select("k", "text"), dropped.select("k"), ["k"], "left_semi")
-        return in_arrow(texts.join(dropped, "k").select("k", "text", "dropped"), _cleaner, "k long, clean string")
+        texts = match(self.texts.select("k", "text"), dropped, ["k"], lists=F.size("dropped"))
+        return in_arrow(texts.select("k", "text", "dropped"), _cleaner, "k long, clean string")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
