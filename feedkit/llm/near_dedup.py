@@ -273,7 +273,7 @@ class _Join:
             chunk = F.expr(f"(key >> {16 * (WIDTH - ERRORS)}) div {len(_KEPT)}")
             enough = left.groupBy("node").agg(F.countDistinct(chunk).alias("chunks")).where(f"chunks >= {SHARED}").select("node")
             before, members = members, stage(left.join(enough, "node"), "members")
-            if members.count() > 0.9 * before.count():  # stopping early leaves more to compare, never less
+            if members.count() >= 0.9 * before.count():  # none left counts too; stopping early leaves more to compare, never less
                 return members.select("node").distinct()
 
     def sharing(self, rows: DataFrame, sets: DataFrame, known: DataFrame, leads: DataFrame) -> DataFrame:

@@ -104,6 +104,23 @@ def test_near_stage_keeps_one_of_each_group(spark, make_docs):
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 2]
 
 
+def test_near_dedup_ends_without_open_nodes(make_docs, monkeypatch):
+    staged, stage = [], near_dedup.stage
+
+    def counted(df, name):
+        staged.append(name)
+        assert staged.count("members") < 10, "the search for open nodes goes round for ever"
+        return stage(df, name)
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    base = ["w%d" % i for i in range(80)]
+    for rows in ([], [(i, f"text {i} shares nothing with the others {i * 7}") for i in range(3)],
+                 [(1, " ".join(base)), (2, " ".join(base[:-1])), (3, "far away from them all")]):
+        got = near_dedup.near_dedup(make_docs(rows)).collect()
+        assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == near_expected(rows, 5, 80)
+        staged.clear()
+
+
 def test_signatures_within_the_radius_share_a_bucket():
     import numpy as np
     import pyarrow as pa
