@@ -5,7 +5,9 @@ size and put them into the shared checkpoint folder under names of their own; th
 that finished tasks report is what counts, so a repeated task leaves at most an unread file.
 
 Reading: the reader walks member by member (or version line by version line in an archive that is
-not compressed) and checks the compressed stream, the record's lengths and its digests. After a
+not compressed) and checks the compressed stream, the record's lengths and its block and payload
+digests (md5 and sha, hex or base32; others, and payload digests of revisits, segments and truncated
+records, are not checked). After a
 failed check it searches for the next member or version line that begins a valid record, goes on
 from there and logs the bytes in between as a quarantined gap.
 
@@ -21,6 +23,7 @@ table gives no archive and no rows; other columns are never looked at.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -38,6 +41,7 @@ ARCHIVE_BYTES = 8_000_000
 RECORD_DATE = "2000-01-01T00:00:00Z"  # records carry no clock, so that reruns agree
 # Fixed values of the WARC and gzip formats.
 VERSION, MAGIC, END = b"WARC/1.", b"\x1f\x8b\x08", b"\r\n\r\n"
+_HEAD_END, _CHUNKED, _CHUNK = re.compile(rb"\r?\n\r?\n"), re.compile(rb"\ntransfer-encoding:[^\n]*chunked"), re.compile(rb"([0-9A-Fa-f]+)[^\n]*\n")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
@@ -81,6 +85,39 @@ def _unpack(data: memoryview, start: int) -> tuple[bytes, int]:
     return b"".join(parts), at - len(unpacker.unused_data)
 
 
+def _agrees(label: str | None, data: bytes) -> bool:
+    """Whether the digest is that of ``data``, in hex or base32; true for algorithms and encodings not known here."""
+    name, _, value = (label or "").partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return True
+    digest, value = hashlib.new(name, data, usedforsecurity=False).digest(), value.strip().rstrip("=").lower()
+    same = {len(text): text for text in (digest.hex(), base64.b32encode(digest).decode().rstrip("=").lower())}
+    return same.get(len(value), value) == value
+
+
+def _payload(fields: dict[str, str], block: bytes) -> bytes:
+    """What follows the HTTP header of an HTTP record's block, and the whole block of others."""
+    if not fields.get("content-type", "").startswith("application/http"):
+        return block
+    head_end = _HEAD_END.search(block)
+    return block[head_end.end():] if head_end else b""
+
+
+def _payloads(fields: dict[str, str], block: bytes) -> list[bytes]:
+    """The payloads that the payload digest may be of: a chunked body counts as sent or put together."""
+    payload = _payload(fields, block)
+    both = [payload]
+    head = block[:len(block) - len(payload)].lower()
+    if _CHUNKED.search(head):
+        whole, at = [], 0
+        while (size := _CHUNK.match(payload, at)) and int(size[1], 16):
+            whole.append(payload[size.end():size.end() + int(size[1], 16)])
+            at = size.end() + int(size[1], 16) + 2
+        both.append(b"".join(whole))
+    return both
+
+
 def _parse(data: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
     """The record at ``start``: its fields, block and end; ValueError where a check fails."""
     head_end = data.find(END, start)
@@ -97,8 +134,11 @@ def _parse(data: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
     if length < 0 or data[end:end + len(END)] != END:
         raise ValueError("record is cut off")
     block = data[block_start:end]
-    if "warc-block-digest" in fields and fields["warc-block-digest"] != f"sha256:{hashlib.sha256(block).hexdigest()}":
+    if not _agrees(fields.get("warc-block-digest"), block):
         raise ValueError("block digest differs")
+    own = fields.get("warc-type") != "revisit" and not {"warc-segment-number", "warc-truncated"} & fields.keys()
+    if own and not any(_agrees(fields.get("warc-payload-digest"), payload) for payload in _payloads(fields, block)):
+        raise ValueError("payload digest differs")
     return fields, block, end + len(END)
 
 
@@ -219,7 +259,7 @@ def _reader(payloads: bool):
                 yield {"archive": archive, "offset": start, "end": end, "kind": kind, "reason": rest[0]}
                 continue
             fields, block = rest
-            payload = block.partition(END)[2] if fields.get("content-type", "").startswith("application/http") else block
+            payload = _payload(fields, block)
             full = fields.get("warc-type") != "revisit"
             digest = hashlib.sha256(payload).hexdigest() if full else fields.get("warc-payload-digest", "").removeprefix("sha256:")
             length = len(payload) if full else int(fields.get("x-payload-length", 0))

@@ -1,4 +1,5 @@
 """Chat formatting read back exactly; WARC archives written, damaged and salvaged."""
+import base64
 import gzip
 import hashlib
 
@@ -81,3 +82,24 @@ def test_salvage_of_a_member_with_several_records():
     bad = p[1].replace(b"payload 1", b"payload X", 1)
     found = list(warc.salvage(gzip.compress(p[0] + bad + p[2])))
     assert ids(found) == ["0", "2"] and [f[0] for f in found] == ["record", "record", "gap"]
+
+
+def foreign(block_digest, payload_digest, body=b"hello", head=b"HTTP/1.1 200 OK\r\n\r\n", kind="response"):
+    block = head + body
+    return (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Block-Digest: {block_digest(block)}\r\nWARC-Payload-Digest: {payload_digest(body)}\r\n"
+            f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block + warc.END
+
+
+def test_salvage_of_foreign_digests():
+    of = lambda name, pack: lambda data: f"{name}:{pack(hashlib.new(name.replace('-', '').lower(), data).digest())}"
+    base32 = lambda digest: base64.b32encode(digest).decode()
+    unknown, wrong = lambda data: "blake9:abc", lambda data: "sha1:" + base32(hashlib.sha1(b"other").digest())
+    known = [of(name, pack) for name in ("sha1", "SHA-256", "md5") for pack in (bytes.hex, base32)]
+    for digest in [*known, unknown]:
+        assert [f[0] for f in warc.salvage(foreign(digest, digest))] == ["record"]
+        assert [f[0] for f in warc.salvage(foreign(wrong, digest))] == ["gap"]
+        assert [f[0] for f in warc.salvage(foreign(digest, wrong))] == ["gap"]
+    assert [f[0] for f in warc.salvage(foreign(known[0], wrong, b"", kind="revisit"))] == ["record"]
+    head, chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n", b"5\r\nhello\r\n0\r\n\r\n"
+    for digest in (known[1], lambda data: known[1](b"hello")):
+        assert [f[0] for f in warc.salvage(foreign(known[1], digest, chunked, head))] == ["record"]
