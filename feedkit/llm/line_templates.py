@@ -5,7 +5,8 @@ tokens with digits counting as a variable field. Lines that agree after masking
 leaf that holds several forms, a token stays fixed where ``MIN_DOCS`` documents have it at its
 place, and becomes a variable field elsewhere; a line's template is what stays. A template with at
 least ``MIN_FIXED`` of its tokens fixed that ``MIN_DOCS`` documents contain is recurring, and its
-lines are dropped from every document. Lines under ``MIN_TOKENS`` tokens always stay.
+lines are dropped from every document. A line that ``LINE_DOCS`` documents hold word for word is
+recurring by itself; one under ``MIN_TOKENS`` tokens forms no template and is from ``SHORT_DOCS`` on.
 
 Only hashes of lines are shuffled; texts are read again for one line per form of the leaves with
 several forms, and for the documents that lose lines. A line that a third of all documents hold is
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from feedkit.llm.common import column, in_arrow, match, stage, table
 
 DEPTH, MIN_TOKENS, MIN_DOCS, MIN_FIXED = 3, 5, 3, 0.5
+LINE_DOCS, SHORT_DOCS = 2, 5
 FIELD = b"<*>"
 _DIGIT = re.compile(rb"[0-9]")
 
@@ -48,8 +50,15 @@ def leaf_of(tokens: list[bytes]) -> int:
     return _hash(b" ".join([str(len(tokens)).encode(), *tokens[:DEPTH]]))
 
 
+def _numbers(pos: int, part: str) -> dict[str, int]:
+    """The line's leaf and form, which short lines lack, and the number of its very words."""
+    tokens, words = masked(part), part.encode().split()
+    found = {"pos": pos, "line": _hash(b" ".join(words))}
+    return found if len(words) < MIN_TOKENS else {**found, "leaf": leaf_of(tokens), "form": _hash(b" ".join(tokens))}
+
+
 def _parser(id_type: pa.DataType):
-    line = pa.struct([("pos", pa.int32()), ("leaf", pa.int64()), ("form", pa.int64())])
+    line = pa.struct([("pos", pa.int32()), ("leaf", pa.int64()), ("form", pa.int64()), ("line", pa.int64())])
     schema = pa.schema([("id", id_type), ("k", pa.int64()), ("n_lines", pa.int64()), ("sha", pa.string()), ("lines", pa.list_(line))])
 
     def parse(batches):
@@ -58,10 +67,9 @@ def _parser(id_type: pa.DataType):
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 parts = text.split("\n")
-                tokens = ((pos, masked(part)) for pos, part in enumerate(parts))
                 counts.append(len(parts))
                 shas.append(hashlib.sha256(text.encode()).hexdigest())
-                lines.append([{"pos": pos, "leaf": leaf_of(t), "form": _hash(b" ".join(t))} for pos, t in tokens if len(t) >= MIN_TOKENS])
+                lines.append([_numbers(pos, part) for pos, part in enumerate(parts) if part.encode().split()])
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("k"), pa.array(counts, pa.int64()),
                                               pa.array(shas, pa.string()), pa.array(lines, pa.list_(line))], schema=schema)
 
@@ -95,7 +103,8 @@ class LineTemplates:
 
         rows = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
         self.texts = rows.select("id", F.xxhash64("id", "text").alias("k"), "text")
-        line = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("leaf", T.LongType()), T.StructField("form", T.LongType())])
+        line = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("leaf", T.LongType()), T.StructField("form", T.LongType()),
+                             T.StructField("line", T.LongType())])
         schema = T.StructType([rows.schema["id"], T.StructField("k", T.LongType()), T.StructField("n_lines", T.LongType()),
                                T.StructField("sha", T.StringType()), T.StructField("lines", T.ArrayType(line))])
         #: One row per row of ``docs``: ``(id, k, n_lines, sha, lines)``.
@@ -103,7 +112,7 @@ class LineTemplates:
 
     def recurring(self) -> DataFrame:
         """``(leaf, form, template)`` of the forms whose template recurs."""
-        lines = self.docs.select("k", F.explode("lines").alias("line")).select("k", "line.*")
+        lines = self.docs.select("k", F.explode("lines").alias("line")).select("k", "line.*").where("form IS NOT NULL")
         once = stage(lines.groupBy("k", "leaf", "form").agg(F.min("pos").alias("pos")), "once")
         forms = stage(once.groupBy("leaf", "form").agg(F.count("*").alias("docs"), F.min(F.struct("k", "pos")).alias("at")), "forms")
         leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("forms")).where(f"in_leaf >= {MIN_DOCS}")
@@ -115,6 +124,12 @@ class LineTemplates:
         often = counted.groupBy("template").agg(F.count("*").alias("docs")).where(f"docs >= {MIN_DOCS}").select("template")
         return stage(alone.unionByName(template.join(often, "template").select("leaf", "form", "template")), "recurring")
 
+    def repeated(self) -> DataFrame:
+        """``(line)`` of the lines that enough documents hold word for word."""
+        lines = self.docs.select("k", F.explode("lines").alias("line")).select("k", "line.line", F.expr("line.form IS NULL").alias("short"))
+        often = lines.distinct().groupBy("line", "short").agg(F.count("*").alias("docs"))
+        return often.where(f"docs >= IF(short, {SHORT_DOCS}, {LINE_DOCS})").select("line")
+
     def templates(self, forms: DataFrame) -> DataFrame:
         """``(leaf, form, template)`` of forms in leaves with several, where enough of the line is fixed."""
         texts = match(self.texts.select("k", "text"), forms.select("k", "pos", "leaf", "form", "docs"), ["k"])
@@ -131,7 +146,8 @@ class LineTemplates:
     def dropped(self) -> DataFrame:
         """``(k, dropped)``: the places of the lines that go."""
         lines = self.docs.select("k", F.explode(F.array_distinct("lines")).alias("line")).select("k", "line.*")
-        gone = match(lines, self.recurring().select("leaf", "form"), ["leaf", "form"], "left_semi")
+        gone = match(lines, self.recurring().select("leaf", "form"), ["leaf", "form"], "left_semi").select("k", "pos").union(
+            match(lines, self.repeated(), ["line"], "left_semi").select("k", "pos"))
         return stage(gone.groupBy("k").agg(F.array_sort(F.collect_set("pos")).alias("dropped")), "dropped")
 
     def cleaned(self, dropped: DataFrame) -> DataFrame:

@@ -109,6 +109,18 @@ def test_line_templates(make_docs):
     assert line_templates.drop_recurring_lines(make_docs([])).collect() == []
 
 
+def dropped_of(make_docs, texts):
+    """The places dropped from each of ``texts``, numbered from 0."""
+    return {r.doc_id: r.dropped for r in line_templates.drop_recurring_lines(make_docs(list(enumerate(texts))).repartition(3)).collect()}
+
+
+def test_line_templates_of_repeated_lines(make_docs):
+    texts = ["a line of words that two documents hold\nAll rights reserved.\n\nonly a", "a line of words that two documents hold\nAll rights reserved.\n\nonly b",
+             "the line with 2 in a single text\nthe line with 2 in a single text", *[f"All  rights reserved.\n\nrare {w}" for w in "cdefg"]]
+    got = dropped_of(make_docs, texts)
+    assert got == {0: [0, 1], 1: [0, 1], 2: [], **{i: [0] for i in range(3, 8)}}
+
+
 # -- language ID -------------------------------------------------------------------------------
 
 def test_cross_parser_against_substring_search():
