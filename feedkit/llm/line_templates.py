@@ -4,7 +4,8 @@ Lines are parsed by a tree of fixed depth: by number of tokens, then by the firs
 tokens with digits counting as a variable field. Lines that agree after masking are one form. In a
 leaf that holds several forms, a token stays fixed where ``MIN_DOCS`` documents have it at its
 place, and becomes a variable field elsewhere; a line's template is what stays. A template with at
-least ``MIN_FIXED`` of its tokens fixed that ``MIN_DOCS`` documents contain is recurring, and its
+least ``MIN_FIXED`` of the tokens after the leading ones fixed, masked ones not counted, that
+``MIN_DOCS`` documents contain is recurring, and its
 lines are dropped from every document. A line that ``LINE_DOCS`` documents hold word for word is
 recurring by itself; one under ``MIN_TOKENS`` tokens forms no template and is from ``SHORT_DOCS`` on.
 
@@ -51,14 +52,19 @@ def leaf_of(tokens: list[bytes]) -> int:
 
 
 def _numbers(pos: int, part: str) -> dict[str, int]:
-    """The line's leaf and form, which short lines lack, and the number of its very words."""
+    """The line's leaf and form, which short lines lack, the number of its very words, and whether enough
+    tokens of its form are not masked."""
     tokens, words = masked(part), part.encode().split()
     found = {"pos": pos, "line": _hash(b" ".join(words))}
-    return found if len(words) < MIN_TOKENS else {**found, "leaf": leaf_of(tokens), "form": _hash(b" ".join(tokens))}
+    if len(words) < MIN_TOKENS:
+        return found
+    tail = tokens[DEPTH:]
+    solid = sum(t != FIELD for t in tail) >= MIN_FIXED * len(tail)
+    return {**found, "leaf": leaf_of(tokens), "form": _hash(b" ".join(tokens)), "solid": solid}
 
 
 def _parser(id_type: pa.DataType):
-    line = pa.struct([("pos", pa.int32()), ("leaf", pa.int64()), ("form", pa.int64()), ("line", pa.int64())])
+    line = pa.struct([("pos", pa.int32()), ("leaf", pa.int64()), ("form", pa.int64()), ("line", pa.int64()), ("solid", pa.bool_())])
     schema = pa.schema([("id", id_type), ("k", pa.int64()), ("n_lines", pa.int64()), ("sha", pa.string()), ("lines", pa.list_(line))])
 
     def parse(batches):
@@ -77,13 +83,16 @@ def _parser(id_type: pa.DataType):
 
 
 def _cells(batches):
-    """For each line: a number for each of its tokens at its place in the leaf."""
+    """For each line: a number for each token after the leading ones that is not masked, at its place in the
+    leaf, and how many tokens follow the leading ones."""
     for batch in batches:
         leaves = batch.column("leaf").to_pylist()
-        cells = [[_hash(f"{leaf} {at} ".encode() + token) for at, token in enumerate(masked(line))]
-                 for leaf, line in zip(leaves, batch.column("line").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("leaf", "form", "docs")), pa.array(cells, pa.list_(pa.int64()))],
-                                         names=["leaf", "form", "docs", "cells"])
+        lines = [masked(line) for line in batch.column("line").to_pylist()]
+        cells = [[_hash(f"{leaf} {at} ".encode() + token) for at, token in enumerate(tokens) if at >= DEPTH and token != FIELD]
+                 for leaf, tokens in zip(leaves, lines, strict=True)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("leaf", "form", "docs")), pa.array(cells, pa.list_(pa.int64())),
+                                          pa.array([len(t) - DEPTH for t in lines], pa.int64())],
+                                         names=["leaf", "form", "docs", "cells", "n"])
 
 
 def _cleaner(batches):
@@ -104,7 +113,7 @@ class LineTemplates:
         rows = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
         self.texts = rows.select("id", F.xxhash64("id", "text").alias("k"), "text")
         line = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("leaf", T.LongType()), T.StructField("form", T.LongType()),
-                             T.StructField("line", T.LongType())])
+                             T.StructField("line", T.LongType()), T.StructField("solid", T.BooleanType())])
         schema = T.StructType([rows.schema["id"], T.StructField("k", T.LongType()), T.StructField("n_lines", T.LongType()),
                                T.StructField("sha", T.StringType()), T.StructField("lines", T.ArrayType(line))])
         #: One row per row of ``docs``: ``(id, k, n_lines, sha, lines)``.
@@ -113,11 +122,11 @@ class LineTemplates:
     def recurring(self) -> DataFrame:
         """``(leaf, form, template)`` of the forms whose template recurs."""
         lines = self.docs.select("k", F.explode("lines").alias("line")).select("k", "line.*").where("form IS NOT NULL")
-        once = stage(lines.groupBy("k", "leaf", "form").agg(F.min("pos").alias("pos")), "once")
-        forms = stage(once.groupBy("leaf", "form").agg(F.count("*").alias("docs"), F.min(F.struct("k", "pos")).alias("at")), "forms")
+        once = stage(lines.groupBy("k", "leaf", "form", "solid").agg(F.min("pos").alias("pos")), "once")
+        forms = stage(once.groupBy("leaf", "form", "solid").agg(F.count("*").alias("docs"), F.min(F.struct("k", "pos")).alias("at")), "forms")
         leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("forms")).where(f"in_leaf >= {MIN_DOCS}")
         forms = stage(forms.join(leaves, "leaf"), "of_leaves")
-        alone = forms.where("forms = 1").select("leaf", "form", F.col("form").alias("template"))
+        alone = forms.where("forms = 1 AND solid").select("leaf", "form", F.col("form").alias("template"))
         several = forms.where("forms > 1").select("leaf", "form", "docs", "at.k", "at.pos")
         template = self.templates(several)
         counted = once.join(template, ["leaf", "form"]).groupBy("template", "k").agg(F.lit(1).alias("one"))
@@ -134,12 +143,12 @@ class LineTemplates:
         """``(leaf, form, template)`` of forms in leaves with several, where enough of the line is fixed."""
         texts = match(self.texts.select("k", "text"), forms.select("k", "pos", "leaf", "form", "docs"), ["k"])
         lines = texts.select("leaf", "form", "docs", F.get(F.split("text", "\n"), F.col("pos")).alias("line"))
-        cells = in_arrow(lines, _cells, "leaf long, form long, docs long, cells array<long>")
+        cells = in_arrow(lines, _cells, "leaf long, form long, docs long, cells array<long>, n long")
         cells = stage(cells.dropDuplicates(["leaf", "form"]), "cells")
         each = cells.select("leaf", "form", "docs", F.posexplode("cells").alias("at", "cell"))
         fixed = each.groupBy("cell").agg(F.sum("docs").alias("docs")).where(f"docs >= {MIN_DOCS}").select("cell")
         kept = each.drop("docs").join(fixed, "cell").groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("at", "cell"))).alias("kept"))
-        sizes = cells.select("leaf", "form", F.size("cells").alias("n"))
+        sizes = cells.select("leaf", "form", "n")
         return stage(kept.join(sizes, ["leaf", "form"]).where(F.size("kept") >= MIN_FIXED * F.col("n"))
                      .select("leaf", "form", F.xxhash64("leaf", "kept").alias("template")), "templates")
 

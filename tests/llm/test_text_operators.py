@@ -121,6 +121,11 @@ def test_line_templates_of_repeated_lines(make_docs):
     assert got == {0: [0, 1], 1: [0, 1], 2: [], **{i: [0] for i in range(3, 8)}}
 
 
+def test_line_templates_keep_lines_that_do_not_repeat(make_docs):
+    texts = [f"{i} 1{i} 2{i} 3{i} 4{i} 5{i}\nonly the leading {w}a {w}b {w}c\nread page {i} of the long book" for i, w in enumerate("pqrst")]
+    assert dropped_of(make_docs, texts) == {i: [2] for i in range(5)}
+
+
 # -- language ID -------------------------------------------------------------------------------
 
 def test_cross_parser_against_substring_search():
