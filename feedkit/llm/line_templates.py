@@ -1,11 +1,16 @@
 """Operator 7, line dedup by a log-template tree.
 
 Lines are parsed by a tree of fixed depth: by number of tokens, then by the first ``DEPTH`` tokens,
-tokens with digits counting as a variable field. Lines that agree after masking are one form. In a
-leaf that holds several forms, a token stays fixed where ``MIN_DOCS`` documents have it at its
-place, and becomes a variable field elsewhere; a line's template is what stays. A template with at
-least ``MIN_FIXED`` of the tokens after the leading ones fixed, masked ones not counted, that
-``MIN_DOCS`` documents contain is recurring, and its
+tokens with digits counting as a variable field. Lines that agree after masking are one form; it
+recurs if ``MIN_DOCS`` documents hold it and at least ``MIN_FIXED`` of the tokens after the leading
+ones are not masked. In a leaf, a form's tokens are ordered by the documents that have them at their
+place; each beginning of that order (ties whole) is a template, the other tokens its variable fields. A
+template of ``MIN_DOCS`` documents recurs if at least ``MIN_FIXED`` of the tokens after the leading ones
+are fixed and it holds at least ``COHESION`` of the documents of its rarest fixed token, so tokens
+that are merely frequent make none, and a field's values may each be in many documents. One with
+a single fixed token after the leading ones, or with ``MIN_FIXED`` only over the whole line, recurs if it
+fills its leaf (``FILL`` of the documents, in the second case ``FILL_DOCS`` at least). All shares are of
+documents, so templates are found alike at every size. Recurring
 lines are dropped from every document. A line that ``LINE_DOCS`` documents hold word for word is
 recurring by itself; one under ``MIN_TOKENS`` tokens forms no template and is from ``SHORT_DOCS`` on.
 
@@ -33,6 +38,7 @@ from feedkit.llm.common import column, in_arrow, match, stage, table
 
 DEPTH, MIN_TOKENS, MIN_DOCS, MIN_FIXED = 3, 5, 3, 0.5
 LINE_DOCS, SHORT_DOCS = 2, 5
+COHESION, FILL, FILL_DOCS = 0.5, 0.9, 10
 FIELD = b"<*>"
 _DIGIT = re.compile(rb"[0-9]")
 
@@ -84,15 +90,16 @@ def _parser(id_type: pa.DataType):
 
 def _cells(batches):
     """For each line: a number for each token after the leading ones that is not masked, at its place in the
-    leaf, and how many tokens follow the leading ones."""
+    leaf, how many tokens follow the leading ones, and how many of the leading ones are not masked."""
     for batch in batches:
         leaves = batch.column("leaf").to_pylist()
         lines = [masked(line) for line in batch.column("line").to_pylist()]
         cells = [[_hash(f"{leaf} {at} ".encode() + token) for at, token in enumerate(tokens) if at >= DEPTH and token != FIELD]
                  for leaf, tokens in zip(leaves, lines, strict=True)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("leaf", "form", "docs")), pa.array(cells, pa.list_(pa.int64())),
-                                          pa.array([len(t) - DEPTH for t in lines], pa.int64())],
-                                         names=["leaf", "form", "docs", "cells", "n"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("leaf", "form", "docs", "in_leaf")), pa.array(cells, pa.list_(pa.int64())),
+                                          pa.array([len(t) - DEPTH for t in lines], pa.int64()),
+                                          pa.array([sum(x != FIELD for x in t[:DEPTH]) for t in lines], pa.int64())],
+                                         names=["leaf", "form", "docs", "in_leaf", "cells", "n", "lead"])
 
 
 def _cleaner(batches):
@@ -120,18 +127,22 @@ class LineTemplates:
         self.docs = stage(in_arrow(self.texts, _parser(to_arrow_type(rows.schema["id"].dataType)), schema), "lines")
 
     def recurring(self) -> DataFrame:
-        """``(leaf, form, template)`` of the forms whose template recurs."""
+        """``(leaf, form)`` of the forms that recur or have a template that does."""
         lines = self.docs.select("k", F.explode("lines").alias("line")).select("k", "line.*").where("form IS NOT NULL")
         once = stage(lines.groupBy("k", "leaf", "form", "solid").agg(F.min("pos").alias("pos")), "once")
         forms = stage(once.groupBy("leaf", "form", "solid").agg(F.count("*").alias("docs"), F.min(F.struct("k", "pos")).alias("at")), "forms")
         leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("forms")).where(f"in_leaf >= {MIN_DOCS}")
         forms = stage(forms.join(leaves, "leaf"), "of_leaves")
-        alone = forms.where("forms = 1 AND solid").select("leaf", "form", F.col("form").alias("template"))
-        several = forms.where("forms > 1").select("leaf", "form", "docs", "at.k", "at.pos")
-        template = self.templates(several)
-        counted = once.join(template, ["leaf", "form"]).groupBy("template", "k").agg(F.lit(1).alias("one"))
+        solid = forms.where(f"solid AND docs >= {MIN_DOCS}").select("leaf", "form")
+        open_ = forms.where("forms > 1 OR NOT solid").select("leaf", "form", "docs", "in_leaf", "at.k", "at.pos")
+        template = self.templates(open_)
+        # a form that enough documents hold makes its templates' documents enough
+        sure = template.groupBy("template").agg(F.max("docs").alias("docs")).where(f"docs >= {MIN_DOCS}").select("template")
+        rest = template.join(sure, "template", "left_anti")
+        counted = once.join(rest, ["leaf", "form"]).groupBy("template", "k").agg(F.lit(1).alias("one"))
         often = counted.groupBy("template").agg(F.count("*").alias("docs")).where(f"docs >= {MIN_DOCS}").select("template")
-        return stage(alone.unionByName(template.join(often, "template").select("leaf", "form", "template")), "recurring")
+        found = template.join(sure.union(often), "template").select("leaf", "form")
+        return stage(solid.union(found).distinct(), "recurring")
 
     def repeated(self) -> DataFrame:
         """``(line)`` of the lines that enough documents hold word for word."""
@@ -140,17 +151,24 @@ class LineTemplates:
         return often.where(f"docs >= IF(short, {SHORT_DOCS}, {LINE_DOCS})").select("line")
 
     def templates(self, forms: DataFrame) -> DataFrame:
-        """``(leaf, form, template)`` of forms in leaves with several, where enough of the line is fixed."""
-        texts = match(self.texts.select("k", "text"), forms.select("k", "pos", "leaf", "form", "docs"), ["k"])
-        lines = texts.select("leaf", "form", "docs", F.get(F.split("text", "\n"), F.col("pos")).alias("line"))
-        cells = in_arrow(lines, _cells, "leaf long, form long, docs long, cells array<long>, n long")
+        """``(leaf, form, docs, template)``: the templates of each form that hold together and are fixed enough."""
+        texts = match(self.texts.select("k", "text"), forms, ["k"])
+        lines = texts.select("leaf", "form", "docs", "in_leaf", F.get(F.split("text", "\n"), F.col("pos")).alias("line"))
+        cells = in_arrow(lines, _cells, "leaf long, form long, docs long, in_leaf long, cells array<long>, n long, lead long")
         cells = stage(cells.dropDuplicates(["leaf", "form"]), "cells")
-        each = cells.select("leaf", "form", "docs", F.posexplode("cells").alias("at", "cell"))
-        fixed = each.groupBy("cell").agg(F.sum("docs").alias("docs")).where(f"docs >= {MIN_DOCS}").select("cell")
-        kept = each.drop("docs").join(fixed, "cell").groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("at", "cell"))).alias("kept"))
-        sizes = cells.select("leaf", "form", "n")
-        return stage(kept.join(sizes, ["leaf", "form"]).where(F.size("kept") >= MIN_FIXED * F.col("n"))
-                     .select("leaf", "form", F.xxhash64("leaf", "kept").alias("template")), "templates")
+        each = cells.select("leaf", "form", "docs", "in_leaf", "n", "lead", F.explode("cells").alias("cell"))
+        held = each.groupBy("cell").agg(F.sum("docs").alias("held")).where(f"held >= {MIN_DOCS}")
+        kept = each.join(held, "cell").groupBy("leaf", "form", "docs", "in_leaf", "n", "lead").agg(
+            F.array_sort(F.collect_list(F.struct((-F.col("held")).alias("less"), "cell"))).alias("kept"))
+        enough = f"i >= {MIN_FIXED} * n"
+        cuts = kept.withColumn("cut", F.explode(F.expr(
+            f"filter(sequence(1, size(kept)), i -> (i = size(kept) OR kept[i - 1].less <> get(kept, i).less) AND "
+            f"({enough} OR (in_leaf >= {FILL_DOCS} AND lead + i >= {MIN_FIXED} * (n + {DEPTH}))))")))
+        cuts = stage(cuts.select("leaf", "form", "docs", "in_leaf", F.expr("xxhash64(leaf, slice(kept.cell, 1, cut))").alias("template"),
+                                 F.expr("-kept[cut - 1].less").alias("held"), F.expr(f"cut > 1 AND cut >= {MIN_FIXED} * n").alias("apart")), "cuts")
+        whole = cuts.groupBy("template").agg(*(F.max(c).alias(c) for c in ("held", "apart", "in_leaf")), F.sum("docs").alias("total"))
+        whole = whole.where(f"total >= {MIN_DOCS} AND total >= {COHESION} * held AND (apart OR total >= {FILL} * in_leaf)")
+        return stage(cuts.join(whole.select("template"), "template").select("leaf", "form", "docs", "template"), "templates")
 
     def dropped(self) -> DataFrame:
         """``(k, dropped)``: the places of the lines that go."""

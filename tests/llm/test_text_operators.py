@@ -126,6 +126,13 @@ def test_line_templates_keep_lines_that_do_not_repeat(make_docs):
     assert dropped_of(make_docs, texts) == {i: [2] for i in range(5)}
 
 
+def test_line_templates_with_frequent_field_values(make_docs):
+    names, places = ([f"{kind}{a}{b}" for a in "abcd" for b in "abcde"] for kind in ("n", "c"))
+    texts = [f"Posted by user {n} in {c}\nat the end {n} wrote {c} about this" for n in names for c in places]  # each value in 20 texts
+    texts += [f"Posted by hand {n} in {c}\nat the end of {n} then {c} here" for n, c in zip(names, places)]     # another template of a leaf
+    assert dropped_of(make_docs, texts) == {i: [0, 1] for i in range(len(texts))}
+
+
 # -- language ID -------------------------------------------------------------------------------
 
 def test_cross_parser_against_substring_search():
