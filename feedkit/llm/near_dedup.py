@@ -11,8 +11,10 @@ one set are one node (folded per input split before the shuffle), and each node
 against the nearest and the most central of its buckets' hubs. Nodes whose buckets then still hold several components are
 compared by an exact positional prefix filter over their rare shingles, or over what they change in
 the hub they share, which leaves out the pairs that cannot be similar enough before they are made;
-the rest of different components are confirmed like the others. So every link that could join two components is tried, and families
-of edited copies cost about a row per member instead of one per pair.
+the rest of different components are confirmed like the others. Nodes are compared there only if
+they share mixed buckets of ``SHARED`` chunks, which is sure up to signature distance 17, not up to the
+radius: a pair not joined through a hub is missed with a chance of 2.7e-5 at 0.8 and 3.7e-7 at 0.85
+(the reviewer's figures). Families of edited copies cost about a row per member instead of one per pair.
 
 Shingles are compared as 64-bit hashes (two different shingles of one pair agree with a chance
 around 1e-12).
