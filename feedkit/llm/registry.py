@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedkit.llm import bpe, chat, exact_dedup, host_rules, langid, line_templates, mixing, near_dedup, secrets, warc
+from feedkit.llm import bpe, chat, exact_dedup, host_rules, langid, line_templates, mixing, near_dedup, ranked_search, secrets, warc, whitening
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_langid": langid.op8_langid,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
 }
 
 SQL = {
@@ -22,4 +24,5 @@ SQL = {
     "op3_warc": warc.SQL,
     "op4_chat": chat.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op12_ranked_search": ranked_search.SQL,
 }
