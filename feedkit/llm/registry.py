@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedkit.llm import bpe, chat, exact_dedup, host_rules, langid, line_templates, mixing, near_dedup, ranked_search, secrets, warc, whitening
+from feedkit.llm import bpe, chat, exact_dedup, host_rules, langid, line_templates, mixing, near_dedup, ranked_search, secrets, signature_trees, warc, whitening
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_whitening": whitening.op11_whitening,
     "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_signature_trees": signature_trees.op13_signature_trees,
 }
 
 SQL = {
