@@ -291,14 +291,14 @@ class SignatureJoin:
         first = F.slice("shared", F.lit(1), F.expr(f"CAST(size(shared) - ({self.need}) + 1 AS INT)"))
         each = stage(held.select("node", "n", F.explode(first).alias("s")).select(F.col("s.element").alias("token"), "node", "n"), "tokens")
         several = each.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
-        return stage(each.join(several, "token"), "shared")
+        return stage(match(each, several, ["token"]), "shared")
 
     def regions(self, tokens: DataFrame) -> DataFrame:
         """``(hub, hub_n, score, node, n, votes)``: the nodes that have tokens of a hub, the hub with them."""
         score = tokens.groupBy("node").agg(F.sum("members").alias("score"))
         hubs = tokens.join(score, "node").groupBy("token").agg(F.max(F.struct("score", "node", "n")).alias("hub"))
-        return stage(tokens.join(hubs, "token").groupBy(F.col("hub.node").alias("hub"), "node", "n").agg(
-            F.first("hub.n").alias("hub_n"), F.first("hub.score").alias("score"), F.count("*").alias("votes")), "regions")
+        hubs = hubs.select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.score").alias("score"))
+        return stage(match(tokens, hubs, ["token"]).groupBy("hub", "hub_n", "score", "node", "n").agg(F.count("*").alias("votes")), "regions")
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""

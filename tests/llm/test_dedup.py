@@ -4,7 +4,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from feedkit.llm import exact_dedup, near_dedup
+import numpy as np
+import pytest
+
+from feedkit.llm import exact_dedup, near_dedup, signature_trees
 from feedkit.llm.graph import components
 
 
@@ -122,7 +125,6 @@ def test_near_dedup_ends_without_open_nodes(make_docs, monkeypatch):
 
 
 def test_signatures_within_the_radius_share_a_bucket():
-    import numpy as np
     import pyarrow as pa
 
     rng = np.random.default_rng(0)
@@ -140,3 +142,73 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.comp for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(10)}, **{i: 100 for i in (100, 101, 102)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+# -- signature trees ---------------------------------------------------------------------------
+
+def edited_families():
+    """Families with links on either side of the threshold, some only by chains of edits that no hub covers."""
+    random.seed(13)
+    words = ["w%d" % i for i in range(600)]
+    texts = ["", None, " \n ", "One", "one", "two words", "TWO  words", "a b c d", "É x y z q", "é x y z q", "long " * 20000]
+    for copies, length in ((60, 120), (20, 30), (8, 900)):
+        texts += family(random.choices(words, k=length), copies, length // 9, words)
+    chain = random.choices(words, k=200)
+    for _ in range(30):
+        chain = list(chain)
+        at = random.randrange(190)
+        chain[at:at + 4] = random.choices(words, k=4)
+        texts.append(" ".join(chain))
+    passage = random.choices(words, k=40)
+    texts += [" ".join(random.choices(words, k=50) + passage + random.choices(words, k=50)) for _ in range(30)]
+    return texts
+
+
+@pytest.mark.parametrize("piece_bytes", [signature_trees.PIECE_BYTES, 500])
+def test_signature_trees(make_docs, piece_bytes):
+    texts = edited_families()
+    rows = [(len(texts) - i, t) for i, t in enumerate(texts)] + [(5, "One"), (5, "One"), (None, "One"), (None, "alone here right now")]
+    got = signature_trees.jaccard_join(make_docs(rows).repartition(4), size=4, percent=85, piece_bytes=piece_bytes).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == near_expected(rows, 4, 85)
+
+
+def test_signature_trees_without_hubs(make_docs, monkeypatch):
+    """All links found by the trees alone: the hubs' own links are thrown away."""
+    links, calls = signature_trees.SignatureJoin.links, []
+
+    def later_links(self, pairs, sets):
+        calls.append(1)
+        found = links(self, pairs, sets)
+        return found.where("false") if len(calls) == 1 else found
+
+    monkeypatch.setattr(signature_trees.SignatureJoin, "links", later_links)
+    rows = [(i, t) for i, t in enumerate(edited_families())]
+    got = signature_trees.jaccard_join(make_docs(rows), size=4, percent=85, piece_bytes=2000).collect()
+    assert len(calls) == 3
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == near_expected(rows, 4, 85)
+
+
+def test_signature_trees_empty_tables(make_docs):
+    assert signature_trees.jaccard_join(make_docs([])).collect() == []
+    assert [tuple(r) for r in signature_trees.jaccard_join(make_docs([(1, None), (2, " ")])).collect()] == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_traversal_finds_all_similar_pairs():
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 2**63, rng.integers(20, 60), dtype=np.uint64)
+        for _ in range(4):
+            kept = base[rng.random(len(base)) > 0.1]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**63, rng.integers(0, 4), dtype=np.uint64)])))
+    bits = np.stack([np.frombuffer(signature_trees.bitmap(s, 9), np.uint64) for s in sets])
+    n, one = np.array([len(s) for s in sets]), np.zeros(len(sets), np.int64)
+    want = {(i, j) for j in range(len(sets)) for i in range(j)
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    found = {(i, j) for a, b, _ in signature_trees.Tree(bits, n, np.arange(len(sets)), one).pairs(80) for i, j in zip(a.tolist(), b.tolist())}
+    assert want and want <= found and len(found) < len(sets) ** 2 / 20
+    halves = (np.arange(len(sets)) % 2).astype(np.int64)
+    order = np.argsort(halves, kind="stable")
+    across = {(order[i], order[j]) for a, b, _ in signature_trees.Tree(bits[order], n[order], np.arange(len(sets)), halves[order]).pairs(80)
+              for i, j in zip(a.tolist(), b.tolist())}
+    assert {tuple(sorted(map(int, p))) for p in across} == {p for p in found if p[0] % 2 != p[1] % 2}

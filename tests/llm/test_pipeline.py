@@ -30,7 +30,7 @@ def test_stages(spark):
 
 
 def test_registry():
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(registry.SQL) <= set(registry.QUERIES)
 
 
