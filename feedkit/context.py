@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import ContextVar, copy_context
 from dataclasses import dataclass, field
 from zoneinfo import ZoneInfo
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,12 +71,43 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_scope: ContextVar["StagingScope | None"] = ContextVar("staging_scope", default=None)
+
+
+class StagingScope:
+    """Staged tables with a lifetime: those written inside ``with`` are deleted at its end.
+
+    ``keep`` writes what is to outlive the scope; that belongs to the scope around it, or where there
+    is none, to the application. Frames that read the scope's tables must be written or kept before
+    it ends. ``stage_all`` hands the scope on to its threads.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.roots = spark, []
+
+    def __enter__(self) -> "StagingScope":
+        self.outer, self._token = _scope.get(), _scope.set(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _scope.reset(self._token)
+        for root in self.roots:
+            delete_folder(self.spark, root)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        token = _scope.set(self.outer)
+        try:
+            return stage(df, name)
+        finally:
+            _scope.reset(token)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Cuts lineage like a reliable checkpoint but computes the input only once,
     and later reads get column pruning and filter pushdown from the file scan.
-    The folder goes away when the application ends.
+    The folder goes away with the ``StagingScope`` it was written in, at the latest when the application ends.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
@@ -80,10 +115,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(frames: Mapping[str, DataFrame], at_once: int = 8) -> dict[str, DataFrame]:
+    """``stage`` for frames that do not depend on one another, as concurrent jobs that share the executors."""
+    if not frames:
+        return {}
+    with ThreadPoolExecutor(min(at_once, len(frames))) as pool:
+        jobs = {name: pool.submit(copy_context().run, inheritable_thread_target(stage), df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder, deleted when the application ends."""
+    """A new folder under the shared checkpoint folder, deleted with its scope or when the application ends."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/staged/{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(root)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    folder_of(spark, root)[0].deleteOnExit(folder_of(spark, root)[1])
+    scope = _scope.get()
+    if scope is not None:
+        scope.roots.append(root)
     return f"{root}/{name}"
+
+
+def folder_of(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system and path object of ``path``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, where = folder_of(spark, path)
+    files.delete(where, True)
