@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 from feedkit.llm.common import column, in_arrow, table
 
 LONG = 64
-#: Characters of text in a slice, ids decoded at once, and pieces remembered by a worker.
-SLICE_CHARS, SLICE_IDS, REMEMBERED = 2_000_000, 1_000_000, 300_000
+#: Characters of text in a slice, ids decoded at once, and pieces remembered by a worker (twice: see ``encode``).
+SLICE_CHARS, SLICE_IDS, REMEMBERED = 2_000_000, 1_000_000, 250_000
 
 _SHORT_SQL = """
 WITH RECURSIVE state(w, t, done) AS (
@@ -70,8 +70,7 @@ SELECT w, t FROM state WHERE done
 """
 
 _DECODE_SQL = """
-SELECT d, string_agg(chars, '' ORDER BY p) AS chars
-FROM (SELECT d, unnest(range(1, len(ids) + 1)) AS p, unnest(ids) AS id FROM texts) JOIN vocabulary USING (id) GROUP BY d
+SELECT d, array_to_string(list(chars ORDER BY p), '') AS chars FROM positions JOIN vocabulary USING (id) GROUP BY d
 """
 
 
@@ -90,6 +89,7 @@ class Tokenizer:
 
         self.ranks, self.pattern = read_ranks(ranks_path), regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         splits = [(self.ranks[token[:i]], self.ranks[token[i:]], rank) for token, rank in self.ranks.items()
                   for i in range(1, len(token)) if token[:i] in self.ranks and token[i:] in self.ranks]
@@ -134,20 +134,27 @@ class Tokenizer:
                 self._contract(sql, group[i:i + step])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
+        """Each text's ids as little-endian unsigned 32-bit integers.
+
+        When enough pieces are known, they become the older ones; of these, the pieces that come up
+        again are taken over, so the common ones are never learned twice.
+        """
         pieces = [self.pattern.findall(text) for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self.learn(set().union(*pieces).difference(self.known))
+            self.known, self.older = {}, self.known
+        new = set().union(*pieces).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((piece, self.older[piece]) for piece in again)
+        self.learn(new - again)
         return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
 
     def decode(self, texts: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int32)
         ids = np.concatenate([*texts, np.empty(0, np.int32)]).astype(np.int32)
-        self.db.register("texts", pa.table({"d": np.arange(len(texts), dtype=np.int32), "ids": pa.ListArray.from_arrays(offsets, ids)}))
+        self.db.register("positions", pa.table({"d": np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts]),
+                                                "p": np.arange(len(ids), dtype=np.int32), "id": ids}))
         found = dict(self.db.execute(_DECODE_SQL).fetchall())
-        self.db.unregister("texts")
+        self.db.unregister("positions")
         return [found.get(d, "").encode("utf-16-le")[::2] for d in range(len(texts))]  # chr(256 + b) back to b
 
 
