@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import ContextVar, copy_context
 from dataclasses import dataclass, field
+from functools import partial
+from typing import TypeVar
 from zoneinfo import ZoneInfo
 
 from pyspark import inheritable_thread_target
@@ -71,6 +73,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+T = TypeVar("T")
 _scope: ContextVar["StagingScope | None"] = ContextVar("staging_scope", default=None)
 
 
@@ -115,15 +118,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_all(frames: Mapping[str, DataFrame], at_once: int = 8) -> dict[str, DataFrame]:
-    """``stage`` for frames that do not depend on one another, as concurrent jobs that share the executors."""
-    if not frames:
+def run_all(tasks: Mapping[str, Callable[[], T]], at_once: int = 8) -> dict[str, T]:
+    """The results of tasks that do not depend on one another; the Spark jobs they start share the executors.
+
+    Threads take over the session's local properties and the staging scope.
+    """
+    if not tasks:
         return {}
-    with ThreadPoolExecutor(min(at_once, len(frames))) as pool:
-        jobs = {name: pool.submit(copy_context().run, inheritable_thread_target(stage), df, name) for name, df in frames.items()}
+    heir = inheritable_thread_target(SparkSession.getActiveSession())
+    with ThreadPoolExecutor(min(at_once, len(tasks))) as pool:
+        jobs = {name: pool.submit(copy_context().run, heir(task)) for name, task in tasks.items()}
         return {name: job.result() for name, job in jobs.items()}
 
 
+def stage_all(frames: Mapping[str, DataFrame], at_once: int = 8) -> dict[str, DataFrame]:
+    """``stage`` for frames that do not depend on one another, as concurrent jobs."""
+    return run_all({name: partial(stage, df, name) for name, df in frames.items()}, at_once)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder, deleted with its scope or when the application ends."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/staged/{uuid.uuid4().hex}"

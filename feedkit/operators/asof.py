@@ -5,81 +5,95 @@ effective key is the greatest one ``<=`` the left row's key. This is the
 correlated ``MAX(eff) WHERE eff <= x`` / lateral ``ORDER BY eff DESC LIMIT 1``
 shape, re-expressed as one sort-based window sweep instead of a nested-loop
 join: left and right rows are unioned, sorted by (key, side) inside each
-``by`` partition, and every left row takes the last right row seen so far.
-
-Skew: a single ``by`` key can hold a large share of all rows. With ``bucket``
-(a monotone function of the key, e.g. month of a date or year of a term) the
-sweep is partitioned by ``(by, bucket)`` instead. Each bucket is seeded with a
-*carry-in* row (the last right row of all earlier buckets), computed from a
-per-bucket summary whose size is (#keys x #buckets), not #rows.
+``by`` partition, and every left row takes the last right row seen so far. A
+running total is the same sweep with a sum in place of the last row.
+
+The unioned rows are written once, so both inputs are evaluated once, whatever
+they are made of. Keys with more than ``hot_rows`` rows are found by a count over
+the written rows and split by themselves: a sorted sample of the key's rows
+gives the cuts, each stretch between two cuts is swept on its own, and one carry
+row per stretch hands on what came before it (a two-level prefix sum for totals).
+Other keys cost nothing extra; where no key is hot, no cuts are made.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedkit.context import stage
 from feedkit.operators.latest import latest_per_key
 
-Bucket = Callable[[Column], Column]
+#: Rows of one key that a task sweeps; beyond it the key is cut.
+HOT_ROWS = 2_000_000
+#: Sampled rows for each stretch of a hot key.
+SAMPLED = 64
 
 
-def _sweep(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by: Sequence[str],
-           left_on: str, right_on: str, payload: Sequence[str], bucket: Bucket | None) -> DataFrame:
-    """Core sweep. ``right`` must be unique per (right_by, right_on).
+def _cuts(rows: DataFrame, byc: list[str], hot_rows: int) -> DataFrame | None:
+    """``(by, __cuts)``: the sorted keys at which each hot key's rows are cut, or None where no key is hot.
 
-    Returns the left rows with a struct column ``__m`` (``__eff`` + payload) or NULL.
+    A hot key has more than ``hot_rows`` rows, so there are at most as many as that number goes into all rows.
     """
-    nb = len(left_by)
-    byc = [f"__by{i}" for i in range(nb)]
-    r = right.select(*[F.col(c).alias(b) for c, b in zip(right_by, byc)],
-                     F.col(right_on).alias("__k"),
-                     F.struct(F.col(right_on).alias("__eff"),
-                              *[F.col(p).alias(p) for p in payload]).alias("__pay"),
-                     F.lit(0).alias("__side"))
-    lcols = left.columns
-    lft = left.select(*[F.col(c).alias(b) for c, b in zip(left_by, byc)],
-                      F.col(left_on).alias("__k"),
-                      F.struct(*[F.col(f"`{c}`") for c in lcols]).alias("__l"),
-                      F.lit(1).alias("__side"))
-    part = [*byc, "__s"]
+    known = rows.filter(~F.greatest(*[F.col(c).isNull() for c in (*byc, "__k")]))
+    hot = stage(known.groupBy(*byc).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows), "hot")
+    if hot.isEmpty():
+        return None
+    sample = known.join(hot, byc).filter(F.rand(20) < F.lit(float(SAMPLED)) / F.least(F.lit(hot_rows), F.col("__n")))
+    cuts = sample.groupBy(*byc).agg(F.expr(
+        f"array_distinct(filter(array_sort(collect_list(__k)), (x, i) -> i % {SAMPLED} = {SAMPLED - 1}))").alias("__cuts"))
+    return stage(cuts, "cuts")
+
+
+def _sweep(left: DataFrame, events: DataFrame, byc: list[str], total: bool, hot_rows: int) -> DataFrame:
+    """Core sweep over ``left(by, __k, __l)`` and ``events(by, __k, __v)``.
+
+    Returns the left rows with ``__m``: the sum of ``__v`` over the key's events up to ``__k`` (``total``),
+    or else the last event's ``__v``, for which events must be unique per (by, __k).
+    """
+    left = left.withColumn("__side", F.lit(1))
+    rows = stage(events.withColumn("__side", F.lit(0)).unionByName(left, allowMissingColumns=True), "sweep")
+    cuts = _cuts(rows, byc, hot_rows)
     # Left rows with a missing key match nothing; they are spread instead of meeting in one group.
-    missing = F.greatest(*[F.col(c).isNull() for c in (*byc, "__k")])
-    lft = lft.withColumn("__s", F.when(missing, F.pmod(F.xxhash64("__l"), F.lit(64))).otherwise(F.lit(0).cast("long")))
-    r = r.withColumn("__s", F.lit(0).cast("long"))
-    if bucket is not None:
-        r = r.withColumn("__b", bucket(F.col("__k")))
-        lft = lft.withColumn("__b", bucket(F.col("__k")))
-        # Last right row per (key, bucket): a struct max (first field __eff is
-        # unique per key) over the right side only. The left side contributes
-        # just its distinct (key, bucket) pairs, a partial+final hash aggregate.
-        summary = r.groupBy(*byc, "__b").agg(F.max("__pay").alias("__pay"))
-        wanted = lft.filter(~missing).select(*byc, "__b").distinct()
-        seq = (wanted.withColumn("__f", F.lit(0))
-               .unionByName(summary.withColumn("__f", F.lit(1)), allowMissingColumns=True))
-        # Carry-in of a wanted bucket = last right row of all strictly earlier buckets
-        # (at equal bucket the wanted row sorts first, so its own bucket is excluded).
-        wc = (Window.partitionBy(*byc).orderBy("__b", "__f")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        carry = (seq.withColumn("__c", F.last("__pay", ignorenulls=True).over(wc))
-                 .filter((F.col("__f") == 0) & F.col("__c").isNotNull())
-                 .select(*byc, "__b", F.col("__c.__eff").alias("__k"),
-                         F.col("__c").alias("__pay"), F.lit(0).alias("__side"), F.lit(0).cast("long").alias("__s")))
-        r = r.unionByName(carry)
+    missing = (F.col("__side") == 1) & F.greatest(*[F.col(c).isNull() for c in (*byc, "__k")])
+    rows = rows.withColumn("__s", F.when(missing, F.pmod(F.xxhash64("__l"), F.lit(64)) + 1).otherwise(F.lit(0).cast("long")))
+    part = [*byc, "__s"]
+    if cuts is not None:
         part.append("__b")
-    both = r.unionByName(lft, allowMissingColumns=True)
+        rows = rows.join(cuts, byc, "left").withColumn(
+            "__b", F.expr("greatest(0, coalesce(size(filter(__cuts, x -> x <= __k)), 0))")).drop("__cuts")
+        stretches = cuts.select(*byc, F.explode(F.expr("sequence(0, size(__cuts))")).alias("__b"))
+        of_hot = rows.filter(F.col("__side") == 0).join(cuts.select(*byc), byc, "left_semi")
+        value = F.sum("__v") if total else F.max_by("__v", "__k")
+        summary = of_hot.groupBy(*byc, "__b").agg(value.alias("__v"))
+        earlier = Window.partitionBy(*byc).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # a row per stretch
+        before = F.sum("__v").over(earlier) if total else F.last("__v", ignorenulls=True).over(earlier)
+        carry = (stretches.join(summary, [*byc, "__b"], "left").withColumn("__v", before).filter(F.col("__v").isNotNull())
+                 .withColumn("__side", F.lit(0)).withColumn("__s", F.lit(0).cast("long")))
+        rows = rows.unionByName(carry, allowMissingColumns=True)
     w = (Window.partitionBy(*part).orderBy(F.col("__k").asc_nulls_first(), F.col("__side"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    swept = both.withColumn("__m", F.last("__pay", ignorenulls=True).over(w))
-    return swept.filter(F.col("__side") == 1).select("__l.*", "__m")
+    found = F.sum("__v").over(w) if total else F.last("__v", ignorenulls=True).over(w)
+    return rows.withColumn("__m", found).filter(F.col("__side") == 1)
+
+
+def _sides(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by: Sequence[str], left_on: str,
+           right_on: str, value: Column) -> tuple[DataFrame, DataFrame, list[str]]:
+    byc = [f"__by{i}" for i in range(len(left_by))]
+    whole = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    lft = left.select(*[F.col(c).alias(b) for c, b in zip(left_by, byc)], F.col(left_on).alias("__k"), whole.alias("__l"))
+    for c in (*right_by, right_on):
+        right = right.filter(F.col(c).isNotNull())
+    events = right.select(*[F.col(c).alias(b) for c, b in zip(right_by, byc)], F.col(right_on).alias("__k"), value.alias("__v"))
+    return lft, events, byc
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_by: Sequence[str],
               left_on: str, right_on: str, payload: Sequence[str],
               tie_break: Sequence[Column] = (), ties: str = "first", how: str = "left",
-              bucket: Bucket | None = None, eff_out: str | None = None) -> DataFrame:
+              eff_out: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Attach to each left row the right row with the greatest ``right_on <= left_on``.
 
     ``ties``: ``first`` keeps one right row per (by, key) using ``tie_break``
@@ -90,75 +104,45 @@ def asof_join(left: DataFrame, right: DataFrame, left_by: Sequence[str], right_b
     ``eff_out`` names an output column holding the matched right key.
     NULL keys never match, on either side.
     """
-    rnn = right
-    for c in (*right_by, right_on):
-        rnn = rnn.filter(F.col(c).isNotNull())
+    item = F.struct(*[F.col(p).alias(p) for p in payload])
     if ties == "all":
-        keys = rnn.select(*right_by, right_on).distinct()
-        m = _sweep(left, keys, left_by, right_by, left_on, right_on, [], bucket)
-        m = m.withColumn("__eff", F.col("__m.__eff")).drop("__m")
-        rr = rnn.select(*[F.col(c).alias(f"__rb{i}") for i, c in enumerate(right_by)],
-                        F.col(right_on).alias("__reff"), *payload)
-        cond = F.col("__eff") == F.col("__reff")
-        for i, c in enumerate(left_by):
-            cond = cond & (F.col(c) == F.col(f"__rb{i}"))
-        out = m.join(rr, cond, "inner" if how == "inner" else "left")
-        out = out.drop(*[f"__rb{i}" for i in range(len(right_by))], "__reff")
-        return out.withColumnRenamed("__eff", eff_out) if eff_out else out.drop("__eff")
-    if ties == "first":
+        # One event per key holds all its rows, so nothing is joined back.
+        value = F.struct(F.col(right_on).alias("__eff"), F.col("__items"))
+        for c in (*right_by, right_on):
+            right = right.filter(F.col(c).isNotNull())
+        right = right.groupBy(*right_by, right_on).agg(F.collect_list(item).alias("__items"))
+    elif ties == "first":
         order = list(tie_break) or [F.col(p).desc_nulls_last() for p in payload]
-        rnn = latest_per_key(rnn, [*right_by, right_on], order) if order else \
-            rnn.select(*right_by, right_on).distinct()
+        right = latest_per_key(right, [*right_by, right_on], order) if order else right.select(*right_by, right_on).distinct()
     elif ties != "unique":
         raise ValueError(f"unknown ties mode {ties!r}")
-    m = _sweep(left, rnn, left_by, right_by, left_on, right_on, payload, bucket)
+    if ties != "all":
+        value = F.struct(F.col(right_on).alias("__eff"), item.alias("__item")) if payload else F.struct(F.col(right_on).alias("__eff"))
+    lft, events, byc = _sides(left, right, left_by, right_by, left_on, right_on, value)
+    m = _sweep(lft, events, byc, False, hot_rows)
     if how == "inner":
         m = m.filter(F.col("__m").isNotNull())
-    extra = [F.col(f"__m.{p}").alias(p) for p in payload]
+    if ties == "all":
+        m = m.select("__l", "__m", F.explode_outer("__m.__items").alias("__item"))
+    else:
+        m = m.select("__l", "__m", *([F.col("__m.__item").alias("__item")] if payload else []))
+    extra = [F.col(f"__item.{p}").alias(p) for p in payload]
     if eff_out:
         extra.append(F.col("__m.__eff").alias(eff_out))
-    return m.select(*[F.col(f"`{c}`") for c in left.columns], *extra)
-
-
-def running_totals(facts: DataFrame, by: Sequence[str], on: str, value: str | Column,
-                   out: str, bucket: Bucket | None = None) -> DataFrame:
-    """Per (by, on): the sum of ``value`` over all rows with the same ``by`` and key ``<= on``.
-
-    Facts are pre-aggregated per (by, on) first (partial aggregation), so the
-    running-sum window only sees one row per distinct key value. With ``bucket``
-    that window is cut at the buckets' edges and the totals of earlier buckets,
-    one row per (by, bucket), are added, so a key with a long history is spread.
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    agg = (facts.filter(F.col(on).isNotNull())
-           .groupBy(*by, on).agg(F.sum(v).alias("__v")))
-    if bucket is None:
-        w = Window.partitionBy(*by).orderBy(on).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return agg.withColumn(out, F.sum("__v").over(w)).drop("__v")
-    agg = agg.withColumn("__b", bucket(F.col(on)))
-    w = Window.partitionBy(*by, "__b").orderBy(on).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(*[f"__t{i}" for i in range(len(by))]).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (agg.groupBy(*[F.col(c).alias(f"__t{i}") for i, c in enumerate(by)], F.col("__b").alias("__tb"))
-              .agg(F.sum("__v").alias("__tv")).withColumn("__before", F.sum("__tv").over(earlier)))
-    same = F.col("__b").eqNullSafe(F.col("__tb"))
-    for i, c in enumerate(by):
-        same = same & F.col(c).eqNullSafe(F.col(f"__t{i}"))
-    inside = agg.withColumn("__in", F.sum("__v").over(w))
-    total = F.when(F.col("__in").isNull(), F.col("__before")).otherwise(F.col("__in") + F.coalesce("__before", F.lit(0)))
-    return inside.join(totals, same).select(*[F.col(c) for c in (*by, on)], total.alias(out))
+    return m.select(*[F.col(f"__l.`{c}`").alias(c) for c in left.columns], *extra)
 
 
 def asof_cumulative(left: DataFrame, facts: DataFrame, left_by: Sequence[str], fact_by: Sequence[str],
                     left_on: str, fact_on: str, value: str | Column, out: str,
-                    default: object | None = None, bucket: Bucket | None = None) -> DataFrame:
+                    default: object | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Running total of ``value`` per ``by`` read at the greatest fact key ``<= left_on``.
 
     Equals ``SUM(value) WHERE by = left.by AND fact_on <= left_on``; ``default``
-    replaces the NULL of "no fact yet" (or all-NULL values).
+    replaces the NULL of "no fact yet" (or all-NULL values). Facts and questions go
+    through one sweep; no table of totals is joined.
     """
-    run = running_totals(facts, fact_by, fact_on, value, out, bucket)
-    res = asof_join(left, run, left_by, fact_by, left_on, fact_on, [out], ties="unique",
-                    bucket=bucket)
-    if default is not None:
-        res = res.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
-    return res
+    v = F.col(value) if isinstance(value, str) else value
+    lft, events, byc = _sides(left, facts, left_by, fact_by, left_on, fact_on, v)
+    total = F.col("__m") if default is None else F.coalesce(F.col("__m"), F.lit(default))
+    m = _sweep(lft, events, byc, True, hot_rows)
+    return m.select(*[F.col(f"__l.`{c}`").alias(c) for c in left.columns], total.alias(out))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 
 def latest_activity(arms: Mapping[str, tuple[DataFrame, str, str]], out_key: str = "__ck",
@@ -31,7 +32,18 @@ def changed_since(base: DataFrame, key: str, last_sent: str,
     as long as no arm's own filter reads the base row: the latest activity
     per key is compared once instead of one existence join per arm. A NULL
     ``last_sent`` never counts as changed.
+
+    No activity up to the smallest ``last_sent`` of all base rows can count, so that time
+    is read first, from the base alone, and goes into every arm as a literal that reaches the scans.
     """
+    if arms:
+        # As text or microseconds: a Python time would be read in the driver's own zone.
+        kind = base.schema[last_sent].dataType
+        instant = isinstance(kind, TimestampType)
+        smallest = F.min(last_sent)
+        bound = base.agg((F.unix_micros(smallest) if instant else smallest.cast("string")).alias("bound")).first()["bound"]
+        since = F.timestamp_micros(F.lit(bound).cast("long")) if instant else F.lit(bound).cast(kind)
+        arms = {name: (df.filter(F.col(ts) > since), k, ts) for name, (df, k, ts) in arms.items()}
     act = latest_activity(arms) if arms else None
     out = base
     cond = F.lit(False)

@@ -5,10 +5,15 @@ full outer join of the current snapshot with the run's source rows and
 written as a *new* numbered version. The current version is the highest one
 Spark finished writing, so there is no pointer that could be lost, a path being
 read is never overwritten, and a failed run leaves the previous version current.
+A run claims its version's number before it computes the rows, so overlapping runs
+cannot lose one another's.
 """
 
 from __future__ import annotations
 
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampType
@@ -26,6 +31,8 @@ CONTROL_SCHEMA = StructType([
     StructField("wsrsrez_activity_date", TimestampType(), True),
 ])
 KEY_TYPE = DecimalType(8, 0)
+#: Ending of the file by which a run holds a version's number.
+CLAIM = ".claim"
 
 
 def control_key(col: str | Column = "wsrsrez_pidm") -> Column:
@@ -69,19 +76,28 @@ def upsert_control(target: DataFrame, source: DataFrame, now: Column,
 class ControlTable:
     """Versions ``v<number>`` of the control table under ``root`` (a shared, durable folder)."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, abandoned_after: float = 6 * 3600):
+        self.spark, self.abandoned_after = spark, abandoned_after
         self.root = f"{root.rstrip('/')}/versions"
         self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _versions(self) -> tuple[list[int], list[int]]:
-        """Numbers of the finished versions and of all that were begun."""
+        """Numbers of the finished versions and of all that were begun or claimed."""
         if not self._fs.exists(self._path(self.root)):
             return [], []
-        begun = sorted(int(f.getPath().getName()[1:]) for f in self._fs.listStatus(self._path(self.root)))
+        names = [f.getPath().getName() for f in self._fs.listStatus(self._path(self.root))]
+        begun = sorted({int(n[1:].removesuffix(CLAIM)) for n in names})
         return [v for v in begun if self._fs.exists(self._path(f"{self._at(v)}/_SUCCESS"))], begun
 
+    def _claim_path(self, number: int):
+        return self._path(f"{self._at(number)}{CLAIM}")
+
+    def _claimed(self, number: int) -> bool:
+        """Whether a run that may still finish holds the number."""
+        path = self._claim_path(number)
+        return self._fs.exists(path) and time.time() - self._fs.getFileStatus(path).getModificationTime() / 1000 < self.abandoned_after
+
     def _at(self, number: int) -> str:
         return f"{self.root}/v{number}"
 
@@ -103,18 +119,42 @@ class ControlTable:
             return self.spark.createDataFrame([], CONTROL_SCHEMA)
         return self.spark.read.schema(CONTROL_SCHEMA).parquet(self._at(version))
 
-    def commit(self, df: DataFrame, after: int | None = None) -> int:
-        """Write ``df`` as the next version and return its number.
+    def claim(self, after: int | None = None) -> int:
+        """Take the next version number for this run, before it computes its rows.
 
-        ``after`` is the version ``df`` was computed from: if another run has committed or begun one
-        since, this one fails instead of losing that run's rows.
+        ``after`` is the version the rows will be computed from. The claim is a file that only one run can
+        create (on file systems that create files atomically). It is refused where ``after`` is not
+        the current version or where another run holds a claim, so of two runs that overlap one fails
+        at once and no rows are lost. A claim older than ``abandoned_after`` seconds no longer counts.
         """
         finished, begun = self._versions()
         if after is not None and finished[-1:] != [after]:
             raise RuntimeError(f"version {after} is no longer current: {finished[-1:]}")
+        held = [v for v in begun if v not in finished and self._claimed(v)]
+        if held:
+            raise RuntimeError(f"another run is about to commit version {held[-1]}")
         number = begun[-1] + 1 if begun else 0
-        df.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields]) \
-            .write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(self._at(number))
+        try:
+            self._fs.create(self._claim_path(number), False).close()
+        except Py4JJavaError as taken:
+            raise RuntimeError(f"another run has taken version {number}") from taken
+        return number
+
+    def release(self, number: int) -> None:
+        """Give a claim back that will not be committed."""
+        self._fs.delete(self._claim_path(number), False)
+
+    def commit(self, df: DataFrame, after: int | None = None, claim: int | None = None) -> int:
+        """Write ``df`` as the version claimed, or as the next one after ``after``, and return its number."""
+        number = self.claim(after) if claim is None else claim
+        try:
+            later = [v for v in self._versions()[1] if v > number]
+            if later or not self._claimed(number):
+                raise RuntimeError(f"the claim of version {number} has lapsed: {later}")
+            df.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields]) \
+                .write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(self._at(number))
+        finally:
+            self.release(number)
         return number
 
     def prune(self, keep: int = 10) -> None:

@@ -134,15 +134,16 @@ def section_members(src: Sources, term: str | None, next_code: str | None,
     start = F.date_format("a_start", "MM/dd/yyyy")
     end = F.date_format(F.date_add("z_start", -1), "MM/dd/yyyy")
     people = src["saturn_spriden"].filter(is_current("spriden_change_ind")).select("spriden_pidm", "spriden_id")
-    members = j.join(people, F.col("sfrstcr_pidm") == F.col("spriden_pidm")).select(
-        section.alias("section_col"), F.col("spriden_id").alias("member_col"),
-        start.alias("start_date_col"), end.alias("end_date_col"))
+    # The injected member joins its person's rows as one more id of the same row, with or without a current identity.
+    members = j.join(people, F.col("sfrstcr_pidm") == F.col("spriden_pidm"), "inner" if injected is None else "left")
+    ids = F.array(F.col("spriden_id"))
     if injected is not None:
-        extra = j.filter(F.col("sfrstcr_pidm") == F.lit(injected.source_pidm)).select(
-            section.alias("section_col"), F.lit(injected.member_id).alias("member_col"),
-            start.alias("start_date_col"), end.alias("end_date_col"))
-        members = members.unionByName(extra)
-    return members.distinct()
+        current = F.when(F.col("spriden_pidm").isNotNull(), ids).otherwise(F.array().cast("array<string>"))
+        extra = F.when(F.col("sfrstcr_pidm") == F.lit(injected.source_pidm), F.array(F.lit(injected.member_id))).otherwise(
+            F.array().cast("array<string>"))
+        ids = F.concat(current, extra)
+    return members.select(section.alias("section_col"), F.explode(ids).alias("member_col"),
+                          start.alias("start_date_col"), end.alias("end_date_col")).distinct()
 
 
 def section_member_feed(src: Sources, ctx: RunContext, injected: InjectedMember | None = None) -> DataFrame:

@@ -7,9 +7,8 @@ Plan shape (one pass per source, no nested loops):
    levl, styp, majr)`` from its own deposits / control / registration logic.
 3. Classification runs once over the distinct ``(pidm, levl, asof_term)``:
    as-of cumulative hours (O8) then the class band (O9).
-4. Person attributes and ~17 per-person lookups are joined once onto the
-   union; phones and addresses are pivoted per person first, so each source
-   is joined once instead of two or three times.
+4. The ~17 per-person lookups are one union of narrow rows, one shuffle by person
+   and one aggregate, joined once.
 5. Season winners are pivoted per person and the 72 fields are rendered.
 
 Assumption stated for the thin plan: a person has one current identity row
@@ -18,10 +17,12 @@ Assumption stated for the thin plan: a person has one current identity row
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.context import RunContext, stage
+from feedkit.context import RunContext, run_all, stage
 from feedkit.functions.text import display_name, is_current, season_suffix
 from feedkit.functions.text import s as sq
 from feedkit.operators.asof import asof_cumulative, asof_join
@@ -30,10 +31,11 @@ from feedkit.operators.control import control_key
 from feedkit.operators.latest import at_max, latest_per_key
 from feedkit.operators.periods import collect_one, floor_period, run_params
 from feedkit.operators.render import DATA_ORDER, header_frame, render_delimited
-from feedkit.operators.rules import band_match, code_flags, rules_with_attributes
+from feedkit.operators.rules import band_match, rules_with_attributes
 from feedkit.operators.shape import apply_override, pivot_first, season_winner, union_cohorts
 from feedkit.plans.course_feeds import term_periods
-from feedkit.plans.people import addresses, emergency_contact, gpa_credits, phones
+from feedkit.plans.people import (
+    ADDRESS_COLS, ADDRESS_TYPES, CONTACT_COLS, PHONE_TYPES, address_rows, contact_rows, gpa_credits, phone_rows)
 from feedkit.sources.catalog import Sources
 
 # Fixed values that must equal the reference's: period floor, code sets, names, field list.
@@ -111,11 +113,6 @@ def _params(src: Sources, ctx: RunContext, floor: str = PERIOD_FLOOR) -> tuple[s
     return p["period_code"], p["period_year"]
 
 
-def term_year_bucket(c: Column) -> Column:
-    """Monotone bucket of a term code (its year prefix) for skew-safe as-of sweeps."""
-    return F.substring(c, 1, 4)
-
-
 def _ge(col: str, term: str | None) -> Column:
     return F.col(col) >= (F.lit(term) if term is not None else _null_str())
 
@@ -236,7 +233,7 @@ def cohort_campus(src: Sources, control: DataFrame, term_in: str | None) -> Data
     d = d.join(_term_years(src), F.col("dterm") == F.col("ty_code")).drop("ty_code")
     recs = _student_records(src).filter(F.col("g_camp") == ALT_CAMPUS)
     g = asof_join(d, recs, ["pidm"], ["g_pidm"], "dterm", "g_eff",
-                  payload=["levl", "styp", "majr"], ties="all", how="inner", bucket=term_year_bucket)
+                  payload=["levl", "styp", "majr"], ties="all", how="inner")
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
     years = src["saturn_stvterm"].select(F.col("stvterm_acyr_code").alias("any_year")).distinct()
     ctl = _keyed_control(control).join(years, F.col("wsrsrez_last_acyr") == F.col("any_year"), "left_semi")
@@ -252,7 +249,7 @@ def cohort_registered(src: Sources, control: DataFrame, term_in: str | None) ->
     r = r.select(F.col("sfrstcr_pidm").alias("pidm"), F.col("sfrstcr_term_code").alias("rterm")).distinct()
     r = r.join(_term_years(src), F.col("rterm") == F.col("ty_code")).drop("ty_code")
     g = asof_join(r, _student_records(src), ["pidm"], ["g_pidm"], "rterm", "g_eff",
-                  payload=["levl", "styp", "majr"], ties="all", how="inner", bucket=term_year_bucket)
+                  payload=["levl", "styp", "majr"], ties="all", how="inner")
     g = exclude_same_year(g, _deposit_years(src), ("pidm", "x_pidm"), ("ty_year", "x_year"))
     g = not_sent(g, _keyed_control(control), ("pidm", "c_key"),
                  cond=F.col("wsrsrez_last_acyr") >= F.col("ty_year"))
@@ -274,7 +271,7 @@ def classify(thin: DataFrame, src: Sources) -> DataFrame:
     keys = t.select("pidm", "levl", "asof_term").distinct()
     facts = src["saturn_shrtgpa"].filter(F.col("shrtgpa_gpa_type_ind").isin(list(CUM_GPA_TYPES)))
     cum = asof_cumulative(keys, facts, ["pidm", "levl"], ["shrtgpa_pidm", "shrtgpa_levl_code"], "asof_term",
-                          "shrtgpa_term_code", "shrtgpa_hours_earned", "cum_hrs", default=0, bucket=term_year_bucket)
+                          "shrtgpa_term_code", "shrtgpa_hours_earned", "cum_hrs", default=0)
     rules = rules_with_attributes(src["saturn_sgrclsr"], src["saturn_sgrcatt"], "sgrclsr_seq_no", "sgrcatt_seq_no",
                                   "sgrcatt_atts_code",
                                   ["sgrclsr_seq_no", "sgrclsr_clas_code", "sgrclsr_levl_code", "sgrclsr_from_hours",
@@ -303,11 +300,10 @@ COHORT_COLS = ["grp_num", "pidm", "pulled_term", "lvl_desc", "enrollment_status"
 
 def base_students(src: Sources, control: DataFrame, term_in: str | None, year: str | None) -> DataFrame:
     """The four cohorts, classified, with person attributes, UNION-distinct."""
-    thin13 = union_cohorts({1: cohort_new_deposits(src, control, term_in).drop("grp_num"),
-                            2: cohort_changed(src, control, term_in, year).drop("grp_num"),
-                            3: cohort_campus(src, control, term_in).drop("grp_num"),
-                            4: cohort_registered(src, control, term_in).drop("grp_num")})
-    thin13 = stage(thin13, "cohorts")
+    cohorts = {1: partial(cohort_new_deposits, src, control, term_in), 2: partial(cohort_changed, src, control, term_in, year),
+               3: partial(cohort_campus, src, control, term_in), 4: partial(cohort_registered, src, control, term_in)}
+    built = run_all({str(n): build for n, build in cohorts.items()})  # each stages what its own sweep reads
+    thin13 = stage(union_cohorts({n: built[str(n)].drop("grp_num") for n in cohorts}), "cohorts")
     c = stage(classify(thin13, of_people(src, thin13)), "classified")
     first3 = c.filter(F.col("grp_num") != 4).select(*COHORT_COLS)
     reg = (c.filter(F.col("grp_num") == 4)
@@ -334,63 +330,70 @@ def base_students(src: Sources, control: DataFrame, term_in: str | None, year: s
 
 # -- enrichment -------------------------------------------------------------------------------
 
-def _latest_one(df: DataFrame, key: str, ts: str, cols: list[str]) -> DataFrame:
-    return latest_per_key(df, [key], [F.col(ts).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in cols]]) \
-        .select(key, *cols)
+def _greatest(df: DataFrame, key: str, name: str, order: list[str], cols: list[str]) -> DataFrame:
+    """Rows of one attribute: the person and, as a struct, what its rows are ranked by and what is kept.
+
+    The person's value is the greatest struct; a missing value ranks last, as in a descending order.
+    """
+    fields = [*((f"o{i}", c) for i, c in enumerate(order)), *((c, c) for c in cols if c not in order)]
+    ranked = ", ".join(f"{sq(n)}, {c}" for n, c in fields)
+    return df.selectExpr(f"{key} AS en_pidm", f"named_struct({ranked}) AS {name}")
+
 
+def enrichment(src: Sources, ctx: RunContext, term_in: str | None) -> DataFrame:
+    """All lookups of a person in one row (more only where a crosswalk repeats a code).
 
-def enrichment(src: Sources, ctx: RunContext, term_in: str | None) -> list[tuple[DataFrame, str]]:
-    """Per-person lookups (each at most one row per person, except crosswalk fan-out)."""
+    Every table contributes narrow rows ``(person, one attribute's struct)``; their union is shuffled by
+    person once, and one aggregate takes each attribute's greatest struct.
+    """
     as_of = ctx.as_of_col()
-    out: list[tuple[DataFrame, str]] = []
-    xw = src["scadsf_wxwalknation"]
-    gbi = _latest_one(src["general_gobintl"], "gobintl_pidm", "gobintl_activity_date", ["gobintl_natn_code_legal"])
-    gbi = gbi.join(xw, F.col("gobintl_natn_code_legal") == F.col("scadem_banner_code"), "left").select(
-        "gobintl_pidm", F.col("sf_iso").alias("citizenship"))
-    out.append((gbi, "gobintl_pidm"))
-    gv = _latest_one(src["general_gorvisa"], "gorvisa_pidm", "gorvisa_activity_date", ["gorvisa_vtyp_code"])
-    gv = gv.join(src["saturn_stvvtyp"], F.col("gorvisa_vtyp_code") == F.col("stvvtyp_code"), "left").select(
-        "gorvisa_pidm", F.col("stvvtyp_desc").alias("visa"))
-    out.append((gv, "gorvisa_pidm"))
     ap = src["saturn_saradap"]
-    t1 = ap.filter(~F.col("saradap_apst_code").isin(list(CLOSED_APPL_STATUSES))).join(
-        src["saturn_sarappd"].filter(F.col("sarappd_apdc_code") == ADMIT_DECISION),
-        (F.col("sarappd_pidm") == F.col("saradap_pidm"))
-        & (F.col("sarappd_term_code_entry") == F.col("saradap_term_code_entry")))
-    t1 = t1.groupBy(F.col("saradap_pidm").alias("t1_pidm")).agg(F.max("saradap_term_code_entry").alias("term1"))
-    out.append((t1, "t1_pidm"))
-    t2 = ap.groupBy(F.col("saradap_pidm").alias("t2_pidm")).agg(
-        F.max_by("saradap_term_code_entry", "saradap_appl_no").alias("term2"))
-    out.append((t2, "t2_pidm"))
-    hous = src["saturn_saraatt"].filter(F.col("saraatt_atts_code") == HOUSING_ATTRIBUTE) \
-        .select(F.col("saraatt_pidm").alias("hx_pidm")).distinct().withColumn("housing_exempt", F.lit("Y"))
-    out.append((hous, "hx_pidm"))
-    holds = code_flags(src["saturn_sprhold"], "sprhold_pidm", "sprhold_hldd_code",
-                       {"academic_hold": ACADEMIC_HOLDS, "incident_hold": INCIDENT_HOLDS,
-                        "account_hold": ACCOUNT_HOLDS},
-                       where=F.col("sprhold_to_date") > as_of)
-    out.append((holds, "sprhold_pidm"))
+    admitted = src["saturn_sarappd"].filter(F.col("sarappd_apdc_code") == ADMIT_DECISION)
+    completed = ap.filter(~F.col("saradap_apst_code").isin(list(CLOSED_APPL_STATUSES))).join(
+        admitted, (F.col("sarappd_pidm") == F.col("saradap_pidm"))
+        & (F.col("sarappd_term_code_entry") == F.col("saradap_term_code_entry")), "left_semi")
+    holds = src["saturn_sprhold"].filter(F.col("sprhold_to_date") > as_of)
+    flags = {"academic_hold": ACADEMIC_HOLDS, "incident_hold": INCIDENT_HOLDS, "account_hold": ACCOUNT_HOLDS}
+    held = [f"IF(sprhold_hldd_code IN ({', '.join(map(sq, codes))}), '1', '0') AS {name}" for name, codes in flags.items()]
     sport = src["saturn_sgrsprt"].filter((F.col("sgrsprt_term_code") == (F.lit(term_in) if term_in else _null_str()))
                                          & (F.col("sgrsprt_spst_code") == SPORT_ACTIVE)
                                          & (F.col("sgrsprt_elig_code") == SPORT_ACTIVE))
     sport = sport.join(src["saturn_stvactc"], F.col("stvactc_code") == F.col("sgrsprt_actc_code"))
-    out.append((_latest_one(sport, "sgrsprt_pidm", "sgrsprt_activity_date", ["stvactc_desc"]), "sgrsprt_pidm"))
-    ferpa = src["grailssf_ferpa"].select(F.col("student_pidm").alias("fp_pidm")).distinct() \
-        .withColumn("ferpa", F.lit("1"))
-    out.append((ferpa, "fp_pidm"))
     mail = src["general_goremal"].filter((F.col("goremal_status_ind") == "A") & (F.col("goremal_emal_code") == STEM_EMAIL))
-    out.append((_latest_one(mail, "goremal_pidm", "goremal_activity_date", ["goremal_email_address"]), "goremal_pidm"))
-    em = emergency_contact(src["saturn_spremrg"], src["saturn_stvrelt"])
-    em = em.select("spremrg_pidm", *[F.col(c).alias(f"emgr_{c}") for c in em.columns if c != "spremrg_pidm"])
-    out.append((em, "spremrg_pidm"))
-    ad = addresses(src["saturn_spraddr"], xw, as_of)
-    ad = pivot_first(ad, "spraddr_pidm", "spraddr_atyp_code", {"MA": "ma_", "PR": "pr_"},
-                     {c: c for c in ("street_line1", "street_line2", "city", "stat_code", "zip", "iso")})
-    out.append((ad, "spraddr_pidm"))
-    ph = pivot_first(phones(src["saturn_sprtele"]), "sprtele_pidm", "sprtele_tele_code",
-                     {"MA": "ma_", "MOB": "mob_", "PR": "pr_"}, {"phone": "phone"})
-    out.append((ph, "sprtele_pidm"))
-    return out
+    homes = address_rows(src["saturn_spraddr"], src["scadsf_wxwalknation"], as_of)
+    arms = [
+        _greatest(src["general_gobintl"], "gobintl_pidm", "legal", ["gobintl_activity_date", "gobintl_natn_code_legal"], []),
+        _greatest(src["general_gorvisa"], "gorvisa_pidm", "vtype", ["gorvisa_activity_date", "gorvisa_vtyp_code"], []),
+        completed.selectExpr("saradap_pidm AS en_pidm", "saradap_term_code_entry AS term1"),
+        _greatest(ap.filter(F.col("saradap_appl_no").isNotNull()), "saradap_pidm", "applied", ["saradap_appl_no", "saradap_term_code_entry"], []),
+        src["saturn_saraatt"].filter(F.col("saraatt_atts_code") == HOUSING_ATTRIBUTE).selectExpr("saraatt_pidm AS en_pidm", "'Y' AS housing_exempt"),
+        holds.selectExpr("sprhold_pidm AS en_pidm", *held),
+        _greatest(sport, "sgrsprt_pidm", "team", ["sgrsprt_activity_date", "stvactc_desc"], []),
+        src["grailssf_ferpa"].selectExpr("student_pidm AS en_pidm", "'1' AS ferpa"),
+        _greatest(mail, "goremal_pidm", "mail", ["goremal_activity_date", "goremal_email_address"], []),
+        _greatest(contact_rows(src["saturn_spremrg"], src["saturn_stvrelt"]), "spremrg_pidm", "emgr",
+                  ["spremrg_activity_date", "contact_name", "street_line1", "street_line2", "phone", "relt_desc"], ["city", "stat_code", "zip"]),
+        *[_greatest(homes.filter(F.col("spraddr_atyp_code") == kind), "spraddr_pidm", kind.lower(),
+                    ["spraddr_activity_date", "street_line1", "street_line2", "city", "zip", "iso"], ["stat_code"]) for kind in ADDRESS_TYPES],
+        phone_rows(src["saturn_sprtele"]).selectExpr("sprtele_pidm AS en_pidm", *[
+            f"CASE WHEN sprtele_tele_code = {sq(kind)} THEN rank END AS {kind.lower()}_tele" for kind in PHONE_TYPES]),
+    ]
+    rows = arms[0]
+    for arm in arms[1:]:
+        rows = rows.unionByName(arm, allowMissingColumns=True)
+    best = rows.filter(F.col("en_pidm").isNotNull()).groupBy("en_pidm").agg(*[F.max(c).alias(c) for c in rows.columns if c != "en_pidm"])
+    contact = {"contact_name": "o1", "street_line1": "o2", "street_line2": "o3", "phone": "o4", "relt_desc": "o5"}
+    address = {"street_line1": "o1", "street_line2": "o2", "city": "o3", "zip": "o4", "iso": "o5"}
+    best = best.selectExpr(
+        "en_pidm", "legal.o1 AS legal", "vtype.o1 AS vtype", "term1", "applied.o1 AS term2", "housing_exempt", *flags,
+        "team.o1 AS stvactc_desc", "ferpa", "mail.o1 AS goremal_email_address",
+        *[f"emgr.{contact.get(c, c)} AS emgr_{c}" for c in CONTACT_COLS],
+        *[f"{k.lower()}.{address.get(c, c)} AS {k.lower()}_{c}" for k in ADDRESS_TYPES for c in ADDRESS_COLS],
+        *[f"{k.lower()}_tele.phone AS {k.lower()}_phone" for k in PHONE_TYPES])
+    nations = src["scadsf_wxwalknation"].selectExpr("scadem_banner_code AS __nation", "sf_iso AS citizenship")
+    visas = src["saturn_stvvtyp"].selectExpr("stvvtyp_code AS __vtype", "stvvtyp_desc AS visa")
+    return (best.join(nations, F.col("legal") == F.col("__nation"), "left")
+            .join(visas, F.col("vtype") == F.col("__vtype"), "left").drop("legal", "vtype", "__nation", "__vtype"))
 
 
 def advisors(src: Sources) -> DataFrame:
@@ -415,7 +418,7 @@ def season_terms(src: Sources) -> DataFrame:
         F.date_format("tbrdepo_entry_date", PDATE_FORMAT).alias("pdate"))
     keys = dep.select("pidm", "term").distinct()
     camp = asof_join(keys, recs, ["pidm"], ["g_pidm"], "term", "g_eff", payload=["g_camp"],
-                     tie_break=[F.col("g_camp").asc_nulls_first()], bucket=term_year_bucket)
+                     tie_break=[F.col("g_camp").asc_nulls_first()])
     camp = camp.select(F.col("pidm").alias("__c_pidm"), F.col("term").alias("__c_term"),
                        _rename(F.col("g_camp"), CAMP_RENAMES).alias("camp"))
     a = dep.join(camp, (F.col("pidm") == F.col("__c_pidm")) & (F.col("term") == F.col("__c_term")), "left") \
@@ -458,8 +461,7 @@ def query_rows(src: Sources, control: DataFrame, ctx: RunContext, floor: str = P
     term_in, year = _params(src, ctx, floor)
     e = stage(base_students(src, control, term_in, year), "base")
     src = of_people(src, e)
-    for df, key in enrichment(src, ctx, term_in):
-        e = e.join(df, F.col("pidm") == F.col(key), "left").drop(key)
+    e = e.join(enrichment(src, ctx, term_in), F.col("pidm") == F.col("en_pidm"), "left").drop("en_pidm")
     e = e.withColumn("enroll_term", F.coalesce("term1", "term2"))
     adv = advisors(src)
     e = e.join(adv, (F.col("pidm") == F.col("adv_pidm")) & (F.col("enroll_term") == F.col("adv_term")), "left") \

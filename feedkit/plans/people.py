@@ -35,28 +35,31 @@ def gpa_credits(shrlgpa: DataFrame, gpa_type: str = "O") -> DataFrame:
                           [F.col("tmpCredit").desc_nulls_last(), F.col("tmpGPA").desc_nulls_last()])
 
 
+def phone_rows(sprtele: DataFrame, types: Sequence[str] = PHONE_TYPES, max_len: int = 12) -> DataFrame:
+    """Active phones with ``rank``: the greatest is primary first, then of the highest sequence number."""
+    src = sprtele.filter(F.col("sprtele_status_ind").isNull() & F.col("sprtele_tele_code").isin(list(types)))
+    return src.withColumn("phone", format_phone("sprtele_phone_area", "sprtele_phone_number", max_len)).selectExpr(
+        "sprtele_pidm", "sprtele_tele_code", "phone",
+        "named_struct('main', IF(sprtele_primary_ind = 'Y', 1, 0), 'seqno', sprtele_seqno, 'noted', sprtele_activity_date, 'phone', phone) AS rank")
+
+
 def phones(sprtele: DataFrame, types: Sequence[str] = PHONE_TYPES, max_len: int = 12) -> DataFrame:
     """Active phone per (person, type): primary first, then highest sequence number."""
-    src = sprtele.filter(F.col("sprtele_status_ind").isNull() & F.col("sprtele_tele_code").isin(list(types)))
-    src = src.withColumn("phone", format_phone("sprtele_phone_area", "sprtele_phone_number", max_len))
-    prio = F.when(F.col("sprtele_primary_ind") == "Y", F.lit(1)).otherwise(F.lit(2))
-    top = latest_per_key(src, ["sprtele_pidm", "sprtele_tele_code"],
-                         [prio.asc(), F.col("sprtele_seqno").desc_nulls_last(),
-                          F.col("sprtele_activity_date").desc_nulls_last(), F.col("phone").desc_nulls_last()])
+    top = latest_per_key(phone_rows(sprtele, types, max_len), ["sprtele_pidm", "sprtele_tele_code"], [F.col("rank").desc()])
     return top.select("sprtele_pidm", "sprtele_tele_code", "phone")
 
 
-def addresses(spraddr: DataFrame, crosswalk: DataFrame, as_of: Column,
-              types: Sequence[str] = ADDRESS_TYPES, tie_break: Sequence[Column] | None = None) -> DataFrame:
-    """Latest active address per (person, type), nation mapped to ISO ('US' default).
+ADDRESS_COLS = ("street_line1", "street_line2", "city", "stat_code", "zip", "iso")
+CONTACT_COLS = ("contact_name", "street_line1", "street_line2", "city", "stat_code", "zip", "phone", "relt_desc")
 
-    The crosswalk is joined without de-duplication, as in the reference.
-    """
+
+def address_rows(spraddr: DataFrame, crosswalk: DataFrame, as_of: Column, types: Sequence[str] = ADDRESS_TYPES) -> DataFrame:
+    """Active addresses, nation mapped to ISO ('US' default), a row per crosswalk row of the nation."""
     a = spraddr.filter(F.col("spraddr_atyp_code").isin(list(types)) & F.col("spraddr_status_ind").isNull()
                        & open_on("spraddr_to_date", as_of))
     xw = crosswalk.select(F.col("scadem_banner_code").alias("__xw_code"), F.col("sf_iso").alias("__xw_iso"))
     a = a.join(xw, F.col("__xw_code") == F.col("spraddr_natn_code"), "left")
-    out = a.select(
+    return a.select(
         "spraddr_pidm", "spraddr_atyp_code", "spraddr_activity_date",
         F.col("spraddr_street_line1").alias("street_line1"),
         join_lines("spraddr_street_line2", "spraddr_street_line3", "append", 80).alias("street_line2"),
@@ -64,18 +67,25 @@ def addresses(spraddr: DataFrame, crosswalk: DataFrame, as_of: Column,
         F.col("spraddr_stat_code").alias("stat_code"),
         F.substring("spraddr_zip", 1, 10).alias("zip"),
         F.when(missing("__xw_iso"), F.lit(DEFAULT_ISO)).otherwise(F.col("__xw_iso")).alias("iso"))
+
+
+def addresses(spraddr: DataFrame, crosswalk: DataFrame, as_of: Column,
+              types: Sequence[str] = ADDRESS_TYPES, tie_break: Sequence[Column] | None = None) -> DataFrame:
+    """Latest active address per (person, type), nation mapped to ISO ('US' default).
+
+    The crosswalk is joined without de-duplication, as in the reference.
+    """
     order = [F.col("spraddr_activity_date").desc_nulls_last(),
              *(tie_break if tie_break is not None else
                [F.col(c).desc_nulls_last() for c in ("street_line1", "street_line2", "city", "zip", "iso")])]
-    return latest_per_key(out, ["spraddr_pidm", "spraddr_atyp_code"], order).drop("spraddr_activity_date")
+    return latest_per_key(address_rows(spraddr, crosswalk, as_of, types), ["spraddr_pidm", "spraddr_atyp_code"], order).drop("spraddr_activity_date")
 
 
-def emergency_contact(spremrg: DataFrame, relt: DataFrame,
-                      tie_break: Sequence[Column] | None = None) -> DataFrame:
-    """Latest emergency contact per person with formatted name, lines, phone (25) and relation."""
+def contact_rows(spremrg: DataFrame, relt: DataFrame) -> DataFrame:
+    """Emergency contacts with formatted name, lines, phone (25) and relation."""
     r = relt.select(F.col("stvrelt_code").alias("__r_code"), F.col("stvrelt_desc").alias("relt_desc"))
     e = spremrg.join(r, F.col("__r_code") == F.col("spremrg_relt_code"), "left")
-    out = e.select(
+    return e.select(
         "spremrg_pidm", "spremrg_activity_date",
         F.substring(F.concat_ws(" ", "spremrg_first_name", "spremrg_last_name"), 1, 80).alias("contact_name"),
         F.substring("spremrg_street_line1", 1, 80).alias("street_line1"),
@@ -85,7 +95,12 @@ def emergency_contact(spremrg: DataFrame, relt: DataFrame,
         F.substring("spremrg_zip", 1, 10).alias("zip"),
         format_phone("spremrg_phone_area", "spremrg_phone_number", 25).alias("phone"),
         "relt_desc")
+
+
+def emergency_contact(spremrg: DataFrame, relt: DataFrame,
+                      tie_break: Sequence[Column] | None = None) -> DataFrame:
+    """Latest emergency contact per person with formatted name, lines, phone (25) and relation."""
     order = [F.col("spremrg_activity_date").desc_nulls_last(),
              *(tie_break if tie_break is not None else
                [F.col(c).desc_nulls_last() for c in ("contact_name", "street_line1", "street_line2", "phone", "relt_desc")])]
-    return latest_per_key(out, ["spremrg_pidm"], order).drop("spremrg_activity_date")
+    return latest_per_key(contact_rows(spremrg, relt), ["spremrg_pidm"], order).drop("spremrg_activity_date")

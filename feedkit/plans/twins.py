@@ -19,11 +19,6 @@ from feedkit.sources.testdata import AS_OF, PERIOD_FLOOR, Testdata, fmt_day, fmt
 MONEY = "decimal(18,2)"
 
 
-def month_bucket(c):
-    """Monotone bucket for date keys: the sweep of a hot customer splits by month."""
-    return F.date_trunc("month", c)
-
-
 # -- O1-O4: periods -------------------------------------------------------------------------
 
 def q_current_period_open(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +61,7 @@ def q_asof_join(spark: SparkSession, sf: str) -> DataFrame:
     right = td.orders.select("o_custkey", "o_orderdate", F.col("o_orderkey").alias("asof_orderkey"))
     m = asof.asof_join(_lines(td), right, ["custkey"], ["o_custkey"], "l_shipdate", "o_orderdate",
                        payload=["asof_orderkey"], tie_break=[F.desc("asof_orderkey")],
-                       eff_out="asof_date", bucket=month_bucket)
+                       eff_out="asof_date")
     return m.select("l_orderkey", "l_linenumber", fmt_day("l_shipdate").alias("l_shipdate"), "custkey",
                     "asof_orderkey", fmt_day("asof_date").alias("asof_orderdate"))
 
@@ -75,7 +70,7 @@ def q_asof_cumulative(spark: SparkSession, sf: str) -> DataFrame:
     td = Testdata(spark, sf)
     facts = td.orders.select("o_custkey", "o_orderdate", F.col("o_totalprice").cast(MONEY).alias("amt"))
     m = asof.asof_cumulative(_lines(td), facts, ["custkey"], ["o_custkey"], "l_shipdate", "o_orderdate",
-                             "amt", "cum_total", default=0, bucket=month_bucket)
+                             "amt", "cum_total", default=0)
     return m.select("l_orderkey", "l_linenumber", fmt_day("l_shipdate").alias("l_shipdate"), "custkey",
                     F.col("cum_total").cast(MONEY).alias("cum_total"))
 
@@ -664,15 +659,15 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
                cast(r_regionkey * 100 AS double) AS sgrclsr_from_hours, cast(r_regionkey * 100 AS double) + 99.99D AS sgrclsr_to_hours
         FROM {r}
         UNION ALL
-        SELECT n_nationkey + 10, concat('N', cast(n_nationkey AS string)), 'UG', cast(n_regionkey * 100 AS double),
-               cast(n_regionkey * 100 AS double) + 99.99D FROM {n} WHERE n_nationkey < 5
+        SELECT n_nationkey + 10, concat('N', cast(n_nationkey AS string)), CASE WHEN n_nationkey < 5 THEN 'UG' ELSE 'XX' END,
+               cast(n_regionkey * 100 AS double), cast(n_regionkey * 100 AS double) + 99.99D FROM {n}
         UNION ALL
         SELECT 99, 'GR', 'GR', 0.0D, 1e9D FROM {r} WHERE r_regionkey = 0""", **f)
-    sgrcatt = sql("""SELECT n_nationkey + 10 AS sgrcatt_seq_no, concat('A', cast(n_nationkey AS string)) AS sgrcatt_atts_code
-                     FROM {n} WHERE n_nationkey IN (0, 2, 4)""", **f)
+    sgrcatt = sql("""SELECT n_nationkey + CASE WHEN n_nationkey IN (0, 2, 4) THEN 10 ELSE 1000 END AS sgrcatt_seq_no,
+                            concat('A', cast(n_nationkey AS string)) AS sgrcatt_atts_code FROM {n}""", **f)
     stvclas = sql("""
         SELECT upper(substring(r_name, 1, 2)) AS stvclas_code, r_name AS stvclas_desc FROM {r}
-        UNION ALL SELECT concat('N', cast(n_nationkey AS string)), n_name FROM {n} WHERE n_nationkey < 5
+        UNION ALL SELECT concat('N', cast(n_nationkey AS string)), n_name FROM {n}
         UNION ALL SELECT 'GR', 'Graduate' FROM {r} WHERE r_regionkey = 0""", **f)
     sprhold = sql("""
         SELECT o_custkey AS sprhold_pidm,
@@ -712,9 +707,8 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
                'AC' AS sgrsprt_spst_code, CASE WHEN o_orderstatus = 'F' THEN 'AC' ELSE 'NO' END AS sgrsprt_elig_code,
                o_orderdate AS sgrsprt_activity_date
         FROM {{o}}""", **f)
-    stvactc = sql("""SELECT DISTINCT substring(o_orderpriority, 1, 1) AS stvactc_code,
-                            concat('Team ', substring(o_orderpriority, 1, 1)) AS stvactc_desc
-                     FROM {o} WHERE o_orderpriority < '4'""", **f)
+    stvactc = sql("""SELECT DISTINCT concat(IF(o_orderpriority < '4', '', 'X'), substring(o_orderpriority, 1, 1)) AS stvactc_code,
+                            concat('Team ', substring(o_orderpriority, 1, 1)) AS stvactc_desc FROM {o}""", **f)
     levels = sql("""SELECT DISTINCT sgbstdn_levl_code AS stvlevl_code,
                            CASE WHEN sgbstdn_levl_code = 'UG' THEN 'Undergraduate' ELSE 'Graduate' END AS stvlevl_desc
                     FROM {g}""", g=g)
@@ -731,9 +725,10 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
     contact = sql("SELECT concat('K', cast(c_custkey AS string)) AS id, c_custkey AS pidm FROM {c}", **f)
     opp = sql(f"""
         SELECT concat('K', cast(o_custkey AS string)) AS contact__c, concat({t_o}, ' Term') AS entering_term__c,
-               {location} AS location__c, 'Rising Star' AS student_type__c,
+               {location} AS location__c,
+               CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Rising Star' ELSE 'Other' END AS student_type__c,
                CASE WHEN o_totalprice > 400000 THEN 'Y' WHEN o_totalprice > 300000 THEN NULL ELSE 'N' END AS isdeleted
-        FROM {{o}} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""", **f)
+        FROM {{o}}""", **f)
     ferpa = sql("SELECT c_custkey AS student_pidm FROM {c} WHERE c_acctbal < 0", **f)
     return {
         "saturn_stvterm": base["saturn_stvterm"], "saturn_spriden": spriden, "saturn_spbpers": spbpers,
@@ -758,10 +753,15 @@ _STAGED = {"saturn_stvterm", "saturn_spriden", "saturn_sgbstdn", "taismgr_tbrdep
 def _housing_inputs(spark: SparkSession, sf: str):
     """The adapted sources and control table of the housing feed. Those derived through joins or
     aggregates are written once, so that they read as file scans, as catalog tables would."""
-    from feedkit.context import stage
+    from feedkit.context import stage_all
     td = Testdata(spark, sf)
-    src = {k: stage(v, k) if k in _STAGED else v for k, v in _housing_sources(td).items()}
-    return src, stage(_control_target(td, td.orders.filter(F.col("o_orderpriority") == "1-URGENT")), "control")
+    src = _housing_sources(td)
+    # Orders of other priorities make control rows too, of keys that no person has.
+    key = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")).otherwise(-F.col("o_custkey"))
+    control = _control_target(td, td.orders.withColumn("o_custkey", key))
+    staged = stage_all({**{k: src[k] for k in _STAGED}, "control": control})
+    control = staged.pop("control")
+    return src | staged, control
 
 
 def _thin(cohort: DataFrame) -> DataFrame:
@@ -797,6 +797,27 @@ def q_advisors(spark: SparkSession, sf: str) -> DataFrame:
     return housing.advisors(_housing_inputs(spark, sf)[0])
 
 
+#: What the enrichment knows of a person, under short names.
+ENRICHMENT = {
+    "citizenship": "citizenship", "visa": "visa", "completed": "term1", "applied": "term2", "exempt": "housing_exempt",
+    "academic_hold": "academic_hold", "incident_hold": "incident_hold", "account_hold": "account_hold", "team": "stvactc_desc",
+    "ferpa": "ferpa", "email": "goremal_email_address", "em_contact_name": "emgr_contact_name", "em_street_line1": "emgr_street_line1",
+    "em_street_line2": "emgr_street_line2", "em_city": "emgr_city", "em_stat_code": "emgr_stat_code", "em_zip": "emgr_zip",
+    "em_phone": "emgr_phone", "em_relt_desc": "emgr_relt_desc",
+    **{f"{k}_{c}": f"{k}_{c}" for k in ("ma", "pr") for c in ("street_line1", "street_line2", "city", "stat_code", "zip", "iso")},
+    "phone_MA": "ma_phone", "phone_MOB": "mob_phone", "phone_PR": "pr_phone"}
+
+
+def q_enrichment(spark: SparkSession, sf: str) -> DataFrame:
+    """The housing feed's own enrichment, for every person."""
+    from feedkit.plans import housing
+    src, _ = _housing_inputs(spark, sf)
+    known = housing.enrichment(src, _feed_ctx(), housing._params(src, _feed_ctx(), PERIOD_FLOOR)[0])
+    everyone = Testdata(spark, sf).customer.join(known, F.col("c_custkey") == F.col("en_pidm"), "left")
+    value = lambda name, c: f"coalesce({c}, '0') AS {name}" if name.endswith("_hold") else f"{c} AS {name}"
+    return everyone.selectExpr("c_custkey AS pidm", *[value(n, c) for n, c in ENRICHMENT.items()])
+
+
 def q_feed_housing(spark: SparkSession, sf: str) -> DataFrame:
     """F5 twin: every line of the housing feed over the adapted sources."""
     from feedkit.plans import housing

@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.context import stage
+from feedkit.context import StagingScope, delete_folder, folder_of, stage
 
 Sources = Mapping[str, DataFrame]
 
@@ -49,20 +50,67 @@ def publish(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     """Full refresh of a feed's stored result, a folder (with a slash) or a catalog table.
 
     The rows are computed and written in full before anything is replaced, so a failed computation
-    leaves the earlier result: a table is overwritten from the written rows, a folder is removed and
-    the new one renamed to it.
+    leaves the earlier result. A table is replaced in one step where its catalog can (``createOrReplace``),
+    and else overwritten from the written rows. A folder's rows are written beside it; then the old folder
+    is set aside, the new one takes its name, and the old one goes. At each of these steps the old or the
+    new result is there in full, and ``published`` finds it.
     """
     spark = df.sparkSession
     if "/" not in target:
-        stage(df, "publish").write.mode("overwrite").format(fmt).saveAsTable(target)
+        with StagingScope(spark):
+            rows = stage(df, "publish")
+            try:
+                rows.writeTo(target).using(fmt).createOrReplace()
+            except AnalysisException as error:
+                if not (error.getCondition() or "").startswith("UNSUPPORTED_FEATURE"):
+                    raise
+                rows.write.mode("overwrite").format(fmt).saveAsTable(target)
         return
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fresh, live = path(f"{target.rstrip('/')}._new"), path(target.rstrip("/"))
-    fs = live.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    df.write.mode("overwrite").format(fmt).save(fresh.toString())
-    fs.delete(live, True)
-    if not fs.rename(fresh, live):
-        raise RuntimeError(f"{fresh} could not be renamed to {live}")
+    live, fresh, old = (f"{target.rstrip('/')}{x}" for x in ("", NEW, OLD))
+    _settle(spark, target)
+    df.write.mode("overwrite").format(fmt).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").save(fresh)
+    if _exists(spark, live):
+        _rename(spark, live, old)
+    _rename(spark, fresh, live)
+    delete_folder(spark, old)
+
+
+#: Endings of the folders a result is in while it is being replaced.
+NEW, OLD = "._new", "._old"
+
+
+def published(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+    """A published result, also in the middle of a refresh or after one that was cut off."""
+    if "/" not in target:
+        return spark.table(target)
+    return spark.read.format(fmt).load(_whole(spark, target))
+
+
+def _whole(spark: SparkSession, target: str) -> str:
+    live = target.rstrip("/")
+    for where in (live, f"{live}{NEW}", f"{live}{OLD}"):
+        if _exists(spark, f"{where}/_SUCCESS") or where == live and _exists(spark, live):
+            return where
+    return live
+
+
+def _settle(spark: SparkSession, target: str) -> None:
+    """Finish a refresh that was cut off between its steps."""
+    live, whole = target.rstrip("/"), _whole(spark, target)
+    if whole != live:
+        _rename(spark, whole, live)
+    delete_folder(spark, f"{live}{OLD}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, where = folder_of(spark, path)
+    return files.exists(where)
+
+
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    files, where = folder_of(spark, path)
+    if not files.rename(where, folder_of(spark, to)[1]):
+        raise RuntimeError(f"{path} could not be renamed to {to}")
 
 
 def export_text(feed: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from feedkit.context import RunContext
+from feedkit.context import checkpoint_dir
 from feedkit.operators.control import CONTROL_SCHEMA, ControlTable
 from feedkit.plans import course_feeds as cf
 from feedkit.plans import housing as hz
@@ -180,6 +181,28 @@ def test_send_cycle_loop(spark, src, tmp_path):
         (2004, 2)]
 
 
+def test_cycles_leave_no_staged_tables(spark, src, tmp_path):
+    import os
+    root = checkpoint_dir(spark).removeprefix("file:") + "/staged"
+    held = lambda: set(os.listdir(root)) if os.path.isdir(root) else set()
+    ctl = ControlTable(spark, str(tmp_path / "control"))
+    before = held()
+    for n, hour in enumerate((14, 15, 16)):  # the second is an odd hour
+        ctx = RunContext.at(fx.AS_OF, dt.datetime(2024, 9, 15, hour, 0, 0))
+        run_cycle(spark, src, ctl, ctx, feed_path=str(tmp_path / "feed"))
+    assert held() == before and ctl.current_version() == 2
+
+
+def test_overlapping_cycles(spark, src, tmp_path):
+    """A cycle that starts while another one runs fails before it publishes anything."""
+    ctl = ControlTable(spark, str(tmp_path / "control"))
+    ctl.ensure()
+    ctl.claim(after=0)  # another run is computing its feed
+    with pytest.raises(RuntimeError):
+        run_cycle(spark, src, ctl, CTX, feed_path=str(tmp_path / "feed"))
+    assert not (tmp_path / "feed").exists() and ctl.current_version() == 0
+
+
 def test_control_upsert_odd_hour_changes_nothing(spark, src, tmp_path):
     ctl = ControlTable(spark, str(tmp_path / "control"))
     odd = RunContext.at(fx.AS_OF, dt.datetime(2024, 9, 15, 15, 0, 0))  # 11:00 New York

@@ -100,8 +100,7 @@ small_int = st.integers(min_value=0, max_value=30)
 def test_asof_join_matches_brute_force(spark, left, right, bucketed):
     L = spark.createDataFrame(left, "k int, x int")
     R = spark.createDataFrame(right, "rk int, e int, p int")
-    bucket = (lambda c: F.floor(c / 7)) if bucketed else None
-    got = asof.asof_join(L, R, ["k"], ["rk"], "x", "e", ["p"], tie_break=[F.desc("p")], bucket=bucket)
+    got = asof.asof_join(L, R, ["k"], ["rk"], "x", "e", ["p"], tie_break=[F.desc("p")], hot_rows=5 if bucketed else asof.HOT_ROWS)
     assert rows(got, "k", "x", "p") == brute_asof(left, right)
 
 
@@ -122,14 +121,81 @@ def test_asof_cumulative_equals_sum_up_to_key(spark):
     F_ = spark.createDataFrame(facts, "p int, t string, h double")
     L = spark.createDataFrame([(1, "202330"), (1, "202410"), (1, "202010"), (2, "202410"), (3, "202410")],
                               "p int, x string")
-    got = asof.asof_cumulative(L, F_, ["p"], ["p"], "x", "t", "h", "cum", default=0.0,
-                               bucket=lambda c: F.substring(c, 1, 4))
+    got = asof.asof_cumulative(L, F_, ["p"], ["p"], "x", "t", "h", "cum", default=0.0)
     assert rows(got, "p", "x", "cum") == [(1, "202010", 0.0), (1, "202330", 50.0), (1, "202410", 50.0),
                                           (2, "202410", 0.0), (3, "202410", 0.0)]
 
 
+def test_one_key_for_all_rows_is_cut_by_itself(spark):
+    """A key that holds every row: swept in stretches, with the same answers."""
+    right = spark.range(3000).selectExpr("1 AS k", "id * 7 % 5000 AS e", "id AS p")
+    left = spark.range(4000).selectExpr("IF(id % 50 = 0, NULL, 1) AS k", "IF(id % 33 = 0, NULL, id * 3 % 5500) AS x", "id AS n")
+    plain = asof.asof_join(left, right, ["k"], ["k"], "x", "e", ["p"])
+    cut = asof.asof_join(left, right, ["k"], ["k"], "x", "e", ["p"], hot_rows=300)
+    assert rows(cut, "n", "p") == rows(plain, "n", "p") and cut.filter("p IS NOT NULL").count() > 3500
+    assert "__b" in cut._jdf.queryExecution().executedPlan().toString()
+    used = [r for r in cut._jdf.queryExecution().optimizedPlan().toString().split("\n") if "__b" in r]
+    assert used
+    totals = asof.asof_cumulative(left, right, ["k"], ["k"], "x", "e", "p", "sum", default=0)
+    assert rows(asof.asof_cumulative(left, right, ["k"], ["k"], "x", "e", "p", "sum", default=0, hot_rows=300), "n", "sum") == rows(totals, "n", "sum")
+    events = sorted((r["e"], r["p"]) for r in right.collect())
+    want = {r["n"]: sum(p for e, p in events if r["k"] is not None and r["x"] is not None and e <= r["x"]) for r in left.collect() if r["n"] % 97 == 0}
+    assert {r["n"]: r["sum"] for r in totals.collect() if r["n"] % 97 == 0} == want
+
+
+def test_hot_key_stretches_are_bounded(spark):
+    one = spark.range(20000).selectExpr("1 AS __by0", "id AS __k")
+    cuts = asof._cuts(one, ["__by0"], 2000).first()["__cuts"]
+    edges = [0, *cuts, 20000]
+    assert len(cuts) >= 5 and max(b - a for a, b in zip(edges, edges[1:])) < 6000
+
+
 # -- rules and flags --------------------------------------------------------------------------
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_band_match_by_nodes(spark, seed):
+    """Dyadic nodes against every (value, band) pair; the direct join gives the same."""
+    import random
+    random.seed(seed)
+    bands = []
+    for i in range(150):
+        lo = random.choice([None, *range(60)])
+        width = random.choice([0, 0, 1, 5, 40, -3])
+        bands.append((random.choice(["a", "a", "a", "b", None]), None if lo is None else float(lo), None if lo is None or i % 40 == 0 else float(lo + width),
+                      i % 3, f"c{i:03d}"))
+    values = [(n, random.choice(["a", "a", "b", "z", None]), random.choice([None, -1.0, 0.0, -0.0, *[x / 2 for x in range(210)]])) for n in range(250)]
+    R = spark.createDataFrame(bands, "g string, lo double, hi double, rank int, code string")
+    L = spark.createDataFrame(values, "n int, level string, v double")
+    prefer = [("rank", "desc"), ("code", "asc")]
+
+    def match(direct):
+        return rows(rules.band_match(L, R, [("level", "g")], "v", "lo", "hi", prefer, {"code": "found"}, direct=direct), "n", "found")
+
+    def best(level, v):
+        hit = [(-rank, code) for g, lo, hi, rank, code in bands if g == level and None not in (g, v, lo, hi) and lo <= v <= hi]
+        return min(hit)[1] if hit else None
+
+    want = sorted(((n, best(level, v)) for n, level, v in values), key=str)
+    assert match(0) == want and match(1000) == want and sum(f is not None for _, f in want) > 100
+
+
+def test_band_nodes_do_not_grow_with_the_bands(spark):
+    """Ten times the bands over ten times the values: about ten times the joined rows, not a hundred."""
+    joined = {}
+    for n in (100, 1000):
+        bands = spark.range(n).selectExpr("1 AS __rk0", "CAST(id AS DOUBLE) AS __lo", "CAST(id + 40 * sqrt(id) AS DOUBLE) AS __hi", "id AS __o_c")
+        dom = spark.range(n).selectExpr("1 AS __rk0", "id + 0.5D AS __v")
+        seen = []
+        original = rules.latest_per_key
+        rules.latest_per_key = lambda df, *a: seen.append(df.count()) or original(df, *a)
+        try:
+            assert rules._by_nodes(dom, bands, ["__rk0"], [F.desc("__o_c")], ["__o_c"]).count() == n - 1
+        finally:
+            rules.latest_per_key = original
+        joined[n] = seen
+    assert all(b < 20 * a for a, b in zip(joined[100], joined[1000]))
+
+
 def test_rules_with_attributes_and_band_match_edges(spark):
     r = spark.createDataFrame([(1, "FR", "UG", Decimal("0"), Decimal("44.99")),
                                (2, "SO", "UG", Decimal("45"), Decimal("89.99")),
@@ -329,6 +395,51 @@ def test_control_table_versions(spark, tmp_path):
     assert tbl.current_version() == 2 and tbl.read().count() == 2
 
 
+def test_overlapping_runs_cannot_lose_rows(spark, tmp_path):
+    """Run A claims from v0; run B, also from v0, is refused; the claim of a dead run lapses."""
+    row = lambda n: spark.createDataFrame(
+        [(Decimal(n), "202410", "2425", "202410", dt.datetime(2024, 1, 1), "A", dt.datetime(2024, 1, 1))], control.CONTROL_SCHEMA)
+    a, b = (control.ControlTable(spark, str(tmp_path / "ctl")) for _ in range(2))
+    a.ensure()
+    mine = a.claim(after=0)
+    with pytest.raises(RuntimeError):
+        b.claim(after=0)
+    with pytest.raises(RuntimeError):
+        b.commit(row(2), after=0)
+    assert a.commit(row(1), claim=mine) == 1
+    assert b.commit(b.read().union(row(2)), after=1) == 2 and b.read().count() == 2  # on top of A's rows
+    dead = a.claim(after=2)
+    late = control.ControlTable(spark, str(tmp_path / "ctl"), abandoned_after=0)
+    assert late.claim(after=2) == dead + 1
+    late.abandoned_after = 3600
+    with pytest.raises(RuntimeError):  # A comes back after its claim lapsed and another run went on
+        a.commit(row(3), claim=dead)
+    assert late.commit(late.read(), claim=dead + 1) == dead + 1 and a.current_version() == dead + 1
+    released = a.claim(after=dead + 1)
+    a.release(released)
+    assert b.claim(after=dead + 1) == released
+
+
+def test_a_failed_commit_gives_its_claim_back(spark, tmp_path):
+    tbl = control.ControlTable(spark, str(tmp_path / "ctl"))
+    tbl.ensure()
+    broken = tbl.read().select(*[F.raise_error(F.lit("no")).cast(f.dataType).alias(f.name) for f in control.CONTROL_SCHEMA.fields])
+    with pytest.raises(Exception):
+        tbl.commit(broken.union(spark.range(1).selectExpr(*[f"CAST(raise_error('no') AS {f.dataType.simpleString()}) AS {f.name}"
+                                                              for f in control.CONTROL_SCHEMA.fields])), after=0)
+    assert tbl.current_version() == 0 and tbl.commit(tbl.read(), after=0) >= 1
+
+
+def test_changed_since_pushes_the_smallest_time(spark, tmp_path):
+    spark.createDataFrame([(1, dt.datetime(2024, 5, 1)), (2, dt.datetime(2023, 1, 1))], "k int, ts timestamp").write.parquet(str(tmp_path / "arm"))
+    arm = spark.read.parquet(str(tmp_path / "arm"))
+    base = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 2, 1)), (3, None)], "k int, sent timestamp")
+    out = changes.changed_since(base, "k", "sent", {"arm": (arm, "k", "ts")})
+    assert "GreaterThan(ts,2024-01-01" in out._jdf.queryExecution().executedPlan().toString()
+    assert [r["k"] for r in out.collect()] == [1]
+    assert changes.changed_since(base.filter("false"), "k", "sent", {"arm": (arm, "k", "ts")}).collect() == []
+
+
 def test_control_table_after_a_crash(spark, tmp_path):
     tbl = control.ControlTable(spark, str(tmp_path / "ctl"))
     tbl.ensure()

@@ -31,14 +31,23 @@ def test_top1_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_bucketed_asof_sweep_partitions_by_key_and_bucket(spark):
+def test_asof_sweep_is_partitioned_by_key_and_stretch(spark):
     left = spark.range(50).selectExpr("id % 3 AS k", "id AS x")
     right = spark.range(50).selectExpr("id % 3 AS rk", "id AS e", "id AS p")
-    p = plan(asof.asof_join(left, right, ["k"], ["rk"], "x", "e", ["p"], bucket=lambda c: F.floor(c / 10)))
+    p = plan(asof.asof_join(left, right, ["k"], ["rk"], "x", "e", ["p"], hot_rows=10))
     assert "__b" in p and "Window" in p
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
+@pytest.mark.parametrize("build", [lambda lft, rgt: asof.asof_join(lft, rgt, ["k"], ["rk"], "x", "e", ["p"], ties="unique"),
+                                   lambda lft, rgt: asof.asof_cumulative(lft, rgt, ["k"], ["rk"], "x", "e", "p", "sum")])
+def test_asof_reads_its_inputs_once_and_shuffles_once(spark, build):
+    left = spark.range(50).selectExpr("id % 3 AS k", "id AS x")
+    right = spark.range(50).selectExpr("id % 3 AS rk", "id AS e", "id AS p")
+    p = plan(build(left, right))
+    assert p.count("FileScan parquet") == 1 and p.count("Exchange hashpartitioning") == 1 and "Range (" not in p
+
+
 @pytest.fixture(scope="module")
 def parquet_src(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("src")

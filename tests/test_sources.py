@@ -2,7 +2,8 @@
 
 import pytest
 
-from feedkit.context import stage
+from feedkit.context import StagingScope, checkpoint_dir, stage, stage_all
+from feedkit.sources import catalog
 from feedkit.sources.catalog import Namespace, publish, read_source, read_sources
 
 
@@ -32,6 +33,50 @@ def test_publish_full_refresh(spark, tmp_path):
     assert [r[0] for r in spark.read.parquet(path).collect()] == [3]
 
 
+@pytest.mark.parametrize("steps", [0, 1, 2])
+def test_publish_cut_off_between_its_steps(spark, tmp_path, monkeypatch, steps):
+    """After any number of its steps the old or the new result is there in full, and the next run mends it."""
+    path = str(tmp_path / "feed")
+    publish(spark.createDataFrame([(1,), (2,)], "v int"), path)
+    rename, done = catalog._rename, []
+
+    def stopped(*args):
+        if len(done) == steps:
+            raise KeyboardInterrupt
+        done.append(1)
+        rename(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(catalog, "_rename", stopped)
+        patch.setattr(catalog, "delete_folder", lambda *a: None if len(done) < 2 else (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            publish(spark.createDataFrame([(3,)], "v int"), path)
+    got = sorted(r[0] for r in catalog.published(spark, path).collect())
+    assert got == ([1, 2] if steps == 0 else [3])
+    publish(spark.createDataFrame([(4,)], "v int"), path)
+    assert [r[0] for r in catalog.published(spark, path).collect()] == [4]
+    assert [r[0] for r in spark.read.parquet(path).collect()] == [4]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["feed"]
+
+
+def staged_folders(spark):
+    import os
+    root = checkpoint_dir(spark).removeprefix("file:") + "/staged"
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_a_staging_scope_frees_its_tables(spark):
+    before = staged_folders(spark)
+    with StagingScope(spark) as scope:
+        inner = stage(spark.range(10), "inner")
+        with StagingScope(spark) as nested:
+            both = stage_all({"a": spark.range(3), "b": spark.range(4)})
+            total = nested.keep(both["a"].union(both["b"]), "both")
+        assert total.count() == 7 and len(staged_folders(spark) - before) == 2
+        kept = scope.keep(inner.union(total), "kept")
+    assert kept.count() == 17 and len(staged_folders(spark) - before) == 1
+
+
 def test_publish_to_a_catalog_table(spark):
     name = "feedkit_published"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
