@@ -37,6 +37,8 @@ def _cuts(rows: DataFrame, byc: list[str], hot_rows: int) -> DataFrame | None:
 
     A hot key has more than ``hot_rows`` rows, so there are at most as many as that number goes into all rows.
     """
+    if rows.count() <= hot_rows:  # of the written rows: read from the files' footers
+        return None
     known = rows.filter(~F.greatest(*[F.col(c).isNull() for c in (*byc, "__k")]))
     hot = stage(known.groupBy(*byc).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows), "hot")
     if hot.isEmpty():

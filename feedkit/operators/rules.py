@@ -95,8 +95,8 @@ def _by_nodes(dom: DataFrame, bands: DataFrame, keys: list[str], order: Sequence
     nodes = nodes.withColumn("__f", F.expr("shiftright(__a + shiftleft(1L, __l) - 1, __l)")).withColumn("__t", F.expr("shiftright(__z + 1, __l)"))
     nodes = nodes.filter("__f < __t").withColumn("__node", F.explode(F.expr(
         "filter(array(IF(__f % 2 = 1, __f, NULL), IF(__t % 2 = 1, __t - 1, NULL)), x -> x IS NOT NULL)")))
-    best = stage(latest_per_key(nodes, [*keys, "__l", "__node"], order).select(*keys, "__l", "__node", *kept), "nodes")
-    top = best.agg(F.max("__l")).first()[0] or 0
+    best = latest_per_key(nodes, [*keys, "__l", "__node"], order).select(*keys, "__l", "__node", *kept)
+    top = (slots.agg(F.max("__slot")).first()[0] or 0).bit_length()
     looks = located(dom, "__v", "__slot").withColumn("__l", F.explode(F.expr(f"sequence(0, {top})")))
     looks = looks.withColumn("__node", F.expr("shiftright(__slot, __l)")).drop("__slot")
     return latest_per_key(looks.join(best, [*keys, "__l", "__node"]), [*keys, "__v"], order)

@@ -298,13 +298,17 @@ COHORT_COLS = ["grp_num", "pidm", "pulled_term", "lvl_desc", "enrollment_status"
                "tmpGPA", "tmpCredit"]
 
 
-def base_students(src: Sources, control: DataFrame, term_in: str | None, year: str | None) -> DataFrame:
-    """The four cohorts, classified, with person attributes, UNION-distinct."""
+def thin_cohorts(src: Sources, control: DataFrame, term_in: str | None, year: str | None) -> DataFrame:
+    """The thin rows of the four cohorts, built at once and written together."""
     cohorts = {1: partial(cohort_new_deposits, src, control, term_in), 2: partial(cohort_changed, src, control, term_in, year),
                3: partial(cohort_campus, src, control, term_in), 4: partial(cohort_registered, src, control, term_in)}
     built = run_all({str(n): build for n, build in cohorts.items()})  # each stages what its own sweep reads
-    thin13 = stage(union_cohorts({n: built[str(n)].drop("grp_num") for n in cohorts}), "cohorts")
-    c = stage(classify(thin13, of_people(src, thin13)), "classified")
+    return stage(union_cohorts({n: built[str(n)].drop("grp_num") for n in cohorts}), "cohorts")
+
+
+def base_students(thin: DataFrame, src: Sources) -> DataFrame:
+    """The cohorts' rows classified, with person attributes, UNION-distinct."""
+    c = stage(classify(thin, src), "classified")
     first3 = c.filter(F.col("grp_num") != 4).select(*COHORT_COLS)
     reg = (c.filter(F.col("grp_num") == 4)
            .groupBy("grp_num", "pidm", "levl", "lvl_desc", "styp_code", "styp_desc", "enrollment_status", "majr_desc",
@@ -459,14 +463,16 @@ def overrides(src: Sources) -> DataFrame:
 def query_rows(src: Sources, control: DataFrame, ctx: RunContext, floor: str = PERIOD_FLOOR) -> DataFrame:
     """One row per output line with the 72 fields plus the four control columns."""
     term_in, year = _params(src, ctx, floor)
-    e = stage(base_students(src, control, term_in, year), "base")
-    src = of_people(src, e)
-    e = e.join(enrichment(src, ctx, term_in), F.col("pidm") == F.col("en_pidm"), "left").drop("en_pidm")
+    thin = thin_cohorts(src, control, term_in, year)
+    src = of_people(src, thin)
+    # The people are known now; what is to be known of them is independent of one another.
+    parts = run_all({"base": lambda: stage(base_students(thin, src), "base"), "seasons": lambda: stage(season_terms(src), "seasons"),
+                     "known": lambda: stage(enrichment(src, ctx, term_in), "known"), "advisors": lambda: stage(advisors(src), "advisors")})
+    e = parts["base"].join(parts["known"], F.col("pidm") == F.col("en_pidm"), "left").drop("en_pidm")
     e = e.withColumn("enroll_term", F.coalesce("term1", "term2"))
-    adv = advisors(src)
-    e = e.join(adv, (F.col("pidm") == F.col("adv_pidm")) & (F.col("enroll_term") == F.col("adv_term")), "left") \
+    e = e.join(parts["advisors"], (F.col("pidm") == F.col("adv_pidm")) & (F.col("enroll_term") == F.col("adv_term")), "left") \
         .drop("adv_pidm", "adv_term")
-    tp = season_terms(src).withColumnRenamed("pidm", "__tp_pidm")
+    tp = parts["seasons"].withColumnRenamed("pidm", "__tp_pidm")
     e = e.join(tp, F.col("pidm") == F.col("__tp_pidm"), "left").drop("__tp_pidm")
     e = floor_period(e, "pulled_term", F.lit(term_in) if term_in else _null_str(),
                      term_periods(src["saturn_stvterm"]), "tmpPulledTerm", "tmpTermACYR")
