@@ -7,9 +7,10 @@ import tempfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedkit.context import stage, staging_path  # noqa: F401  (re-exported for the operators)
+from feedkit.context import StagingScope, stage, staging_path  # noqa: F401  (re-exported for the operators)
 
 #: The white space of every contract here: space, tab, newline, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -40,14 +41,32 @@ def in_arrow(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def _reads_files(docs: DataFrame) -> bool:
+    """Whether each row of ``docs`` is a row of a parquet file, no more than cut by columns or conditions."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" and "row_index" in docs.select(docs.metadataColumn("_metadata").alias("m")).schema["m"].dataType.names
+
+
 def numbered(docs: DataFrame, name: str = "rows") -> DataFrame:
-    """``docs`` as ``(rid, row)``: a stored row number beside the whole row as one struct.
+    """``docs`` as ``(rid, row)``: a row number beside the whole row as one struct, so no column can clash.
 
-    The table is written once, so that the numbers stay the same however often a lost
-    executor makes Spark read them again, and no column of ``docs`` can clash.
+    The number must stay the same however often a lost executor makes Spark read the rows again. Rows of
+    parquet files have one, their place in the file below the file's rank by name; nothing is copied.
+    Other tables are written once with a running number.
     """
-    row = F.struct(*[column(c) for c in docs.columns]).alias("row")
-    return stage(docs.select(F.monotonically_increasing_id().alias("rid"), row), name)
+    if not _reads_files(docs):
+        row = F.struct(*[column(c) for c in docs.columns]).alias("row")
+        return stage(docs.select(F.monotonically_increasing_id().alias("rid"), row), name)
+    where = docs.metadataColumn("_metadata")
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # columns up to the last step, so that those not needed are not read
+    files = docs.select(where["file_path"].alias("file")).distinct()  # a row per file
+    files = files.select(F.xxhash64("file").alias("file"), (F.row_number().over(W.orderBy("file")) - 1).cast("long").alias("rank"))
+    rows = docs.select(F.xxhash64(where["file_path"]).alias("file"), where["row_index"].alias("at"),
+                       *[column(c).alias(p) for c, p in zip(docs.columns, plain, strict=True)])
+    row = F.struct(*[F.col(p).alias(c) for c, p in zip(docs.columns, plain, strict=True)])
+    return match(rows, files, ["file"]).select((F.col("rank") * F.lit(2**33) + F.col("at")).alias("rid"), row.alias("row"))
 
 
 #: Numbers that may be broadcast in one table: about 30 MB on each executor.

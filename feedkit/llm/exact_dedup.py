@@ -6,11 +6,14 @@ again, until each text has one number. Texts with as many blocks and the same la
 identical, with no hash involved (Karp, Miller and Rosenberg's naming).
 
 Copies within one input split are folded into one representative before anything is shuffled,
-so a group that holds a third of all rows sends one row per split.
+so a group that holds a third of all rows sends one row per split. Equal blocks of one split are sent
+once as well, under a reference, whatever the number of texts that hold them; their numbers go back to
+the texts by a join of references.
 
 Nulls, ties and odd input: a null text counts as empty, empty texts equal one another; rows
-without an id come last in their group; of rows that repeat an id, one stays; an empty table
-gives an empty result; other columns are never looked at.
+without an id come last in their group; of rows that repeat an id, one stays; very long texts are cut like
+any other and their numbers paired as often as they need; an empty table gives an empty result; other
+columns are never looked at.
 """
 
 from __future__ import annotations
@@ -23,11 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, first_id, in_arrow, numbered, stage, table, without
+from feedkit.llm.common import StagingScope, column, first_id, in_arrow, match, numbered, stage, table, without
 
 BLOCK = 2048
 #: Characters of distinct texts a split keeps to fold its own copies; beyond it folding starts afresh.
-FOLD_CHARS = 32_000_000
+FOLD_CHARS = 8_000_000
+#: Rows a task turns into blocks at once.
+FOLD_ROWS = 500
 _WHITE = b" \t\n\v\f\r"
 
 
@@ -41,31 +46,37 @@ def normalised(text: str | None) -> bytes:
 
 
 def _folder(block: int, id_type: pa.DataType):
-    schema = pa.schema([("rid", pa.int64()), ("id", id_type), ("sha", pa.string()), ("rep", pa.int64()),
-                        ("n", pa.int32()), ("blocks", pa.list_(pa.string()))])
+    schema = pa.schema([("rid", pa.int64()), ("id", id_type), ("sha", pa.string()), ("rep", pa.int64()), ("n", pa.int32()),
+                        ("refs", pa.list_(pa.int64())), ("blocks", pa.list_(pa.struct([("ref", pa.int64()), ("block", pa.string())])))])
 
     def fold(batches):
-        seen: dict[bytes, tuple[int, str, int]] = {}
-        held = 0
-        for batch in batches:
-            shas, reps, counts, blocks = [], [], [], []
+        texts: dict[bytes, tuple[int, str, int]] = {}
+        known: dict[str, int] = {}
+        held, ref = 0, TaskContext.get().partitionId() << 33
+        for batch in (whole.slice(at, FOLD_ROWS) for whole in batches for at in range(0, len(whole), FOLD_ROWS)):
+            shas, reps, counts, refs, blocks = [], [], [], [], []
             for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text"), strict=True):
                 flat = normalised(text.as_py())
-                if flat not in seen:
+                if flat not in texts:
                     if held > FOLD_CHARS:
-                        seen, held = {}, 0
+                        texts, known, held = {}, {}, 0
                     chars = flat.decode()
                     parts = [chars[i:i + block] for i in range(0, len(chars), block)] or [""]
-                    seen[flat] = rid, hashlib.sha256(flat).hexdigest(), len(parts)
+                    texts[flat] = rid, hashlib.sha256(flat).hexdigest(), len(parts)
                     held += len(flat)
-                    blocks.append(parts)
+                    new = []
+                    for part in parts:
+                        if part not in known:
+                            known[part], ref = ref, ref + 1
+                            new.append({"ref": known[part], "block": part})
+                    refs.append([known[part] for part in parts]), blocks.append(new)
                 else:
-                    blocks.append(None)
-                rep, sha, count = seen[flat]
+                    refs.append(None), blocks.append(None)
+                rep, sha, count = texts[flat]
                 shas.append(sha), reps.append(rep), counts.append(count)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("id"), pa.array(shas, pa.string()), pa.array(reps, pa.int64()),
-                 pa.array(counts, pa.int32()), pa.array(blocks, pa.list_(pa.string()))], schema=schema)
+                [batch.column("rid"), batch.column("id"), pa.array(shas, pa.string()), pa.array(reps, pa.int64()), pa.array(counts, pa.int32()),
+                 pa.array(refs, schema.field("refs").type), pa.array(blocks, schema.field("blocks").type)], schema=schema)
 
     return fold
 
@@ -101,11 +112,14 @@ def block_identities(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, Da
 
     id_type = rows.schema["id"].dataType
     schema = T.StructType([T.StructField("rid", T.LongType()), T.StructField("id", id_type),
-                           T.StructField("sha", T.StringType()), T.StructField("rep", T.LongType()),
-                           T.StructField("n", T.IntegerType()), T.StructField("blocks", T.ArrayType(T.StringType()))])
-    folded = stage(in_arrow(rows, _folder(block, to_arrow_type(id_type)), schema), "folded")
-    blocks = folded.where("blocks IS NOT NULL").select("rep", "n", F.posexplode("blocks").alias("pos", "block"))
-    level = stage(named(blocks, ["block"], [F.substring("block", 1, 16), F.xxhash64("block")]), "level")
+                           *T.StructType.fromDDL("sha string, rep long, n int, refs array<long>, blocks array<struct<ref:long,block:string>>")])
+    with StagingScope(rows.sparkSession) as scope:  # the blocks go when they have their numbers
+        whole = stage(in_arrow(rows, _folder(block, to_arrow_type(id_type)), schema), "whole")
+        blocks = whole.select(F.explode("blocks").alias("b")).select("b.ref", "b.block")
+        names = named(blocks, ["block"], [F.substring("block", 1, 16), F.xxhash64("block")])
+        places = whole.where("refs IS NOT NULL").select("rep", "n", F.posexplode("refs").alias("pos", "ref"))
+        level = scope.keep(match(places, names, ["ref"]).select("rep", "n", "pos", "name"), "level")
+        folded = scope.keep(whole.drop("refs", "blocks"), "folded")
     longest = folded.agg(F.max("n")).first()[0] or 1
     done, width = level.where("n = 1"), 1
     while width < longest:  # one pass per doubling of the longest text
