@@ -11,10 +11,11 @@ one set are one node (folded per input split before the shuffle), and each node
 against the nearest and the most central of its buckets' hubs. Nodes whose buckets then still hold several components are
 compared by an exact positional prefix filter over their rare shingles, or over what they change in
 the hub they share, which leaves out the pairs that cannot be similar enough before they are made;
-the rest of different components are confirmed like the others. Nodes are compared there only if
-they share mixed buckets of ``SHARED`` chunks, which is sure up to signature distance 17, not up to the
-radius: a pair not joined through a hub is missed with a chance of 2.7e-5 at 0.8 and 3.7e-7 at 0.85
-(the reviewer's figures). Families of edited copies cost about a row per member instead of one per pair.
+the rest of different components are confirmed like the others. One shared bucket is enough to be
+compared there, so every pair within the radius is. Most nodes of mixed buckets only have a passage
+in common with others; they fall out first, by their lowest hashes: two similar sets share ``EXTRA``
+percent of their size among these. Families of edited copies cost about a row per member instead of
+one per pair.
 
 Shingles are compared as 64-bit hashes (two different shingles of one pair agree with a chance
 around 1e-12).
@@ -42,9 +43,8 @@ from feedkit.llm.graph import components
 
 CHUNKS, WIDTH, ERRORS = 12, 4, 1
 RADIUS = CHUNKS * (ERRORS + 1) - 1
-#: Chunks that must be close for a pair not yet in one component; a pair at similarity 0.8 has fewer
-#: with a chance around 1e-5, at 0.85 around 1e-6.
-SHARED = 4
+#: Percent of a set's size by which its lowest hashes are more than a similar set may lack.
+EXTRA = 15
 _RANDOM = np.random.default_rng(20240607)
 _MULTIPLY = _RANDOM.integers(0, 2**63, CHUNKS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RANDOM.integers(0, 2**63, CHUNKS * WIDTH, dtype=np.uint64)
@@ -168,6 +168,20 @@ def _elements(batches):
         yield from _spread(batch, [np.frombuffer(v.as_py(), np.int64) for v in batch.column("set")], np.zeros(len(batch), np.int64))
 
 
+def _lowest(percent: int):
+    def lowest(batches):
+        for batch in batches:
+            nodes, sizes, found = [], [], []
+            for node, n, data in zip(batch.column("node").to_pylist(), batch.column("n").to_pylist(), batch.column("set"), strict=True):
+                low = np.frombuffer(data.as_py(), np.uint64)[:n + (-percent * n) // 100 - (-EXTRA * n) // 100]
+                nodes.append(np.full(len(low), node)), sizes.append(np.full(len(low), n)), found.append(low.view(np.int64))
+            empty = [np.empty(0, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x + empty).astype(np.int64)) for x in (nodes, sizes, found)],
+                                             names=["node", "n", "element"])
+
+    return lowest
+
+
 def _differences(batches):
     for batch in batches:
         pairs = zip(batch.column("set"), batch.column("lead_set"), strict=True)
@@ -254,6 +268,7 @@ class _Join:
         open_nodes = self.open_nodes(buckets, first)
         if open_nodes.isEmpty():
             return first
+        open_nodes = stage(self.promising(self.sets(open_nodes)), "promising")
         leads = near.select(F.col("a").alias("node"), "lead").join(open_nodes, "node")
         sets = self.sets(open_nodes.union(leads.select("lead")))
         more = self.links(self.close(self.sharing(sets.join(open_nodes, "node"), sets, first, leads)), sets)
@@ -267,16 +282,21 @@ class _Join:
         return merged.unionByName(alone.select(F.col("comp").alias("node"), F.col("into").alias("comp")))
 
     def open_nodes(self, buckets: DataFrame, known: DataFrame) -> DataFrame:
-        """The nodes that share buckets of enough chunks with nodes of another component."""
-        members = stage(buckets.join(known, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "members")
-        while True:
-            mixed = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-            left = members.join(mixed.select("key"), "key")
-            chunk = F.expr(f"(key >> {16 * (WIDTH - ERRORS)}) div {len(_KEPT)}")
-            enough = left.groupBy("node").agg(F.countDistinct(chunk).alias("chunks")).where(f"chunks >= {SHARED}").select("node")
-            before, members = members, stage(left.join(enough, "node"), "members")
-            if members.count() >= 0.9 * before.count():  # none left counts too; stopping early leaves more to compare, never less
-                return members.select("node").distinct()
+        """The nodes that share a bucket with nodes of another component."""
+        members = buckets.join(known, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+        members = stage(members, "members")
+        mixed = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+        return stage(members.join(mixed.select("key"), "key").select("node").distinct(), "open")
+
+    def promising(self, sets: DataFrame) -> DataFrame:
+        """The nodes of ``sets`` that share enough of their lowest hashes with others of them.
+
+        Sets that share s elements share at least k of those among their first n - s + k in order of hash.
+        """
+        each = in_arrow(sets.select("node", "n", "set"), _lowest(self.percent), "node long, n long, element long")
+        common = each.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1").select("element")
+        held = match(each, common, ["element"], "left_semi").groupBy("node", "n").agg(F.count("*").alias("held"))
+        return held.where(f"held >= ({EXTRA} * (({self.percent} * n + 99) div 100) + 99) div 100").select("node")
 
     def sharing(self, rows: DataFrame, sets: DataFrame, known: DataFrame, leads: DataFrame) -> DataFrame:
         """The pairs of different components among ``rows`` that can still be similar enough.
