@@ -95,7 +95,7 @@ class Tokenizer:
                   for i in range(1, len(token)) if token[:i] in self.ranks and token[i:] in self.ranks]
         left, right, merged = np.array(splits, np.int64).reshape(-1, 3).T
         extended = np.unique(np.concatenate([left[left > merged], right[right > merged]]))
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB",
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB",
                                          "temp_directory": os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")})
         self._create("merges", pair=left << 20 | right, merged=merged, safe=~np.isin(merged, extended))
         chars = ["".join(chr(256 + b) for b in token) for token in self.ranks]
@@ -148,6 +148,10 @@ class Tokenizer:
         self.learn(new - again)
         return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
 
+    def forget(self) -> None:
+        """Pieces are remembered for a task; the worker may sit idle for long after it."""
+        self.known, self.older = {}, {}
+
     def decode(self, texts: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
         ids = np.concatenate([*texts, np.empty(0, np.int32)]).astype(np.int32)
@@ -193,6 +197,7 @@ def _encoder(ranks_path: str, pattern: str):
                 lists = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), lists],
                                                  names=[*(batch.schema.names[i] for i in kept), "ids"])
+        bpe.forget()
 
     return encode
 
