@@ -1,9 +1,10 @@
 """Operator 2, quality rules with host-level verdicts (DataFrame functions only).
 
 Each document is measured and tested against a few rules. The rule failures of a host's documents
-are counted and each host's failure rate is shrunk towards the corpus by a beta prior whose two
-parameters are estimated from the spread of the hosts' own rates (method of moments), so a host
-with three documents is not judged by them alone. The verdicts go back to the documents:
+are counted and each host's failure rate is shrunk towards the corpus by a beta prior. Its two
+parameters are estimated by beta-binomial moments: the hosts' rates, weighted by their documents, spread
+by chance as well as by kind, and only what exceeds chance counts. So a host with three documents is
+not judged by them alone. The verdicts go back to the documents:
 
 * ``ok``: only the base rule counts;
 * ``strict`` (shrunken rate of ``strict_rate`` or more): a document that fails any rule goes;
@@ -30,6 +31,8 @@ MAX_REPEAT_PERCENT = 30
 MAX_SYMBOL_PERCENT = 10  # symbols to words
 MAX_DUP_LINE_PERCENT = 30
 STRICT_RATE, REJECT_RATE = 0.5, 0.9
+#: Documents the prior is worth where hosts do not differ.
+MOST_PRIOR = 1000000
 
 
 def _let(value: Column, body) -> Column:
@@ -89,14 +92,19 @@ def measured(rows: DataFrame) -> DataFrame:
 def host_verdicts(docs: DataFrame, strict_rate: float = STRICT_RATE, reject_rate: float = REJECT_RATE) -> DataFrame:
     """``(host, n_docs, n_failed, host_rate, verdict)`` from measured documents.
 
-    With mean m and variance v of the hosts' rates, the prior is worth m(1-m)/v - 1 documents (never
-    fewer than one, and a fixed large number where all hosts agree).
+    With k hosts, N documents, m of them failed (mean p), and S the sum of n (rate - p)^2, chance alone
+    makes S about p(1-p)(k-1); a correlation r of a host's documents adds r (N - k + 1 - sum(n^2) / N) of
+    p(1-p). The prior is worth 1/r - 1 documents, never fewer than one. Where hosts spread no more than by
+    chance, or their sizes cannot tell (all of one document, or one host), it is a fixed large number.
     """
     hosts = docs.groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(F.col("any_failed").cast("long")).alias("n_failed"))
-    rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg((F.sum("n_failed") / F.sum("n_docs")).alias("mean"), F.var_pop(rate).alias("spread")).select(
-        F.struct("mean", F.greatest(F.lit(1.0), F.when(F.col("spread") > 1e-9, F.least(
-            F.col("mean") * (1 - F.col("mean")) / F.col("spread") - 1, F.lit(1e6))).otherwise(1e6)).alias("weight")).alias("p"))
+    prior = hosts.agg(F.count("*").alias("k"), F.sum("n_docs").alias("n"), F.sum("n_failed").alias("m"),
+                      F.sum(F.col("n_docs").cast("double") * F.col("n_docs")).alias("squares"),
+                      F.sum(F.col("n_failed").cast("double") * F.col("n_failed") / F.col("n_docs")).alias("rates"))
+    prior = prior.select("k", "n", "squares", (F.col("m") / F.col("n")).alias("mean"), F.expr("rates - CAST(m AS DOUBLE) * m / n").alias("spread"))
+    chance, room = "mean * (1 - mean)", "(n - k + 1 - squares / n)"
+    prior = prior.withColumn("r", F.expr(f"CASE WHEN {chance} > 0 AND {room} > 0.000001 THEN (spread / ({chance}) - (k - 1)) / {room} END"))
+    prior = prior.select(F.struct("mean", F.expr(f"CASE WHEN r > 1 / ({MOST_PRIOR} + 1D) THEN greatest(1D, 1 / r - 1) ELSE {MOST_PRIOR}D END").alias("weight")).alias("p"))
     shrunk = hosts.withColumn("p", prior.scalar()).withColumn(
         "host_rate", (F.col("n_failed") + F.col("p.mean") * F.col("p.weight")) / (F.col("n_docs") + F.col("p.weight")))
     return shrunk.select("host", "n_docs", "n_failed", "host_rate", F.when(F.col("host_rate") >= reject_rate, "reject")
@@ -162,9 +170,12 @@ f AS (SELECT *, 100 * n_dup_lines > 30 * len(lines) AS lines_failed FROM r),
 h AS (
     SELECT source, count(*) AS n_docs, sum((base_failed OR symbols_failed OR lines_failed)::INT) AS n_failed FROM f GROUP BY source),
 p AS (
-    SELECT sum(n_failed) / sum(n_docs) AS mean, var_pop(n_failed / n_docs) AS spread FROM h),
-k AS (
-    SELECT mean, greatest(1.0, CASE WHEN spread > 1e-9 THEN least(mean * (1 - mean) / spread - 1, 1e6) ELSE 1e6 END) AS weight FROM p),
+    SELECT count(*) AS k, sum(n_docs)::DOUBLE AS n, sum(n_failed)::DOUBLE / sum(n_docs) AS mean, sum(n_docs::DOUBLE * n_docs) AS squares,
+           sum(n_failed::DOUBLE * n_failed / n_docs) - sum(n_failed)::DOUBLE * sum(n_failed) / sum(n_docs) AS spread FROM h),
+q AS (
+    SELECT mean, CASE WHEN mean * (1 - mean) > 0 AND n - k + 1 - squares / n > 0.000001
+                      THEN (spread / (mean * (1 - mean)) - (k - 1)) / (n - k + 1 - squares / n) END AS r FROM p),
+k AS (SELECT mean, CASE WHEN r > 1 / 1000001.0 THEN greatest(1.0, 1 / r - 1) ELSE 1e6 END AS weight FROM q),
 v AS (
     SELECT source, (n_failed + mean * weight) / (n_docs + weight) AS host_rate FROM h, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
