@@ -2,9 +2,10 @@
 
 A first pass finds spans in every whole text: the three base patterns, and candidates, which are
 long unbroken tokens that mix letters and digits. Each span's value is hashed and the hashes are
-counted over the corpus by distinct repository and distinct owner. A value that many owners hold
-is a widely copied example; one that ``max_owners`` or fewer hold, and that looks live (enough
-entropy, no placeholder), is owner-specific. Base spans always stay and are only told apart by
+counted over the corpus by distinct repository and distinct owner. A value that many owners hold, or
+that one owner has in many repositories, is a widely copied example; one in at most ``max_owners``
+owners and ``max_repos`` repositories that looks live is owner-specific. A value looks live if enough
+characters of enough entropy are left without the words that placeholders are made of. Base spans always stay and are only told apart by
 this count; owner-specific candidates that no base span covers are added as spans of kind ``owned``.
 
 For ``documents`` the owner is ``source`` and the repository ``source`` with ``lang``.
@@ -13,7 +14,8 @@ Counting is a chain of groupings, each pre-aggregated before its shuffle, so a v
 of all rows hold costs a row per task. Verdicts return by a join of one row per distinct value.
 
 Nulls, ties and odd input: a null text counts as empty and has no span; a missing owner is an
-owner of its own; repeated rows each get their row; overlapping spans of different kinds all stay;
+owner of its own; repeated rows each get their row; overlapping spans of different kinds all stay; very long
+texts are scanned whole, inside their row;
 an empty table gives an empty result; other columns are never looked at.
 """
 
@@ -42,7 +44,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
 PLACEHOLDER = re.compile(r"example|sample|dummy|placeholder|changeme|change_me|your[_-]?|xxxx|test|redacted|0123456789|abcdef", re.IGNORECASE)
 MIN_ENTROPY = 3.0
-MAX_OWNERS = 2
+MIN_LIVE = 12  # letters and digits besides placeholder words
+MAX_OWNERS, MAX_REPOS = 2, 2
 
 
 def entropy(value: str) -> float:
@@ -51,7 +54,8 @@ def entropy(value: str) -> float:
 
 
 def looks_live(value: str) -> bool:
-    return entropy(value) >= MIN_ENTROPY and not PLACEHOLDER.search(value)
+    rest = "".join(filter(str.isalnum, PLACEHOLDER.sub("", value)))
+    return len(rest) >= MIN_LIVE and entropy(rest) >= MIN_ENTROPY
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -114,12 +118,13 @@ def ownership(scans: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repo_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS) -> DataFrame:
+                 repo_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS,
+                 max_repos: int = MAX_REPOS) -> DataFrame:
     """One row per row of ``docs`` with its spans as structs and the counts behind their verdicts."""
     scans = scanned(docs, id_col, text_col, owner_col, list(repo_cols))
     counts = stage(ownership(scans), "ownership")
     spans = scans.where("size(spans) > 0").select("rid", F.explode("spans").alias("span")).select("rid", "span.*")
-    judged = spans.join(counts, "hash").withColumn("specific", F.expr(f"n_owners <= {max_owners} AND live"))
+    judged = spans.join(counts, "hash").withColumn("specific", F.expr(f"n_owners <= {max_owners} AND n_repos <= {max_repos} AND live"))
     kept = judged.where(f"kind < {KINDS.index('owned')} OR specific").groupBy("rid").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end", "specific", "n_owners", "n_repos"))).alias("spans"))
     return scans.drop("spans").join(kept, "rid", "left").select(
