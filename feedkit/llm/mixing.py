@@ -7,25 +7,28 @@ finish time over the whole cluster and the mix ends where the total budget is us
 source gets its target to within a document or so.
 
 No sum runs through one task: running sums are taken per hash bucket (within a source) or range
-partition (over all), and the buckets' totals are added up separately.
+partition (over all), and the buckets' totals are added up separately. There are as many buckets as a
+bucket has rows, about; one that an id in very many rows crowds is split by row number.
 
 Nulls, ties and odd input: a null text has no words; sources are ordered by code point, null
-last, and null is a source like any other; rows that repeat an id are separate documents and next
-to each other in their source's order; a source without words has target 0 and takes nothing; an
+last, and null is a source like any other; rows that repeat an id are separate documents and near
+each other in their source's order; a very long text is one document like any other, taken or not; a source without words has target 0 and takes nothing; an
 empty table gives an empty result; other columns are never looked at.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedkit.llm.common import WORD, column, numbered, stage, table
+from feedkit.llm.common import WORD, column, match, numbered, stage, table
 
 MAX_PASSES = 3
-#: Rows of a source that share a hash bucket, about; the number of buckets grows with the table.
-BUCKET_ROWS = 20_000
+#: A hash bucket of a source with this many times the average's rows is split by row number.
+CROWDED = 4
 SEED = 6
 
 
@@ -63,14 +66,20 @@ def mix_copies(sizes: DataFrame, goals: DataFrame, max_passes: int = MAX_PASSES)
     """``(rid, copies)``: how often the mix takes each row of ``sizes`` (0 included)."""
     spark = sizes.sparkSession
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    buckets = max(16, rows // BUCKET_ROWS)
+    buckets = max(16, math.isqrt(rows))  # as many as each holds, about
+    limit = max(16, CROWDED * rows // buckets)
     dealt = sizes.withColumn("bucket", F.pmod(F.shiftrightunsigned("place", 20), F.lit(buckets)))
-    in_order = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    before = (dealt.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-              .withColumn("before", F.coalesce(F.sum("words").over(in_order), F.lit(0))).select("source", "bucket", "before"))
-    of_bucket = before.join(goals, before["source"].eqNullSafe(goals["source"])).select(before["source"], "bucket", "before", "source_size", "target")
-    queue = dealt.alias("d").join(of_bucket.alias("b"), F.expr("d.source <=> b.source AND d.bucket = b.bucket"))
-    within = W.partitionBy("d.source", "d.bucket").orderBy("d.place", "d.id", "d.rid").rowsBetween(W.unboundedPreceding, 0)
+    crowded = (dealt.groupBy("source", "bucket").agg(F.count("*").alias("rows")).where(f"rows > {limit}")  # of an id in very many rows
+               .select(F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")).alias("key"), "bucket",
+                       F.expr(f"rows div {max(1, limit // CROWDED)} + 1").alias("parts")))
+    dealt = match(dealt.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))), crowded, ["key", "bucket"], "left")
+    dealt = dealt.withColumn("part", F.coalesce(F.expr("pmod(xxhash64(rid), parts)"), F.lit(0)))
+    in_order = W.partitionBy("source").orderBy("bucket", "part").rowsBetween(W.unboundedPreceding, -1)
+    before = (dealt.groupBy("source", "bucket", "part").agg(F.sum("size").alias("words"))
+              .withColumn("before", F.coalesce(F.sum("words").over(in_order), F.lit(0))).select("source", "bucket", "part", "before"))
+    of_bucket = before.join(goals, before["source"].eqNullSafe(goals["source"])).select(before["source"], "bucket", "part", "before", "source_size", "target")
+    queue = dealt.alias("d").join(of_bucket.alias("b"), F.expr("d.source <=> b.source AND d.bucket = b.bucket AND d.part = b.part"))
+    within = W.partitionBy("d.source", "d.bucket", "d.part").orderBy("d.place", "d.id", "d.rid").rowsBetween(W.unboundedPreceding, 0)
     queue = queue.select("d.rid", "d.source", "d.size", "d.place", "source_size", "target",
                          (F.col("before") + F.sum("d.size").over(within)).alias("upto"))
     copies = queue.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(max_passes - 1)))).select(
@@ -93,8 +102,8 @@ def mix_copies(sizes: DataFrame, goals: DataFrame, max_passes: int = MAX_PASSES)
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """One row per row of ``docs``: its id, ``size`` in words, ``source_size``, ``target`` and ``taken`` words."""
-    sizes = sized(docs.select(F.monotonically_increasing_id().alias("rid"), column(id_col).alias("id"),
-                              column(source_col).alias("source"), column(text_col).alias("text")))
+    rows = numbered(docs.select(column(id_col).alias("id"), column(source_col).alias("source"), column(text_col).alias("text")))
+    sizes = sized(rows.select("rid", "row.id", "row.source", "row.text"))
     goals = stage(targets(sizes, weights), "targets")
     rows = sizes.join(mix_copies(sizes, goals), "rid").alias("r")
     return rows.join(goals.alias("g"), F.expr("r.source <=> g.source")).select(
@@ -107,7 +116,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = sized(rows.select("rid", F.col("row.doc_id").alias("id"), F.col("row.source").alias("source"),
                               F.col("row.text").alias("text")))
     copies = mix_copies(sizes, stage(targets(sizes), "targets")).where("copies > 0")
-    return rows.join(copies, "rid").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    return match(rows, copies, ["rid"]).select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
