@@ -1,8 +1,9 @@
 """Operator 8, language identification by cross-parsing entropy.
 
-For each language a reference of ``ROWS`` labelled texts (the first by hash of the id, at most
-``ROW_CHARS`` characters of each: the documented bound of what is learned from) becomes a suffix
-automaton, which follows any substring of the reference. A text is parsed against it from left to
+For each language a reference of labelled texts becomes a suffix automaton, which follows any substring
+of the reference. The texts are whole: the first by hash of the id, at most ``rows`` of them with at
+most ``chars`` characters together, for the ``languages`` that most rows have. These parameters of
+``learn`` bound what is learned from and what the driver holds. A text is parsed against it from left to
 right into the longest phrases that occur in the reference. Phrases times the logarithm of the
 reference's length, over the text's length, estimate the cross entropy; the lowest wins.
 
@@ -13,7 +14,7 @@ space.
 
 Nulls, ties and odd input: ``und`` with score 0 where the text is null or has no letter, or where
 nothing could be learned; equal entropies go to the first language by name; a row without an id is
-not held out and not learned from; repeated rows get a row each; an empty table gives an empty
+not held out and not learned from, nor is one whose text alone is over ``chars``; repeated rows get a row each; an empty table gives an empty
 result; other columns are never looked at.
 """
 
@@ -30,7 +31,8 @@ from pyspark.sql import types as T
 
 from feedkit.llm.common import column, in_arrow, stage, table
 
-ROWS, ROW_CHARS, SEGMENT, SLICE_CHARS, FOLDS = 40, 1000, 512, 2_000_000, 5
+ROWS, CHARS, LANGUAGES = 40, 60_000, 100
+SEGMENT, SLICE_CHARS, FOLDS = 512, 2_000_000, 5
 UNKNOWN = "und"
 
 
@@ -184,21 +186,26 @@ def _held_out(docs: DataFrame, id_col: str):
     return F.coalesce(F.crc32(column(id_col).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
-    """The reference text of each language, from rows that are not held out: at most ``ROWS`` texts
-    and ``ROW_CHARS`` characters of each reach the driver per language."""
-    rows = docs.where(column(id_col).isNotNull() & column(text_col).isNotNull() & column(lang_col).isNotNull() & ~_held_out(docs, id_col))
-    places = rows.select(column(lang_col).alias("lang"), F.xxhash64(column(id_col)).alias("place"))
-    # Thinned by the hash until about enough are left, then cut exactly, within each language.
-    first = places.groupBy("lang").agg(F.count("*").alias("n")).select("lang", F.least(F.lit(1.0), F.lit(4.0 * ROWS) / F.col("n")).alias("share"))
-    unit = (F.col("place") / F.lit(2.0**64)) + 0.5
-    near = stage(places.join(stage(first, "shares"), "lang").where(unit <= F.col("share")).select("lang", "place"), "near")
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS,
+          chars: int = CHARS, languages: int = LANGUAGES) -> dict[str, str]:
+    """The reference text of each language, from rows that are not held out: at most ``rows`` whole texts of
+    ``chars`` characters in all per language reach the driver, for at most ``languages`` of them."""
     from pyspark.sql import Window as W
 
-    chosen = near.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("place"))).where(f"n <= {ROWS}")
-    chosen = stage(chosen.select("lang", "place").distinct(), "chosen")
-    texts = rows.select(column(lang_col).alias("lang"), F.xxhash64(column(id_col)).alias("place"), F.substring(column(text_col), 1, ROW_CHARS).alias("text"))
-    found = texts.join(chosen, ["lang", "place"]).groupBy("lang", "place").agg(F.min("text").alias("text")).collect()
+    given = docs.where(column(id_col).isNotNull() & column(text_col).isNotNull() & column(lang_col).isNotNull() & ~_held_out(docs, id_col))
+    given = given.select(column(lang_col).alias("lang"), F.xxhash64(column(id_col)).alias("place"), column(text_col).alias("text"))
+    places = given.select("lang", "place", F.length("text").alias("chars")).where(f"chars <= {chars}")
+    # Thinned by the hash until about enough are left, then cut exactly, within each language.
+    first = places.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    first = first.select("lang", F.least(F.lit(1.0), F.lit(4.0 * rows) / F.col("n")).alias("share"))
+    unit = (F.col("place") / F.lit(2.0**64)) + 0.5
+    near = stage(places.join(stage(first, "shares"), "lang").where(unit <= F.col("share")).select("lang", "place", "chars"), "near")
+    in_order = W.partitionBy("lang").orderBy("place", "chars")
+    chosen = near.withColumn("n", F.row_number().over(in_order)).withColumn(
+        "upto", F.sum("chars").over(in_order.rowsBetween(W.unboundedPreceding, 0))).where(f"n <= {rows} AND upto <= {chars}")
+    chosen = stage(chosen.select("lang", "place", "chars").distinct(), "chosen")
+    texts = given.withColumn("chars", F.length("text")).join(chosen, ["lang", "place", "chars"])
+    found = texts.groupBy("lang", "place").agg(F.min("text").alias("text")).collect()
     references: dict[str, list[str]] = {}
     for row in sorted(found, key=lambda r: (r["lang"], r["place"])):
         references.setdefault(row["lang"], []).append(row["text"])
