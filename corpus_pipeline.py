@@ -3,6 +3,11 @@
 ``run`` applies the stages to ``documents`` in turn. Each stage's rows are written as Parquet to
 the shared checkpoint folder and read again, so a lost executor never reaches back further than
 one stage. Every stage but the last returns the columns of ``documents``.
+
+Nulls, ties and odd input: a null or empty text fails the quality rules; rows that repeat an id are
+separate documents, of equal ones the first stays; a very long text passes whole through every stage;
+further columns, whatever their names, are carried to the last stage; an empty table gives an empty
+result with the same columns.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedkit.llm.bpe import bpe_stage
-from feedkit.llm.common import stage, table
+from feedkit.llm.common import StagingScope, table
 from feedkit.llm.exact_dedup import exact_stage
 from feedkit.llm.host_rules import quality_stage
 from feedkit.llm.mixing import mix_stage
@@ -31,5 +36,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        with StagingScope(spark) as scope:  # what a stage stages for itself goes when its rows are written
+            docs = scope.keep(step(spark, docs, sf_dir), name)
     return docs
