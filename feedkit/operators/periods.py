@@ -3,7 +3,7 @@
 A *period table* has one row per period code with ``code`` (fixed-width string,
 ordered lexicographically), ``year`` (its reporting-year code), ``start_date`` and
 ``end_date``. Period tables are calendar-sized (a few rows per year), so joins to
-them are broadcast: their size grows with elapsed time, never with the data.
+them are joined as they are: their size grows with elapsed time, never with the data.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def run_params(periods: DataFrame, as_of: Any, floor: str | None = None) -> Data
     """One row: current period (earliest open), its year and the next year code.
 
     The next year is ``lead(year)`` over the distinct calendar years; both lookups
-    are equi-joins to calendar-sized tables (broadcast), so no nested loop is needed.
+    are equi-joins to calendar-sized tables, so no nested loop is needed.
     """
     cur = current_period(periods, as_of, "earliest_open", floor=floor, out="period_code")
     years = year_of(periods).select(F.col("code").alias("__code"), F.col("year").alias("period_year"))

@@ -151,7 +151,7 @@ def q_changed_since(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _open_orders(td: Testdata, current: str = "199820") -> DataFrame:
-    """Orders of the current period or later, with the period's year attached (broadcast lookup)."""
+    """Orders of the current period or later, with the period's year attached."""
     o = td.orders.select("o_orderkey", "o_custkey", "o_orderstatus", term_of("o_orderdate").alias("period_code"))
     o = o.filter(F.col("period_code") >= current)
     yr = P.year_of(td.periods()).select(F.col("code").alias("__c"), F.col("year").alias("period_year"))
