@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PERIOD_COLS = ("code", "year", "start_date", "end_date")
@@ -59,16 +59,17 @@ def next_period(periods: DataFrame, as_of: Any, suffix: str | None = "0",
 def run_params(periods: DataFrame, as_of: Any, floor: str | None = None) -> DataFrame:
     """One row: current period (earliest open), its year and the next year code.
 
-    The next year is ``lead(year)`` over the distinct calendar years; both lookups
-    are equi-joins to calendar-sized tables, so no nested loop is needed.
+    Each code's year and whether it is open come from one aggregate over the calendar; the least open
+    code brings its year with it. The next year is the least one above, a scalar subquery: no window, no join.
     """
-    cur = current_period(periods, as_of, "earliest_open", floor=floor, out="period_code")
-    years = year_of(periods).select(F.col("code").alias("__code"), F.col("year").alias("period_year"))
-    nxt = (periods.select(F.col("year").alias("__year")).distinct()
-           .withColumn("next_year", F.lead("__year").over(Window.orderBy("__year"))))
-    out = cur.join(years, F.col("period_code") == F.col("__code"), "left")
-    out = out.join(nxt, F.col("period_year") == F.col("__year"), "left")
-    return out.select("period_code", "period_year", "next_year")
+    open_ = F.col("end_date") >= _lit(as_of)
+    if floor is not None:
+        open_ = open_ & (F.col("code") > F.lit(floor))
+    codes = periods.groupBy("code").agg(F.min("year").alias("year"), F.max(open_).alias("open"))
+    first = codes.filter("open").agg(F.min(F.struct("code", "year")).alias("first")).select(
+        F.col("first.code").alias("period_code"), F.col("first.year").alias("period_year"))
+    later = periods.filter(F.col("year") > first.select("period_year").scalar()).agg(F.min("year").alias("next_year"))
+    return first.withColumn("next_year", later.scalar())
 
 
 def collect_one(df: DataFrame) -> dict[str, Any]:
