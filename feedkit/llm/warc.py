@@ -9,7 +9,8 @@ not compressed) and checks the compressed stream, the record's lengths and its b
 digests (md5 and sha, hex or base32; others, and payload digests of revisits, segments and truncated
 records, are not checked). After a
 failed check it searches for the next member or version line that begins a valid record, goes on
-from there and logs the bytes in between as a quarantined gap.
+from there and logs the bytes in between as a quarantined gap. An archive is read through a window of
+``WINDOW_BYTES`` and may be of any size; a task holds one member, unpacked, at a time.
 
 Equal payloads of ``REVISIT_BYTES`` or more are stored once: the record of the smallest page id is
 a response, the others are revisits of it. Only a page id and digest per group of copies is
@@ -38,9 +39,11 @@ from feedkit.llm.common import column, in_arrow, stage, staging_path, table
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 8_000_000
+WINDOW_BYTES = 1 << 20
 RECORD_DATE = "2000-01-01T00:00:00Z"  # records carry no clock, so that reruns agree
 # Fixed values of the WARC and gzip formats.
 VERSION, MAGIC, END = b"WARC/1.", b"\x1f\x8b\x08", b"\r\n\r\n"
+_MARK = re.compile(re.escape(MAGIC) + b"|" + re.escape(VERSION))
 _HEAD_END, _CHUNKED, _CHUNK = re.compile(rb"\r?\n\r?\n"), re.compile(rb"\ntransfer-encoding:[^\n]*chunked"), re.compile(rb"([0-9A-Fa-f]+)[^\n]*\n")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -70,7 +73,44 @@ def member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def _unpack(data: memoryview, start: int) -> tuple[bytes, int]:
+class ArchiveWindow:
+    """An archive of any size as far as the reader needs bytes: slices, ``find``, ``startswith``, ``len``."""
+
+    def __init__(self, file: pa.NativeFile, window: int = WINDOW_BYTES) -> None:
+        self.file, self.window, self.size, self.begin, self.held = file, window, file.size(), 0, b""
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, part: slice) -> bytes:
+        start, stop = part.start, min(part.stop, self.size)
+        if stop <= start:
+            return b""
+        if stop - start > self.window:
+            return self.file.read_at(stop - start, start)
+        if not self.begin <= start <= stop <= self.begin + len(self.held):
+            self.begin, self.held = start, self.file.read_at(self.window, start)
+        return self.held[start - self.begin:stop - self.begin]
+
+    def startswith(self, mark: bytes, start: int) -> bool:
+        return self[start:start + len(mark)] == mark
+
+    def find(self, mark: bytes, start: int) -> int:
+        return self.search(re.compile(re.escape(mark)), start, len(mark))
+
+    def search(self, pattern: re.Pattern[bytes], start: int, longest: int) -> int:
+        """Where the first match of at most ``longest`` bytes begins, or -1."""
+        while start < self.size:
+            held = self.begin + len(self.held)
+            stop = held if self.begin <= start <= held - longest else start + self.window
+            found = pattern.search(self[start:stop])
+            if found:
+                return start + found.start()
+            start = stop if stop >= self.size else stop - longest + 1
+        return -1
+
+
+def _unpack(data: ArchiveWindow, start: int) -> tuple[bytes, int]:
     """The gzip member at ``start`` and where it ends; ValueError if it is damaged or cut off."""
     unpacker, parts, at = zlib.decompressobj(31), [], start
     while not unpacker.eof:
@@ -118,7 +158,7 @@ def _payloads(fields: dict[str, str], block: bytes) -> list[bytes]:
     return both
 
 
-def _parse(data: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
+def _parse(data: bytes | ArchiveWindow, start: int) -> tuple[dict[str, str], bytes, int]:
     """The record at ``start``: its fields, block and end; ValueError where a check fails."""
     head_end = data.find(END, start)
     if not data.startswith(VERSION, start) or head_end < 0:
@@ -142,17 +182,17 @@ def _parse(data: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
     return fields, block, end + len(END)
 
 
-def salvage(content: bytes):
+def salvage(archive: bytes | pa.NativeFile, window: int = WINDOW_BYTES):
     """Yields ``("record", offset, end, fields, block)`` and ``("gap", offset, end, reason)`` in order.
 
-    A member that unpacks but holds damaged records gives those records' neighbours and one gap of
+    ``archive`` is an open file, or its bytes. A member that unpacks but holds damaged records gives those records' neighbours and one gap of
     the member's own range.
     """
-    view = memoryview(content)
+    content = ArchiveWindow(pa.BufferReader(archive) if isinstance(archive, bytes) else archive, window)
 
     def valid(at: int):
         if content.startswith(MAGIC, at):
-            data, end = _unpack(view, at)
+            data, end = _unpack(content, at)
             found, inner, reason = [], 0, None
             while inner < len(data):
                 try:
@@ -176,8 +216,8 @@ def salvage(content: bytes):
         except ValueError as error:
             if lost is None:
                 lost, why = at, str(error)
-            marks = [m for m in (content.find(MAGIC, at + 1), content.find(VERSION, at + 1)) if m >= 0]
-            at = min(marks, default=len(content))
+            mark = content.search(_MARK, at + 1, len(VERSION))
+            at = len(content) if mark < 0 else mark
             continue
         if lost is not None:
             yield "gap", lost, at, why
@@ -201,6 +241,14 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def _tasks_reach(folder: str) -> bool:
+    """Whether tasks can open files of the folder themselves; some stores are known to Spark alone."""
+    try:
+        return _filesystem(folder) is not None
+    except (ValueError, NotImplementedError, OSError):  # no such kind of store, or no client for it
+        return False
+
+
 def _writer(folder: str):
     def write(batches):
         store, path = _filesystem(folder)
@@ -253,8 +301,8 @@ def _reader(payloads: bool):
 
     schema = to_arrow_schema(_READ)
 
-    def rows(archive: str, content: bytes):
-        for kind, start, end, *rest in salvage(content):
+    def rows(archive: str, file: pa.NativeFile):
+        for kind, start, end, *rest in salvage(file):
             if kind == "gap":
                 yield {"archive": archive, "offset": start, "end": end, "kind": kind, "reason": rest[0]}
                 continue
@@ -267,16 +315,21 @@ def _reader(payloads: bool):
                    "url": fields.get("warc-target-uri"), "record_type": fields.get("warc-type"), "payload_bytes": length,
                    "payload_digest": digest, "refers_to": fields.get("x-refers-to-page"), "payload": payload if payloads else None}
 
+    def opened(uri: str) -> pa.NativeFile:
+        store, path = _filesystem(uri)
+        return store.open_input_file(path)
+
     def read(batches):
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            for at, uri in enumerate(batch.column("path").to_pylist()):
                 held, size = [], 0
-                for row in rows(path.as_py().rsplit("/", 1)[-1], content.as_py()):
-                    held.append(row)
-                    size += 200 + len(row.get("payload") or b"")
-                    if size > 4_000_000:
-                        yield pa.RecordBatch.from_pylist(held, schema=schema)
-                        held, size = [], 0
+                with opened(uri) if "content" not in batch.schema.names else pa.BufferReader(batch.column("content")[at].as_buffer()) as file:
+                    for row in rows(uri.rsplit("/", 1)[-1], file):
+                        held.append(row)
+                        size += 200 + len(row.get("payload") or b"")
+                        if size > 4_000_000:
+                            yield pa.RecordBatch.from_pylist(held, schema=schema)
+                            held, size = [], 0
                 yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     return read
@@ -285,12 +338,15 @@ def _reader(payloads: bool):
 def read_warc(spark: SparkSession, folder: str, archives: DataFrame | None = None, payloads: bool = True) -> DataFrame:
     """Rows of the archives in a folder: ``kind`` is ``record`` or ``gap`` (with ``offset``, ``end``, ``reason``).
 
-    ``archives(name)`` restricts the reading to the archives it lists.
+    ``archives(name)`` restricts the reading to the archives it lists. Spark lists the files and deals them
+    out by size; the tasks read them through a window. In a store that only Spark can read, it hands each
+    archive over whole; there one archive may have at most 2 GB.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder)
+    files = files.select("path") if _tasks_reach(folder) else files.select("path", "content")
     if archives is not None:
         files = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(archives.select("name"), "name", "left_semi")
-    return in_arrow(files.select("path", "content"), _reader(payloads), _READ)
+    return in_arrow(files.drop("name"), _reader(payloads), _READ)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,11 @@
 import base64
 import gzip
 import hashlib
+import itertools
+import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from feedkit.llm import chat, warc
@@ -84,6 +88,42 @@ def test_salvage_of_a_member_with_several_records():
     assert ids(found) == ["0", "2"] and [f[0] for f in found] == ["record", "record", "gap"]
 
 
+@pytest.mark.parametrize("pack", [warc.member, lambda data: data])
+@pytest.mark.parametrize("window", [16, 100, 4096])
+def test_salvage_through_any_window(pack, window):
+    big = random.Random(1).randbytes(30_000) + warc.MAGIC + warc.VERSION
+    members = [pack(p) for p in [*parts(), warc.record("big", "u", big, hashlib.sha256(big).hexdigest(), None), *parts()]]
+    whole = b"".join(members)
+    rng = random.Random(window)
+    for content in (whole, whole[:-9], whole[3:], *(whole[:at] + rng.randbytes(50) + whole[at + cut:] for at in (1, 700, 4090, 9000, 20_000) for cut in (0, 50, 3000))):
+        expected = list(warc.salvage(content, len(content) + 100))
+        assert list(warc.salvage(content, window)) == expected
+        covered = sorted({f[1:3] for f in expected})
+        assert covered[0][0] == 0 and covered[-1][1] == len(content) and all(a[1] == b[0] for a, b in itertools.pairwise(covered))
+
+
+def test_large_archives_are_never_held_whole(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "some archives"
+    folder.mkdir()
+    bodies = [random.Random(i).randbytes(100_000) for i in range(300)]
+    packed = [warc.member(warc.record(str(i), f"u{i}", b, hashlib.sha256(b).hexdigest(), None)) for i, b in enumerate(bodies)]
+    (folder / "big.warc.gz").write_bytes(b"".join(packed[:200]) + b"\x00" * 5_000_000 + b"".join(packed[200:]))
+    tracemalloc.start()
+    with pa.OSFile(str(folder / "big.warc.gz")) as file:
+        kinds = [(f[0], f[2] - f[1] if f[0] == "gap" else f[3]["x-page-id"]) for f in warc.salvage(file)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [k for k in kinds if k[0] == "gap"] == [("gap", 5_000_000)] and [k[1] for k in kinds if k[0] == "record"] == [str(i) for i in range(300)]
+    assert peak < 8_000_000
+    rows = lambda: sorted(tuple(r) for r in warc.read_warc(spark, f"file:{folder}", payloads=True).select("page_id", "offset", "kind", "payload").fillna("").collect())
+    streamed = rows()
+    assert len(streamed) == 301 and {r[0]: bytes(r[3]) for r in streamed if r[2] == "record"} == {str(i): b for i, b in enumerate(bodies)}
+    monkeypatch.setattr(warc, "_tasks_reach", lambda folder: False)  # a store that only Spark reads
+    assert rows() == streamed
+    monkeypatch.undo()
+    assert warc._tasks_reach(f"file:{folder}") and not warc._tasks_reach("viewfs://store/in")
+
+
 def foreign(block_digest, payload_digest, body=b"hello", head=b"HTTP/1.1 200 OK\r\n\r\n", kind="response"):
     block = head + body
     return (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Block-Digest: {block_digest(block)}\r\nWARC-Payload-Digest: {payload_digest(body)}\r\n"
