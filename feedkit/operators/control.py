@@ -73,6 +73,38 @@ def upsert_control(target: DataFrame, source: DataFrame, now: Column,
     return out
 
 
+class CatalogControl:
+    """The control table as a table of a catalog (``catalog.schema.table``), upserted row by row.
+
+    ``merge`` needs a catalog whose tables support row-level operations. It is one transaction of that
+    catalog, which also settles overlapping runs; only rows that changed are written. Other catalogs
+    raise, and nothing is written: overwriting a table in place could lose it, ``ControlTable`` cannot.
+    """
+
+    def __init__(self, spark: SparkSession, table: str, fmt: str = "parquet"):
+        self.spark, self.table, self.fmt = spark, table, fmt
+
+    def ensure(self) -> None:
+        """CREATE TABLE IF NOT EXISTS with the columns of the control table."""
+        if not self.spark.catalog.tableExists(self.table):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CONTROL_SCHEMA.fields)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}) USING {self.fmt}")
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.table).select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
+
+    def merge(self, source: DataFrame, now: Column, key: str = "tmpPidm", year: str = "tmpTermACYR",
+              term: str = "tmpPulledTerm") -> None:
+        """``upsert_control`` as a MERGE. ``source`` must be unique per ``key``."""
+        rows = source.select(F.col(key).alias("__sk"), F.col(year).alias("__sy"), F.col(term).alias("__st"),
+                             now.cast("timestamp").alias("__now"))
+        sent = {"wsrsrez_last_acyr": F.col("__sy"), "wsrsrez_last_term": F.col("__st"), "wsrsrez_last_sent": F.col("__now"),
+                "wsrsrez_status_ind": F.lit("A"), "wsrsrez_activity_date": F.col("__now")}
+        first = {"wsrsrez_pidm": F.col("__sk").cast(DecimalType(38, 10)), "wsrsrez_init_term": F.col("__st")}
+        (rows.mergeInto(self.table, control_key() == F.col("__sk"))
+         .whenMatched().update(sent).whenNotMatched().insert(first | sent).merge())
+
+
 class ControlTable:
     """Versions ``v<number>`` of the control table under ``root`` (a shared, durable folder)."""
 

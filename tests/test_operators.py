@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from feedkit.functions import text as T
@@ -378,6 +379,23 @@ def test_upsert_control(spark):
     assert out[(2, "202310", "202310")]["wsrsrez_status_ind"] == "I"
 
 
+def test_catalog_control_merges_or_leaves_the_table(spark):
+    name = "feedkit_control"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tbl = control.CatalogControl(spark, name)
+    tbl.ensure()
+    row = (Decimal(7), "202410", "2425", "202410", dt.datetime(2024, 1, 1), "A", dt.datetime(2024, 1, 1))
+    spark.createDataFrame([row], control.CONTROL_SCHEMA).write.insertInto(name)
+    tbl.ensure()
+    assert tbl.read().count() == 1 and tbl.read().schema == control.CONTROL_SCHEMA
+    src = spark.createDataFrame([(7, "2425", "202420"), (8, "2425", "202420")], "tmpPidm long, tmpTermACYR string, tmpPulledTerm string")
+    with pytest.raises(UnsupportedOperationException) as refused:  # no catalog at hand supports row-level operations
+        tbl.merge(src, F.lit("2024-09-15 14:00:00").cast("timestamp"))
+    assert (refused.value.getCondition() or "").startswith("UNSUPPORTED_FEATURE")
+    assert tbl.read().collect()[0]["wsrsrez_last_term"] == "202410" and tbl.read().count() == 1
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_control_table_versions(spark, tmp_path):
     tbl = control.ControlTable(spark, str(tmp_path / "ctl"))
     assert tbl.current_version() is None and tbl.read().count() == 0
