@@ -9,6 +9,7 @@ from feedkit.operators import asof, latest
 from feedkit.operators.control import CONTROL_SCHEMA
 from feedkit.plans import course_feeds as cf
 from feedkit.plans import housing as hz
+from feedkit.plans import twins
 from feedkit.sources.catalog import Namespace, read_sources
 
 CTX = RunContext.at(fx.AS_OF, fx.NOW)
@@ -82,3 +83,47 @@ def test_housing_feed_scans_each_source_a_handful_of_times(parquet_src, spark):
     """The cohorts are written once; what follows reads them and each source's rows of their people."""
     p = plan(hz.housing_feed(parquet_src, spark.createDataFrame([], CONTROL_SCHEMA), CTX))
     assert p.count("FileScan parquet") < 100
+
+
+@pytest.fixture(scope="module")
+def small_tables(spark, tmp_path_factory):
+    """Testdata tables of 5000 orders with one event, customer and two lineitems for some of them."""
+    root = tmp_path_factory.mktemp("tables")
+    day = "timestamp_ntz'1998-01-01 00:00:00' + make_dt_interval(cast(id % 300 AS int))"
+    tables = {
+        "region": spark.range(5).selectExpr("cast(id AS int) r_regionkey", "concat('REGION', id) r_name"),
+        "nation": spark.range(25).selectExpr("cast(id AS int) n_nationkey", "concat('NATION', id) n_name", "cast(id % 5 AS int) n_regionkey"),
+        "customer": spark.range(500).selectExpr(
+            "id c_custkey", "concat('Customer', id) c_name", "cast(id % 25 AS int) c_nationkey", "cast(id % 700 AS double) - 50 c_acctbal",
+            "element_at(array('BUILDING', 'MACHINERY', 'AUTOMOBILE', 'HOUSEHOLD', 'FURNITURE'), cast(id % 5 + 1 AS int)) c_mktsegment"),
+        "part": spark.range(10).selectExpr("id p_partkey", "concat('Brand#', id) p_brand", "concat('TYPE', id) p_type", "cast(id AS int) p_size"),
+        "orders": spark.range(5000).selectExpr(
+            "id o_orderkey", "id % 500 o_custkey", "element_at(array('F', 'O', 'P'), cast(id % 3 + 1 AS int)) o_orderstatus",
+            "cast(id * 90 AS double) o_totalprice", f"{day} o_orderdate",
+            "element_at(array('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'), cast(id % 7 % 5 + 1 AS int)) o_orderpriority"),
+        "lineitem": spark.range(10000).selectExpr(
+            "id div 2 l_orderkey", "id % 10 l_partkey", "cast(id % 50 AS double) l_quantity", "0.1D l_tax",
+            "element_at(array('R', 'N', 'A'), cast(id % 3 + 1 AS int)) l_returnflag",
+            "element_at(array('O', 'F'), cast(id % 2 + 1 AS int)) l_linestatus", f"{day} l_shipdate"),
+        "events": spark.range(1000).selectExpr(
+            "id event_id", "id % 500 user_id", "element_at(array('purchase', 'signup', 'view'), cast(id % 3 + 1 AS int)) event_type",
+            "cast(id % 10 AS double) value", f"{day} ts"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(root / f"{name}.parquet"))
+    return str(root)
+
+
+@pytest.fixture()
+def threshold_below_the_tables(spark):
+    """Broadcasts up to 8 KB: a handful of codes, and no more than that of the tables of ``small_tables``."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8192")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_contacts_are_shuffled_by_person_only(spark, small_tables, threshold_below_the_tables):
+    """Three relation codes would put all contacts into three tasks."""
+    p = plan(twins.q_contact_best(spark, small_tables))
+    assert "hashpartitioning(spremrg_relt_code" not in p and p.count("Exchange hashpartitioning") == 1
