@@ -348,7 +348,8 @@ def enrichment(src: Sources, ctx: RunContext, term_in: str | None) -> DataFrame:
     """All lookups of a person in one row (more only where a crosswalk repeats a code).
 
     Every table contributes narrow rows ``(person, one attribute's struct)``; their union is shuffled by
-    person once, and one aggregate takes each attribute's greatest struct.
+    person once, and one aggregate takes each attribute's greatest struct. What is only a flag comes from a
+    hash aggregate over numbers, so that its many rows are not sorted with the others.
     """
     as_of = ctx.as_of_col()
     ap = src["saturn_saradap"]
@@ -358,7 +359,11 @@ def enrichment(src: Sources, ctx: RunContext, term_in: str | None) -> DataFrame:
         & (F.col("sarappd_term_code_entry") == F.col("saradap_term_code_entry")), "left_semi")
     holds = src["saturn_sprhold"].filter(F.col("sprhold_to_date") > as_of)
     flags = {"academic_hold": ACADEMIC_HOLDS, "incident_hold": INCIDENT_HOLDS, "account_hold": ACCOUNT_HOLDS}
-    held = [f"IF(sprhold_hldd_code IN ({', '.join(map(sq, codes))}), '1', '0') AS {name}" for name, codes in flags.items()]
+    held = [f"IF(sprhold_hldd_code IN ({', '.join(map(sq, codes))}), 1, 0) AS {name}" for name, codes in flags.items()]
+    exempt = src["saturn_saraatt"].filter(F.col("saraatt_atts_code") == HOUSING_ATTRIBUTE).selectExpr("saraatt_pidm AS en_pidm", "1 AS housing_exempt")
+    flagged = (exempt.unionByName(holds.selectExpr("sprhold_pidm AS en_pidm", *held), allowMissingColumns=True)
+               .unionByName(src["grailssf_ferpa"].selectExpr("student_pidm AS en_pidm", "1 AS ferpa"), allowMissingColumns=True))
+    flagged = flagged.groupBy("en_pidm").agg(*[F.max(c).alias(c) for c in ("housing_exempt", *flags, "ferpa")])
     sport = src["saturn_sgrsprt"].filter((F.col("sgrsprt_term_code") == (F.lit(term_in) if term_in else _null_str()))
                                          & (F.col("sgrsprt_spst_code") == SPORT_ACTIVE)
                                          & (F.col("sgrsprt_elig_code") == SPORT_ACTIVE))
@@ -370,10 +375,8 @@ def enrichment(src: Sources, ctx: RunContext, term_in: str | None) -> DataFrame:
         _greatest(src["general_gorvisa"], "gorvisa_pidm", "vtype", ["gorvisa_activity_date", "gorvisa_vtyp_code"], []),
         completed.selectExpr("saradap_pidm AS en_pidm", "saradap_term_code_entry AS term1"),
         _greatest(ap.filter(F.col("saradap_appl_no").isNotNull()), "saradap_pidm", "applied", ["saradap_appl_no", "saradap_term_code_entry"], []),
-        src["saturn_saraatt"].filter(F.col("saraatt_atts_code") == HOUSING_ATTRIBUTE).selectExpr("saraatt_pidm AS en_pidm", "'Y' AS housing_exempt"),
-        holds.selectExpr("sprhold_pidm AS en_pidm", *held),
+        flagged.selectExpr("en_pidm", "IF(housing_exempt = 1, 'Y', NULL) AS housing_exempt", *[f"CAST({c} AS STRING) AS {c}" for c in (*flags, "ferpa")]),
         _greatest(sport, "sgrsprt_pidm", "team", ["sgrsprt_activity_date", "stvactc_desc"], []),
-        src["grailssf_ferpa"].selectExpr("student_pidm AS en_pidm", "'1' AS ferpa"),
         _greatest(mail, "goremal_pidm", "mail", ["goremal_activity_date", "goremal_email_address"], []),
         _greatest(contact_rows(src["saturn_spremrg"], src["saturn_stvrelt"]), "spremrg_pidm", "emgr",
                   ["spremrg_activity_date", "contact_name", "street_line1", "street_line2", "phone", "relt_desc"], ["city", "stat_code", "zip"]),

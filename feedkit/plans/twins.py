@@ -598,11 +598,13 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
     """Testdata mapped onto the housing feed's 34 source tables (all derived from the tables).
 
     Each table is one SQL query over the testdata frames; the phone, address and
-    contact mappings are shared with their own twins.
+    contact mappings are shared with their own twins. Lineitems meet their orders once:
+    the joined lines and the student records, which other tables derive from, are written first.
     """
+    from feedkit.context import stage_all
     from feedkit.sources.testdata import course_sources, person_id_sql, term_sql
     sql = td.spark.sql
-    f = {"c": td.customer, "o": td.orders, "n": td.nation, "r": td.region, "lines": td.order_lines()}
+    f = {"c": td.customer, "o": td.orders, "n": td.nation, "r": td.region, "l": td.order_lines()}
     base = course_sources(td)
     cts = "cast(date_add(DATE'1996-01-01', cast(floor(c_acctbal) AS int)) AS timestamp_ntz)"
     t_o, t_s = term_sql("o_orderdate"), term_sql("l_shipdate")
@@ -633,13 +635,17 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
                     WHEN min(o_orderstatus) = 'F' THEN 'R' ELSE 'M' END AS sgbstdn_camp_code,
                max(o_orderdate) AS sgbstdn_activity_date
         FROM {{o}} GROUP BY o_custkey, {t_o}""", **f)
-    tbrdepo = sql(f"""
-        SELECT custkey AS tbrdepo_pidm, {t_s} AS tbrdepo_term_code,
+    lines = sql(f"""SELECT custkey, {t_o} AS order_term, {t_s} AS ship_term, l_returnflag, l_linestatus, l_quantity, l_shipdate
+                    FROM {{l}}""", **f)
+    first = stage_all({"saturn_sgbstdn": g, "lines": lines})
+    g, f["lines"] = first["saturn_sgbstdn"], first["lines"]
+    tbrdepo = sql("""
+        SELECT custkey AS tbrdepo_pidm, ship_term AS tbrdepo_term_code,
                CASE WHEN l_returnflag = 'R' AND l_quantity >= 45 THEN 'DHOU'
                     WHEN l_returnflag = 'N' AND l_quantity >= 48 THEN 'DRES'
                     WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'DLAC' ELSE 'XXXX' END AS tbrdepo_detail_code_deposit,
                l_shipdate AS tbrdepo_entry_date, l_shipdate AS tbrdepo_activity_date
-        FROM {{lines}}""", **f)
+        FROM {lines}""", **f)
     sfrstcr = sql(f"""
         SELECT o_custkey AS sfrstcr_pidm, {t_o} AS sfrstcr_term_code, cast(o_orderkey AS string) AS sfrstcr_crn,
                CASE WHEN o_orderstatus = 'O' THEN 'RE' WHEN o_orderstatus = 'P' THEN 'AU' ELSE 'DD' END AS sfrstcr_rsts_code
@@ -651,11 +657,11 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
         FROM {c}
         UNION ALL
         SELECT c_custkey, 'GR', 'O', 3.5D, 12.0D FROM {c} WHERE c_mktsegment = 'BUILDING'""", **f)
-    shrtgpa = sql(f"""
-        SELECT custkey AS shrtgpa_pidm, 'UG' AS shrtgpa_levl_code, {t_o} AS shrtgpa_term_code,
+    shrtgpa = sql("""
+        SELECT custkey AS shrtgpa_pidm, 'UG' AS shrtgpa_levl_code, order_term AS shrtgpa_term_code,
                CASE WHEN l_linestatus = 'F' THEN 'I' ELSE 'T' END AS shrtgpa_gpa_type_ind,
                CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_quantity END AS shrtgpa_hours_earned
-        FROM {{lines}}""", **f)
+        FROM {lines}""", **f)
     sgrclsr = sql("""
         SELECT r_regionkey AS sgrclsr_seq_no, upper(substring(r_name, 1, 2)) AS sgrclsr_clas_code, 'UG' AS sgrclsr_levl_code,
                cast(r_regionkey * 100 AS double) AS sgrclsr_from_hours, cast(r_regionkey * 100 AS double) + 99.99D AS sgrclsr_to_hours
@@ -696,9 +702,9 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
                CASE WHEN o_orderpriority = '1-URGENT' THEN 'RS' WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 'CP'
                     ELSE 'XX' END AS sarappd_apdc_code
         FROM {{o}}""", **f)
-    saraatt = sql(f"""SELECT custkey AS saraatt_pidm, {t_s} AS saraatt_term_code, 'HOUS' AS saraatt_atts_code,
-                             l_shipdate AS saraatt_activity_date
-                      FROM {{lines}} WHERE l_linestatus = 'O' AND l_returnflag = 'N'""", **f)
+    saraatt = sql("""SELECT custkey AS saraatt_pidm, ship_term AS saraatt_term_code, 'HOUS' AS saraatt_atts_code,
+                            l_shipdate AS saraatt_activity_date
+                     FROM {lines} WHERE l_linestatus = 'O' AND l_returnflag = 'N'""", **f)
     sorainf = sql(f"""
         SELECT o_custkey AS sorainf_pidm, {t_o} AS sorainf_term_code,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'ADMCOUN' ELSE 'OTHER' END AS sorainf_radm_code,
@@ -746,15 +752,16 @@ def _housing_sources(td: Testdata) -> dict[str, DataFrame]:
     }
 
 
-# Adapted tables derived through joins or multi-scan unions/aggregates; the others are
-# projections or small aggregates of a single scan and stay cheap plan leaves on their own.
-_STAGED = {"saturn_stvterm", "saturn_spriden", "saturn_sgbstdn", "taismgr_tbrdepo", "saturn_shrtgpa",
-           "saturn_spraddr", "saturn_saraatt"}
+# Adapted tables written once: those derived through joins, unions or aggregates and, so that their size is
+# known before a join, the tables of a few codes. The others are projections of a single scan or of tables
+# that are written already, and stay cheap plan leaves on their own.
+_STAGED = {"saturn_stvterm", "saturn_spriden", "saturn_spraddr", "saturn_stvlevl", "saturn_stvstyp", "saturn_stvmajr",
+           "saturn_stvvtyp", "saturn_stvactc", "saturn_stvrelt", "saturn_stvcamp"}
 
 
 def _housing_inputs(spark: SparkSession, sf: str):
     """The adapted sources and control table of the housing feed. Those derived through joins or
-    aggregates are written once, so that they read as file scans, as catalog tables would."""
+    aggregates and the code tables are written once, so that they read as file scans, as catalog tables would."""
     from feedkit.context import stage_all
     td = Testdata(spark, sf)
     src = _housing_sources(td)

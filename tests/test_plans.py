@@ -127,3 +127,26 @@ def test_contacts_are_shuffled_by_person_only(spark, small_tables, threshold_bel
     """Three relation codes would put all contacts into three tasks."""
     p = plan(twins.q_contact_best(spark, small_tables))
     assert "hashpartitioning(spremrg_relt_code" not in p and p.count("Exchange hashpartitioning") == 1
+
+
+def test_code_tables_of_the_housing_feed_are_file_scans(spark, small_tables, threshold_below_the_tables):
+    src, _ = twins._housing_inputs(spark, small_tables)
+    for code in ("relt", "actc", "levl", "styp", "majr", "vtyp", "camp"):
+        p = plan(src[f"saturn_stv{code}"])
+        assert "FileScan parquet" in p and "Aggregate" not in p, code
+    p = plan(hz.enrichment(src, CTX, "199820"))
+    for few in ("spremrg_relt_code", "sgrsprt_actc_code", "vtype"):
+        assert f"hashpartitioning({few}" not in p
+
+
+def test_lineitems_of_the_housing_feed_meet_their_orders_once(spark, small_tables):
+    src = twins._housing_sources(twins.Testdata(spark, small_tables))
+    for name in ("taismgr_tbrdepo", "saturn_shrtgpa", "saturn_saraatt", "saturn_sgbstdn"):
+        p = plan(src[name])
+        assert "FileScan parquet" in p and "Join" not in p and "Exchange" not in p, name
+
+
+def test_flags_of_a_person_are_numbers_until_they_are_aggregated(spark):
+    src = {**fx.make_sources(spark)}
+    p = plan(hz.enrichment(src, CTX, "202410"))
+    assert "HashAggregate(keys=[en_pidm" in p and "partial_max(housing_exempt" in p
