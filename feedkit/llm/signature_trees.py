@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.llm.common import column, first_id, in_arrow, match, stage, table
+from feedkit.llm.common import StagingScope, column, first_id, in_arrow, match, stage, table
 from feedkit.llm.graph import components
 from feedkit.llm.near_dedup import _WordHashes, shingle_hashes
 
@@ -262,16 +262,21 @@ class SignatureJoin:
         self.texts = rows.select("rid", "id", F.xxhash64("id", "text").alias("k"), "text")
         schema = T.StructType([T.StructField("rid", T.LongType()), rows.schema["id"],
                                *T.StructType.fromDDL("k long, rep long, n long, mark binary, low array<long>")])
-        #: One row per row of the input; copies within a split share ``rep``.
-        self.folded = stage(in_arrow(self.texts, _folder(size, percent, to_arrow_schema(schema)), schema), "folded")
-        reps = self.folded.where("mark IS NOT NULL").select("rep", "k", "n", "mark", "low")
-        self.nodes = stage(reps.groupBy("mark").agg(F.min_by(F.struct("rep", "k", "n", "low"), "rep").alias("x"))
-                           .select("mark", F.col("x.rep").alias("node"), "x.k", "x.n", "x.low"), "nodes")
+        with StagingScope(rows.sparkSession) as scope:  # the lowest hashes, most of what is written, go with it
+            read = stage(in_arrow(self.texts, _folder(size, percent, to_arrow_schema(schema)), schema), "read")
+            #: One row per row of the input; copies within a split share ``rep``.
+            self.folded = scope.keep(read.drop("low"), "folded")
+            reps = self.folded.where("mark IS NOT NULL").select("rep", "k", "n", "mark")
+            self.nodes = scope.keep(reps.groupBy("mark").agg(F.min_by(F.struct("rep", "k", "n"), "rep").alias("x"))
+                                    .select("mark", F.col("x.rep").alias("node"), "x.k", "x.n"), "nodes")
+            lows = read.where("mark IS NOT NULL").select(F.col("rep").alias("node"), "low")
+            #: ``(node, k, n)`` of the nodes that may have a partner.
+            self.candidates = scope.keep(self.with_partner(match(lows, self.nodes.select("node"), ["node"], "left_semi")), "candidates")
         self.rep_nodes = reps.select("rep", "mark").join(self.nodes.select("mark", "node"), "mark").select("rep", "node")
 
-    def with_partner(self) -> DataFrame:
-        """``(node, k, n)`` of the nodes that share enough of their lowest hashes with others."""
-        each = self.nodes.select("node", F.explode("low").alias("element"))
+    def with_partner(self, lows: DataFrame) -> DataFrame:
+        """``(node, k, n)`` of the nodes that share enough of their lowest hashes, ``lows(node, low)``, with others."""
+        each = lows.select("node", F.explode("low").alias("element"))
         common = each.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1").select("element")
         held = match(each, common, ["element"], "left_semi").groupBy("node").agg(F.count("*").alias("held"))
         return self.nodes.select("node", "k", "n").join(held, "node").where(
@@ -286,19 +291,20 @@ class SignatureJoin:
         """``(token, node, n)``: each node's rarest shared shingles, one more than a similar set may lack."""
         each = in_arrow(sets, _elements, "node long, n long, element long")
         common = each.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1")
-        held = each.join(stage(common, "common"), "element").groupBy("node", "n").agg(
-            F.array_sort(F.collect_list(F.struct("sets", "element"))).alias("shared")).where(f"size(shared) >= {self.need}")
-        first = F.slice("shared", F.lit(1), F.expr(f"CAST(size(shared) - ({self.need}) + 1 AS INT)"))
-        each = stage(held.select("node", "n", F.explode(first).alias("s")).select(F.col("s.element").alias("token"), "node", "n"), "tokens")
-        several = each.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
-        return stage(match(each, several, ["token"]), "shared")
+        with StagingScope(sets.sparkSession) as scope:
+            held = each.join(stage(common, "common"), "element").groupBy("node", "n").agg(
+                F.array_sort(F.collect_list(F.struct("sets", "element"))).alias("shared")).where(f"size(shared) >= {self.need}")
+            first = F.slice("shared", F.lit(1), F.expr(f"CAST(size(shared) - ({self.need}) + 1 AS INT)"))
+            each = stage(held.select("node", "n", F.explode(first).alias("s")).select(F.col("s.element").alias("token"), "node", "n"), "tokens")
+            several = each.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+            return scope.keep(match(each, several, ["token"]), "shared")
 
     def regions(self, tokens: DataFrame) -> DataFrame:
         """``(hub, hub_n, score, node, n, votes)``: the nodes that have tokens of a hub, the hub with them."""
         score = tokens.groupBy("node").agg(F.sum("members").alias("score"))
         hubs = tokens.join(score, "node").groupBy("token").agg(F.max(F.struct("score", "node", "n")).alias("hub"))
         hubs = hubs.select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.score").alias("score"))
-        return stage(match(tokens, hubs, ["token"]).groupBy("hub", "hub_n", "score", "node", "n").agg(F.count("*").alias("votes")), "regions")
+        return match(tokens, hubs, ["token"]).groupBy("hub", "hub_n", "score", "node", "n").agg(F.count("*").alias("votes"))
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
@@ -334,8 +340,9 @@ class SignatureJoin:
 
     def components(self) -> DataFrame:
         """``(node, comp)`` of each node that is linked with another."""
-        sets = self.sets(self.with_partner())
-        regions = self.regions(self.tokens(sets))
+        sets = self.sets(self.candidates)
+        with StagingScope(sets.sparkSession) as scope:
+            regions = scope.keep(self.regions(self.tokens(sets)), "regions")
         p = self.percent
         star = regions.where(f"node <> hub AND 100 * least(n, hub_n) >= {p} * greatest(n, hub_n)").groupBy("node").agg(
             F.max(F.struct("votes", "hub")).alias("x"), F.max(F.struct("score", "hub")).alias("y"))

@@ -3,10 +3,12 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
+from feedkit.context import StagingScope
 from feedkit.llm import exact_dedup, near_dedup, signature_trees
 from feedkit.llm.graph import components
 
@@ -188,6 +190,18 @@ def test_signature_trees_without_hubs(make_docs, monkeypatch):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == near_expected(rows, 4, 85)
 
 
+def test_signature_trees_keep_neither_lowest_hashes_nor_tokens(spark, make_docs):
+    """What only the steps before the trees read is gone before the trees are made."""
+    words = [f"w{i}" for i in range(60)]
+    docs = make_docs([(1, " ".join(words)), (2, " ".join([*words, "x"])), (3, "other words stand here alone")])
+    with StagingScope(spark) as scope:
+        join = signature_trees.SignatureJoin(docs.selectExpr("doc_id AS rid", "doc_id AS id", "text"), 4, 85)
+        assert {tuple(r) for r in join.components().collect()} == {(1, 1), (2, 1)}
+        left = {f.name for root in scope.roots for f in Path(root.removeprefix("file:")).glob("*")}
+    assert {"folded", "nodes", "candidates", "sets", "regions"} <= left
+    assert not {"read", "common", "tokens", "shared"} & left
+
+
 def test_signature_trees_empty_tables(make_docs):
     assert signature_trees.jaccard_join(make_docs([])).collect() == []
     assert [tuple(r) for r in signature_trees.jaccard_join(make_docs([(1, None), (2, " ")])).collect()] == [(1, 0, 1), (2, 0, 2)]
