@@ -20,6 +20,9 @@ Which nodes meet in a tree is decided exactly, in the steps of a prefix filter:
   make a tree. Each is first checked against two of its hubs, so a family of copies is one component
   before the trees are looked at, and costs a row per member instead of one per pair.
 
+Both counts shuffle the hashes once, with the nodes that have them, and count them where they arrive. Before
+that the hashes of a block of nodes are put together, so one that is in every text is a row per block.
+
 In a tree, the members of its largest component (``major``) are compared with the others (``minor``)
 but not with one another. Trees over ``PIECE_BYTES`` of bitmaps are cut into pieces by hash of the
 node and their pieces dealt out in pairs, so no tree has to fit in a task. Shingles are compared as
@@ -39,6 +42,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +56,9 @@ FAN = 8
 #: Bitmaps are at least 2^``NARROW`` bits wide.
 NARROW = 9
 PIECE_BYTES = 32_000_000
+#: Hashes that are put together by value before they are shuffled.
+BLOCK = 500_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def needed(n: int, percent: int) -> int:
@@ -82,6 +89,39 @@ def _folder(size: int, percent: int, schema: pa.Schema):
     return fold
 
 
+def _blocks(batches, name: str, block: int):
+    """``(node, hash)``, two arrays: the hashes of whole nodes, ``block`` or a little more at a time."""
+    nodes, hashes, held = [], [], 0
+    for batch in batches:
+        for node, value in zip(batch.column("node").to_pylist(), batch.column(name), strict=True):
+            own = np.frombuffer(value.as_py(), np.int64) if name == "set" else value.values.to_numpy()
+            nodes.append(np.full(len(own), node, np.int64)), hashes.append(own)
+            held += len(own)
+            if held >= block:
+                yield np.concatenate(nodes), np.concatenate(hashes)
+                nodes, hashes, held = [], [], 0
+    if held:
+        yield np.concatenate(nodes), np.concatenate(hashes)
+
+
+def _lowest(block: int):
+    """``(element, node, known)``, ``known`` 0 for a hash that one node of a block has.
+
+    Hashes that several have are shared already. They stand once (-1), and each node has a row under a
+    key of its own that tells how many it has. So a hash that is in every text is a row per block.
+    """
+    def count(batches):
+        for node, flat in _blocks(batches, "low", block):
+            element, first, inverse, sets = np.unique(flat, return_index=True, return_inverse=True, return_counts=True)
+            owner, known = np.unique(node[sets[inverse] > 1], return_counts=True)
+            key = (owner.astype(np.uint64) * _MIX).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([element, key])), pa.array(np.concatenate([node[first], owner])),
+                 pa.array(np.concatenate([np.where(sets > 1, -1, 0), known]).astype(np.int32))], names=["element", "node", "known"])
+
+    return count
+
+
 def _sets(size: int):
     def make(batches):
         hashes, seen = _WordHashes(), set()
@@ -98,15 +138,17 @@ def _sets(size: int):
     return make
 
 
-def _elements(batches):
-    for batch in batches:
-        sets = [np.frombuffer(v.as_py(), np.int64) for v in batch.column("set")]
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        flat = np.concatenate([*sets, np.empty(0, np.int64)])
-        node, n = (batch.column(c).to_numpy() for c in ("node", "n"))
-        for i in range(0, len(flat), 500_000):
-            at = owner[i:i + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(n[at]), pa.array(flat[i:i + 500_000])], names=["node", "n", "element"])
+def _elements(block: int):
+    """``(element, nodes)``: a hash and the nodes of a block that have it."""
+    def gather(batches):
+        for node, flat in _blocks(batches, "set", block):
+            order = np.argsort(flat, kind="stable")
+            flat = flat[order]
+            starts = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+            nodes = pa.ListArray.from_arrays(pa.array(np.append(starts, len(flat)).astype(np.int32)), pa.array(node[order]))
+            yield pa.RecordBatch.from_arrays([pa.array(flat[starts]), nodes], names=["element", "nodes"])
+
+    return gather
 
 
 def bitmap(shingles: np.ndarray, width: int) -> bytes:
@@ -254,10 +296,10 @@ def _merged(names: DataFrame, joined: DataFrame) -> DataFrame:
 class SignatureJoin:
     """The tables of one join and the steps over them."""
 
-    def __init__(self, rows: DataFrame, size: int, percent: int, piece_bytes: int = PIECE_BYTES) -> None:
+    def __init__(self, rows: DataFrame, size: int, percent: int, piece_bytes: int = PIECE_BYTES, block: int = BLOCK) -> None:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        self.size, self.percent, self.piece_bytes = size, percent, piece_bytes
+        self.size, self.percent, self.piece_bytes, self.block = size, percent, piece_bytes, block
         self.need = f"({percent} * n + 99) div 100"
         self.texts = rows.select("rid", "id", F.xxhash64("id", "text").alias("k"), "text")
         schema = T.StructType([T.StructField("rid", T.LongType()), rows.schema["id"],
@@ -270,15 +312,17 @@ class SignatureJoin:
             self.nodes = scope.keep(reps.groupBy("mark").agg(F.min_by(F.struct("rep", "k", "n"), "rep").alias("x"))
                                     .select("mark", F.col("x.rep").alias("node"), "x.k", "x.n"), "nodes")
             lows = read.where("mark IS NOT NULL").select(F.col("rep").alias("node"), "low")
+            copies = reps.select(F.col("rep").alias("node")).join(self.nodes, "node", "left_anti")  # of other splits' sets
             #: ``(node, k, n)`` of the nodes that may have a partner.
-            self.candidates = scope.keep(self.with_partner(match(lows, self.nodes.select("node"), ["node"], "left_semi")), "candidates")
+            self.candidates = scope.keep(self.with_partner(match(lows, copies, ["node"], "left_anti")), "candidates")
         self.rep_nodes = reps.select("rep", "mark").join(self.nodes.select("mark", "node"), "mark").select("rep", "node")
 
     def with_partner(self, lows: DataFrame) -> DataFrame:
         """``(node, k, n)`` of the nodes that share enough of their lowest hashes, ``lows(node, low)``, with others."""
-        each = lows.select("node", F.explode("low").alias("element"))
-        common = each.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1").select("element")
-        held = match(each, common, ["element"], "left_semi").groupBy("node").agg(F.count("*").alias("held"))
+        each = in_arrow(lows, _lowest(self.block), "element long, node long, known int")
+        sets = F.sum(F.when(F.col("known") == 0, 1).otherwise(2)).over(W.partitionBy("element"))  # shuffled once, counted in place
+        held = each.withColumn("sets", sets).where("sets > 1 AND known >= 0").groupBy("node").agg(
+            F.sum(F.greatest("known", F.lit(1))).alias("held"))
         return self.nodes.select("node", "k", "n").join(held, "node").where(
             f"held >= ({EXTRA} * ({self.need}) + 99) div 100").select("node", "k", "n")
 
@@ -289,13 +333,14 @@ class SignatureJoin:
 
     def tokens(self, sets: DataFrame) -> DataFrame:
         """``(token, node, n)``: each node's rarest shared shingles, one more than a similar set may lack."""
-        each = in_arrow(sets, _elements, "node long, n long, element long")
-        common = each.groupBy("element").agg(F.count("*").alias("sets")).where("sets > 1")
+        each = in_arrow(sets, _elements(self.block), "element long, nodes array<long>")
+        each = each.withColumn("sets", F.sum(F.size("nodes")).over(W.partitionBy("element"))).where("sets > 1")
+        node = W.partitionBy("node")
+        held = each.select(F.explode("nodes").alias("node"), "sets", "element").join(self.candidates.select("node", "n"), "node")
+        held = held.withColumn("shared", F.count("*").over(node)).where(f"shared >= {self.need}").withColumn(
+            "place", F.row_number().over(node.orderBy("sets", "element"))).where(f"place <= shared - ({self.need}) + 1")
         with StagingScope(sets.sparkSession) as scope:
-            held = each.join(stage(common, "common"), "element").groupBy("node", "n").agg(
-                F.array_sort(F.collect_list(F.struct("sets", "element"))).alias("shared")).where(f"size(shared) >= {self.need}")
-            first = F.slice("shared", F.lit(1), F.expr(f"CAST(size(shared) - ({self.need}) + 1 AS INT)"))
-            each = stage(held.select("node", "n", F.explode(first).alias("s")).select(F.col("s.element").alias("token"), "node", "n"), "tokens")
+            each = stage(held.select(F.col("element").alias("token"), "node", "n"), "tokens")
             several = each.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
             return scope.keep(match(each, several, ["token"]), "shared")
 
@@ -308,7 +353,8 @@ class SignatureJoin:
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
-        sets = sets.select("node", "set")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = match(sets.select("node", "set"), ends, ["node"], "left_semi")  # before they are shuffled
         both = (pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"))
         return stage(in_arrow(both, _confirmer(self.percent), "a long, b long"), "links")
